@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import as_bytes, documents, fold, labels, map_batches, texts
 from .quality import sample
 
-SAMPLE, WORDS = 3000, 4000
+SAMPLE, WORDS = 2000, 4000
 #: Lengths of the beginnings, in bytes.
 BEGINNINGS = (4, 5, 6, 7, 8)
 CUT = 0.7
@@ -86,12 +86,14 @@ def swaps(rows: list[bytes], index: dict[bytes, int], planted: int = 200) -> np.
     return np.array([(index[t], index[o] if o else -1, seen[t] / max(1, len(terms))) for t in terms for o in (*terms, None) if o != t], float).reshape(-1, 3)
 
 
-def telling(have: list[set[bytes]], y: np.ndarray, at_most: int) -> list[bytes]:
+def telling(rows: list[bytes], y: np.ndarray, at_most: int) -> list[bytes]:
     """The marks in at least five rows that tell the labels apart best, by the likelihood ratio of their counts."""
-    kinds = [Counter(w for x, v in zip(have, y, strict=True) if v == k for w in x) for k in (0, 1)]
-    total = [int((y == k).sum()) for k in (0, 1)]
+    kinds: list[Counter] = [Counter(), Counter()]
+    for text, v in zip(rows, y, strict=True):
+        kinds[int(v)].update(marks_of(words(text)))
     names = sorted(w for w in kinds[0].keys() | kinds[1].keys() if kinds[0][w] + kinds[1][w] >= 5)
     n = np.array([[k[w] for w in names] for k in kinds], float).reshape(2, -1)
+    total = [int((y == k).sum()) for k in (0, 1)]
     rate = (n + 0.5) / (np.array(total)[:, None] + 1)
     both = (n.sum(0) + 1) / (sum(total) + 2)
     gain = sum(n[k] * np.log(rate[k] / both) + (total[k] - n[k]) * np.log((1 - rate[k]) / (1 - both)) for k in (0, 1))
@@ -101,10 +103,9 @@ def telling(have: list[set[bytes]], y: np.ndarray, at_most: int) -> list[bytes]:
 def learn(rows: list[bytes], y: np.ndarray, l1: float = 2e-4, counterfactual: float = 1.0, steps: int = 400) -> Classifier | None:
     if not len(y) or y.min() == y.max():
         return None
-    have = [marks_of(words(t)) for t in rows]
-    index = {w: i for i, w in enumerate(dict.fromkeys([*telling(have, y, WORDS), *IDENTITY]))}
+    index = {w: i for i, w in enumerate(dict.fromkeys([*telling(rows, y, WORDS), *IDENTITY]))}
     pair = swaps(rows, index)
-    where = [np.fromiter((index[w] for w in x if w in index), np.int64) for x in have]
+    where = [np.array(sorted(index[w] for w in marks_of(words(t)) & index.keys()), np.int64) for t in rows]
     row, col = np.repeat(np.arange(len(rows)), [len(x) for x in where]), np.concatenate(where)
     balance = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())  # both labels count alike
     a, b, often = pair[:, 0].astype(int), pair[:, 1].astype(int), pair[:, 2] / max(1.0, pair[:, 2].sum())
@@ -122,7 +123,7 @@ def learn(rows: list[bytes], y: np.ndarray, l1: float = 2e-4, counterfactual: fl
         at, w = new + (before - 1) / t * (new - w), new
         c -= rate * g.sum()
     made = Classifier({x: float(w[i]) for x, i in index.items() if w[i]}, float(c), 0.0)
-    z = np.array([made.intercept + sum(made.weights.get(x, 0.0) for x in h) for h in have])
+    z = np.bincount(row, w[col], len(rows)) + c
     values = np.unique(z)
     middles = np.concatenate([[values[0] - 1], (values[1:] + values[:-1]) / 2, [values[-1] + 1]])
     order = np.sort(z[y == 1]), np.sort(z[y == 0])
