@@ -37,7 +37,7 @@ from .common import as_bytes, documents, fold, map_batches, stored, texts
 
 ORDERS, GATES = 3, 32
 #: Slots of a predictor's table, as a power of two: one for SLOT_BYTES bytes of text, within these bounds.
-LEAST_BITS, TABLE_BITS, SLOT_BYTES = 14, 22, 2
+LEAST_BITS, TABLE_BITS, SLOT_BYTES = 14, 21, 2
 WEIGHT_SHARE, CODE_SHARE = 24, 64
 BLOCK, RATE = 1024, 0.05
 STEP = np.float32(0.09)
@@ -70,11 +70,12 @@ class Code:
                 parent, bit = up[node]
                 depth[node], code[node] = depth[parent] + 1, code[parent] << 1 | bit
             length[before], bits[before] = [depth[k] for k in range(256)], [code[k] for k in range(256)]
-        #: By byte before and byte: how many bits, and where they begin in the arrays that follow.
-        self.length = length.ravel()
-        ends = np.cumsum(self.length)
-        self.start = ends - self.length
-        flat_bits = [(c >> (n - 1 - k) & 1, ((c >> (n - k)) + (1 << k)) * 0x9E3779B1 & 0xFFFFFFFF, min(k, 3)) for c, n in zip(bits.ravel().tolist(), self.length.tolist(), strict=True) for k in range(n)]
+        #: By byte before and byte: how many bits, and where they begin in the arrays that follow, in which common ones are neighbours.
+        self.length, self.start = length.ravel(), np.zeros(65536, np.int64)
+        order = np.argsort(-counts.ravel(), kind="stable")
+        ends = np.cumsum(self.length[order])
+        self.start[order] = ends - self.length[order]
+        flat_bits = [(c >> (n - 1 - k) & 1, ((c >> (n - k)) + (1 << k)) * 0x9E3779B1 & 0xFFFFFFFF, min(k, 3)) for c, n in zip(bits.ravel()[order].tolist(), self.length[order].tolist(), strict=True) for k in range(n)]
         #: Each bit, the hash of the bits before it, and its number, up to 3.
         self.bit, self.node, self.nth = (np.array(x, t) for x, t in zip(zip(*flat_bits, strict=True), (np.uint8, np.uint32, np.uint8), strict=True))
 
@@ -129,20 +130,23 @@ def pairs(b: np.ndarray) -> np.ndarray:
     return out
 
 
-def events(number: np.ndarray, hashes: list[np.ndarray], code: Code, table_bits: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """How many bits each byte is, each bit's place in the code's arrays, and its slots."""
-    length = code.length[number]
+def events(number: np.ndarray, hashes: list[np.ndarray], code: Code, table_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """How many bits each byte is; each bit's byte, its place in the code's arrays, and its slots. Every byte is at least one bit."""
+    length = code.length.take(number)
     ends = np.cumsum(length)
-    place = np.repeat(code.start[number] - ends + length, length)
+    which = np.zeros(int(ends[-1]) if len(ends) else 0, np.intp)  # the byte of each bit
+    which[ends[:-1]] = 1
+    np.cumsum(which, out=which)
+    place = (code.start.take(number) - ends + length).take(which)
     place += np.arange(len(place))
-    node, slots = code.node[place], []
+    node, slots = code.node.take(place), []
     for h in hashes:
-        slot = np.repeat(h, length)
+        slot = h.take(which)
         slot += node
         slot *= _K[4]
         slot >>= np.uint32(32 - table_bits)
         slots.append(slot)
-    return length, place, slots
+    return length, which, place, slots
 
 
 def counted(data: list[bytes], code: Code, table_bits: int, into: np.ndarray) -> None:
@@ -152,8 +156,8 @@ def counted(data: list[bytes], code: Code, table_bits: int, into: np.ndarray) ->
     inside = np.ones(len(b), bool)
     for k in range(1, GAP + 1):
         inside[starts - k] = False
-    _, place, slots = events(pairs(b)[inside], [h[inside] for h in hashes], code, table_bits)
-    high = code.bit[place].astype(np.uint32) << np.uint32(table_bits)
+    _, _, place, slots = events(pairs(b)[inside], [h[inside] for h in hashes], code, table_bits)
+    high = code.bit.take(place).astype(np.uint32) << np.uint32(table_bits)
     for k, slot in enumerate(slots):
         np.add.at(into[k].reshape(-1), slot | high, np.uint32(1))
 
@@ -167,40 +171,47 @@ def odds(counts: np.ndarray) -> np.ndarray:
 def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray, rate: float = RATE, learn: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of each text, refining the weights of each; and the shared weights, which follow the gradient at speed `learn`."""
     n, table_bits = len(data), int(tables.shape[1]).bit_length() - 1
-    b, starts, ends = flat(data)
+    longest_first = sorted(range(n), key=lambda i: -len(data[i]))  # so that those which go on after a block are the first
+    b, starts, ends = flat([data[i] for i in longest_first])
     hashes, depth = contexts(b)
     number = pairs(b)
     shared = weights.astype(np.float64).copy()
     own = [np.tile(shared[:, k].astype(np.float32), n) for k in range(ORDERS)]  # by text and gate
     out, size = np.zeros(n), ends - starts
     for block in range(int(-(-size.max() // BLOCK)) if n else 0):
-        live = np.flatnonzero(size > block * BLOCK)
-        many = np.minimum(size[live] - block * BLOCK, BLOCK)
+        live = int((size > block * BLOCK).sum())
+        many = np.minimum(size[:live] - block * BLOCK, BLOCK)
         before = np.cumsum(many) - many
-        at = np.repeat(starts[live] + block * BLOCK - before, many)
+        at = np.repeat(starts[:live] + block * BLOCK - before, many)
         at += np.arange(len(at))
-        length, place, slots = events(number[at], [h[at] for h in hashes], code, table_bits)
-        gate = np.repeat(np.repeat(live * GATES, many) + depth[at] * 4, length)
-        gate += code.nth[place]
-        logits = [tables[k][s] * STEP for k, s in enumerate(slots)]
-        z = own[0][gate] * logits[0]
+        length, which, place, slots = events(number.take(at), [h.take(at) for h in hashes], code, table_bits)
+        gate = (np.repeat(np.arange(live) * GATES, many) + depth.take(at) * 4).take(which)
+        gate += code.nth.take(place)
+        logits = [tables[k].take(s) * STEP for k, s in enumerate(slots)]
+        z = own[0].take(gate)
+        z *= logits[0]
         for k in range(1, ORDERS):
-            z += own[k][gate] * logits[k]
+            z += own[k].take(gate) * logits[k]
         np.clip(z, -11, 11, out=z)
-        error = code.bit[place] - 1 / (1 + np.exp(-z))
+        error = code.bit.take(place) - 1 / (1 + np.exp(-z))
         first = np.concatenate([[0], np.cumsum(length)])[before]
-        out[live] += np.add.reduceat(np.log(1 - np.abs(error)), first, dtype=np.float64)
-        if learn or (size > (block + 1) * BLOCK).any():
+        out[:live] += np.add.reduceat(np.log(1 - np.abs(error)), first, dtype=np.float64)
+        on = live if learn else int((size > (block + 1) * BLOCK).sum())
+        if on:
+            some = slice(0, int(first[on]) if on < live else None)
+            gate, error = gate[some], error[some]
             total = np.bincount(gate, minlength=n * GATES)
             for k, x in enumerate(logits):
-                slope = np.bincount(gate, error * x, n * GATES)
+                slope = np.bincount(gate, error * x[some], n * GATES)
                 if learn:
                     shared[:, k] += learn * slope.reshape(n, GATES).sum(0) / (total.reshape(n, GATES).sum(0) + 200.0)
                 else:
                     own[k] += (rate * slope / np.sqrt(total + 16.0)).astype(np.float32)
             if learn:
                 own = [np.tile(shared[:, k].astype(np.float32), n) for k in range(ORDERS)]
-    return out / np.log(10), shared
+    back = np.empty(n)
+    back[longest_first] = out
+    return back / np.log(10), shared
 
 
 class _Hashes(dict):
@@ -216,7 +227,7 @@ def _uid(doc: int | None, text: bytes) -> int:
 
 
 def word_counts(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """docs: doc_id, text, train. A row for each text (uid) and part: the sum of its tokens' log10(c + 1) and how many have c > 0; a row with a null uid for each part: the number of distinct training words in it."""
+    """docs: doc_id, text, train. A row for each text (uid): the sum of its tokens' log10(c + 1) and how many have c > 0; and the number of distinct training words."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size = _Hashes(), [], 0
@@ -268,16 +279,31 @@ def word_counts(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
         doc, count = np.concatenate(docs_), np.concatenate(times).astype(np.float64)
         c = np.bincount(kind, count * np.concatenate(trains)[doc])[kind]
         value, known = np.bincount(doc, count * np.log10(c + 1), n), np.bincount(doc, count * (c > 0), n)
-        uid, kind_of = np.unique(np.concatenate(uids), return_inverse=True)
+        uid = np.concatenate(uids)
+        to = (uid.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        ends = np.searchsorted(to[order], np.arange(parts + 1))
         vocabulary = len(np.unique(kind[c > 0]))
-        columns = [pa.array([*uid.tolist(), None], pa.int64()), pa.array([*np.bincount(kind_of, value).tolist(), 0.0]), pa.array([*np.bincount(kind_of, known).astype(int).tolist(), vocabulary], pa.int64())]
+        for p in range(parts):
+            some = order[ends[p] : ends[p + 1]]
+            if len(some) or not p:
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([0 if p else vocabulary], pa.int64()), *(pa.array([x[some].tobytes()], pa.binary()) for x in (uid, value, known))], names=["part", "v", "uid", "value", "known"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("v", "uid", "value", "known")), strict=True)]
+        if not rows:
+            return
+        uid, kind = np.unique(np.concatenate([np.frombuffer(r[1], np.int64) for r in rows]), return_inverse=True)
+        value, known = (np.bincount(kind, np.concatenate([np.frombuffer(r[k], np.float64) for r in rows]), len(uid)) for k in (2, 3))
+        columns = [pa.array([*uid.tolist(), None], pa.int64()), pa.array([*value.tolist(), 0.0]), pa.array([*known.astype(int).tolist(), sum(r[0] for r in rows)], pa.int64())]
         whole = pa.RecordBatch.from_arrays(columns, names=["uid", "value", "known"])
         for k in range(0, whole.num_rows, 20_000):
             yield whole.slice(k, 20_000)
 
     sent = map_batches(docs, send, "part bigint, name binary, run binary, doc binary, times binary, uid binary, train binary")
-    met = stored(map_batches(sent.repartition(parts, "part"), meet, "uid bigint, value double, known bigint"), "words")
-    return met.filter("uid IS NOT NULL").groupBy("uid").agg(F.sum("value").alias("value"), F.sum("known").alias("known")), met.filter("uid IS NULL").agg(F.sum("known").alias("v"))
+    sums = map_batches(sent.repartition(parts, "part"), meet, "part bigint, v bigint, uid binary, value binary, known binary")
+    met = stored(map_batches(sums.repartition(parts, "part"), add, "uid bigint, value double, known bigint"), "words")
+    return met.filter("uid IS NOT NULL"), met.filter("uid IS NULL").agg(F.sum("known").alias("v"))
 
 
 def code_for(docs: DataFrame) -> Code:
@@ -332,7 +358,7 @@ def tables_for(docs: DataFrame, code: Code, table_bits: int) -> np.ndarray:
     return np.concatenate([np.frombuffer(bytes(got[k]), np.int8).reshape(ORDERS, width) if k in got else np.zeros((ORDERS, width), np.int8) for k in range(shards)], axis=1)
 
 
-def _groups(data: list[bytes], most: int = 1 << 18) -> Iterator[list[bytes]]:
+def _groups(data: list[bytes], most: int = 1 << 15) -> Iterator[list[bytes]]:
     """Texts together until they reach `most` bytes."""
     group, size = [], 0
     for x in data:
