@@ -9,8 +9,8 @@ up to the text's probability, and over its bytes to bits per byte.
 
 Counts come from every text that may be learnt from, and the tables have more slots the more text there is, up to
 2 ** TABLE_BITS. One in WEIGHT_SHARE of those texts is kept out of the counts and fits the weights, so these know how far
-to trust counts from other texts. Each text then starts from those weights and refines its own copy after each BLOCK bytes
-by the error of its predictions so far; nothing passes from one text to another.
+to trust counts from other texts. Each text then starts from those weights and, after each
+BLOCK bytes, changes each predictor's by the error of its predictions so far; nothing passes from one text to another.
 
 The unigram base counts every word of the training texts exactly. Words move as packed hashes (a hash and its count for
 each task and text, in parts by hash), are counted where they meet, and come back as one sum for each text and part.
@@ -39,7 +39,7 @@ ORDERS, GATES = 3, 32
 #: Slots of a predictor's table, as a power of two: one for SLOT_BYTES bytes of text, within these bounds.
 LEAST_BITS, TABLE_BITS, SLOT_BYTES = 14, 21, 2
 WEIGHT_SHARE, CODE_SHARE = 24, 64
-BLOCK, RATE = 1024, 0.05
+BLOCK, RATE = 1024, 0.02
 STEP = np.float32(0.09)
 GATHER, PART_BYTES, SHARDS = 600_000, 24 << 20, 16
 GAP = 8  # zero bytes before each text, so that no context reaches into another
@@ -176,7 +176,7 @@ def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray
     hashes, depth = contexts(b)
     number = pairs(b)
     shared = weights.astype(np.float64).copy()
-    own = [np.tile(shared[:, k].astype(np.float32), n) for k in range(ORDERS)]  # by text and gate
+    own = np.zeros((ORDERS, n), np.float32)  # what each text adds to the weights of each predictor
     out, size = np.zeros(n), ends - starts
     for block in range(int(-(-size.max() // BLOCK)) if n else 0):
         live = int((size > block * BLOCK).sum())
@@ -185,30 +185,29 @@ def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray
         at = np.repeat(starts[:live] + block * BLOCK - before, many)
         at += np.arange(len(at))
         length, which, place, slots = events(number.take(at), [h.take(at) for h in hashes], code, table_bits)
-        gate = (np.repeat(np.arange(live) * GATES, many) + depth.take(at) * 4).take(which)
+        gate = (depth.take(at) << np.uint8(2)).take(which)
         gate += code.nth.take(place)
+        gate = gate.astype(np.intp)
         logits = [tables[k].take(s) * STEP for k, s in enumerate(slots)]
-        z = own[0].take(gate)
-        z *= logits[0]
-        for k in range(1, ORDERS):
-            z += own[k].take(gate) * logits[k]
+        first = np.concatenate([[0], np.cumsum(length)])[np.append(before, len(at))]
+        bits = np.diff(first)
+        z = np.zeros(len(gate), np.float32)
+        for k, x in enumerate(logits):
+            weight = shared[:, k].astype(np.float32).take(gate)
+            if block:
+                weight += np.repeat(own[k, :live], bits)
+            z += weight * x
         np.clip(z, -11, 11, out=z)
         error = code.bit.take(place) - 1 / (1 + np.exp(-z))
-        first = np.concatenate([[0], np.cumsum(length)])[before]
-        out[:live] += np.add.reduceat(np.log(1 - np.abs(error)), first, dtype=np.float64)
-        on = live if learn else int((size > (block + 1) * BLOCK).sum())
-        if on:
-            some = slice(0, int(first[on]) if on < live else None)
-            gate, error = gate[some], error[some]
-            total = np.bincount(gate, minlength=n * GATES)
+        out[:live] += np.add.reduceat(np.log(1 - np.abs(error)), first[:-1], dtype=np.float64)
+        if learn:
+            total = np.bincount(gate, minlength=GATES) + 200.0
             for k, x in enumerate(logits):
-                slope = np.bincount(gate, error * x[some], n * GATES)
-                if learn:
-                    shared[:, k] += learn * slope.reshape(n, GATES).sum(0) / (total.reshape(n, GATES).sum(0) + 200.0)
-                else:
-                    own[k] += (rate * slope / np.sqrt(total + 16.0)).astype(np.float32)
-            if learn:
-                own = [np.tile(shared[:, k].astype(np.float32), n) for k in range(ORDERS)]
+                shared[:, k] += learn * np.bincount(gate, error * x, GATES) / total
+        elif on := int((size > (block + 1) * BLOCK).sum()):
+            for k, x in enumerate(logits):
+                slope = np.add.reduceat(error[: first[on]] * x[: first[on]], first[:on], dtype=np.float64)
+                own[k, :on] += (rate * slope / np.sqrt(bits[:on] + 16.0)).astype(np.float32)
     back = np.empty(n)
     back[longest_first] = out
     return back / np.log(10), shared
@@ -239,9 +238,9 @@ def word_counts(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
                 times = np.concatenate([x[1] for x in held]).astype(np.uint32)
                 doc = np.repeat(np.arange(len(held), dtype=np.uint32), [len(x[0]) for x in held])
                 uid, train = np.array([x[2] for x in held], np.int64), np.array([x[3] for x in held], np.uint8)
-                part = (name % np.uint64(parts)).astype(np.int64)
-                order = np.lexsort((name, part))
-                name, times, doc, part = name[order], times[order], doc[order], part[order]
+                order = np.argsort(name)
+                name, times, doc = name[order], times[order], doc[order]
+                part = (((name >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
                 for p, (i, j) in enumerate(zip(*(np.searchsorted(part, np.arange(parts), side) for side in ("left", "right")), strict=True)):
                     if i < j:
                         here, local = np.unique(doc[i:j], return_inverse=True)
@@ -358,7 +357,7 @@ def tables_for(docs: DataFrame, code: Code, table_bits: int) -> np.ndarray:
     return np.concatenate([np.frombuffer(bytes(got[k]), np.int8).reshape(ORDERS, width) if k in got else np.zeros((ORDERS, width), np.int8) for k in range(shards)], axis=1)
 
 
-def _groups(data: list[bytes], most: int = 1 << 15) -> Iterator[list[bytes]]:
+def _groups(data: list[bytes], most: int = 1 << 16) -> Iterator[list[bytes]]:
     """Texts together until they reach `most` bytes."""
     group, size = [], 0
     for x in data:
