@@ -81,3 +81,24 @@ def dropped(df: DataFrame) -> None:
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Ids up to which a set of them is sent to all executors (8 bytes each); a larger one is shuffled.
+BROADCAST_IDS = 2_000_000
+
+
+def filtered(docs: DataFrame, keep: Callable[[list[bytes]], list[bool]], text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose text keep() accepts; null counts as empty."""
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(keep(as_bytes(b.column(text_col))), pa.bool_()))
+
+    return map_batches(docs, some, docs.schema)
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id is not in ids (one column, not null); texts are shuffled only where ids are too many to broadcast."""
+    ids = ids.toDF("_id").distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, F.col(id_col).cast("long") == F.col("_id"), "left_anti")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, map_batches, stored, texts
+from .common import as_bytes, documents, map_batches, stored, texts, without
 
 LEAST, USUAL, MOST = 512, 2048, 8192
 _GEAR = np.random.Generator(np.random.PCG64(20)).integers(0, 2**32, 256, dtype=np.uint32)
@@ -113,6 +113,18 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return named.join(groups, ["names", "proof"]).select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256", "n_bytes", F.size("names").alias("n_chunks"))
 
 
+def kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of equal texts, with all its columns; of rows that repeat an id and its text any one."""
+    found = stored(dedup(docs, id_col, text_col).select("doc_id", "kept"), "dedup")
+    rest = without(docs, found.filter("NOT kept").select("doc_id"), id_col)
+    twice = found.filter("kept").groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    if twice.isEmpty():
+        return rest
+    some = twice.withColumnRenamed("doc_id", "_twice")
+    again = rest.join(some, F.col(id_col).cast("long") == F.col("_twice"), "left_semi").dropDuplicates([id_col])
+    return without(rest, twice, id_col).unionByName(again)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 

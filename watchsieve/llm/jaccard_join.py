@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, map_batches, stored, texts
+from .common import as_bytes, documents, map_batches, stored, texts, without
 from .components import components
 
 WORDS, PERCENT = 4, 85
@@ -404,5 +404,11 @@ def clustered(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: s
     return whole.union(rows.filter("key IS NULL").select("doc_id", "n_shingles", F.col("doc_id")))
 
 
+def representatives(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose id is the smallest of their component, with all their columns; rows without an id stay."""
+    found = clustered(docs, n, percent, id_col, text_col)
+    return without(docs, found.filter("doc_id <> component_id").select("doc_id"), id_col)
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(documents(spark, sf_dir))

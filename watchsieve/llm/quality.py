@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, fold, labels, map_batches, texts
+from .common import as_bytes, documents, filtered, fold, labels, map_batches, texts
 
 #: Learnt from at most: rows of each label, and pairs drawn from them.
 SAMPLE, PAIRS = 3000, 60_000
@@ -129,6 +129,11 @@ def scored(docs: DataFrame, model: Ranking | None, id_col: str = "doc_id", text_
     return map_batches(texts(docs, id_col, text_col), score, "doc_id bigint, score double, predicted int")
 
 
+def kept(docs: DataFrame, model: Ranking | None, text_col: str = "text") -> DataFrame:
+    """The rows of docs that are not rejected, with all their columns; all without a model."""
+    return filtered(docs, lambda found: (model.score(np.array([features(t) for t in found]).reshape(-1, WIDTH)) >= CUT).tolist(), text_col) if model else docs
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = fitted(docs, labels(spark, sf_dir), fold("doc_id", 5) != 0)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, fold, labels, map_batches, texts
+from .common import as_bytes, documents, filtered, fold, labels, map_batches, texts
 from .quality import sample
 
 SAMPLE, WORDS = 2000, 4000
@@ -162,6 +162,11 @@ def scored(docs: DataFrame, model: Classifier | None, id_col: str = "doc_id", te
     return map_batches(texts(docs, id_col, text_col), score, "doc_id bigint, score double, predicted int")
 
 
+def kept(docs: DataFrame, model: Classifier | None, text_col: str = "text") -> DataFrame:
+    """The rows of docs that are not rejected, with all their columns; all without a model."""
+    return filtered(docs, lambda found: [model.score(t) < CUT for t in found], text_col) if model else docs
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = fitted(docs, labels(spark, sf_dir), fold("doc_id", 3) != 1)
