@@ -1,4 +1,5 @@
 """The screening queries and their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from .queries import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
