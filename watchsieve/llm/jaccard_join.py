@@ -4,9 +4,11 @@ A document's set holds the hashes of its distinct word n-grams; documents with e
 three steps, all exact:
 
 1. Blocks. Sets of similar size split their hashes over m parts by a fixed rule. Linked sets differ in at most H hashes,
-   so with m = H + c parts at least c agree in full; a set with fewer than c empty parts therefore shares one that is not
-   empty with each partner, and only such sets name their parts. (A set with c or more names its empty ones as well.)
-   Classes that share a named part are joined into blocks, and no link leaves a block.
+   so with m = H + c parts at least c agree in full. A part is weak if it is empty or all its hashes are common ones; a
+   set with fewer than c weak parts shares a part that is not weak with each partner, and names those alone. (A set with
+   c or more names its weak ones as well.) Which hashes are common is read off a sample of the texts: any choice gives
+   the same links, a good one gives small blocks. Classes that share a named part are joined into blocks, and no link
+   leaves a block.
 2. Trees. In a block the sets are ordered so that similar ones are neighbours and become the leaves of a tree. Each node
    holds the OR of its sets' bitmaps, its range of sizes and the most hashes that share a bit. A dual traversal drops the
    pairs of nodes whose sizes rule out a link, whose bitmaps allow too small an overlap, or whose sets are all connected
@@ -34,12 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, map_batches, stored, texts, without
+from .common import as_bytes, documents, dropped, map_batches, stored, texts, without
 from .components import components
 
 WORDS, PERCENT = 4, 85
 #: Hashes in a chunk, names that a task gathers before it sends them, bytes of names in a partition, classes that may be broadcast.
 LIMIT, GATHER, PART_BYTES, BROADCAST_ROWS = 4_000_000, 1_500_000, 24 << 20, 1_000_000
+#: One text in COMMON_SHARE is asked which n-grams are common: those in COMMON_TEXTS of them. They choose names, never links.
+COMMON_SHARE, COMMON_TEXTS, COMMON_ROWS = 32, 4, 200_000
 FANOUT = 16
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -99,11 +103,21 @@ class Bands:
         largest = self.starts[band] * 100 // self.percent
         total = largest + largest * 100 // self.percent
         apart = total * (100 - self.percent) // (100 + self.percent)
-        return (0, 0) if not apart else (apart + 2 + (apart // 50), 2 + apart // 50)
+        if not apart:
+            return 0, 0
+        empty = apart * np.exp(-self.starts[band] / apart)  # parts that the smallest sets leave empty
+        c = 2 + apart // 50 + int(empty + 3 * empty**0.5)
+        return apart + c, c
 
 
-def names(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """The names of a set's parts, for pairs in which it is the smaller and the larger."""
+def among(s: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of s are in the sorted array some."""
+    return some[np.minimum(np.searchsorted(some, s), len(some) - 1)] == s if len(some) else np.zeros(len(s), bool)
+
+
+def names(s: np.ndarray, bands: Bands, common: np.ndarray = np.empty(0, np.uint64)) -> np.ndarray:  # noqa: B008
+    """The names of a set's parts, for pairs in which it is the smaller and the larger. common: sorted hashes that many sets have."""
+    rare = ~among(s, common)
     own, out = bands.of(len(s)), []
     for band in {own, max(0, own - 1)}:
         m, c = bands.parts(band)
@@ -112,12 +126,35 @@ def names(s: np.ndarray, bands: Bands) -> np.ndarray:
         part = (((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
         low, high = (np.bincount(part, weights=x.astype(np.float64), minlength=m).astype(np.uint64) for x in (s & _LOW, s >> np.uint64(32)))
         named = _mixed(low * _ODD[3] + high * _ODD[4] + (np.arange(m, dtype=np.uint64) + np.uint64(band << 40)) * _ODD[5])
-        load = np.bincount(part, minlength=m)
-        out.append(named if m - np.count_nonzero(load) >= c else named[load > 0])
+        told = np.bincount(part[rare], minlength=m) > 0
+        out.append(named if m - np.count_nonzero(told) >= c else named[told])
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def sets(docs: DataFrame, n: int, percent: int, seed: int, id_col: str, text_col: str) -> DataFrame:
+def frequent(docs: DataFrame, n: int, id_col: str, text_col: str) -> np.ndarray:
+    """Sorted hashes of n-grams that COMMON_TEXTS texts of a sample have, the most frequent COMMON_ROWS at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held = _Hashes(), []
+        for b in batches:
+            held += [s for t in as_bytes(b.column("text")) if len(s := shingles(t, hashes, n))]
+            if sum(map(len, held)) > GATHER or not b.num_rows:
+                yield from counted(held)
+                held = []
+        yield from counted(held)
+
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if held:
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            for k in range(0, len(found), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 100_000].view(np.int64)), pa.array(times[k : k + 100_000], pa.int64())], names=["hash", "n"])
+
+    some = texts(docs, id_col, text_col).filter(F.pmod(F.xxhash64("doc_id"), F.lit(COMMON_SHARE)) == 0)
+    rows = map_batches(some, count, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_TEXTS).orderBy(F.desc("n"), "hash").limit(COMMON_ROWS)
+    return np.sort(np.array([r.hash for r in rows.select("hash").collect()], np.int64).view(np.uint64))
+
+
+def sets(docs: DataFrame, n: int, percent: int, seed: int, id_col: str, text_col: str, common: np.ndarray = np.empty(0, np.uint64)) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles, the two keys of the set (null without words) and, once a task and class, the names of its parts."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +167,7 @@ def sets(docs: DataFrame, n: int, percent: int, seed: int, id_col: str, text_col
                     rows.append((0, None, None, None))
                     continue
                 key, other = keys(s, seed)
-                rows.append((len(s), key, other, None if key in seen else names(s, bands).tobytes()))
+                rows.append((len(s), key, other, None if key in seen else names(s, bands, common).tobytes()))
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(key)
@@ -339,8 +376,9 @@ def _tasks(members: DataFrame, percent: int) -> DataFrame:
 def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """rows (doc_id, n_shingles, key, other), classes (key, n, rep: smallest id) and links (a, b) between keys that connect each component."""
     spark, seed = docs.sparkSession, 0
+    common = frequent(docs, n, id_col, text_col)
     while True:
-        made = stored(sets(docs, n, percent, seed, id_col, text_col), "sets")
+        made = stored(sets(docs, n, percent, seed, id_col, text_col, common), "sets")
         classes = stored(made.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("other").alias("x"), F.max("other").alias("y")), "classes")
         if classes.filter("x <> y").isEmpty():
             break
@@ -348,6 +386,8 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str =
     size = made.agg(F.sum(F.length("names"))).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-2 * size // PART_BYTES))
     blocks = components(candidates(made, parts), "candidates").withColumnRenamed("node", "key")
+    rows = stored(made.drop("names"), "rows")
+    dropped(made)  # the names have served
     members = stored(blocks.join(classes.select("key", "rep", "n"), "key"), "members")
     tasks = stored(_tasks(members.select("key", "root", "n"), percent).join(members.select("key", "rep"), "key"), "tasks")
     few = tasks.count() <= BROADCAST_ROWS
@@ -385,7 +425,7 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str =
         if now is not None and (out := found()):
             yield out
 
-    return made.drop("names"), classes.select("key", "rep", "n"), map_batches(dealt, search, "a bigint, b bigint")
+    return rows, classes.select("key", "rep", "n"), map_batches(dealt, search, "a bigint, b bigint")
 
 
 def _with(docs: DataFrame, tasks: DataFrame) -> DataFrame:
