@@ -8,7 +8,7 @@ inside a band of that diagonal: a match scores 2, a substitution or gap -1. Repo
 matched, and the span in characters.
 
 Defined results: null text counts as empty; texts without a match have no rows; one text may match several templates, and
-one template at several places; of places that overlap for one template the best stays, the first of equals; repeated rows
+one template at several places, whose words do not overlap; repeated rows
 are reported each; a null id is kept; an empty table gives an empty result; other columns are not read.
 """
 
@@ -94,7 +94,7 @@ class Index:
         return out
 
 
-def align(text: list[str], template: list[str], diagonal: int, band: int = BAND) -> tuple[int, int, int, int] | None:
+def align(text: list[str | None], template: list[str], diagonal: int, band: int = BAND) -> tuple[int, int, int, int] | None:
     """The best local alignment within band of a diagonal: score, words matched, its first word and the one after its last."""
     none = (0, 0, 0)
     before: dict[int, tuple[int, int, int]] = {}
@@ -123,17 +123,15 @@ def matches(text: str, index: Index, hashes: dict[str, int], coverage: float = C
     words = [m.group().lower() for m in found]
     out = []
     for t, anchors in sorted(index.anchors(words, hashes).items()):
-        tried, got = [], []
-        for diagonal, _ in sorted(set(anchors)):
+        left: list[str | None] = list(words)  # without the words of matches already found
+        tried, kept = [], []
+        for diagonal in sorted({d for d, _ in anchors}):
             if tried and diagonal - tried[-1] <= band // 2:
                 continue  # inside the band just tried
             tried.append(diagonal)
-            if (best := align(words, index.words[t], diagonal, band)) and best[1] >= coverage * len(index.words[t]):
-                got.append(best)
-        kept: list[tuple[int, int, int, int]] = []
-        for b in sorted(got, key=lambda b: (-b[0], b[2])):
-            if all(b[3] <= k[2] or b[2] >= k[3] for k in kept):
-                kept.append(b)
+            while (best := align(left, index.words[t], diagonal, band)) and best[1] >= coverage * len(index.words[t]):
+                kept.append(best)
+                left[best[2] : best[3]] = [None] * (best[3] - best[2])
         out += [(index.names[t], b[1] / len(index.words[t]), b[1], found[b[2]].start(), found[b[3] - 1].end()) for b in sorted(kept, key=lambda b: b[2])]
     return out
 

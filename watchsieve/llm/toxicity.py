@@ -73,17 +73,21 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(self.margin(text) - self.threshold + np.log(CUT / (1 - CUT)), -30, 30))))
 
 
-def swaps(rows: list[bytes], index: dict[bytes, int], planted: int = 200) -> np.ndarray:
-    """Pairs (a, b) of columns whose difference is the change of a sentence's vector when a term of identity is swapped; b -1: the term is left out. The third column says how often."""
-    terms = [t for t in IDENTITY if t in index]
-    seen: Counter = Counter()
+def swaps(rows: list[bytes], index: dict[bytes, int], planted: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """What swapping a term of identity for another, or for none, does to a sentence's score s = marks @ weights: marks has a row for each term, and pull is such that s @ pull @ s is the mean squared change."""
+    marks, seen = np.zeros((len(IDENTITY), len(index))), np.full(len(IDENTITY), float(planted))  # sentences into which the term is put
+    for k, t in enumerate(IDENTITY):
+        marks[k, [index[m] for m in marks_of({t}) if m in index]] = 1
+    place = {t: k for k, t in enumerate(IDENTITY)}
     for text in rows:
         for s in sentences(text):
-            if found := words(s) & set(terms):
-                seen.update(found)
-    for t in terms:  # sentences into which the term is put
-        seen[t] += planted
-    return np.array([(index[t], index[o] if o else -1, seen[t] / max(1, len(terms))) for t in terms for o in (*terms, None) if o != t], float).reshape(-1, 3)
+            for t in words(s) & place.keys():
+                seen[place[t]] += 1
+    often = np.repeat(seen[:, None], len(IDENTITY) + 1, 1)
+    often[np.arange(len(IDENTITY)), np.arange(len(IDENTITY))] = 0
+    often /= often.sum()
+    both = often[:, :-1] + often[:, :-1].T
+    return marks, np.diag(both.sum(1) + often[:, -1]) - both
 
 
 def telling(rows: list[bytes], y: np.ndarray, at_most: int) -> list[bytes]:
@@ -100,23 +104,22 @@ def telling(rows: list[bytes], y: np.ndarray, at_most: int) -> list[bytes]:
     return [names[i] for i in np.argsort(-gain, kind="stable")[:at_most]]
 
 
-def learn(rows: list[bytes], y: np.ndarray, l1: float = 2e-4, counterfactual: float = 1.0, steps: int = 400) -> Classifier | None:
+def learn(rows: list[bytes], y: np.ndarray, l1: float = 5e-4, counterfactual: float = 20.0, steps: int = 600) -> Classifier | None:
     if not len(y) or y.min() == y.max():
         return None
     index = {w: i for i, w in enumerate(dict.fromkeys([*telling(rows, y, WORDS), *IDENTITY]))}
-    pair = swaps(rows, index)
+    marks, pull = swaps(rows, index)
     where = [np.array(sorted(index[w] for w in marks_of(words(t)) & index.keys()), np.int64) for t in rows]
     row, col = np.repeat(np.arange(len(rows)), [len(x) for x in where]), np.concatenate(where)
     balance = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())  # both labels count alike
-    a, b, often = pair[:, 0].astype(int), pair[:, 1].astype(int), pair[:, 2] / max(1.0, pair[:, 2].sum())
     w, c, at, momentum, t = np.zeros(len(index)), 0.0, np.zeros(len(index)), 0.0, 1.0
-    rate = 4.0 / (1 + np.sqrt(np.mean([len(x) for x in where])))
+    curve = 2 * counterfactual * np.linalg.norm(pull, 2) * np.linalg.norm(marks @ marks.T, 2)
+    rate = 1 / ((1 + np.sqrt(np.mean([len(x) for x in where]))) / 4 + curve)
     for _ in range(steps):  # accelerated proximal gradient
         z = np.bincount(row, at[col], len(rows)) + c
         g = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         grad = np.bincount(col, g[row], len(index))
-        change = counterfactual * often * (at[a] - np.where(b >= 0, at[b], 0))
-        grad += np.bincount(a, change, len(index)) - np.bincount(b[b >= 0], change[b >= 0], len(index))
+        grad += 2 * counterfactual * (marks.T @ (pull @ (marks @ at)))
         new = at - rate * grad
         new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
         t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
