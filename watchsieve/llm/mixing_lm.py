@@ -105,8 +105,7 @@ def contexts(b: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     for k in (1, 2, 3):
         three[k:] |= x[:-k] << np.uint32(8 * (k - 1))
     five = three * _K[4]
-    for k in (4, 5):
-        five[k:] += (x[:-k] + 1) * (_K[3] + np.uint32(2 * k))
+    five[2:] += three[:-2] * _K[3]  # the bytes three to five before
     at = np.arange(n, dtype=np.int32)
     start = np.zeros(n, np.int32)  # of the word that a byte stands in, or would go on
     start[1:] = np.maximum.accumulate(np.where((b == 32) | (b == 0), at + 1, 0))[:-1]
@@ -380,15 +379,14 @@ class Model:
 
 
 def weights_for(docs: DataFrame, model: Model) -> np.ndarray:
-    """Each task lets the weights follow the gradient over its texts, twice; the mean of all tasks', by their bytes."""
+    """Each task lets the weights follow the gradient over its texts; the mean of all tasks', by their bytes."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, size = shared.value.weights, 0
         for b in batches:
             for group in _groups([normalised(t) for t in as_bytes(b.column("text"))], 1 << 17):
-                for _ in range(2):
-                    _, weights = mixed(group, shared.value.code, shared.value.tables, weights, learn=0.5)
+                _, weights = mixed(group, shared.value.code, shared.value.tables, weights, learn=0.7)
                 size += sum(map(len, group))
         if size:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(weights.size), pa.int32()), pa.array(weights.ravel() * size), pa.array(np.full(weights.size, float(size)))], names=["k", "total", "size"])
