@@ -12,6 +12,7 @@ from ..config import ScreeningConfig
 from ..functions import tables
 from ..sources.inputs import normalized
 from ..sources.watchlist import WatchList, prepared
+from ..workers import find_library
 
 CONFIG = ScreeningConfig()
 FORMS = ("LLC", "Ltd", "Inc.", "GmbH", "Company", "Holdings", "L.L.C.", "Corporation")
@@ -19,6 +20,7 @@ ORG_BASE = 10_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_library(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
