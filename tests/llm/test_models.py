@@ -151,6 +151,17 @@ def test_language_model(spark, awkward, empty):
     assert mixing_lm.scored(empty).count() == 0
 
 
+def test_word_hashes():
+    rng = random.Random(8)
+    texts = [b"", b" \t", b"a", b" a  b\x0bc\x0c", "Ünï cödé".encode(), b"x" * 500, b"\x00a \x00a\x00 a\x00"] + [" ".join("".join(rng.choice("abAB") for _ in range(rng.randint(1, 90))) for _ in range(rng.randint(0, 40))).encode() for _ in range(50)]
+    got = mixing_lm.word_hashes(texts)
+    words = [t.lower().split() for t in texts]
+    assert [len(x) for x in got] == [len(w) for w in words]
+    pairs = {(w, int(h)) for ws, hs in zip(words, got, strict=True) for w, h in zip(ws, hs, strict=True)}
+    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+    assert mixing_lm.word_hashes([]) == []
+
+
 def test_probabilities_add_up():
     """Over all next bytes, the probabilities of what follows a text sum to one; and scores do not depend on the company."""
     rng = np.random.default_rng(1)
@@ -169,7 +180,8 @@ def test_probabilities_add_up():
 
 def test_model_learns():
     docs = [mixing_lm.normalised(t.encode()) for _, t in corpus(5, 120)[0]]
-    counts = np.bincount(mixing_lm.pairs(mixing_lm.flat(docs)[0]), minlength=65536).reshape(256, 256).astype(float)
+    x = mixing_lm.flat(docs)[0]
+    counts = np.bincount(mixing_lm.before(x) << 8 | x, minlength=1 << 20).reshape(16, 256, 256).astype(float)
     code, table = mixing_lm.Code(counts), np.zeros((mixing_lm.ORDERS, 2, 1 << 14), np.uint32)
     mixing_lm.counted(docs[:100], code, 14, table)
     before, _ = mixing_lm.mixed(docs[100:], code, np.zeros((mixing_lm.ORDERS, 1 << 14), np.int8), np.full((mixing_lm.GATES, mixing_lm.ORDERS), 0.4))

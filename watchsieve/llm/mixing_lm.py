@@ -1,7 +1,7 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
 The text that is scored is its words, A-Z in lower case, with one space between, and an end byte. A byte becomes bits by a
-prefix code that depends on the byte before (so that common bytes are few bits), and each bit is predicted from the bits
+prefix code that depends on the two bytes before (so that common bytes are few bits), and each bit is predicted from the bits
 before it. A predictor is a table of counts, of zeros and ones, at the hash of its context and of the place in the code:
 the three bytes before, the five bytes before, and the word so far. Their log odds are summed with weights that a gate
 selects by the position in the word and in the code; the sum's logistic is the bit's probability. The bits' logarithms add
@@ -38,8 +38,8 @@ from .common import as_bytes, documents, fold, map_batches, stored, texts
 ORDERS, GATES = 3, 32
 #: Slots of a predictor's table, as a power of two: one for SLOT_BYTES bytes of text, within these bounds.
 LEAST_BITS, TABLE_BITS, SLOT_BYTES = 14, 21, 2
-WEIGHT_SHARE, CODE_SHARE = 24, 64
-BLOCK, RATE = 1024, 0.02
+WEIGHT_SHARE, CODE_SHARE = 48, 64
+BLOCK, RATE = 2048, 0.02
 STEP = np.float32(0.09)
 GATHER, PART_BYTES, SHARDS = 600_000, 24 << 20, 16
 GAP = 8  # zero bytes before each text, so that no context reaches into another
@@ -50,34 +50,68 @@ def normalised(text: bytes) -> bytes:
     return b" ".join(text.lower().split()) + b"\0"
 
 
+def _huffman(counts: np.ndarray) -> tuple[list[int], list[int]]:
+    """Length and bits of the code word of each of 256 bytes (Huffman, 1952)."""
+    heap = [(float(c) * 65536 + 1, k, k) for k, c in enumerate(counts.tolist())]
+    heapq.heapify(heap)
+    up, new = {}, 256
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        up[a[2]], up[b[2]] = (new, 0), (new, 1)
+        heapq.heappush(heap, (a[0] + b[0], new, new))
+        new += 1
+    depth, code = {new - 1: 0}, {new - 1: 0}
+    for node in range(new - 2, -1, -1):
+        parent, bit = up[node]
+        depth[node], code[node] = depth[parent] + 1, code[parent] << 1 | bit
+    return [depth[k] for k in range(256)], [code[k] for k in range(256)]
+
+
 class Code:
-    """For each byte before, a prefix code of the next byte (Huffman, 1952)."""
-
-    def __init__(self, counts: np.ndarray) -> None:
-        """counts: 256 x 256, by the byte before and the byte."""
-        length, bits = np.zeros((256, 256), np.int64), np.zeros((256, 256), object)
-        for before in range(256):
-            heap = [(float(c) * 65536 + 1, k, k) for k, c in enumerate(counts[before].tolist())]
-            heapq.heapify(heap)
-            up, new = {}, 256
-            while len(heap) > 1:
-                a, b = heapq.heappop(heap), heapq.heappop(heap)
-                up[a[2]], up[b[2]] = (new, 0), (new, 1)
-                heapq.heappush(heap, (a[0] + b[0], new, new))
-                new += 1
-            depth, code = {new - 1: 0}, {new - 1: 0}
-            for node in range(new - 2, -1, -1):
-                parent, bit = up[node]
-                depth[node], code[node] = depth[parent] + 1, code[parent] << 1 | bit
-            length[before], bits[before] = [depth[k] for k in range(256)], [code[k] for k in range(256)]
-        #: By byte before and byte: how many bits, and where they begin in the arrays that follow, in which common ones are neighbours.
-        self.length, self.start = length.ravel(), np.zeros(65536, np.int64)
-        order = np.argsort(-counts.ravel(), kind="stable")
+    """Prefix codes of a byte, by the byte before and, where that was seen often, the low four bits of the one before that."""
+
+    def __init__(self, counts: np.ndarray, often: int = 200, most: int = 512) -> None:
+        """counts: 16 x 256 x 256, by the low bits, the byte before and the byte; or 256 x 256 without the low bits."""
+        counts = counts.reshape(-1, 256, 256)
+        groups = [*counts.sum(0)]
+        self.context = np.tile(np.arange(256), 16)  # by low bits and byte before
+        if len(counts) > 1:
+            by = counts.reshape(4096, 256)
+            total = by.sum(1)
+            for c in np.argsort(-total, kind="stable")[:most].tolist():
+                if total[c] >= often:
+                    self.context[c] = len(groups)
+                    groups.append(by[c])
+        words = [_huffman(g) for g in groups]
+        #: By context and byte: how many bits, and where they begin in the arrays that follow, in which common ones are neighbours.
+        self.length, bits = (np.array([w[k] for w in words], np.int64).ravel() for k in (0, 1))
+        order = np.argsort(-np.concatenate(groups), kind="stable")
         ends = np.cumsum(self.length[order])
+        self.start = np.zeros(len(order), np.int64)
         self.start[order] = ends - self.length[order]
-        flat_bits = [(c >> (n - 1 - k) & 1, ((c >> (n - k)) + (1 << k)) * 0x9E3779B1 & 0xFFFFFFFF, min(k, 3)) for c, n in zip(bits.ravel()[order].tolist(), self.length[order].tolist(), strict=True) for k in range(n)]
         #: Each bit, the hash of the bits before it, and its number, up to 3.
-        self.bit, self.node, self.nth = (np.array(x, t) for x, t in zip(zip(*flat_bits, strict=True), (np.uint8, np.uint32, np.uint8), strict=True))
+        self.bit, self.node, self.nth = (np.zeros(int(ends[-1]), t) for t in (np.uint8, np.uint32, np.uint8))
+        for k in range(int(self.length.max())):
+            some = np.flatnonzero(self.length > k)
+            at, rest = self.start[some] + k, self.length[some] - k
+            self.bit[at] = bits[some] >> (rest - 1) & 1
+            self.node[at] = (((bits[some] >> rest) + (1 << k)) * 0x9E3779B1 & 0xFFFFFFFF).astype(np.uint32)
+            self.nth[at] = min(k, 3)
+
+    def numbers(self, b: np.ndarray) -> np.ndarray:
+        """For each byte of a flat array, which code word it is."""
+        out = self.context.take(before(b))
+        out <<= 8
+        out |= b
+        return out
+
+
+def before(b: np.ndarray) -> np.ndarray:
+    """The byte before each byte, and above it the low four bits of the one before that."""
+    out = np.zeros(len(b), np.int64)
+    out[1:] = b[:-1]
+    out[2:] |= (b[:-2] & 15).astype(np.int64) << 8
+    return out
 
 
 def flat(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,13 +156,6 @@ def contexts(b: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     return out, np.minimum(at - start, 7).astype(np.uint8)
 
 
-def pairs(b: np.ndarray) -> np.ndarray:
-    """Each byte with the one before, as a number."""
-    out = b.astype(np.int64)
-    out[1:] |= out[:-1] << 8 & 0xFF00
-    return out
-
-
 def events(number: np.ndarray, hashes: list[np.ndarray], code: Code, table_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """How many bits each byte is; each bit's byte, its place in the code's arrays, and its slots. Every byte is at least one bit."""
     length = code.length.take(number)
@@ -155,7 +182,7 @@ def counted(data: list[bytes], code: Code, table_bits: int, into: np.ndarray) ->
     inside = np.ones(len(b), bool)
     for k in range(1, GAP + 1):
         inside[starts - k] = False
-    _, _, place, slots = events(pairs(b)[inside], [h[inside] for h in hashes], code, table_bits)
+    _, _, place, slots = events(code.numbers(b)[inside], [h[inside] for h in hashes], code, table_bits)
     high = code.bit.take(place).astype(np.uint32) << np.uint32(table_bits)
     for k, slot in enumerate(slots):
         np.add.at(into[k].reshape(-1), slot | high, np.uint32(1))
@@ -173,7 +200,7 @@ def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray
     longest_first = sorted(range(n), key=lambda i: -len(data[i]))  # so that those which go on after a block are the first
     b, starts, ends = flat([data[i] for i in longest_first])
     hashes, depth = contexts(b)
-    number = pairs(b)
+    number = code.numbers(b)
     shared = weights.astype(np.float64).copy()
     own = np.zeros((ORDERS, n), np.float32)  # what each text adds to the weights of each predictor
     out, size = np.zeros(n), ends - starts
@@ -212,12 +239,35 @@ def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray
     return back / np.log(10), shared
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # keeps so many bytes of eight
+_LONG = 64
+
+
+def word_hashes(data: list[bytes]) -> list[np.ndarray]:
+    """Hashes of the words of each text, A-Z in lower case: eight bytes at a time, for all words at once."""
+    joined = b"\n".join([b"", *(t.lower() for t in data), bytes(8)])
+    b = np.frombuffer(joined, np.uint8)
+    space = _SPACE.take(b[:-8])
+    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    length = ends - starts
+    eight = np.ndarray(len(b) - 7, "<u8", joined, strides=(1,))  # the eight bytes from each place
+    name = length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    some = np.arange(len(starts))
+    for at in range(0, _LONG, 8):
+        some = some[length[some] > at] if at else some
+        if not len(some):
+            break
+        h = (name[some] ^ (eight[starts[some] + at] & _FIRST.take(np.minimum(length[some] - at, 8)))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0x165667B19E3779F9)
+        name[some] = h ^ (h >> np.uint64(32))
+    for k in np.flatnonzero(length > _LONG).tolist():
+        name[k] = xxhash.xxh3_64_intdigest(joined[starts[k] : ends[k]])
+    offsets = np.cumsum([1, *(len(t) + 1 for t in data)])
+    cut = np.searchsorted(starts, offsets)
+    return [name[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
 def _uid(doc: int | None, text: bytes) -> int:
@@ -228,7 +278,7 @@ def word_counts(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     """docs: doc_id, text, train. A row for each text (uid): the sum of its tokens' log10(c + 1) and how many have c > 0; and the number of distinct training words."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = _Hashes(), [], 0
+        held, size = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held, size
@@ -249,11 +299,11 @@ def word_counts(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
             held, size = [], 0
 
         for b in batches:
-            for doc, text, train in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), b.column("train").to_pylist(), strict=True):
-                words = text.lower().split()
-                if not words:
+            data = as_bytes(b.column("text"))
+            for doc, text, words, train in zip(b.column("doc_id").to_pylist(), data, word_hashes(data), b.column("train").to_pylist(), strict=True):
+                if not len(words):
                     continue
-                name, times = np.unique(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), return_counts=True)
+                name, times = np.unique(words, return_counts=True)
                 held.append((name, times, _uid(doc, text), train))
                 size += len(name)
                 if size > GATHER:
@@ -308,18 +358,19 @@ def code_for(docs: DataFrame) -> Code:
     """Which code is used changes the speed and hardly the scores, so a share of the texts tells enough."""
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(65536, np.int64)
+        total = np.zeros(1 << 20, np.int64)
         for b in batches:
             if b.num_rows:
-                total += np.bincount(pairs(flat([normalised(t) for t in as_bytes(b.column("text"))])[0]), minlength=65536)
+                x = flat([normalised(t) for t in as_bytes(b.column("text"))])[0]
+                total += np.bincount(before(x) << 8 | x, minlength=1 << 20)
         found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], names=["pair", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], names=["triple", "n"])
 
-    rows = map_batches(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(CODE_SHARE)) == 0).select("text"), met, "pair int, n bigint").groupBy("pair").sum("n").collect()  # 65536 at most
-    counts = np.zeros(65536)
-    for pair, n in rows:
-        counts[pair] = n
-    return Code(counts.reshape(256, 256))
+    rows = map_batches(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(CODE_SHARE)) == 0).select("text"), met, "triple int, n bigint").groupBy("triple").sum("n").collect()  # 2 ** 20 at most
+    counts = np.zeros(1 << 20)
+    for triple, n in rows:
+        counts[triple] = n
+    return Code(counts.reshape(16, 256, 256))
 
 
 def tables_for(docs: DataFrame, code: Code, table_bits: int) -> np.ndarray:
