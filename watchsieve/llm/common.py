@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..workers import find_library
+
 #: Rows in an Arrow batch: 512 texts of ordinary length are a few MB, and a batch of very long ones still fits a worker.
 ARROW_ROWS = 512
 
@@ -41,10 +41,9 @@ def fold_of(doc_id: int | None, n: int) -> int:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """mapInArrow in batches small enough for very long texts. Workers started from another folder find this library by its path."""
-    conf, environment = df.sparkSession.conf, df.sparkSession.sparkContext.environment
-    if (root := str(Path(__file__).parents[2])) not in environment.get("PYTHONPATH", "").split(os.pathsep):
-        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, environment.get("PYTHONPATH")]))
+    """mapInArrow in batches small enough for very long texts."""
+    find_library(df.sparkSession)
+    conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return df.mapInArrow(fn, schema)
