@@ -177,7 +177,8 @@ def sets(docs: DataFrame, n: int, percent: int, seed: int, id_col: str, text_col
 
 
 def candidates(made: DataFrame, parts: int) -> DataFrame:
-    """Pairs of keys a, b that connect the classes which share the name of a part."""
+    """Pairs of keys a, b that connect the classes which share the name of a part. Each of `parts` tasks gets about four of as many times four groups of names."""
+    groups = 4 * parts
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -186,9 +187,9 @@ def candidates(made: DataFrame, parts: int) -> DataFrame:
             nonlocal held, size
             if held:
                 pairs = np.concatenate(held)
-                to = (pairs[:, 0] % np.uint64(parts)).astype(np.int64)
+                to = (pairs[:, 0] % np.uint64(groups)).astype(np.int64)
                 pairs = pairs[np.argsort(to, kind="stable")]
-                ends = np.cumsum(np.bincount(to, minlength=parts))
+                ends = np.cumsum(np.bincount(to, minlength=groups))
                 filled = np.flatnonzero(np.diff(ends, prepend=0))
                 for some in np.array_split(filled, -(-len(filled) // 64)):
                     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([pairs[ends[k - 1] if k else 0 : ends[k]].tobytes() for k in some], pa.binary())], names=["part", "pairs"])

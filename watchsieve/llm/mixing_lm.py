@@ -41,7 +41,7 @@ LEAST_BITS, TABLE_BITS, SLOT_BYTES = 14, 21, 2
 WEIGHT_SHARE, CODE_SHARE = 48, 64
 BLOCK, RATE = 2048, 0.02
 STEP = np.float32(0.09)
-GATHER, PART_BYTES, SHARDS = 600_000, 24 << 20, 16
+GATHER, PART_BYTES, SHARDS = 600_000, 24 << 20, 1024
 GAP = 8  # zero bytes before each text, so that no context reaches into another
 _K = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
 
@@ -373,11 +373,11 @@ def code_for(docs: DataFrame) -> Code:
     return Code(counts.reshape(16, 256, 256))
 
 
-def tables_for(docs: DataFrame, code: Code, table_bits: int) -> np.ndarray:
+def tables_for(docs: DataFrame, code: Code, table_bits: int, parts: int) -> np.ndarray:
     """Log odds from the counts over all of docs, ORDERS x slots; at most ORDERS * 2 ** TABLE_BITS bytes whatever the input."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(code)
-    shards = min(SHARDS, 1 << table_bits)
+    shards = min(SHARDS, 1 << max(4, (parts - 1).bit_length()), 1 << table_bits)  # as the tasks that send counts grow, so do those that add them
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, some = np.zeros((ORDERS, 2, 1 << table_bits), np.uint32), False
@@ -460,7 +460,7 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     train = rows.filter("train")
     kept_out = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(WEIGHT_SHARE)) == 0
     code = code_for(train)
-    tables = tables_for(train.filter(~kept_out), code, table_bits)
+    tables = tables_for(train.filter(~kept_out), code, table_bits, parts)
     model = Model(code, tables, np.full((GATES, ORDERS), 0.4))
     model = Model(code, tables, weights_for(train.filter(kept_out), model))
     shared = spark.sparkContext.broadcast(model)
