@@ -177,7 +177,7 @@ def sets(docs: DataFrame, n: int, percent: int, seed: int, id_col: str, text_col
 
 
 def candidates(made: DataFrame, parts: int) -> DataFrame:
-    """Pairs of keys a, b that connect the classes which share the name of a part. Each of `parts` tasks gets about four of as many times four groups of names."""
+    """Pairs of keys a, b that connect the classes which share the name of a part. The names are dealt in four groups for each task, so that the tasks are of like size."""
     groups = 4 * parts
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
