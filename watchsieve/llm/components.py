@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.expr("sum(cast(xxhash64(a, b) as decimal(38,0)))")).first())
+def _is_forest(now: DataFrame) -> bool:
+    """Whether each node has one root, and no root has a root."""
+    if not now.groupBy("a").count().filter("count > 1").isEmpty():
+        return False
+    return now.join(now.select(F.col("b").alias("a")), "a", "left_semi").isEmpty()
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -23,14 +26,10 @@ def _least(pairs: DataFrame) -> DataFrame:
 def components(edges: DataFrame, name: str = "edges") -> DataFrame:
     """edges: a, b bigint, in any direction and number. Returns node, root for each node of an edge; the root is the least node of its component."""
     now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    mark = _mark(now)
-    while mark[0]:
+    while not _is_forest(now):
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        large = stored(both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), name)
+        large = stored(both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")), name)
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
         each = F.explode(F.expr("array(struct(u AS a, m AS b), struct(v AS a, m AS b))")).alias("e")
         now = stored(down.join(_least(down), "u").select(each).select("e.*").filter("a <> b").distinct(), name)
-        before, mark = mark, _mark(now)
-        if mark == before:
-            break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())

@@ -437,9 +437,9 @@ def _with(docs: DataFrame, tasks: DataFrame) -> DataFrame:
 def clustered(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of each row of docs."""
     rows, classes, pairs = join(docs, n, percent, id_col, text_col)
-    found = stored(components(pairs, "links").withColumnRenamed("node", "key"), "found")
+    found = components(pairs, "links").withColumnRenamed("node", "key")
     least = found.join(classes, "key").groupBy("root").agg(F.min("rep").alias("least"))
-    within = stored(found.join(least, "root").select("key", "least"), "within")
+    within = found.join(least, "root").select("key", "least")
     every = stored(classes.join(within, "key", "left").select("key", F.coalesce("least", "rep").alias("component_id")), "every")
     whole = rows.filter("key IS NOT NULL").join(every, "key").select("doc_id", "n_shingles", "component_id")
     return whole.union(rows.filter("key IS NULL").select("doc_id", "n_shingles", F.col("doc_id")))
