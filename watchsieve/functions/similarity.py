@@ -162,8 +162,14 @@ def register(spark: SparkSession) -> None:
     from ..operators.gates import ORG_SCORE, org_score_batch
     from .phonetic import nysiis_batch
 
+    def osa_batch(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([osa_one(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="int32")
+
+    def org_batch(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return org_score_batch(a, b)
+
     spark.udf.register("jaro", _udf("jaro", jaro_pairs))
     spark.udf.register("jaro_winkler", _udf("jaro_winkler", jw_pairs))
-    spark.udf.register("osa_distance", F.pandas_udf(lambda x, y: pd.Series([osa_one(p or "", q or "") for p, q in zip(x, y, strict=True)], dtype="int32"), "int"))
+    spark.udf.register("osa_distance", F.pandas_udf(osa_batch, "int"))
     spark.udf.register("nysiis_codes", F.pandas_udf(nysiis_batch, "array<string>"))
-    spark.udf.register("org_score", F.pandas_udf(org_score_batch, ORG_SCORE))
+    spark.udf.register("org_score", F.pandas_udf(org_batch, ORG_SCORE))
