@@ -120,6 +120,17 @@ def test_license(spark, docs, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_bare_notice():
+    """Three words are one hash, which winnowing may pass over in a text; the notice is found wherever it stands."""
+    index, rng = license_scan.Index(license_scan.TEMPLATES), random.Random(6)
+    noise = lambda n: " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(n))
+    for n in range(60):
+        text = noise(n) + "\nAll rights reserved.\n" + noise(60 - n)
+        got = license_scan.matches(text, index, license_scan._Hashes())
+        assert [(m[0], m[1], text[m[3] : m[4]]) for m in got] == [("all-rights-reserved-notice", 1.0, "All rights reserved")], n
+    assert license_scan.matches("all rights are reserved", index, license_scan._Hashes()) == []
+
+
 def test_quotation(spark):
     rows = [
         (1, 0, "a", "Hello there.\nHow are  you?"), (1, 1, "b", "On Monday, a wrote:\n> how are you?\nFine.\n\n\n\nBye"), (1, 2, "a", ">> How are you?\n> Fine.\nGood"), (1, 3, "c", "> nothing known\nx"), (1, 4, "c", "> Hello there. How are you?\ny"),

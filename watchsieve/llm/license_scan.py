@@ -2,8 +2,8 @@
 
 A text is its words (letters and digits, in lower case). Hashes of K words in a row are winnowed: of every WINDOW hashes in
 a row the least is a fingerprint (Schleimer et al., 2003), so a passage of K + WINDOW - 1 words that a text and a template
-share gives both one. The templates' fingerprints are an inverted index, whose size depends on the templates alone. Where a
-text's fingerprint is in it, the anchors are grouped by their diagonal, and the template is aligned with the words there
+share gives both one. The templates' fingerprints are an inverted index, whose size depends on the templates alone. Of a
+template of fewer words all hashes are in it, and all hashes of a text are looked up there. Where a text's hash is in it, the anchors are grouped by their diagonal, and the template is aligned with the words there
 inside a band of that diagonal: a match scores 2, a substitution or gap -1. Reported are the template's share of words
 matched, and the span in characters.
 
@@ -41,6 +41,7 @@ TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "gpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "all-rights-reserved-notice": "All rights reserved.",
     "all-rights-reserved": "All rights reserved. No part of this publication may be reproduced",
 }
 
@@ -53,43 +54,56 @@ class _Hashes(dict):
         return out
 
 
-def fingerprints(words: list[str], hashes: dict[str, int], k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """The winnowed hashes of a text's k-grams, and where each begins."""
+def grams(words: list[str], hashes: dict[str, int], k: int = K) -> np.ndarray:
+    """The hashes of a text's k-grams."""
     n = len(words) - k + 1
     if n < 1:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64)
     w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     gram = np.zeros(n, np.uint64)
     for i in range(k):
         gram = (gram ^ (gram >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + w[i : i + n]
-    gram = (gram ^ (gram >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (gram ^ (gram >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def winnowed(gram: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The places of the fingerprints among a text's hashes."""
+    n = len(gram)
+    if n < 1:
+        return np.empty(0, np.int64)
     if n <= window:
-        at = np.array([n - 1 - int(np.argmin(gram[::-1]))])
-    else:
-        spans = np.lib.stride_tricks.sliding_window_view(gram, window)
-        at = np.unique(np.arange(len(spans)) + window - 1 - np.argmin(spans[:, ::-1], axis=1))  # the last of equals
-    return gram[at], at
+        return np.array([n - 1 - int(np.argmin(gram[::-1]))])
+    spans = np.lib.stride_tricks.sliding_window_view(gram, window)
+    return np.unique(np.arange(len(spans)) + window - 1 - np.argmin(spans[:, ::-1], axis=1))  # the last of equals
 
 
 class Index:
     def __init__(self, templates: dict[str, str], k: int = K, window: int = WINDOW) -> None:
         self.names, self.k, self.window = sorted(templates), k, window
         self.words = [[w.lower() for w in _WORD.findall(templates[n])] for n in self.names]
-        hashes, by = _Hashes(), defaultdict(list)
+        hashes, by, short = _Hashes(), defaultdict(list), set()
         for t, words in enumerate(self.words):
-            for h, at in zip(*(x.tolist() for x in fingerprints(words, hashes, k, window)), strict=True):
-                by[h].append((t, at))
-        self.known = np.array(sorted(by), np.uint64)
+            gram = grams(words, hashes, k)
+            whole = len(words) < k + window - 1  # a text's fingerprints may pass over all of it
+            for at in range(len(gram)) if whole else winnowed(gram, window).tolist():
+                by[int(gram[at])].append((t, at))
+            if whole:
+                short.update(gram.tolist())
+        self.known, self.short = np.array(sorted(by), np.uint64), np.array(sorted(short), np.uint64)
         self.places = dict(by)
 
     def anchors(self, words: list[str], hashes: dict[str, int]) -> dict[int, list[tuple[int, int]]]:
         """By template, the anchors of a text: diagonal and place in the text."""
         out: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        mark, at = fingerprints(words, hashes, self.k, self.window)
-        if len(mark) and len(self.known):
-            hit = self.known[np.minimum(np.searchsorted(self.known, mark), len(self.known) - 1)] == mark
-            for h, i in zip(mark[hit].tolist(), at[hit].tolist(), strict=True):
-                for t, j in self.places[h]:
+        gram = grams(words, hashes, self.k)
+        if len(gram) and len(self.known):
+            marked = np.zeros(len(gram), bool)
+            marked[winnowed(gram, self.window)] = True
+            marked &= self.known[np.minimum(np.searchsorted(self.known, gram), len(self.known) - 1)] == gram
+            for h in self.short:
+                marked |= gram == h
+            for i in np.flatnonzero(marked).tolist():
+                for t, j in self.places[int(gram[i])]:
                     out[t].append((i - j, i))
         return out
 
