@@ -200,6 +200,34 @@ def test_model_learns():
     assert after.sum() > 0.8 * before.sum()
 
 
+def test_short_texts_are_refined():
+    """The gated weights change from the start of a text: wrong weights cost less than without refinement, and each gate has its own."""
+    docs = [mixing_lm.normalised(t.encode()) for _, t in corpus(5, 120)[0]]
+    x = mixing_lm.flat(docs)[0]
+    code = mixing_lm.Code(np.bincount(mixing_lm.before(x) << 8 | x, minlength=1 << 20).reshape(16, 256, 256).astype(float))
+    table = np.zeros((mixing_lm.ORDERS, 2, 1 << 14), np.uint32)
+    mixing_lm.counted(docs, code, 14, table)
+    tables, weights = mixing_lm.odds(table), np.full((mixing_lm.GATES, mixing_lm.ORDERS), -0.2)
+    short = [d[:1000] for d in docs]
+    fixed, _ = mixing_lm.mixed(short, code, tables, weights, rate=0)
+    own, _ = mixing_lm.mixed(short, code, tables, weights)
+    assert all(own > fixed) and own.sum() > 0.9 * fixed.sum()
+    bits = 4 * mixing_lm.STRIDE  # by hand, one text and one gate after the other
+    rng = np.random.default_rng(3)
+    bit, gate = rng.integers(0, 2, bits).astype(np.uint8), rng.integers(0, mixing_lm.GATES, bits).astype(np.uint8)
+    logits = [rng.integers(-50, 50, bits).astype(np.int8) for _ in range(mixing_lm.ORDERS)]
+    w, want = weights.copy(), 0.0
+    for at in range(0, bits, mixing_lm.STRIDE):
+        change = np.zeros_like(w)
+        for i in range(at, at + mixing_lm.STRIDE):
+            odds = np.array([x[i] for x in logits]) * float(mixing_lm.STEP)
+            error = bit[i] - 1 / (1 + math.exp(-float(np.clip(w[gate[i]] @ odds, -11, 11))))
+            want += math.log(1 - abs(error))
+            change[gate[i]] += mixing_lm.RATE * error * odds
+        w += change
+    assert abs(mixing_lm.refined(bit, gate, logits, np.array([0, bits]), weights)[0] - want) < 1e-3
+
+
 def test_pipeline(spark, tmp_path, awkward):
     import corpus_pipeline
 

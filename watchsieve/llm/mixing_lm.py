@@ -9,8 +9,8 @@ up to the text's probability, and over its bytes to bits per byte.
 
 Counts come from every text that may be learnt from, and the tables have more slots the more text there is, up to
 2 ** TABLE_BITS. One in WEIGHT_SHARE of those texts is kept out of the counts and fits the weights, so these know how far
-to trust counts from other texts. Each text then starts from those weights and, after each
-BLOCK bytes, changes each predictor's by the error of its predictions so far; nothing passes from one text to another.
+to trust counts from other texts. Each text then starts from those weights and, after every STRIDE bits from its start,
+changes the weights of the gates that these used by the error of their predictions; nothing passes from one text to another.
 
 The unigram base counts every word of the training texts exactly. Words move as packed hashes (a hash and its count for
 each task and text, in parts by hash), are counted where they meet, and come back as one sum for each text and part.
@@ -39,7 +39,7 @@ ORDERS, GATES = 3, 32
 #: Slots of a predictor's table, as a power of two: one for SLOT_BYTES bytes of text, within these bounds.
 LEAST_BITS, TABLE_BITS, SLOT_BYTES = 14, 21, 2
 WEIGHT_SHARE, CODE_SHARE = 48, 64
-BLOCK, RATE = 2048, 0.02
+STRIDE, RATE, FOLLOW = 32, 0.02, 1 << 18
 STEP = np.float32(0.09)
 GATHER, PART_BYTES, SHARDS = 600_000, 24 << 20, 1024
 GAP = 8  # zero bytes before each text, so that no context reaches into another
@@ -175,13 +175,19 @@ def events(number: np.ndarray, hashes: list[np.ndarray], code: Code, table_bits:
     return length, which, place, slots
 
 
+def within(b: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which bytes of a flat array are not in a gap."""
+    inside = np.ones(len(b), bool)
+    for k in range(1, GAP + 1):
+        inside[starts - k] = False
+    return inside
+
+
 def counted(data: list[bytes], code: Code, table_bits: int, into: np.ndarray) -> None:
     """Adds the bits of all texts to the counts, ORDERS x 2 x slots."""
     b, starts, _ = flat(data)
     hashes, _ = contexts(b)
-    inside = np.ones(len(b), bool)
-    for k in range(1, GAP + 1):
-        inside[starts - k] = False
+    inside = within(b, starts)
     _, _, place, slots = events(code.numbers(b)[inside], [h[inside] for h in hashes], code, table_bits)
     high = code.bit.take(place).astype(np.uint32) << np.uint32(table_bits)
     for k, slot in enumerate(slots):
@@ -194,49 +200,77 @@ def odds(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(np.log((c[:, 1] + np.float32(0.1)) / (c[:, 0] + np.float32(0.1))) / STEP), -127, 127).astype(np.int8)
 
 
-def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray, rate: float = RATE, learn: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-    """log10 probability of each text, refining the weights of each; and the shared weights, which follow the gradient at speed `learn`."""
-    n, table_bits = len(data), int(tables.shape[1]).bit_length() - 1
-    longest_first = sorted(range(n), key=lambda i: -len(data[i]))  # so that those which go on after a block are the first
-    b, starts, ends = flat([data[i] for i in longest_first])
-    hashes, depth = contexts(b)
-    number = code.numbers(b)
-    shared = weights.astype(np.float64).copy()
-    own = np.zeros((ORDERS, n), np.float32)  # what each text adds to the weights of each predictor
-    out, size = np.zeros(n), ends - starts
-    for block in range(int(-(-size.max() // BLOCK)) if n else 0):
-        live = int((size > block * BLOCK).sum())
-        many = np.minimum(size[:live] - block * BLOCK, BLOCK)
-        before = np.cumsum(many) - many
-        at = np.repeat(starts[:live] + block * BLOCK - before, many)
-        at += np.arange(len(at))
-        length, which, place, slots = events(number.take(at), [h.take(at) for h in hashes], code, table_bits)
-        gate = (depth.take(at) << np.uint8(2)).take(which)
-        gate += code.nth.take(place)
-        gate = gate.astype(np.intp)
-        logits = [tables[k].take(s) * STEP for k, s in enumerate(slots)]
-        first = np.concatenate([[0], np.cumsum(length)])[np.append(before, len(at))]
-        bits = np.diff(first)
-        z = np.zeros(len(gate), np.float32)
-        for k, x in enumerate(logits):
-            weight = shared[:, k].astype(np.float32).take(gate)
-            if block:
-                weight += np.repeat(own[k, :live], bits)
-            z += weight * x
+def refined(bit: np.ndarray, gate: np.ndarray, logits: list[np.ndarray], first: np.ndarray, weights: np.ndarray, rate: float = RATE) -> np.ndarray:
+    """Natural log probability of each text, whose bits begin at first (one more than texts); logits in steps of STEP. All texts take a stride at a time together."""
+    sizes = np.diff(first)
+    longest_first = np.argsort(-sizes, kind="stable")  # so that those which go on are the first
+    start, size = first[:-1][longest_first], sizes[longest_first]
+    n = len(size)
+    own = [np.tile(weights[:, k].astype(np.float32), n) for k in range(ORDERS)]  # by text and gate
+    out, stride = np.zeros(n), np.arange(STRIDE)
+    for t in range(0, int(size[0]) if n else 0, STRIDE):
+        live = int(np.searchsorted(-size, -t))
+        at = (start[:live, None] + t) + stride
+        over = at >= (start[:live] + size[:live])[:, None] if size[live - 1] < t + STRIDE else None
+        if over is not None:
+            np.minimum(at, len(bit) - 1, out=at)
+        g = gate.take(at).astype(np.intp)
+        g += (np.arange(live) * GATES)[:, None]
+        x = [logits[k].take(at) * STEP for k in range(ORDERS)]
+        z = own[0].take(g) * x[0]
+        for k in range(1, ORDERS):
+            z += own[k].take(g) * x[k]
         np.clip(z, -11, 11, out=z)
-        error = code.bit.take(place) - 1 / (1 + np.exp(-z))
-        out[:live] += np.add.reduceat(np.log(1 - np.abs(error)), first[:-1], dtype=np.float64)
-        if learn:
-            total = np.bincount(gate, minlength=GATES) + 200.0
-            for k, x in enumerate(logits):
-                shared[:, k] += learn * np.bincount(gate, error * x, GATES) / total
-        elif on := int((size > (block + 1) * BLOCK).sum()):
-            for k, x in enumerate(logits):
-                slope = np.add.reduceat(error[: first[on]] * x[: first[on]], first[:on], dtype=np.float64)
-                own[k, :on] += (rate * slope / np.sqrt(bits[:on] + 16.0)).astype(np.float32)
+        error = bit.take(at) - 1 / (1 + np.exp(-z))
+        if over is not None:
+            error[over] = 0
+        out[:live] += np.log(1 - np.abs(error)).sum(1, dtype=np.float64)
+        on = int(np.searchsorted(-size, -(t + STRIDE)))  # those that have more bits
+        if on and rate:
+            flat_gate = g[:on].ravel()
+            for k in range(ORDERS):
+                own[k][: on * GATES] += (rate * np.bincount(flat_gate, (error[:on] * x[k][:on]).ravel(), on * GATES)).astype(np.float32)
     back = np.empty(n)
     back[longest_first] = out
-    return back / np.log(10), shared
+    return back
+
+
+def gates(depth: np.ndarray, which: np.ndarray, place: np.ndarray, code: Code) -> np.ndarray:
+    """The gate of each bit: the position of its byte in the word, and its own in the code."""
+    gate = (depth << np.uint8(2)).take(which)
+    gate += code.nth.take(place)
+    return gate
+
+
+def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray, rate: float = RATE, learn: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability of each text, refining the weights of each; or, at a speed `learn`, the shared weights after they followed the gradient."""
+    table_bits = int(tables.shape[1]).bit_length() - 1
+    if not data:
+        return np.zeros(0), weights
+    b, starts, ends = flat(data)
+    hashes, depth = contexts(b)
+    inside = within(b, starts)
+    length, which, place, slots = events(code.numbers(b)[inside], [h[inside] for h in hashes], code, table_bits)
+    gate, bit = gates(depth[inside], which, place, code), code.bit.take(place)
+    logits = [tables[k].take(s) for k, s in enumerate(slots)]
+    if learn:
+        return np.zeros(len(data)), followed(bit, gate, logits, weights, learn)
+    first = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(ends - starts)])]
+    return refined(bit, gate, logits, first, weights, rate) / np.log(10), weights
+
+
+def followed(bit: np.ndarray, gate: np.ndarray, logits: list[np.ndarray], weights: np.ndarray, learn: float) -> np.ndarray:
+    """The shared weights after they followed the gradient, FOLLOW bits at a time."""
+    shared = weights.astype(np.float64).copy()
+    for i in range(0, len(bit), FOLLOW):
+        g = gate[i : i + FOLLOW].astype(np.intp)
+        x = [y[i : i + FOLLOW] * STEP for y in logits]
+        z = sum(shared[:, k].astype(np.float32).take(g) * x[k] for k in range(ORDERS))
+        error = bit[i : i + FOLLOW] - 1 / (1 + np.exp(-np.clip(z, -11, 11)))
+        total = np.bincount(g, minlength=GATES) + 200.0
+        for k in range(ORDERS):
+            shared[:, k] += learn * np.bincount(g, error * x[k], GATES) / total
+    return shared
 
 
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
