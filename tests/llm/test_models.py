@@ -228,6 +228,33 @@ def test_short_texts_are_refined():
     assert abs(mixing_lm.refined(bit, gate, logits, np.array([0, bits]), weights)[0] - want) < 1e-3
 
 
+def test_every_slot_is_answered(spark):
+    """What the shards answer to each lot is what counting all of it in one place gives, however many lots there are."""
+    docs = [(i, t, True, i % 3 > 0, i % 3 == 0) for i, t in corpus(9, 60)[0]]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string, train boolean, counts boolean, fits boolean").repartition(3)
+    code = mixing_lm.Code(np.ones((256, 256)))
+    lots = mixing_lm.lots_of(rows, 3000)
+    got = mixing_lm.answered(lots, code, 36, 20).collect()
+    assert len(got) > 6
+    seen, counts = [], collections.defaultdict(lambda: [0, 0])
+    for row in got:
+        lot = mixing_lm._lot(bytes(row.blob))
+        seen += lot.docs
+        for text, some in zip(lot.data, lot.counts, strict=True):
+            _, bit, _, slots = mixing_lm.bits_of([text], code, 36)
+            for s in slots:
+                for x, one in zip(s.tolist(), bit.tolist(), strict=True):
+                    counts[x][one] += some
+    assert sorted(seen) == list(range(60)) and len(counts) > 1 << 14
+    for row in got:
+        lot, model = mixing_lm._lot(bytes(row.blob)), mixing_lm.Model(code, 36, np.zeros((mixing_lm.GATES, mixing_lm.ORDERS)))
+        _, _, _, slots = mixing_lm.bits_of(lot.data, code, 36)
+        _, _, _, logits = model.predictions(lot, [bytes(x) for x in row.odds])
+        for s, x in zip(slots, logits, strict=True):
+            want = np.array([counts[k] for k in s.tolist()], float) + 0.1
+            assert np.abs(np.clip(np.log(want[:, 1] / want[:, 0]) / mixing_lm.STEP, -127, 127) - x).max() < 0.51
+
+
 def test_pipeline(spark, tmp_path, awkward):
     import corpus_pipeline
 

@@ -7,8 +7,9 @@ the three bytes before, the five bytes before, and the word so far. Their log od
 selects by the position in the word and in the code; the sum's logistic is the bit's probability. The bits' logarithms add
 up to the text's probability, and over its bytes to bits per byte.
 
-Counts come from every text that may be learnt from, and the tables have more slots the more text there is, up to
-2 ** TABLE_BITS. One in WEIGHT_SHARE of those texts is kept out of the counts and fits the weights, so these know how far
+The tables have more slots the more text there is, without a bound, and most slots are empty, so that few contexts share
+one. No task holds a table: texts go in lots, a lot sends the slots it meets and their counts to shards by slot, and each
+shard answers every lot with the log odds of just those slots. One in WEIGHT_SHARE of those texts is kept out of the counts and fits the weights, so these know how far
 to trust counts from other texts. Each text then starts from those weights and, after every STRIDE bits from its start,
 changes the weights of the gates that these used by the error of their predictions; nothing passes from one text to another.
 
@@ -23,6 +24,7 @@ base is that of an empty vocabulary (N and V are 0); an empty table gives an emp
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,20 +32,22 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, fold, map_batches, stored, texts
+from .common import as_bytes, documents, dropped, fold, map_batches, stored, texts
 
 ORDERS, GATES = 3, 32
-#: Slots of a predictor's table, as a power of two: one for SLOT_BYTES bytes of text, within these bounds.
-LEAST_BITS, TABLE_BITS, SLOT_BYTES = 14, 21, 2
+#: Slots that the predictors share, as a power of two: at least SLOTS for a byte of text. Bytes of text in a lot, and the least lots there are.
+LEAST_BITS, SLOTS = 20, 96
+LOT, LEAST_LOT, LOTS = 2 << 20, 1 << 12, 64
 WEIGHT_SHARE, CODE_SHARE = 48, 64
 STRIDE, RATE, FOLLOW = 32, 0.02, 1 << 18
 STEP = np.float32(0.09)
-GATHER, PART_BYTES, SHARDS = 600_000, 24 << 20, 1024
+GATHER, PART_BYTES = 600_000, 24 << 20
 GAP = 8  # zero bytes before each text, so that no context reaches into another
-_K = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
+_K = np.array([0x9E3779B97F4A7C15, 0x85EBCA77C2B2AE63, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5, 0x165667B19E3779F9], np.uint64)
 
 
 def normalised(text: bytes) -> bytes:
@@ -90,12 +94,12 @@ class Code:
         self.start = np.zeros(len(order), np.int64)
         self.start[order] = ends - self.length[order]
         #: Each bit, the hash of the bits before it, and its number, up to 3.
-        self.bit, self.node, self.nth = (np.zeros(int(ends[-1]), t) for t in (np.uint8, np.uint32, np.uint8))
+        self.bit, self.node, self.nth = (np.zeros(int(ends[-1]), t) for t in (np.uint8, np.uint64, np.uint8))
         for k in range(int(self.length.max())):
             some = np.flatnonzero(self.length > k)
             at, rest = self.start[some] + k, self.length[some] - k
             self.bit[at] = bits[some] >> (rest - 1) & 1
-            self.node[at] = (((bits[some] >> rest) + (1 << k)) * 0x9E3779B1 & 0xFFFFFFFF).astype(np.uint32)
+            self.node[at] = ((bits[some] >> rest) + (1 << k)).astype(np.uint64) * _K[0]
             self.nth[at] = min(k, 3)
 
     def numbers(self, b: np.ndarray) -> np.ndarray:
@@ -127,31 +131,32 @@ _powers: list[np.ndarray] = []
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = 1 << max(16, n.bit_length())
-        _powers[:] = [np.cumprod(np.concatenate([[1], np.full(size - 1, x)]).astype(np.uint32), dtype=np.uint32) for x in (int(_K[0]), pow(int(_K[0]), -1, 1 << 32))]
+        _powers[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x, np.uint64)]).astype(np.uint64), dtype=np.uint64) for x in (int(_K[0]), pow(int(_K[0]), -1, 1 << 64))]
     return _powers[0], _powers[1]
 
 
 def contexts(b: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """For each byte of a flat array the hashes of its contexts, and its position in the word, up to 7."""
     n = len(b)
-    x = b.astype(np.uint32)
-    three = np.zeros(n, np.uint32)
+    x = b.astype(np.uint64)
+    three = np.zeros(n, np.uint64)
     for k in (1, 2, 3):
-        three[k:] |= x[:-k] << np.uint32(8 * (k - 1))
-    five = three * _K[4]
-    five[2:] += three[:-2] * _K[3]  # the bytes three to five before
+        three[k:] |= x[:-k] << np.uint64(8 * (k - 1))
+    five = three.copy()
+    five[2:] |= three[:-2] >> np.uint64(8) << np.uint64(24)  # the bytes four and five before
     at = np.arange(n, dtype=np.int32)
     start = np.zeros(n, np.int32)  # of the word that a byte stands in, or would go on
     start[1:] = np.maximum.accumulate(np.where((b == 32) | (b == 0), at + 1, 0))[:-1]
     power, inverse = _power(n + 1)
-    total = np.zeros(n + 1, np.uint32)
-    np.cumsum((x + 1) * power[:n], dtype=np.uint32, out=total[1:])
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum((x + np.uint64(1)) * power[:n], dtype=np.uint64, out=total[1:])
     word = (total[:n] - total[start]) * inverse[start]
     out = []
-    for h, k in ((three + 1, _K[1]), (five, _K[2]), (word + 7, _K[3])):
-        h ^= h >> 16
+    for h, k in ((three + np.uint64(1), _K[1]), (five + np.uint64(3), _K[2]), (word + np.uint64(7), _K[3])):
         h *= k
-        h ^= h >> 13
+        h ^= h >> np.uint64(31)
+        h *= _K[0]
+        h ^= h >> np.uint64(29)
         out.append(h)
     return out, np.minimum(at - start, 7).astype(np.uint8)
 
@@ -170,7 +175,9 @@ def events(number: np.ndarray, hashes: list[np.ndarray], code: Code, table_bits:
         slot = h.take(which)
         slot += node
         slot *= _K[4]
-        slot >>= np.uint32(32 - table_bits)
+        slot ^= slot >> np.uint64(32)
+        slot *= _K[2]
+        slot >>= np.uint64(64 - table_bits)
         slots.append(slot)
     return length, which, place, slots
 
@@ -189,7 +196,7 @@ def counted(data: list[bytes], code: Code, table_bits: int, into: np.ndarray) ->
     hashes, _ = contexts(b)
     inside = within(b, starts)
     _, _, place, slots = events(code.numbers(b)[inside], [h[inside] for h in hashes], code, table_bits)
-    high = code.bit.take(place).astype(np.uint32) << np.uint32(table_bits)
+    high = code.bit.take(place).astype(np.uint64) << np.uint64(table_bits)
     for k, slot in enumerate(slots):
         np.add.at(into[k].reshape(-1), slot | high, np.uint32(1))
 
@@ -242,20 +249,25 @@ def gates(depth: np.ndarray, which: np.ndarray, place: np.ndarray, code: Code) -
     return gate
 
 
+def bits_of(data: list[bytes], code: Code, table_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Where each text's bits begin, and the last end; and each bit, its gate and its slots."""
+    b, starts, ends = flat(data)
+    hashes, depth = contexts(b)
+    inside = within(b, starts)
+    length, which, place, slots = events(code.numbers(b)[inside], [h[inside] for h in hashes], code, table_bits)
+    first = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(ends - starts)])]
+    return first, code.bit.take(place), gates(depth[inside], which, place, code), slots
+
+
 def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray, rate: float = RATE, learn: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of each text, refining the weights of each; or, at a speed `learn`, the shared weights after they followed the gradient."""
     table_bits = int(tables.shape[1]).bit_length() - 1
     if not data:
         return np.zeros(0), weights
-    b, starts, ends = flat(data)
-    hashes, depth = contexts(b)
-    inside = within(b, starts)
-    length, which, place, slots = events(code.numbers(b)[inside], [h[inside] for h in hashes], code, table_bits)
-    gate, bit = gates(depth[inside], which, place, code), code.bit.take(place)
+    first, bit, gate, slots = bits_of(data, code, table_bits)
     logits = [tables[k].take(s) for k, s in enumerate(slots)]
     if learn:
         return np.zeros(len(data)), followed(bit, gate, logits, weights, learn)
-    first = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(ends - starts)])]
     return refined(bit, gate, logits, first, weights, rate) / np.log(10), weights
 
 
@@ -407,38 +419,137 @@ def code_for(docs: DataFrame) -> Code:
     return Code(counts.reshape(16, 256, 256))
 
 
-def tables_for(docs: DataFrame, code: Code, table_bits: int, parts: int) -> np.ndarray:
-    """Log odds from the counts over all of docs, ORDERS x slots; at most ORDERS * 2 ** TABLE_BITS bytes whatever the input."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(code)
-    shards = min(SHARDS, 1 << max(4, (parts - 1).bit_length()), 1 << table_bits)  # as the tasks that send counts grow, so do those that add them
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers as one plane for each of their bytes, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes())
+
+
+def _unpacked(blob: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def met(slots: list[np.ndarray], bit: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct slots in order, and how many zeros and ones the bits that count gave each."""
+    kind = np.where(counts, bit, np.uint8(2)).astype(np.uint64)
+    both = np.sort(np.concatenate([s << np.uint64(2) | kind for s in slots]))
+    at = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    times, both = np.diff(np.append(at, len(both))), both[at]
+    slot, kind = both >> np.uint64(2), both & np.uint64(3)
+    new = np.concatenate([[True], slot[1:] != slot[:-1]])
+    nth, out = np.cumsum(new) - 1, np.zeros((2, int(new.sum())), np.uint32)
+    for k in (0, 1):
+        out[k, nth[kind == k]] = times[kind == k]
+    return slot[new], out
+
+
+def places(known: np.ndarray, slots: np.ndarray, table_bits: int) -> np.ndarray:
+    """Where in known, distinct and in order, each slot is; all are there."""
+    top = min(table_bits, len(known).bit_length() + 1)
+    shift = np.uint64(table_bits - top)
+    start = np.zeros((1 << top) + 1, np.intp)
+    np.cumsum(np.bincount((known >> shift).astype(np.intp), minlength=1 << top), out=start[1:])
+    at = start.take((slots >> shift).astype(np.intp))
+    wrong = np.flatnonzero(known.take(at) != slots)
+    while len(wrong):
+        at[wrong] += 1
+        wrong = wrong[known.take(at[wrong]) != slots[wrong]]
+    return at
+
+
+@dataclass
+class Lot:
+    """Some texts as they are scored; which of them count and which fit the weights."""
+
+    docs: list[int | None]
+    train: list[bool]
+    counts: list[bool]
+    fits: list[bool]
+    uids: list[int]
+    data: list[bytes]
+
+
+def lots_of(rows: DataFrame, most: int) -> DataFrame:
+    """rows: doc_id, text, train, counts, fits. Texts together until they reach `most` bytes."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n, lot, size = TaskContext.get().partitionId(), 0, Lot([], [], [], [], [], []), 0
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([task << 32 | n], pa.int64()), pa.array([-1], pa.int64()), pa.array([zstandard.ZstdCompressor(level=3).compress(pickle.dumps(lot))], pa.binary())], names=["lot", "shard", "blob"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, some = np.zeros((ORDERS, 2, 1 << table_bits), np.uint32), False
         for b in batches:
-            data = [normalised(t) for t in as_bytes(b.column("text"))]
-            for group in _groups(data):
-                counted(group, shared.value, table_bits, total)
-                some = True
-        if some:
-            pack = zstandard.ZstdCompressor(level=1)
-            for k, part in enumerate(np.array_split(total, shards, axis=2)):
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([pack.compress(np.ascontiguousarray(part).tobytes())], pa.binary())], names=["shard", "counts"])
+            for doc, train, counts, fits, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "train", "counts", "fits")), as_bytes(b.column("text")), strict=True):
+                text = normalised(raw)
+                if lot.data and size + len(text) > most:
+                    yield made()
+                    n, lot, size = n + 1, Lot([], [], [], [], [], []), 0
+                for column, value in zip(vars(lot).values(), (doc, bool(train), bool(counts), bool(fits), _uid(doc, raw), text), strict=True):
+                    column.append(value)
+                size += len(text)
+        if lot.data:
+            yield made()
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        unpack = zstandard.ZstdDecompressor()
+    return stored(map_batches(rows, gather, "lot bigint, shard bigint, blob binary"), "lots")
+
+
+def _lot(blob: bytes) -> Lot:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+
+
+def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFrame:
+    """lot, blob, and odds: of the distinct slots of each lot in order, in pieces, the log odds from the counts over all lots."""
+    shared = lots.sparkSession.sparkContext.broadcast(code)
+    shard_bits = max(4, (parts - 1).bit_length())  # as the tasks that ask grow, so do those that answer
+    shift = np.uint64(table_bits - shard_bits)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, blob in zip(b.column("shard").to_pylist(), b.column("counts").to_pylist(), strict=True):
-                x = np.frombuffer(unpack.decompress(blob), np.uint32)
-                total[k] = np.minimum(total[k].astype(np.uint64) + x, 0xFFFFFFFF).astype(np.uint32) if k in total else x
-        for k, x in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([odds(x.reshape(ORDERS, 2, -1)).tobytes()], pa.binary())], names=["shard", "counts"])
+            for number, blob in zip(b.column("lot").to_pylist(), b.column("blob"), strict=True):
+                lot = _lot(blob.as_py())
+                first, bit, _, slots = bits_of(lot.data, shared.value, table_bits)
+                slot, n = met(slots, bit, np.repeat(lot.counts, np.diff(first)))
+                ends = np.searchsorted(slot >> shift, np.arange(1 << shard_bits, dtype=np.uint64), "right")
+                for k, (i, j) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
+                    if i < j:
+                        step = np.diff(slot[i:j], prepend=np.uint64(k) << shift)
+                        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([k], pa.int64()), pa.array([_packed(step)], pa.binary()), pa.array([_packed(n[:, i:j].ravel())], pa.binary())], names=["lot", "shard", "slots", "n"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, slots, n = [], [], []
+        for b in batches:
+            for number, k, steps, blob in zip(*(b.column(c).to_pylist() for c in ("lot", "shard", "slots", "n")), strict=True):
+                rows.append((number, k))
+                slots.append(np.cumsum(_unpacked(steps, np.uint64), dtype=np.uint64) + (np.uint64(k) << shift))
+                n.append(_unpacked(blob, np.uint32).reshape(2, -1))
+        if not rows:
+            return
+        _, kind = np.unique(np.concatenate(slots), return_inverse=True)
+        total = [np.bincount(kind, np.concatenate([x[k] for x in n])) for k in (0, 1)]
+        ends = np.cumsum([len(x) for x in slots])
+        for (number, k), own, end in zip(rows, n, ends.tolist(), strict=True):
+            here = kind[end - own.shape[1] : end]
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([k], pa.int64()), pa.array([_packed(odds(np.stack([t[here] for t in total])[None])[0])], pa.binary())], names=["lot", "shard", "blob"])
 
-    schema = "shard bigint, counts binary"
-    got = {r.shard: r.counts for r in map_batches(map_batches(docs.select("text"), count, schema).repartition(shards, "shard"), add, schema).collect()}
-    width = (1 << table_bits) // shards
-    return np.concatenate([np.frombuffer(bytes(got[k]), np.int8).reshape(ORDERS, width) if k in got else np.zeros((ORDERS, width), np.int8) for k in range(shards)], axis=1)
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, blobs = None, []
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blobs[0]], pa.binary()), pa.array([blobs[1:]], pa.list_(pa.binary()))], names=["lot", "blob", "odds"])
+
+        for b in batches:
+            for lot, blob in zip(b.column("lot").to_pylist(), b.column("blob"), strict=True):
+                if lot != number and blobs:
+                    yield made()
+                    blobs = []
+                number = lot
+                blobs.append(blob.as_py())
+        if blobs:
+            yield made()
+
+    asked = map_batches(lots.select("lot", "blob"), ask, "lot bigint, shard bigint, slots binary, n binary")
+    answers = map_batches(asked.repartition(1 << shard_bits, "shard"), answer, "lot bigint, shard bigint, blob binary")
+    return stored(map_batches(lots.union(answers).repartition(parts, "lot").sortWithinPartitions("lot", "shard"), join, "lot bigint, blob binary, odds array<binary>"), "answered")
 
 
 def _groups(data: list[bytes], most: int = 1 << 16) -> Iterator[list[bytes]]:
@@ -456,27 +567,40 @@ def _groups(data: list[bytes], most: int = 1 << 16) -> Iterator[list[bytes]]:
 
 @dataclass
 class Model:
-    """What is broadcast: at most 2 ** TABLE_BITS * ORDERS bytes of tables, and the code."""
+    """What is broadcast: the code and the weights."""
 
     code: Code
-    tables: np.ndarray
+    table_bits: int
     weights: np.ndarray
 
+    def predictions(self, lot: Lot, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """As bits_of, with the log odds of each bit's slots."""
+        first, bit, gate, slots = bits_of(lot.data, self.code, self.table_bits)
+        known = np.sort(np.concatenate(slots))
+        known = known[np.concatenate([[True], known[1:] != known[:-1]])]
+        value = np.concatenate([_unpacked(x, np.int8) for x in pieces])
+        return first, bit, gate, [value.take(places(known, s, self.table_bits)) for s in slots]
 
-def weights_for(docs: DataFrame, model: Model) -> np.ndarray:
+
+def weights_for(lots: DataFrame, model: Model) -> np.ndarray:
     """Each task lets the weights follow the gradient over its texts; the mean of all tasks', by their bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = lots.sparkSession.sparkContext.broadcast(model)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, size = shared.value.weights, 0
         for b in batches:
-            for group in _groups([normalised(t) for t in as_bytes(b.column("text"))], 1 << 17):
-                _, weights = mixed(group, shared.value.code, shared.value.tables, weights, learn=0.7)
-                size += sum(map(len, group))
+            for blob, pieces in zip(b.column("blob"), b.column("odds"), strict=True):
+                lot = _lot(blob.as_py())
+                if not any(lot.fits):
+                    continue
+                first, bit, gate, logits = shared.value.predictions(lot, pieces.as_py())
+                some = np.repeat(lot.fits, np.diff(first))
+                weights = followed(bit[some], gate[some], [x[some] for x in logits], weights, 0.7)
+                size += sum(len(x) for x, fits in zip(lot.data, lot.fits, strict=True) if fits)
         if size:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(weights.size), pa.int32()), pa.array(weights.ravel() * size), pa.array(np.full(weights.size, float(size)))], names=["k", "total", "size"])
 
-    got = map_batches(docs.select("text"), fit, "k int, total double, size double").groupBy("k").agg((F.sum("total") / F.sum("size")).alias("w")).collect()  # GATES * ORDERS rows
+    got = map_batches(lots.select("blob", "odds"), fit, "k int, total double, size double").groupBy("k").agg((F.sum("total") / F.sum("size")).alias("w")).collect()  # GATES * ORDERS rows
     weights = model.weights.copy()
     for r in got:
         weights.ravel()[r.k] = r.w
@@ -490,26 +614,27 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
     known, vocabulary = word_counts(rows, parts)
-    table_bits = int(np.clip(np.ceil(np.log2(max(1, size) / SLOT_BYTES)), LEAST_BITS, TABLE_BITS))
-    train = rows.filter("train")
+    table_bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, size) * SLOTS))))
     kept_out = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(WEIGHT_SHARE)) == 0
-    code = code_for(train)
-    tables = tables_for(train.filter(~kept_out), code, table_bits, parts)
-    model = Model(code, tables, np.full((GATES, ORDERS), 0.4))
-    model = Model(code, tables, weights_for(train.filter(kept_out), model))
+    code = code_for(rows.filter("train"))
+    lots = lots_of(rows.withColumn("counts", F.col("train") & ~kept_out).withColumn("fits", F.col("train") & kept_out), int(np.clip(size // LOTS, LEAST_LOT, LOT)))
+    asked = answered(lots, code, table_bits, parts)
+    dropped(lots)
+    model = Model(code, table_bits, np.full((GATES, ORDERS), 0.4))
+    model = Model(code, table_bits, weights_for(asked, model))
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = as_bytes(b.column("text"))
-            data = [normalised(t) for t in raw]
-            got = [mixed(g, shared.value.code, shared.value.tables, shared.value.weights)[0] for g in _groups(data)]
-            value = np.concatenate(got) if got else np.zeros(0)
-            bytes_ = np.array([len(x) for x in data], float)
-            columns = [b.column("doc_id"), b.column("train"), pa.array([_uid(d, t) for d, t in zip(b.column("doc_id").to_pylist(), raw, strict=True)], pa.int64()), pa.array([d.count(b" ") + 2 if len(d) > 1 else 1 for d in data], pa.int64()), pa.array(value), pa.array(-value * np.log2(10) / np.maximum(bytes_, 1))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "train", "uid", "n_tokens", "score", "bits_per_byte"])
-
-    made = stored(map_batches(rows, score, "doc_id bigint, train boolean, uid bigint, n_tokens bigint, score double, bits_per_byte double"), "scores")
+            for blob, pieces in zip(b.column("blob"), b.column("odds"), strict=True):
+                lot = _lot(blob.as_py())
+                first, bit, gate, logits = shared.value.predictions(lot, pieces.as_py())
+                value = refined(bit, gate, logits, first, shared.value.weights) / np.log(10)
+                bytes_ = np.array([len(x) for x in lot.data], float)
+                columns = [pa.array(lot.docs, pa.int64()), pa.array(lot.train, pa.bool_()), pa.array(lot.uids, pa.int64()), pa.array([d.count(b" ") + 2 if len(d) > 1 else 1 for d in lot.data], pa.int64()), pa.array(value), pa.array(-value * np.log2(10) / np.maximum(bytes_, 1))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "train", "uid", "n_tokens", "score", "bits_per_byte"])
+
+    made = stored(map_batches(asked.select("blob", "odds"), score, "doc_id bigint, train boolean, uid bigint, n_tokens bigint, score double, bits_per_byte double"), "scores")
     n, ends = made.filter("train").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count(F.lit(1))).first()
     v = (vocabulary.first()[0] or 0) + (1 if ends else 0)
     copies = made.groupBy("uid").agg(F.count(F.lit(1)).alias("copies"))  # equal ids with equal texts sum under one uid
