@@ -230,8 +230,8 @@ def test_short_texts_are_refined():
 
 def test_every_slot_is_answered(spark):
     """What the shards answer to each lot is what counting all of it in one place gives, however many lots there are."""
-    docs = [(i, t, True, i % 3 > 0, i % 3 == 0) for i, t in corpus(9, 60)[0]]
-    rows = spark.createDataFrame(docs, "doc_id bigint, text string, train boolean, counts boolean, fits boolean").repartition(3)
+    docs = [(i, t, i % 3 > 0) for i, t in corpus(9, 60)[0]]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string, train boolean").repartition(3)
     code = mixing_lm.Code(np.ones((256, 256)))
     lots = mixing_lm.lots_of(rows, 3000)
     got = mixing_lm.answered(lots, code, 36, 20).collect()
@@ -240,7 +240,7 @@ def test_every_slot_is_answered(spark):
     for row in got:
         lot = mixing_lm._lot(bytes(row.blob))
         seen += lot.docs
-        for text, some in zip(lot.data, lot.counts, strict=True):
+        for text, some in zip(lot.data, lot.train, strict=True):
             _, bit, _, slots = mixing_lm.bits_of([text], code, 36)
             for s in slots:
                 for x, one in zip(s.tolist(), bit.tolist(), strict=True):
@@ -253,6 +253,25 @@ def test_every_slot_is_answered(spark):
         for s, x in zip(slots, logits, strict=True):
             want = np.array([counts[k] for k in s.tolist()], float) + 0.1
             assert np.abs(np.clip(np.log(want[:, 1] / want[:, 0]) / mixing_lm.STEP, -127, 127) - x).max() < 0.51
+        own = collections.defaultdict(lambda: [0, 0])
+        for text, some in zip(lot.data, lot.train, strict=True):
+            _, bit, _, each = mixing_lm.bits_of([text], code, 36)
+            for s in each:
+                for x, one in zip(s.tolist(), bit.tolist(), strict=True):
+                    own[x][one] += some
+        _, _, _, others = model.predictions(lot, [bytes(x) for x in row.others])
+        for s, x in zip(slots, others, strict=True):
+            want = np.array([np.subtract(counts[k], own[k]) for k in s.tolist()], float) + 0.1
+            assert np.abs(np.clip(np.log(want[:, 1] / want[:, 0]) / mixing_lm.STEP, -127, 127) - x).max() < 0.51
+
+
+def test_every_training_text_counts(spark):
+    """Whichever ids the rows have, all texts count and all fit the weights, so the scores add up to nearly the same; lots differ a little."""
+    docs = [t for _, t in corpus(12, 160)[0]]
+    bits = lambda rows: sum(r.score for r in mixing_lm.scored(frame(spark, rows)).collect())
+    distinct = bits(list(enumerate(docs)))
+    for same in (None, 2, 3):
+        assert abs(bits([(same, t) for t in docs]) / distinct - 1) < 0.005
 
 
 def test_pipeline(spark, tmp_path, awkward):

@@ -9,9 +9,10 @@ up to the text's probability, and over its bytes to bits per byte.
 
 The tables have more slots the more text there is, without a bound, and most slots are empty, so that few contexts share
 one. No task holds a table: texts go in lots, a lot sends the slots it meets and their counts to shards by slot, and each
-shard answers every lot with the log odds of just those slots. One in WEIGHT_SHARE of those texts is kept out of the counts and fits the weights, so these know how far
-to trust counts from other texts. Each text then starts from those weights and, after every STRIDE bits from its start,
-changes the weights of the gates that these used by the error of their predictions; nothing passes from one text to another.
+shard answers every lot with the log odds of just those slots. Counts come from every text that may be learnt from. All of
+these also fit the weights, each lot predicted from the counts of the other lots alone, so that the weights know how far to
+trust counts from other texts. Each text then starts from those weights and, after every STRIDE bits from its start, changes
+the weights of the gates that these used by the error of their predictions; nothing passes from one text to another.
 
 The unigram base counts every word of the training texts exactly. Words move as packed hashes (a hash and its count for
 each task and text, in parts by hash), are counted where they meet, and come back as one sum for each text and part.
@@ -39,10 +40,10 @@ from pyspark.sql import functions as F
 from .common import as_bytes, documents, dropped, fold, map_batches, stored, texts
 
 ORDERS, GATES = 3, 32
-#: Slots that the predictors share, as a power of two: at least SLOTS for a byte of text. Bytes of text in a lot, and the least lots there are.
+#: Slots that the predictors share, as a power of two: at least SLOTS for a byte of text. Bytes of text in a lot, the least lots there are, and bytes that are bits at a time.
 LEAST_BITS, SLOTS = 20, 96
-LOT, LEAST_LOT, LOTS = 2 << 20, 1 << 12, 64
-WEIGHT_SHARE, CODE_SHARE = 48, 64
+LOT, LEAST_LOT, LOTS, PIECE = 2 << 20, 1 << 12, 64, 1 << 18
+CODE_SHARE = 64
 STRIDE, RATE, FOLLOW = 32, 0.02, 1 << 18
 STEP = np.float32(0.09)
 GATHER, PART_BYTES = 600_000, 24 << 20
@@ -429,10 +430,17 @@ def _unpacked(blob: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def distinct(slots: np.ndarray) -> np.ndarray:
+    """In order, once each; sorts its argument."""
+    slots.sort()
+    return slots[np.concatenate([[True], slots[1:] != slots[:-1]])]
+
+
 def met(slots: list[np.ndarray], bit: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct slots in order, and how many zeros and ones the bits that count gave each."""
     kind = np.where(counts, bit, np.uint8(2)).astype(np.uint64)
-    both = np.sort(np.concatenate([s << np.uint64(2) | kind for s in slots]))
+    both = np.concatenate([s << np.uint64(2) | kind for s in slots])
+    both.sort()
     at = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
     times, both = np.diff(np.append(at, len(both))), both[at]
     slot, kind = both >> np.uint64(2), both & np.uint64(3)
@@ -443,13 +451,15 @@ def met(slots: list[np.ndarray], bit: np.ndarray, counts: np.ndarray) -> tuple[n
     return slot[new], out
 
 
-def places(known: np.ndarray, slots: np.ndarray, table_bits: int) -> np.ndarray:
+def places(known: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Where in known, distinct and in order, each slot is; all are there."""
-    top = min(table_bits, len(known).bit_length() + 1)
-    shift = np.uint64(table_bits - top)
+    least = known[0]
+    span = int(known[-1] - least).bit_length()
+    top = min(span, len(known).bit_length() + 1)
+    shift = np.uint64(span - top)
     start = np.zeros((1 << top) + 1, np.intp)
-    np.cumsum(np.bincount((known >> shift).astype(np.intp), minlength=1 << top), out=start[1:])
-    at = start.take((slots >> shift).astype(np.intp))
+    np.cumsum(np.bincount(((known - least) >> shift).astype(np.intp), minlength=1 << top), out=start[1:])
+    at = start.take(((slots - least) >> shift).astype(np.intp))
     wrong = np.flatnonzero(known.take(at) != slots)
     while len(wrong):
         at[wrong] += 1
@@ -459,32 +469,44 @@ def places(known: np.ndarray, slots: np.ndarray, table_bits: int) -> np.ndarray:
 
 @dataclass
 class Lot:
-    """Some texts as they are scored; which of them count and which fit the weights."""
+    """Some texts as they are scored."""
 
     docs: list[int | None]
     train: list[bool]
-    counts: list[bool]
-    fits: list[bool]
     uids: list[int]
     data: list[bytes]
 
 
+def met_in(lot: Lot, code: Code, table_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """As met, for all texts of a lot, of which only a piece is in bits at a time."""
+    at, each = 0, []
+    for group in _groups(lot.data, PIECE):
+        first, bit, _, slots = bits_of(group, code, table_bits)
+        each.append(met(slots, bit, np.repeat(lot.train[at : at + len(group)], np.diff(first))))
+        at += len(group)
+    slot = distinct(np.concatenate([x[0] for x in each]))
+    n = np.zeros((2, len(slot)), np.uint32)
+    for some, own in each:
+        n[:, places(slot, some)] += own
+    return slot, n
+
+
 def lots_of(rows: DataFrame, most: int) -> DataFrame:
-    """rows: doc_id, text, train, counts, fits. Texts together until they reach `most` bytes."""
+    """rows: doc_id, text, train. Texts together until they reach `most` bytes."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, n, lot, size = TaskContext.get().partitionId(), 0, Lot([], [], [], [], [], []), 0
+        task, n, lot, size = TaskContext.get().partitionId(), 0, Lot([], [], [], []), 0
 
         def made() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([task << 32 | n], pa.int64()), pa.array([-1], pa.int64()), pa.array([zstandard.ZstdCompressor(level=3).compress(pickle.dumps(lot))], pa.binary())], names=["lot", "shard", "blob"])
 
         for b in batches:
-            for doc, train, counts, fits, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "train", "counts", "fits")), as_bytes(b.column("text")), strict=True):
+            for doc, train, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "train")), as_bytes(b.column("text")), strict=True):
                 text = normalised(raw)
                 if lot.data and size + len(text) > most:
                     yield made()
-                    n, lot, size = n + 1, Lot([], [], [], [], [], []), 0
-                for column, value in zip(vars(lot).values(), (doc, bool(train), bool(counts), bool(fits), _uid(doc, raw), text), strict=True):
+                    n, lot, size = n + 1, Lot([], [], [], []), 0
+                for column, value in zip(vars(lot).values(), (doc, bool(train), _uid(doc, raw), text), strict=True):
                     column.append(value)
                 size += len(text)
         if lot.data:
@@ -498,17 +520,16 @@ def _lot(blob: bytes) -> Lot:
 
 
 def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFrame:
-    """lot, blob, and odds: of the distinct slots of each lot in order, in pieces, the log odds from the counts over all lots."""
+    """lot, blob, and odds: of the distinct slots of each lot in order, in pieces, the log odds from the counts over all lots; and others: those over all lots but this."""
     shared = lots.sparkSession.sparkContext.broadcast(code)
-    shard_bits = max(4, (parts - 1).bit_length())  # as the tasks that ask grow, so do those that answer
+    shard_bits = max(5, (2 * parts - 1).bit_length())  # as the tasks that ask grow, so do those that answer
     shift = np.uint64(table_bits - shard_bits)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, blob in zip(b.column("lot").to_pylist(), b.column("blob"), strict=True):
                 lot = _lot(blob.as_py())
-                first, bit, _, slots = bits_of(lot.data, shared.value, table_bits)
-                slot, n = met(slots, bit, np.repeat(lot.counts, np.diff(first)))
+                slot, n = met_in(lot, shared.value, table_bits)
                 ends = np.searchsorted(slot >> shift, np.arange(1 << shard_bits, dtype=np.uint64), "right")
                 for k, (i, j) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
                     if i < j:
@@ -516,40 +537,53 @@ def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFr
                         yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([k], pa.int64()), pa.array([_packed(step)], pa.binary()), pa.array([_packed(n[:, i:j].ravel())], pa.binary())], names=["lot", "shard", "slots", "n"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, slots, n = [], [], []
+        shard, held = None, []
+
+        def made() -> Iterator[pa.RecordBatch]:
+            slots = np.concatenate([np.cumsum(_unpacked(steps, np.uint64), dtype=np.uint64) + (np.uint64(shard) << shift) for _, steps, _ in held])
+            n = [_unpacked(x, np.uint32).reshape(2, -1) for _, _, x in held]
+            known, end = distinct(slots.copy()), 0
+            total = np.zeros((2, len(known)), np.int64)
+            for own in n:
+                at, end = places(known, slots[end : end + own.shape[1]]), end + own.shape[1]
+                total[:, at] += own
+            end = 0
+            for (number, _, _), own in zip(held, n, strict=True):
+                at, end = places(known, slots[end : end + own.shape[1]]), end + own.shape[1]
+                every = total[:, at]
+                blobs = [_packed(odds(x[None])[0]) for x in (every, every - own)]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([shard], pa.int64()), *(pa.array([x], pa.binary()) for x in blobs)], names=["lot", "shard", "blob", "other"])
+
         for b in batches:
-            for number, k, steps, blob in zip(*(b.column(c).to_pylist() for c in ("lot", "shard", "slots", "n")), strict=True):
-                rows.append((number, k))
-                slots.append(np.cumsum(_unpacked(steps, np.uint64), dtype=np.uint64) + (np.uint64(k) << shift))
-                n.append(_unpacked(blob, np.uint32).reshape(2, -1))
-        if not rows:
-            return
-        _, kind = np.unique(np.concatenate(slots), return_inverse=True)
-        total = [np.bincount(kind, np.concatenate([x[k] for x in n])) for k in (0, 1)]
-        ends = np.cumsum([len(x) for x in slots])
-        for (number, k), own, end in zip(rows, n, ends.tolist(), strict=True):
-            here = kind[end - own.shape[1] : end]
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([k], pa.int64()), pa.array([_packed(odds(np.stack([t[here] for t in total])[None])[0])], pa.binary())], names=["lot", "shard", "blob"])
+            for number, k, steps, n in zip(b.column("lot").to_pylist(), b.column("shard").to_pylist(), b.column("slots").to_pylist(), b.column("n").to_pylist(), strict=True):
+                if k != shard and held:
+                    yield from made()
+                    held = []
+                shard = k
+                held.append((number, steps, n))
+        if held:
+            yield from made()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, blobs = None, []
+        number, blobs, others = None, [], []
 
         def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blobs[0]], pa.binary()), pa.array([blobs[1:]], pa.list_(pa.binary()))], names=["lot", "blob", "odds"])
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blobs[0]], pa.binary()), *(pa.array([x[1:]], pa.list_(pa.binary())) for x in (blobs, others))], names=["lot", "blob", "odds", "others"])
 
         for b in batches:
-            for lot, blob in zip(b.column("lot").to_pylist(), b.column("blob"), strict=True):
+            for lot, blob, other in zip(b.column("lot").to_pylist(), b.column("blob"), b.column("other"), strict=True):
                 if lot != number and blobs:
                     yield made()
-                    blobs = []
+                    blobs, others = [], []
                 number = lot
                 blobs.append(blob.as_py())
+                others.append(other.as_py())
         if blobs:
             yield made()
 
     asked = map_batches(lots.select("lot", "blob"), ask, "lot bigint, shard bigint, slots binary, n binary")
-    answers = map_batches(asked.repartition(1 << shard_bits, "shard"), answer, "lot bigint, shard bigint, blob binary")
-    return stored(map_batches(lots.union(answers).repartition(parts, "lot").sortWithinPartitions("lot", "shard"), join, "lot bigint, blob binary, odds array<binary>"), "answered")
+    answers = map_batches(asked.repartition(1 << shard_bits, "shard").sortWithinPartitions("shard"), answer, "lot bigint, shard bigint, blob binary, other binary")
+    return stored(map_batches(lots.withColumn("other", F.lit(None).cast("binary")).union(answers).repartition(parts, "lot").sortWithinPartitions("lot", "shard"), join, "lot bigint, blob binary, odds array<binary>, others array<binary>"), "answered")
 
 
 def _groups(data: list[bytes], most: int = 1 << 16) -> Iterator[list[bytes]]:
@@ -575,11 +609,14 @@ class Model:
 
     def predictions(self, lot: Lot, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """As bits_of, with the log odds of each bit's slots."""
-        first, bit, gate, slots = bits_of(lot.data, self.code, self.table_bits)
-        known = np.sort(np.concatenate(slots))
-        known = known[np.concatenate([[True], known[1:] != known[:-1]])]
-        value = np.concatenate([_unpacked(x, np.int8) for x in pieces])
-        return first, bit, gate, [value.take(places(known, s, self.table_bits)) for s in slots]
+        parts = [bits_of(group, self.code, self.table_bits) for group in _groups(lot.data, PIECE)]
+        known = distinct(np.concatenate([distinct(np.concatenate(p[3])) for p in parts]))
+        value, logits = np.concatenate([_unpacked(x, np.int8) for x in pieces]), []
+        for p in parts:
+            logits.append([value.take(places(known, s)) for s in p[3]])
+            p[3].clear()
+        first = np.cumsum(np.concatenate([[0], *(np.diff(p[0]) for p in parts)]))
+        return first, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), [np.concatenate(x) for x in zip(*logits, strict=True)]
 
 
 def weights_for(lots: DataFrame, model: Model) -> np.ndarray:
@@ -589,18 +626,18 @@ def weights_for(lots: DataFrame, model: Model) -> np.ndarray:
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, size = shared.value.weights, 0
         for b in batches:
-            for blob, pieces in zip(b.column("blob"), b.column("odds"), strict=True):
+            for blob, pieces in zip(b.column("blob"), b.column("others"), strict=True):
                 lot = _lot(blob.as_py())
-                if not any(lot.fits):
+                if not any(lot.train):
                     continue
                 first, bit, gate, logits = shared.value.predictions(lot, pieces.as_py())
-                some = np.repeat(lot.fits, np.diff(first))
+                some = np.repeat(lot.train, np.diff(first))
                 weights = followed(bit[some], gate[some], [x[some] for x in logits], weights, 0.7)
-                size += sum(len(x) for x, fits in zip(lot.data, lot.fits, strict=True) if fits)
+                size += sum(len(x) for x, train in zip(lot.data, lot.train, strict=True) if train)
         if size:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(weights.size), pa.int32()), pa.array(weights.ravel() * size), pa.array(np.full(weights.size, float(size)))], names=["k", "total", "size"])
 
-    got = map_batches(lots.select("blob", "odds"), fit, "k int, total double, size double").groupBy("k").agg((F.sum("total") / F.sum("size")).alias("w")).collect()  # GATES * ORDERS rows
+    got = map_batches(lots.select("blob", "others"), fit, "k int, total double, size double").groupBy("k").agg((F.sum("total") / F.sum("size")).alias("w")).collect()  # GATES * ORDERS rows
     weights = model.weights.copy()
     for r in got:
         weights.ravel()[r.k] = r.w
@@ -615,9 +652,8 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
     known, vocabulary = word_counts(rows, parts)
     table_bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, size) * SLOTS))))
-    kept_out = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(WEIGHT_SHARE)) == 0
     code = code_for(rows.filter("train"))
-    lots = lots_of(rows.withColumn("counts", F.col("train") & ~kept_out).withColumn("fits", F.col("train") & kept_out), int(np.clip(size // LOTS, LEAST_LOT, LOT)))
+    lots = lots_of(rows, int(np.clip(size // LOTS, LEAST_LOT, LOT)))
     asked = answered(lots, code, table_bits, parts)
     dropped(lots)
     model = Model(code, table_bits, np.full((GATES, ORDERS), 0.4))
