@@ -149,6 +149,22 @@ def test_quotation(spark):
     assert quotation.linked(df.filter("conv_id > 9")).count() == 0
 
 
+def test_nested_quotes(spark):
+    """A message whose quotes are all nested, or whose first level is unknown, replies to who said the nested words; every level is linked."""
+    rows = [
+        (1, 0, "a", "first words\nmore of them"), (1, 1, "b", "second words"), (1, 2, "c", ">> First words\n>> more of them\nonly nested"), (1, 3, "d", "> nothing known\n>> second words\n>>> first words\ny"),
+        (1, 4, "e", "> second words\n>> first words\n>> more of them\nz"), (1, 5, "f", "x\n>> said later"), (1, 6, "g", "said later"), (2, 0, "a", "third"), (2, 1, "b", ">> first words\nw"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {(r.conv_id, r.turn): (r.reply_to, r.thread, r.depth) for r in quotation.linked(df).collect()}
+    assert got[1, 2] == (0, 0, 1) and got[1, 3] == (1, 1, 1) and got[1, 4] == (1, 1, 1)  # the shallowest level that finds one
+    assert got[1, 5] == (None, 5, 0) and got[2, 1] == (None, 1, 0) and got[1, 0] == (None, 0, 0)
+    both = "first words more of them"
+    assert sorted(tuple(r) for r in quotation.links(df).select("conv_id", "turn", "level", "source", "alike").collect()) == sorted(
+        [(1, 2, 2, 0, x) for x in ("first words", "more of them", both)] + [(1, 3, 2, 1, "second words"), (1, 3, 3, 0, "first words"), (1, 4, 1, 1, "second words")] + [(1, 4, 2, 0, x) for x in ("first words", "more of them", both)]
+    )
+
+
 def test_language_model(spark, awkward, empty):
     rows = awkward + [(1000 + i, t) for i, t in corpus(3, 60)[0]]
     got = mixing_lm.scored(frame(spark, rows), fold("doc_id", 7) != 2).collect()

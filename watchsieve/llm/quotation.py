@@ -3,8 +3,8 @@
 A line's quote level is the number of > before it. Lines of one level in a row are a passage. Passages and their single
 lines, with white space and A-Z made alike, are hashed; what a message says itself (level 0) is indexed by the first
 message of the conversation that says it, one row for each hash, so a line that a third of all messages share joins to one
-row. A message replies to the earlier message from which its level-1 quotes take most characters (the earliest of equals).
-Threads come from following replies back, in steps that double.
+row. Quotes of every level are joined to the message that said them; links() returns them. A message replies to the earlier
+message from which its quotes take most characters (the earliest of equals), by the shallowest level that finds one. Threads come from following replies back, in steps that double.
 
 Defined results: null text counts as empty, and stays with empty text; a quote of nothing known, or of a later message,
 links nothing; without a link a message is its own thread of depth 0; lines such as "On ... wrote:" right before a quote
@@ -51,17 +51,27 @@ def units(rows: DataFrame) -> DataFrame:
     return each.select("conv_id", "turn", "level", "alike").union(joined).withColumn("hash", F.xxhash64("alike"))
 
 
+def _found(rows: DataFrame) -> DataFrame:
+    """rows: of messages(). conv_id, turn, level, alike and source of each quoted line and passage that an earlier message said itself."""
+    quoting = rows.filter("exists(lines, x -> x rlike '^ ?>') AND conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", "text", "lines")
+    quotes = stored(units(quoting).filter("level > 0").select("conv_id", "turn", "level", "hash", "alike").distinct(), "quotes")
+    # only conversations that quote need an index of what they say
+    sources = rows.join(quotes.select("conv_id").distinct(), "conv_id", "left_semi").select("conv_id", "turn", "text", "lines")
+    said = units(sources).filter("level = 0").groupBy("conv_id", "hash", "alike").agg(F.min("turn").alias("source"))
+    return quotes.join(said.repartition(rows.sparkSession.sparkContext.defaultParallelism), ["conv_id", "hash", "alike"]).filter("source < turn").select("conv_id", "turn", "level", "alike", "source")
+
+
+def links(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """conv_id, turn, level, source (the first turn that said it) and alike (the words) of each quoted line and passage, by level."""
+    return _found(messages(df, conv_col, turn_col, role_col, text_col))
+
+
 def linked(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """conv_id, turn, role, reply_to, thread (the turn it goes back to), depth, max_level and clean_text of each row; a conversation in reply order is its rows by thread and turn."""
     rows = messages(df, conv_col, turn_col, role_col, text_col)
     marked = rows.withColumn("max_level", F.expr("aggregate(lines, 0, (a, x) -> greatest(a, length(replace(regexp_extract(x, '" + MARK + "', 1), ' ', ''))))"))
-    quoting = marked.filter("max_level > 0 AND conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", "text", "lines")
-    quotes = stored(units(quoting).filter("level = 1").select("conv_id", "turn", "hash", "alike").distinct(), "quotes")
-    # only conversations that quote need an index of what they say
-    sources = rows.join(quotes.select("conv_id").distinct(), "conv_id", "left_semi").select("conv_id", "turn", "text", "lines")
-    said = units(sources).filter("level = 0").groupBy("conv_id", "hash", "alike").agg(F.min("turn").alias("source"))
-    found = quotes.join(said.repartition(df.sparkSession.sparkContext.defaultParallelism), ["conv_id", "hash", "alike"]).filter("source < turn")
-    best = found.groupBy("conv_id", "turn", "source").agg(F.sum(F.length("alike")).alias("weight")).groupBy("conv_id", "turn").agg(F.min(F.struct((-F.col("weight")).alias("w"), "source")).alias("b"))
+    by_level = _found(rows).groupBy("conv_id", "turn", "level", "source").agg(F.sum(F.length("alike")).alias("weight"))
+    best = by_level.groupBy("conv_id", "turn").agg(F.min(F.struct("level", (-F.col("weight")).alias("w"), "source")).alias("b"))
     replies = stored(best.select("conv_id", "turn", F.col("b.source").alias("reply_to")), "replies")
     ways = replies.select("conv_id", "turn", F.col("reply_to").alias("thread"), F.lit(1).alias("depth"))
     open_ = replies.count()
