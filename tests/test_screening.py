@@ -200,3 +200,18 @@ def test_registered(spark):
     register(spark)
     r = spark.sql("SELECT jaro_winkler('MARTHA', 'MARHTA') AS w, osa_distance('ab', 'ba') AS o, nysiis_codes('KNIGHT') AS n, org_score('ACME LIMITED', 'ACME LIMITED').passed AS p").first()
     assert (round(r.w, 4), r.o, r.n, r.p) == (0.9611, 1, ["NAGT"], True)
+
+
+def test_legacy_queries_take_whole_tables(spark, tmp_path):
+    """Whatever the ids, each person is compared with each, as in a plain loop over all pairs."""
+    from watchsieve.plans.queries import QUERIES
+
+    names = ["Ivan Petrov", "Anna Maria", "Ivan Sidorov", "Olga Petrov", "Anna Schmidt", "Karl Weber"]
+    spark.createDataFrame([(3 + 7 * i, f"{n} and more") for i, n in enumerate(names)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    who = {3 + 7 * i: n.split() for i, n in enumerate(names)}
+    got = {q: QUERIES[q](spark, str(tmp_path)).collect() for q in ("m15_compare_names", "x15_legacy_detail", "a4_w4_a7_legacy_summary", "j14_j15_name_candidates")}
+    alike = lambda part: {(a, b) for a in who for b in who if who[a][part] == who[b][part]}
+    pairs = {q: {(r.principal_id if "principal_id" in r else r.given_id, r.uid) for r in rows} for q, rows in got.items() if q != "a4_w4_a7_legacy_summary"}
+    assert pairs["x15_legacy_detail"] >= alike(0) | alike(1) and pairs["j14_j15_name_candidates"] >= alike(0)
+    assert pairs["m15_compare_names"] >= alike(0) & alike(1)
+    assert {r.principal_id for r in got["a4_w4_a7_legacy_summary"]} == set(who)

@@ -184,8 +184,8 @@ def m14_compare_pair(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def m15_compare_names(s: SparkSession, d: str) -> DataFrame:
-    g = samples.people(s, d).filter("doc_id % 50 = 2").select(F.col("doc_id").alias("given_id"), F.col("fn").alias("first_name"), F.lit(None).cast("string").alias("middle_name"), F.col("ln").alias("last_name"), F.lit(None).cast("string").alias("org_name"))
-    return legacy.compare_names(g, samples.people(s, d).filter("doc_id % 5 = 0").select(F.col("doc_id").alias("uid"), F.col("fn").alias("first_name"), F.col("ln").alias("last_name")))
+    g = samples.people(s, d).select(F.col("doc_id").alias("given_id"), F.col("fn").alias("first_name"), F.lit(None).cast("string").alias("middle_name"), F.col("ln").alias("last_name"), F.lit(None).cast("string").alias("org_name"))
+    return legacy.compare_names(g, samples.people(s, d).select(F.col("doc_id").alias("uid"), F.col("fn").alias("first_name"), F.col("ln").alias("last_name")))
 
 
 @query()
@@ -409,13 +409,14 @@ def x14_j9_non_passing(s: SparkSession, d: str) -> DataFrame:
 
 def _legacy(s: SparkSession, d: str):
     p = samples.people(s, d)
-    given = p.filter("doc_id % 20 = 2").select(F.col("doc_id").alias("principal_id"), F.col("fn").alias("first_name"), F.lit(None).cast("string").alias("middle_name"), F.col("ln").alias("last_name"), F.lit(None).cast("string").alias("org_name"))
-    return given, p.filter("doc_id % 5 = 0").select(F.col("doc_id").alias("uid"), F.col("fn").alias("first_name"), F.col("ln").alias("last_name"))
+    given = p.select(F.col("doc_id").alias("principal_id"), F.col("fn").alias("first_name"), F.lit(None).cast("string").alias("middle_name"), F.col("ln").alias("last_name"), F.lit(None).cast("string").alias("org_name"))
+    return given, p.select(F.col("doc_id").alias("uid"), F.col("fn").alias("first_name"), F.col("ln").alias("last_name"))
 
 
 @query(f"WITH {PEOPLE} SELECT a.doc_id AS principal_id, b.doc_id AS uid, 'Matched on Last_Name' AS match_field FROM people a JOIN people b ON lower(a.ln) = lower(b.ln) WHERE a.doc_id % 20 = 2 AND b.doc_id % 5 = 0 UNION ALL SELECT a.doc_id, b.doc_id, 'Matched on First_Name' FROM people a JOIN people b ON lower(a.fn) = lower(b.fn) WHERE a.doc_id % 20 = 2 AND b.doc_id % 5 = 0")
 def j13_direct_hits(s: SparkSession, d: str) -> DataFrame:
-    return legacy.hits(*_legacy(s, d)).filter("method = 'Direct'").select("principal_id", "uid", F.col("label").alias("match_field"))
+    given, listed = _legacy(s, d)  # its SQL takes these ids
+    return legacy.hits(given.filter("principal_id % 20 = 2"), listed.filter("uid % 5 = 0")).filter("method = 'Direct'").select("principal_id", "uid", F.col("label").alias("match_field"))
 
 
 @query()
@@ -431,7 +432,7 @@ def a4_w4_a7_legacy_summary(s: SparkSession, d: str) -> DataFrame:
 @query()
 def j14_j15_name_candidates(s: SparkSession, d: str) -> DataFrame:
     p = samples.people(s, d)
-    return legacy.name_candidates(p.filter("doc_id % 20 = 2").select(F.col("doc_id").alias("given_id"), F.col("fn").alias("name")), p.filter("doc_id % 5 = 0").select(F.col("doc_id").alias("uid"), F.col("fn").alias("name")))
+    return legacy.name_candidates(p.select(F.col("doc_id").alias("given_id"), F.col("fn").alias("name")), p.select(F.col("doc_id").alias("uid"), F.col("fn").alias("name")))
 
 
 @query(
