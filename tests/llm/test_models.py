@@ -8,7 +8,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from watchsieve.llm import catalog, license_scan, mixing_lm, quality, quotation, toxicity
+from watchsieve.llm import catalog, license_scan, quality, quotation, toxicity
 from watchsieve.llm.common import fold, fold_of
 
 from .conftest import frame
@@ -165,131 +165,6 @@ def test_nested_quotes(spark):
     )
 
 
-def test_language_model(spark, awkward, empty):
-    rows = awkward + [(1000 + i, t) for i, t in corpus(3, 60)[0]]
-    got = mixing_lm.scored(frame(spark, rows), fold("doc_id", 7) != 2).collect()
-    tokens = lambda t: [*(t or "").encode().lower().split(), None]
-    counts = collections.Counter(w for i, t in rows if fold_of(i, 7) != 2 for w in tokens(t))
-    n, v = sum(counts.values()), len(counts)
-    want = sorted((str(i), len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens(t)), 6)) for i, t in rows)
-    assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-    assert all(r.score < 0 and r.train == (fold_of(r.doc_id, 7) != 2) for r in got)
-    assert len({r.score for r in got if r.doc_id == 5}) == 1
-    assert mixing_lm.scored(empty).count() == 0
-
-
-def test_word_hashes():
-    rng = random.Random(8)
-    texts = [b"", b" \t", b"a", b" a  b\x0bc\x0c", "Ünï cödé".encode(), b"x" * 500, b"\x00a \x00a\x00 a\x00"] + [" ".join("".join(rng.choice("abAB") for _ in range(rng.randint(1, 90))) for _ in range(rng.randint(0, 40))).encode() for _ in range(50)]
-    got = mixing_lm.word_hashes(texts)
-    words = [t.lower().split() for t in texts]
-    assert [len(x) for x in got] == [len(w) for w in words]
-    pairs = {(w, int(h)) for ws, hs in zip(words, got, strict=True) for w, h in zip(ws, hs, strict=True)}
-    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
-    assert mixing_lm.word_hashes([]) == []
-
-
-def test_probabilities_add_up():
-    """Over all next bytes, the probabilities of what follows a text sum to one; and scores do not depend on the company."""
-    rng = np.random.default_rng(1)
-    counts = rng.integers(0, 50, (256, 256)).astype(float)
-    code = mixing_lm.Code(counts)
-    tables = rng.integers(-60, 60, (mixing_lm.ORDERS, 1 << 14)).astype(np.int8)
-    weights = rng.normal(0.3, 0.2, (mixing_lm.GATES, mixing_lm.ORDERS))
-    start = b"the quick"
-    base, _ = mixing_lm.mixed([start], code, tables, weights)
-    each, _ = mixing_lm.mixed([start + bytes([x]) for x in range(256)], code, tables, weights)
-    assert abs((10 ** (each - base[0])).sum() - 1) < 1e-3
-    texts = [bytes(rng.integers(97, 110, n).astype(np.uint8)) for n in (5, 3000, 1, 1024, 2500)]
-    together, _ = mixing_lm.mixed(texts, code, tables, weights)
-    assert np.allclose(together, [mixing_lm.mixed([t], code, tables, weights)[0][0] for t in texts], rtol=1e-9, atol=1e-9)
-
-
-def test_model_learns():
-    docs = [mixing_lm.normalised(t.encode()) for _, t in corpus(5, 120)[0]]
-    x = mixing_lm.flat(docs)[0]
-    counts = np.bincount(mixing_lm.before(x) << 8 | x, minlength=1 << 20).reshape(16, 256, 256).astype(float)
-    code, table = mixing_lm.Code(counts), np.zeros((mixing_lm.ORDERS, 2, 1 << 14), np.uint32)
-    mixing_lm.counted(docs[:100], code, 14, table)
-    before, _ = mixing_lm.mixed(docs[100:], code, np.zeros((mixing_lm.ORDERS, 1 << 14), np.int8), np.full((mixing_lm.GATES, mixing_lm.ORDERS), 0.4))
-    after, _ = mixing_lm.mixed(docs[100:], code, mixing_lm.odds(table), np.full((mixing_lm.GATES, mixing_lm.ORDERS), 0.4))
-    assert after.sum() > 0.8 * before.sum()
-
-
-def test_short_texts_are_refined():
-    """The gated weights change from the start of a text: wrong weights cost less than without refinement, and each gate has its own."""
-    docs = [mixing_lm.normalised(t.encode()) for _, t in corpus(5, 120)[0]]
-    x = mixing_lm.flat(docs)[0]
-    code = mixing_lm.Code(np.bincount(mixing_lm.before(x) << 8 | x, minlength=1 << 20).reshape(16, 256, 256).astype(float))
-    table = np.zeros((mixing_lm.ORDERS, 2, 1 << 14), np.uint32)
-    mixing_lm.counted(docs, code, 14, table)
-    tables, weights = mixing_lm.odds(table), np.full((mixing_lm.GATES, mixing_lm.ORDERS), -0.2)
-    short = [d[:1000] for d in docs]
-    fixed, _ = mixing_lm.mixed(short, code, tables, weights, rate=0)
-    own, _ = mixing_lm.mixed(short, code, tables, weights)
-    assert all(own > fixed) and own.sum() > 0.9 * fixed.sum()
-    bits = 4 * mixing_lm.STRIDE  # by hand, one text and one gate after the other
-    rng = np.random.default_rng(3)
-    bit, gate = rng.integers(0, 2, bits).astype(np.uint8), rng.integers(0, mixing_lm.GATES, bits).astype(np.uint8)
-    logits = [rng.integers(-50, 50, bits).astype(np.int8) for _ in range(mixing_lm.ORDERS)]
-    w, want = weights.copy(), 0.0
-    for at in range(0, bits, mixing_lm.STRIDE):
-        change = np.zeros_like(w)
-        for i in range(at, at + mixing_lm.STRIDE):
-            odds = np.array([x[i] for x in logits]) * float(mixing_lm.STEP)
-            error = bit[i] - 1 / (1 + math.exp(-float(np.clip(w[gate[i]] @ odds, -11, 11))))
-            want += math.log(1 - abs(error))
-            change[gate[i]] += mixing_lm.RATE * error * odds
-        w += change
-    assert abs(mixing_lm.refined(bit, gate, logits, np.array([0, bits]), weights)[0] - want) < 1e-3
-
-
-def test_every_slot_is_answered(spark):
-    """What the shards answer to each lot is what counting all of it in one place gives, however many lots there are."""
-    docs = [(i, t, i % 3 > 0) for i, t in corpus(9, 60)[0]]
-    rows = spark.createDataFrame(docs, "doc_id bigint, text string, train boolean").repartition(3)
-    code = mixing_lm.Code(np.ones((256, 256)))
-    lots = mixing_lm.lots_of(rows, 3000)
-    got = mixing_lm.answered(lots, code, 36, 20).collect()
-    assert len(got) > 6
-    seen, counts = [], collections.defaultdict(lambda: [0, 0])
-    for row in got:
-        lot = mixing_lm._lot(bytes(row.blob))
-        seen += lot.docs
-        for text, some in zip(lot.data, lot.train, strict=True):
-            _, bit, _, slots = mixing_lm.bits_of([text], code, 36)
-            for s in slots:
-                for x, one in zip(s.tolist(), bit.tolist(), strict=True):
-                    counts[x][one] += some
-    assert sorted(seen) == list(range(60)) and len(counts) > 1 << 14
-    for row in got:
-        lot, model = mixing_lm._lot(bytes(row.blob)), mixing_lm.Model(code, 36, np.zeros((mixing_lm.GATES, mixing_lm.ORDERS)))
-        _, _, _, slots = mixing_lm.bits_of(lot.data, code, 36)
-        _, _, _, logits = model.predictions(lot, [bytes(x) for x in row.odds])
-        for s, x in zip(slots, logits, strict=True):
-            want = np.array([counts[k] for k in s.tolist()], float) + 0.1
-            assert np.abs(np.clip(np.log(want[:, 1] / want[:, 0]) / mixing_lm.STEP, -127, 127) - x).max() < 0.51
-        own = collections.defaultdict(lambda: [0, 0])
-        for text, some in zip(lot.data, lot.train, strict=True):
-            _, bit, _, each = mixing_lm.bits_of([text], code, 36)
-            for s in each:
-                for x, one in zip(s.tolist(), bit.tolist(), strict=True):
-                    own[x][one] += some
-        _, _, _, others = model.predictions(lot, [bytes(x) for x in row.others])
-        for s, x in zip(slots, others, strict=True):
-            want = np.array([np.subtract(counts[k], own[k]) for k in s.tolist()], float) + 0.1
-            assert np.abs(np.clip(np.log(want[:, 1] / want[:, 0]) / mixing_lm.STEP, -127, 127) - x).max() < 0.51
-
-
-def test_every_training_text_counts(spark):
-    """Whichever ids the rows have, all texts count and all fit the weights, so the scores add up to nearly the same; lots differ a little."""
-    docs = [t for _, t in corpus(12, 160)[0]]
-    bits = lambda rows: sum(r.score for r in mixing_lm.scored(frame(spark, rows)).collect())
-    distinct = bits(list(enumerate(docs)))
-    for same in (None, 2, 3):
-        assert abs(bits([(same, t) for t in docs]) / distinct - 1) < 0.005
-
-
 def test_pipeline(spark, tmp_path, awkward):
     import corpus_pipeline
 

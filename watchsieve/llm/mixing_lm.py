@@ -7,19 +7,23 @@ the three bytes before, the five bytes before, and the word so far. Their log od
 selects by the position in the word and in the code; the sum's logistic is the bit's probability. The bits' logarithms add
 up to the text's probability, and over its bytes to bits per byte.
 
-The tables have more slots the more text there is, without a bound, and most slots are empty, so that few contexts share
-one. No task holds a table: texts go in lots, a lot sends the slots it meets and their counts to shards by slot, and each
-shard answers every lot with the log odds of just those slots. Counts come from every text that may be learnt from. All of
-these also fit the weights, each lot predicted from the counts of the other lots alone, so that the weights know how far to
-trust counts from other texts. Each text then starts from those weights and, after every STRIDE bits from its start, changes
-the weights of the gates that these used by the error of their predictions; nothing passes from one text to another.
-
-The unigram base counts every word of the training texts exactly. Words move as packed hashes (a hash and its count for
-each task and text, in parts by hash), are counted where they meet, and come back as one sum for each text and part.
+The tables have SLOTS slots for each byte of text, without a bound, and no task holds one: texts go in lots, a lot sends the
+distinct slots it meets with their counts to shards by slot, and each shard answers every lot with the state (the counts in
+a byte) of just those slots. Most events of a lot repeat: a byte with the five before it, or with the word so far, makes the
+same bits and slots each time, so slots are made once for each distinct one. Counts come from every text that may be learnt
+from. All their bits also fit the weights, each predicted from the counts without itself; the fit is a logistic regression
+over a table of how often which predictions met which bit, so it doesn't depend on how texts are dealt. Each text then starts
+from those weights and, after every STRIDE bits from its start (later, after a 32nd of what was read), changes the weights of
+the gates that these used by the error of their predictions; nothing passes from one text to another. A text over SEGMENT bytes goes in segments, cut at white space,
+which see the bytes before them and are refined each from its own start, so that memory is bounded by a lot.
+
+The unigram base counts every word of the training texts exactly: a lot asks for the counts of its distinct words as it does
+for slots.
 
 Defined results: null text counts as empty; an empty text is the end alone, which is counted as a token; repeated rows get
 a row each, and each counts in training; a null id belongs to the fold of the empty string; without any training text the
-base is that of an empty vocabulary (N and V are 0); an empty table gives an empty result; other columns are not read.
+base is that of an empty vocabulary (N and V are 0) and weights are START; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from __future__ import annotations
 import heapq
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +44,12 @@ from pyspark.sql import functions as F
 from .common import as_bytes, documents, dropped, fold, map_batches, stored, texts
 
 ORDERS, GATES = 3, 32
-#: Slots that the predictors share, as a power of two: at least SLOTS for a byte of text. Bytes of text in a lot, the least lots there are, and bytes that are bits at a time.
-LEAST_BITS, SLOTS = 20, 96
-LOT, LEAST_LOT, LOTS, PIECE = 2 << 20, 1 << 12, 64, 1 << 18
-CODE_SHARE = 64
-STRIDE, RATE, FOLLOW = 32, 0.02, 1 << 18
-STEP = np.float32(0.09)
-GATHER, PART_BYTES = 600_000, 24 << 20
-GAP = 8  # zero bytes before each text, so that no context reaches into another
+#: Slots that the predictors share for each byte of text (rounded up to a power of two), at least 2 ** LEAST_BITS.
+LEAST_BITS, SLOTS = 24, 16
+#: Bytes of text in a lot, in a segment, and in a piece, which is as bits at a time. Bytes of text for each task that answers or scores.
+LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, PART_BYTES = 12 << 20, 1 << 16, 24, 1 << 18, 1 << 19, 24 << 20
+STRIDE, RATE, START = 32, 0.02, 0.4
+GAP = 8  # bytes before each segment, zeros or what the text has there, so that no context reaches into another text
 _K = np.array([0x9E3779B97F4A7C15, 0x85EBCA77C2B2AE63, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5, 0x165667B19E3779F9], np.uint64)
 
 
@@ -55,6 +57,16 @@ def normalised(text: bytes) -> bytes:
     return b" ".join(text.lower().split()) + b"\0"
 
 
+def segments(text: bytes, most: int = SEGMENT) -> list[bytes]:
+    """A normalised text in parts of at most `most` bytes, cut after a space unless a word is longer than that."""
+    out, at = [], 0
+    while len(text) - at > most:
+        cut = text.rfind(b" ", at, at + most) + 1 or at + most
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
 def _huffman(counts: np.ndarray) -> tuple[list[int], list[int]]:
     """Length and bits of the code word of each of 256 bytes (Huffman, 1952)."""
     heap = [(float(c) * 65536 + 1, k, k) for k, c in enumerate(counts.tolist())]
@@ -103,27 +115,18 @@ class Code:
             self.node[at] = ((bits[some] >> rest) + (1 << k)).astype(np.uint64) * _K[0]
             self.nth[at] = min(k, 3)
 
-    def numbers(self, b: np.ndarray) -> np.ndarray:
-        """For each byte of a flat array, which code word it is."""
-        out = self.context.take(before(b))
-        out <<= 8
-        out |= b
-        return out
-
-
-def before(b: np.ndarray) -> np.ndarray:
-    """The byte before each byte, and above it the low four bits of the one before that."""
-    out = np.zeros(len(b), np.int64)
-    out[1:] = b[:-1]
-    out[2:] |= (b[:-2] & 15).astype(np.int64) << 8
-    return out
+    def numbers(self, three: np.ndarray) -> np.ndarray:
+        """Which code word a byte is: three has it in the lowest byte, and above it the two before."""
+        three = three.astype(np.int64)
+        return self.context.take(three >> 8 & 0xFFF) << 8 | three & 255
 
 
-def flat(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts in one array with GAP zeros before each; where each starts, and ends."""
+def flat(data: list[bytes], before: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All segments in one array with GAP bytes before each; where each starts, and ends."""
     size = np.array([len(x) for x in data], np.int64) + GAP
     ends = np.cumsum(size)
-    return np.frombuffer(b"".join(x for d in data for x in (bytes(GAP), d)), np.uint8), ends - size + GAP, ends
+    gaps = [x.rjust(GAP, b"\0") for x in before] if before else [bytes(GAP)] * len(data)
+    return np.frombuffer(b"".join(x for g, d in zip(gaps, data, strict=True) for x in (g, d)), np.uint8), ends - size + GAP, ends
 
 
 _powers: list[np.ndarray] = []
@@ -136,95 +139,235 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def contexts(b: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each byte of a flat array the hashes of its contexts, and its position in the word, up to 7."""
+def contexts(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each byte of a flat array: itself and the five before it, in 48 bits; the hash of the word so far; its position in the word, up to 7."""
     n = len(b)
-    x = b.astype(np.uint64)
-    three = np.zeros(n, np.uint64)
-    for k in (1, 2, 3):
-        three[k:] |= x[:-k] << np.uint64(8 * (k - 1))
-    five = three.copy()
-    five[2:] |= three[:-2] >> np.uint64(8) << np.uint64(24)  # the bytes four and five before
+    six = b.astype(np.uint64)
+    x = six.copy()
+    for k in range(1, 6):
+        six[k:] |= x[:-k] << np.uint64(8 * k)
     at = np.arange(n, dtype=np.int32)
     start = np.zeros(n, np.int32)  # of the word that a byte stands in, or would go on
     start[1:] = np.maximum.accumulate(np.where((b == 32) | (b == 0), at + 1, 0))[:-1]
     power, inverse = _power(n + 1)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((x + np.uint64(1)) * power[:n], dtype=np.uint64, out=total[1:])
-    word = (total[:n] - total[start]) * inverse[start]
-    out = []
-    for h, k in ((three + np.uint64(1), _K[1]), (five + np.uint64(3), _K[2]), (word + np.uint64(7), _K[3])):
-        h *= k
-        h ^= h >> np.uint64(31)
-        h *= _K[0]
-        h ^= h >> np.uint64(29)
-        out.append(h)
-    return out, np.minimum(at - start, 7).astype(np.uint8)
-
-
-def events(number: np.ndarray, hashes: list[np.ndarray], code: Code, table_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """How many bits each byte is; each bit's byte, its place in the code's arrays, and its slots. Every byte is at least one bit."""
-    length = code.length.take(number)
-    ends = np.cumsum(length)
-    which = np.zeros(int(ends[-1]) if len(ends) else 0, np.intp)  # the byte of each bit
-    which[ends[:-1]] = 1
-    np.cumsum(which, out=which)
-    place = (code.start.take(number) - ends + length).take(which)
-    place += np.arange(len(place))
-    node, slots = code.node.take(place), []
-    for h in hashes:
-        slot = h.take(which)
-        slot += node
-        slot *= _K[4]
-        slot ^= slot >> np.uint64(32)
-        slot *= _K[2]
-        slot >>= np.uint64(64 - table_bits)
-        slots.append(slot)
-    return length, which, place, slots
-
-
-def within(b: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Which bytes of a flat array are not in a gap."""
-    inside = np.ones(len(b), bool)
-    for k in range(1, GAP + 1):
-        inside[starts - k] = False
-    return inside
-
-
-def counted(data: list[bytes], code: Code, table_bits: int, into: np.ndarray) -> None:
-    """Adds the bits of all texts to the counts, ORDERS x 2 x slots."""
-    b, starts, _ = flat(data)
-    hashes, _ = contexts(b)
-    inside = within(b, starts)
-    _, _, place, slots = events(code.numbers(b)[inside], [h[inside] for h in hashes], code, table_bits)
-    high = code.bit.take(place).astype(np.uint64) << np.uint64(table_bits)
-    for k, slot in enumerate(slots):
-        np.add.at(into[k].reshape(-1), slot | high, np.uint32(1))
-
-
-def odds(counts: np.ndarray) -> np.ndarray:
-    """Log odds of a one in each slot, in steps of STEP; near 0 where little was counted."""
-    c = counts.astype(np.float32)
-    return np.clip(np.rint(np.log((c[:, 1] + np.float32(0.1)) / (c[:, 0] + np.float32(0.1))) / STEP), -127, 127).astype(np.int8)
-
-
-def refined(bit: np.ndarray, gate: np.ndarray, logits: list[np.ndarray], first: np.ndarray, weights: np.ndarray, rate: float = RATE) -> np.ndarray:
-    """Natural log probability of each text, whose bits begin at first (one more than texts); logits in steps of STEP. All texts take a stride at a time together."""
+    x += np.uint64(1)
+    x *= power[:n]
+    np.cumsum(x, dtype=np.uint64, out=total[1:])
+    word = total[:n] - total.take(start)
+    word *= inverse.take(start)
+    return six, word, np.minimum(at - start, 7).astype(np.uint8)
+
+
+def _hash(x: np.ndarray, k: int) -> np.ndarray:
+    h = x * _K[k]
+    h ^= h >> np.uint64(31)
+    h *= _K[0]
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def encoded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each value which distinct one it is, and the distinct values."""
+    made = pa.array(x).dictionary_encode()
+    return np.asarray(made.indices), np.asarray(made.dictionary)
+
+
+def distinct(slots: np.ndarray) -> np.ndarray:
+    """In order, once each; sorts its argument."""
+    slots.sort()
+    return slots[np.concatenate([[True], slots[1:] != slots[:-1]])] if len(slots) else slots
+
+
+def places(known: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Where in known, distinct and in order, each slot is; all are there."""
+    if not len(slots):
+        return np.zeros(0, np.intp)
+    least = known[0]
+    span = int(known[-1] - least).bit_length()
+    top = min(span, len(known).bit_length() + 1)
+    shift = np.uint64(span - top)
+    start = np.zeros((1 << top) + 1, np.intp)
+    np.cumsum(np.bincount(((known - least) >> shift).astype(np.intp), minlength=1 << top), out=start[1:])
+    at = start.take(((slots - least) >> shift).astype(np.intp))
+    wrong = np.flatnonzero(known.take(at) != slots)
+    while len(wrong):
+        at[wrong] += 1
+        wrong = wrong[known.take(at[wrong]) != slots[wrong]]
+    return at
+
+
+# states: what is known of a slot, in a byte
+
+_FEW, _STEP = 14, 0.12
+
+
+def _states() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The state of each pair of few counts; the log odds of each state; and without one zero, or one one, that was counted."""
+    value = lambda zeros, ones: np.log((ones + 0.1) / (zeros + 0.1))
+    number, logit, without = np.zeros((_FEW + 1, _FEW + 1), np.uint8), np.zeros(256, np.float32), np.zeros((256, 2), np.float32)
+    pairs = [(a, b) for a in range(_FEW + 1) for b in range(_FEW + 1 - a)]
+    for k, (a, b) in enumerate(pairs):
+        number[a, b], logit[k], without[k] = k, value(a, b), (value(max(0, a - 1), b), value(a, max(0, b - 1)))
+    rest = np.arange(256 - len(pairs)) - (256 - len(pairs)) // 2
+    logit[len(pairs) :] = rest * _STEP
+    without[len(pairs) :] = (rest * _STEP)[:, None]
+    return number, logit, without
+
+
+PAIR, LOGIT, WITHOUT = _states()
+MANY = 256 - (_FEW + 1) * (_FEW + 2) // 2  # states of more counts, by their log odds
+
+
+def states(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    few = zeros + ones <= _FEW
+    steps = np.rint(np.log((ones + np.float32(0.1)) / (zeros + np.float32(0.1))) / _STEP)
+    out = (np.clip(steps, -(MANY // 2), MANY - MANY // 2 - 1) + (256 - MANY + MANY // 2)).astype(np.uint8)
+    out[few] = PAIR[zeros[few], ones[few]]
+    return out
+
+
+@dataclass
+class Lot:
+    """Segments of texts as they are scored: for each its text's id and number, whether it may be learnt from, what stands before it, whether it is the text's last, and the hashes of its words where they can't be read off it."""
+
+    docs: list[int | None] = field(default_factory=list)
+    numbers: list[int] = field(default_factory=list)
+    train: list[bool] = field(default_factory=list)
+    before: list[bytes] = field(default_factory=list)
+    data: list[bytes] = field(default_factory=list)
+    last: list[bool] = field(default_factory=list)
+    words: list[np.ndarray | None] = field(default_factory=list)
+
+    def word_hashes(self) -> list[np.ndarray]:
+        read = word_hashes([b"" if w is not None else d[:-1] if end else d for d, w, end in zip(self.data, self.words, self.last, strict=True)])
+        return [r if w is None else w for r, w in zip(read, self.words, strict=True)]
+
+
+class Events:
+    """The bits of a lot: its distinct six bytes, four bytes, and words so far with a byte, and which of them each byte is."""
+
+    def __init__(self, lot: Lot, code: Code, table_bits: int) -> None:
+        sixes, words, self.depth, counts = [], [], [], []
+        for at, group in _groups(lot.data, PIECE):
+            some = slice(at, at + len(group))
+            b, starts, ends = flat(group, lot.before[some])
+            inside = np.ones(len(b), bool)
+            inside[(starts[:, None] - np.arange(1, GAP + 1)).ravel()] = False
+            six, word, depth = (x[inside] for x in contexts(b))
+            self.depth.append(depth)
+            learnt = np.repeat(lot.train[some], ends - starts)
+            which, kinds = encoded(six)
+            sixes.append((which, kinds))
+            of, heads = _with_three(word, six & np.uint64(0xFFFFFF))
+            words.append((of, *heads))
+            counts.append([np.bincount(x[learnt], minlength=n) for x, n in ((which, len(kinds)), (of, len(heads[0])))])
+        which, kinds = encoded(np.concatenate([x[1] for x in sixes]))
+        of, (word, three) = _with_three(np.concatenate([x[1] for x in words]), np.concatenate([x[2] for x in words]))
+        to_four, four = encoded(kinds & np.uint64(0xFFFFFFFF))
+        own = [np.bincount(w, np.concatenate([c[k] for c in counts]), n).astype(np.int64) for k, (w, n) in enumerate(((which, len(kinds)), (of, len(word))))]
+        self.counts = [np.bincount(to_four, own[0], len(four)).astype(np.int64), own[0], own[1]]
+        #: By order: the code word of each distinct one, where its bits begin, and each bit's place in the code's arrays and slot.
+        self.number, self.first, self.place, self.slots = [], [], [], []
+        for h, low in ((_hash((four >> np.uint64(8)) + np.uint64(1), 1), four), (_hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds), (_hash(word + np.uint64(7), 3), three)):
+            number = code.numbers(low & np.uint64(0xFFFFFF))
+            length = code.length.take(number)
+            first = np.cumsum(length) - length
+            place = np.repeat(code.start.take(number) - first, length)
+            place += np.arange(len(place))
+            slot = np.repeat(h, length)
+            slot += code.node.take(place)
+            slot *= _K[4]
+            slot ^= slot >> np.uint64(32)
+            slot *= _K[2]
+            slot >>= np.uint64(64 - table_bits)
+            for into, value in ((self.number, number), (self.first, first), (self.place, place), (self.slots, slot)):
+                into.append(value)
+        #: By piece: the distinct one of each order that each byte is.
+        self.which, i, j = [], 0, 0
+        for (x, n), (y, m, _) in zip(sixes, words, strict=True):
+            six = which[i : i + len(n)].take(x)
+            self.which.append((to_four.take(six), six, of[j : j + len(m)].take(y)))
+            i, j = i + len(n), j + len(m)
+        self.code = code
+
+    def met(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct slots in order, and how many zeros and ones the bits that count gave each."""
+        every = np.concatenate(self.slots)
+        known = distinct(every.copy())
+        at = places(known, every)
+        ones = np.concatenate([self.code.bit.take(p) for p in self.place]) > 0
+        weight = np.concatenate([np.repeat(c, self.code.length.take(n)) for c, n in zip(self.counts, self.number, strict=True)])
+        return known, np.stack([np.bincount(at, np.where(ones, 0, weight), len(known)), np.bincount(at, np.where(ones, weight, 0), len(known))]).astype(np.uint32)
+
+    def predicted(self, found: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """found: the state of each distinct slot in order. For each piece of the lot: how many bits each byte is; and each bit, its gate and the states of its slots."""
+        known = distinct(np.concatenate(self.slots))
+        by = [found.take(places(known, s)) for s in self.slots]
+        lengths = self.code.length.take(self.number[1])
+        begins = self.code.start.take(self.number[1])
+        for (four, six, word), depth in zip(self.which, self.depth, strict=True):
+            length = lengths.take(six)
+            before = np.cumsum(length) - length
+            at = np.arange(int(length.sum()))
+
+            def bits(start: np.ndarray, length: np.ndarray = length, before: np.ndarray = before, at: np.ndarray = at) -> np.ndarray:
+                out = np.repeat(start - before, length)
+                out += at
+                return out
+
+            place = bits(begins.take(six))
+            gate = np.repeat(depth << np.uint8(2), length)
+            gate += self.code.nth.take(place)
+            yield length, self.code.bit.take(place), gate, [s.take(bits(f.take(x))) for s, f, x in zip(by, self.first, (four, six, word), strict=True)]
+
+
+def _with_three(word: np.ndarray, three: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Which distinct pair each is, and the pairs."""
+    for salt in range(1, 100):
+        which, kinds = encoded((word ^ (three * _K[1])) * (_K[2:3] * np.uint64(2 * salt + 1)))
+        one, two = np.zeros(len(kinds), np.uint64), np.zeros(len(kinds), np.uint64)
+        one[which], two[which] = word, three
+        if (one.take(which) == word).all() and (two.take(which) == three).all():
+            return which, (one, two)
+    raise ValueError("pairs can't be told apart")
+
+
+def _groups(data: list[bytes], most: int) -> Iterator[tuple[int, list[bytes]]]:
+    """Segments together until they reach `most` bytes, and the number of the first."""
+    start, size = 0, 0
+    for k, x in enumerate(data):
+        if k > start and size + len(x) > most:
+            yield start, data[start:k]
+            start, size = k, 0
+        size += len(x)
+    if data:
+        yield start, data[start:]
+
+
+def stride_at(t: int) -> int:
+    """Bits from the place t of a segment to the next change of its weights: STRIDE at first, later a part of what was read."""
+    return max(STRIDE, t // 1024 * STRIDE)
+
+
+def refined(bit: np.ndarray, gate: np.ndarray, found: list[np.ndarray], first: np.ndarray, weights: np.ndarray, rate: float = RATE) -> np.ndarray:
+    """Natural log probability of each segment, whose bits begin at first (one more than segments); found: their states. All segments take a stride at a time together."""
     sizes = np.diff(first)
     longest_first = np.argsort(-sizes, kind="stable")  # so that those which go on are the first
     start, size = first[:-1][longest_first], sizes[longest_first]
     n = len(size)
-    own = [np.tile(weights[:, k].astype(np.float32), n) for k in range(ORDERS)]  # by text and gate
-    out, stride = np.zeros(n), np.arange(STRIDE)
-    for t in range(0, int(size[0]) if n else 0, STRIDE):
+    own = [np.tile(weights[:, k].astype(np.float32), n) for k in range(ORDERS)]  # by segment and gate
+    out, t = np.zeros(n), 0
+    while n and t < size[0]:
+        stride = stride_at(t)
         live = int(np.searchsorted(-size, -t))
-        at = (start[:live, None] + t) + stride
-        over = at >= (start[:live] + size[:live])[:, None] if size[live - 1] < t + STRIDE else None
+        at = (start[:live, None] + t) + np.arange(stride)
+        over = at >= (start[:live] + size[:live])[:, None] if size[live - 1] < t + stride else None
         if over is not None:
             np.minimum(at, len(bit) - 1, out=at)
         g = gate.take(at).astype(np.intp)
         g += (np.arange(live) * GATES)[:, None]
-        x = [logits[k].take(at) * STEP for k in range(ORDERS)]
+        x = [LOGIT.take(s.take(at)) for s in found]
         z = own[0].take(g) * x[0]
         for k in range(1, ORDERS):
             z += own[k].take(g) * x[k]
@@ -233,57 +376,64 @@ def refined(bit: np.ndarray, gate: np.ndarray, logits: list[np.ndarray], first:
         if over is not None:
             error[over] = 0
         out[:live] += np.log(1 - np.abs(error)).sum(1, dtype=np.float64)
-        on = int(np.searchsorted(-size, -(t + STRIDE)))  # those that have more bits
+        t += stride
+        on = int(np.searchsorted(-size, -t))  # those that have more bits
         if on and rate:
-            flat_gate = g[:on].ravel()
+            flat_gate, speed = g[:on].ravel(), rate * (STRIDE / stride) ** 0.5
             for k in range(ORDERS):
-                own[k][: on * GATES] += (rate * np.bincount(flat_gate, (error[:on] * x[k][:on]).ravel(), on * GATES)).astype(np.float32)
+                own[k][: on * GATES] += (speed * np.bincount(flat_gate, (error[:on] * x[k][:on]).ravel(), on * GATES)).astype(np.float32)
     back = np.empty(n)
     back[longest_first] = out
     return back
 
 
-def gates(depth: np.ndarray, which: np.ndarray, place: np.ndarray, code: Code) -> np.ndarray:
-    """The gate of each bit: the position of its byte in the word, and its own in the code."""
-    gate = (depth << np.uint8(2)).take(which)
-    gate += code.nth.take(place)
-    return gate
-
-
-def bits_of(data: list[bytes], code: Code, table_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Where each text's bits begin, and the last end; and each bit, its gate and its slots."""
-    b, starts, ends = flat(data)
-    hashes, depth = contexts(b)
-    inside = within(b, starts)
-    length, which, place, slots = events(code.numbers(b)[inside], [h[inside] for h in hashes], code, table_bits)
-    first = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(ends - starts)])]
-    return first, code.bit.take(place), gates(depth[inside], which, place, code), slots
-
-
-def mixed(data: list[bytes], code: Code, tables: np.ndarray, weights: np.ndarray, rate: float = RATE, learn: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-    """log10 probability of each text, refining the weights of each; or, at a speed `learn`, the shared weights after they followed the gradient."""
-    table_bits = int(tables.shape[1]).bit_length() - 1
-    if not data:
-        return np.zeros(0), weights
-    first, bit, gate, slots = bits_of(data, code, table_bits)
-    logits = [tables[k].take(s) for k, s in enumerate(slots)]
-    if learn:
-        return np.zeros(len(data)), followed(bit, gate, logits, weights, learn)
-    return refined(bit, gate, logits, first, weights, rate) / np.log(10), weights
-
-
-def followed(bit: np.ndarray, gate: np.ndarray, logits: list[np.ndarray], weights: np.ndarray, learn: float) -> np.ndarray:
-    """The shared weights after they followed the gradient, FOLLOW bits at a time."""
-    shared = weights.astype(np.float64).copy()
-    for i in range(0, len(bit), FOLLOW):
-        g = gate[i : i + FOLLOW].astype(np.intp)
-        x = [y[i : i + FOLLOW] * STEP for y in logits]
-        z = sum(shared[:, k].astype(np.float32).take(g) * x[k] for k in range(ORDERS))
-        error = bit[i : i + FOLLOW] - 1 / (1 + np.exp(-np.clip(z, -11, 11)))
-        total = np.bincount(g, minlength=GATES) + 200.0
-        for k in range(ORDERS):
-            shared[:, k] += learn * np.bincount(g, error * x[k], GATES) / total
-    return shared
+def scores(lot: Lot, events: Events, found: np.ndarray, weights: np.ndarray, rate: float = RATE) -> np.ndarray:
+    """log10 probability of each segment of a lot."""
+    out = []
+    for (_, group), (length, bit, gate, states_) in zip(_groups(lot.data, PIECE), events.predicted(found), strict=True):
+        ends = np.cumsum([0, *map(len, group)])
+        first = np.concatenate([[0], np.cumsum(length)])[ends]
+        out.append(refined(bit, gate, states_, first, weights, rate) / np.log(10))
+    return np.concatenate(out) if out else np.zeros(0)
+
+
+# the weights: logistic regression over a table of predictions and bits
+
+LEVELS, WIDTH = 13, 1.1
+CELLS = GATES * 2 * LEVELS**ORDERS
+_LEVEL = np.clip(np.rint(WITHOUT / WIDTH) + LEVELS // 2, 0, LEVELS - 1).astype(np.int64)
+
+
+def cells(lot: Lot, events: Events, found: np.ndarray) -> np.ndarray:
+    """How many of the bits that may be learnt from have each gate, value and levels of the three predictions, each without the bit itself."""
+    total = np.zeros(CELLS, np.int64)
+    for (at, group), (length, bit, gate, states_) in zip(_groups(lot.data, PIECE), events.predicted(found), strict=True):
+        learnt = np.repeat(np.repeat(lot.train[at : at + len(group)], [len(x) for x in group]), length)
+        cell = gate.astype(np.int64) * 2 + bit
+        for s in states_:
+            cell *= LEVELS
+            cell += _LEVEL.ravel().take(s.astype(np.int64) * 2 + bit)
+        total += np.bincount(cell[learnt], minlength=CELLS)
+    return total
+
+
+def fitted(total: np.ndarray, steps: int = 25, ridge: float = 10.0) -> np.ndarray:
+    """GATES x ORDERS weights by Newton steps, pulled a little towards START."""
+    by = total.reshape(GATES, 2, -1).astype(float)
+    level = (np.stack(np.unravel_index(np.arange(LEVELS**ORDERS), (LEVELS,) * ORDERS), 1) - LEVELS // 2) * WIDTH
+    weights = np.full((GATES, ORDERS), START)
+    for g in range(GATES):
+        n = by[g].sum(0)
+        some = np.flatnonzero(n)
+        x, ones, all_ = level[some], by[g, 1, some], n[some]
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(x @ weights[g], -11, 11)))
+            grad = x.T @ (ones - all_ * p) - ridge * (weights[g] - START)
+            step = np.linalg.solve((x * (all_ * p * (1 - p))[:, None]).T @ x + ridge * np.eye(ORDERS), grad)
+            weights[g] += step * min(1.0, 0.5 / max(np.abs(step).max(), 1e-12))
+            if np.abs(step).max() < 1e-6:
+                break
+    return weights
 
 
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -317,112 +467,9 @@ def word_hashes(data: list[bytes]) -> list[np.ndarray]:
     return [name[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
-def _uid(doc: int | None, text: bytes) -> int:
-    return int.from_bytes(xxhash.xxh3_64_digest(text, seed=0 if doc is None else (doc * 2 + 1) & 0xFFFFFFFFFFFFFFFF), "little", signed=True)
-
-
-def word_counts(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """docs: doc_id, text, train. A row for each text (uid): the sum of its tokens' log10(c + 1) and how many have c > 0; and the number of distinct training words."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, size
-            if held:
-                name = np.concatenate([x[0] for x in held])
-                times = np.concatenate([x[1] for x in held]).astype(np.uint32)
-                doc = np.repeat(np.arange(len(held), dtype=np.uint32), [len(x[0]) for x in held])
-                uid, train = np.array([x[2] for x in held], np.int64), np.array([x[3] for x in held], np.uint8)
-                order = np.argsort(name)
-                name, times, doc = name[order], times[order], doc[order]
-                part = (((name >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
-                for p, (i, j) in enumerate(zip(*(np.searchsorted(part, np.arange(parts), side) for side in ("left", "right")), strict=True)):
-                    if i < j:
-                        here, local = np.unique(doc[i:j], return_inverse=True)
-                        first = np.flatnonzero(np.concatenate([[True], name[i + 1 : j] != name[i : j - 1]]))
-                        blobs = [name[i:j][first], np.diff([*first, j - i]).astype(np.uint32), local.astype(np.uint32), times[i:j], uid[here], train[here]]
-                        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)], names=["part", "name", "run", "doc", "times", "uid", "train"])
-            held, size = [], 0
-
-        for b in batches:
-            data = as_bytes(b.column("text"))
-            for doc, text, words, train in zip(b.column("doc_id").to_pylist(), data, word_hashes(data), b.column("train").to_pylist(), strict=True):
-                if not len(words):
-                    continue
-                name, times = np.unique(words, return_counts=True)
-                held.append((name, times, _uid(doc, text), train))
-                size += len(name)
-                if size > GATHER:
-                    yield from flush()
-        yield from flush()
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, times, docs_, uids, trains, n = [], [], [], [], [], 0
-        for b in batches:
-            for name, run, doc, count, uid, train in zip(*(b.column(c).to_pylist() for c in ("name", "run", "doc", "times", "uid", "train")), strict=True):
-                names.append(np.repeat(np.frombuffer(name, np.uint64), np.frombuffer(run, np.uint32)))
-                docs_.append(np.frombuffer(doc, np.uint32).astype(np.int64) + n)
-                times.append(np.frombuffer(count, np.uint32))
-                uids.append(np.frombuffer(uid, np.int64))
-                trains.append(np.frombuffer(train, np.uint8))
-                n += len(uids[-1])
-        if not names:
-            return
-        _, kind = np.unique(np.concatenate(names), return_inverse=True)
-        del names
-        doc, count = np.concatenate(docs_), np.concatenate(times).astype(np.float64)
-        c = np.bincount(kind, count * np.concatenate(trains)[doc])[kind]
-        value, known = np.bincount(doc, count * np.log10(c + 1), n), np.bincount(doc, count * (c > 0), n)
-        uid = np.concatenate(uids)
-        to = (uid.view(np.uint64) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        ends = np.searchsorted(to[order], np.arange(parts + 1))
-        vocabulary = len(np.unique(kind[c > 0]))
-        for p in range(parts):
-            some = order[ends[p] : ends[p + 1]]
-            if len(some) or not p:
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([0 if p else vocabulary], pa.int64()), *(pa.array([x[some].tobytes()], pa.binary()) for x in (uid, value, known))], names=["part", "v", "uid", "value", "known"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("v", "uid", "value", "known")), strict=True)]
-        if not rows:
-            return
-        uid, kind = np.unique(np.concatenate([np.frombuffer(r[1], np.int64) for r in rows]), return_inverse=True)
-        value, known = (np.bincount(kind, np.concatenate([np.frombuffer(r[k], np.float64) for r in rows]), len(uid)) for k in (2, 3))
-        columns = [pa.array([*uid.tolist(), None], pa.int64()), pa.array([*value.tolist(), 0.0]), pa.array([*known.astype(int).tolist(), sum(r[0] for r in rows)], pa.int64())]
-        whole = pa.RecordBatch.from_arrays(columns, names=["uid", "value", "known"])
-        for k in range(0, whole.num_rows, 20_000):
-            yield whole.slice(k, 20_000)
-
-    sent = map_batches(docs, send, "part bigint, name binary, run binary, doc binary, times binary, uid binary, train binary")
-    sums = map_batches(sent.repartition(parts, "part"), meet, "part bigint, v bigint, uid binary, value binary, known binary")
-    met = stored(map_batches(sums.repartition(parts, "part"), add, "uid bigint, value double, known bigint"), "words")
-    return met.filter("uid IS NOT NULL"), met.filter("uid IS NULL").agg(F.sum("known").alias("v"))
-
-
-def code_for(docs: DataFrame) -> Code:
-    """Which code is used changes the speed and hardly the scores, so a share of the texts tells enough."""
-
-    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 20, np.int64)
-        for b in batches:
-            if b.num_rows:
-                x = flat([normalised(t) for t in as_bytes(b.column("text"))])[0]
-                total += np.bincount(before(x) << 8 | x, minlength=1 << 20)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], names=["triple", "n"])
-
-    rows = map_batches(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(CODE_SHARE)) == 0).select("text"), met, "triple int, n bigint").groupBy("triple").sum("n").collect()  # 2 ** 20 at most
-    counts = np.zeros(1 << 20)
-    for triple, n in rows:
-        counts[triple] = n
-    return Code(counts.reshape(16, 256, 256))
-
-
 def _packed(x: np.ndarray) -> bytes:
     """Numbers as one plane for each of their bytes, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() if len(x) else b"")
 
 
 def _unpacked(blob: bytes, kind: type) -> np.ndarray:
@@ -430,218 +477,165 @@ def _unpacked(blob: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def distinct(slots: np.ndarray) -> np.ndarray:
-    """In order, once each; sorts its argument."""
-    slots.sort()
-    return slots[np.concatenate([[True], slots[1:] != slots[:-1]])]
-
-
-def met(slots: list[np.ndarray], bit: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct slots in order, and how many zeros and ones the bits that count gave each."""
-    kind = np.where(counts, bit, np.uint8(2)).astype(np.uint64)
-    both = np.concatenate([s << np.uint64(2) | kind for s in slots])
-    both.sort()
-    at = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-    times, both = np.diff(np.append(at, len(both))), both[at]
-    slot, kind = both >> np.uint64(2), both & np.uint64(3)
-    new = np.concatenate([[True], slot[1:] != slot[:-1]])
-    nth, out = np.cumsum(new) - 1, np.zeros((2, int(new.sum())), np.uint32)
-    for k in (0, 1):
-        out[k, nth[kind == k]] = times[kind == k]
-    return slot[new], out
-
-
-def places(known: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """Where in known, distinct and in order, each slot is; all are there."""
-    least = known[0]
-    span = int(known[-1] - least).bit_length()
-    top = min(span, len(known).bit_length() + 1)
-    shift = np.uint64(span - top)
-    start = np.zeros((1 << top) + 1, np.intp)
-    np.cumsum(np.bincount(((known - least) >> shift).astype(np.intp), minlength=1 << top), out=start[1:])
-    at = start.take(((slots - least) >> shift).astype(np.intp))
-    wrong = np.flatnonzero(known.take(at) != slots)
-    while len(wrong):
-        at[wrong] += 1
-        wrong = wrong[known.take(at[wrong]) != slots[wrong]]
-    return at
-
-
-@dataclass
-class Lot:
-    """Some texts as they are scored."""
-
-    docs: list[int | None]
-    train: list[bool]
-    uids: list[int]
-    data: list[bytes]
-
-
-def met_in(lot: Lot, code: Code, table_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """As met, for all texts of a lot, of which only a piece is in bits at a time."""
-    at, each = 0, []
-    for group in _groups(lot.data, PIECE):
-        first, bit, _, slots = bits_of(group, code, table_bits)
-        each.append(met(slots, bit, np.repeat(lot.train[at : at + len(group)], np.diff(first))))
-        at += len(group)
-    slot = distinct(np.concatenate([x[0] for x in each]))
-    n = np.zeros((2, len(slot)), np.uint32)
-    for some, own in each:
-        n[:, places(slot, some)] += own
-    return slot, n
-
-
 def lots_of(rows: DataFrame, most: int) -> DataFrame:
-    """rows: doc_id, text, train. Texts together until they reach `most` bytes."""
+    """rows: doc_id, text, train. Segments together until they reach `most` bytes; and how many texts and tokens that may be learnt from begin in each lot."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, n, lot, size = TaskContext.get().partitionId(), 0, Lot([], [], [], []), 0
+        task, n, number, lot, size, learnt, tokens = TaskContext.get().partitionId(), 0, 0, Lot(), 0, 0, 0
 
         def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([task << 32 | n], pa.int64()), pa.array([-1], pa.int64()), pa.array([zstandard.ZstdCompressor(level=3).compress(pickle.dumps(lot))], pa.binary())], names=["lot", "shard", "blob"])
+            blob = zstandard.ZstdCompressor(level=3).compress(pickle.dumps(lot))
+            return pa.RecordBatch.from_arrays([pa.array([task << 32 | n], pa.int64()), pa.array([-1], pa.int64()), pa.array([blob], pa.binary()), pa.array([learnt], pa.int64()), pa.array([tokens], pa.int64())], names=["lot", "shard", "blob", "learnt", "tokens"])
 
         for b in batches:
             for doc, train, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "train")), as_bytes(b.column("text")), strict=True):
                 text = normalised(raw)
-                if lot.data and size + len(text) > most:
-                    yield made()
-                    n, lot, size = n + 1, Lot([], [], [], []), 0
-                for column, value in zip(vars(lot).values(), (doc, bool(train), _uid(doc, raw), text), strict=True):
-                    column.append(value)
-                size += len(text)
+                parts = segments(text)
+                cut_words = not all(x.endswith(b" ") for x in parts[:-1])
+                at = 0
+                for k, part in enumerate(parts):
+                    if lot.data and size + len(part) > most:
+                        yield made()
+                        n, lot, size, learnt, tokens = n + 1, Lot(), 0, 0, 0
+                    words = None if not cut_words else np.empty(0, np.uint64) if k else word_hashes([text[:-1]])[0]
+                    for column, value in zip(vars(lot).values(), (doc, task << 32 | number, bool(train), text[max(0, at - GAP) : at], part, k == len(parts) - 1, words), strict=True):
+                        column.append(value)
+                    size, at = size + len(part), at + len(part)
+                    if train and not k:
+                        learnt, tokens = learnt + 1, tokens + (text.count(b" ") + 2 if len(text) > 1 else 1)
+                number += 1
         if lot.data:
             yield made()
 
-    return stored(map_batches(rows, gather, "lot bigint, shard bigint, blob binary"), "lots")
+    return stored(map_batches(rows, gather, "lot bigint, shard bigint, blob binary, learnt bigint, tokens bigint"), "lots")
 
 
 def _lot(blob: bytes) -> Lot:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
 
 
+def code_for(lots: DataFrame) -> Code:
+    """The prefix codes that suit all texts: how often each byte follows which two."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 20, np.int64)
+        for b in batches:
+            for blob in b.column("blob"):
+                lot = _lot(blob.as_py())
+                for at, group in _groups(lot.data, PIECE):
+                    x = flat(group, lot.before[at : at + len(group)])[0].astype(np.int32)
+                    x[2:] |= x[1:-1] << 8 | (x[:-2] & 15) << 16  # right to left, all from x as it was
+                    total += np.bincount(x[2:], minlength=1 << 20)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], names=["triple", "n"])
+
+    rows = map_batches(lots.select("blob"), count, "triple int, n bigint").groupBy("triple").sum("n").collect()  # 2 ** 20 at most
+    counts = np.zeros(1 << 20)
+    for triple, n in rows:
+        counts[triple] = n
+    return Code(counts.reshape(16, 256, 256))
+
+
 def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFrame:
-    """lot, blob, and odds: of the distinct slots of each lot in order, in pieces, the log odds from the counts over all lots; and others: those over all lots but this."""
+    """lot, blob, and in pieces: the states of the distinct slots of each lot in order, and how often the texts that may be learnt from have each of its distinct words in order; v adds up to the number of such words."""
     shared = lots.sparkSession.sparkContext.broadcast(code)
     shard_bits = max(5, (2 * parts - 1).bit_length())  # as the tasks that ask grow, so do those that answer
-    shift = np.uint64(table_bits - shard_bits)
+    shift, word_shift = np.uint64(table_bits - shard_bits), np.uint64(64 - shard_bits)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, blob in zip(b.column("lot").to_pylist(), b.column("blob"), strict=True):
                 lot = _lot(blob.as_py())
-                slot, n = met_in(lot, shared.value, table_bits)
-                ends = np.searchsorted(slot >> shift, np.arange(1 << shard_bits, dtype=np.uint64), "right")
-                for k, (i, j) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
-                    if i < j:
-                        step = np.diff(slot[i:j], prepend=np.uint64(k) << shift)
-                        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([k], pa.int64()), pa.array([_packed(step)], pa.binary()), pa.array([_packed(n[:, i:j].ravel())], pa.binary())], names=["lot", "shard", "slots", "n"])
+                slot, n = Events(lot, shared.value, table_bits).met()
+                each = lot.word_hashes()
+                of, word = encoded(np.concatenate(each))
+                times = np.bincount(of, np.repeat(np.array(lot.train, float), [len(x) for x in each]), len(word)).astype(np.uint32)
+                order = np.argsort(word)
+                word, times = word[order], times[order]
+                shards = np.arange(1 << shard_bits, dtype=np.uint64)
+                ends, word_ends = np.searchsorted(slot >> shift, shards, "right"), np.searchsorted(word >> word_shift, shards, "right")
+                for k, (i, j, p, q) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), [0, *word_ends[:-1].tolist()], word_ends.tolist(), strict=True)):
+                    if i < j or p < q:
+                        blobs = (np.diff(slot[i:j], prepend=np.uint64(k) << shift), n[:, i:j].ravel(), np.diff(word[p:q], prepend=np.uint64(k) << word_shift), times[p:q])
+                        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([k], pa.int64()), *(pa.array([_packed(x)], pa.binary()) for x in blobs)], names=["lot", "shard", "slots", "n", "words", "times"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
 
+        def total(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+            """Sums of the counts by key, and of each list the places of its keys."""
+            known = distinct(np.concatenate(keys))
+            sums, at = np.zeros((n[0].shape[0], len(known)), np.int64), []
+            for some, own in zip(keys, n, strict=True):
+                at.append(places(known, some).astype(np.uint32))
+                sums[:, at[-1]] += own
+            return sums, at
+
         def made() -> Iterator[pa.RecordBatch]:
-            slots = np.concatenate([np.cumsum(_unpacked(steps, np.uint64), dtype=np.uint64) + (np.uint64(shard) << shift) for _, steps, _ in held])
-            n = [_unpacked(x, np.uint32).reshape(2, -1) for _, _, x in held]
-            known, end = distinct(slots.copy()), 0
-            total = np.zeros((2, len(known)), np.int64)
-            for own in n:
-                at, end = places(known, slots[end : end + own.shape[1]]), end + own.shape[1]
-                total[:, at] += own
-            end = 0
-            for (number, _, _), own in zip(held, n, strict=True):
-                at, end = places(known, slots[end : end + own.shape[1]]), end + own.shape[1]
-                every = total[:, at]
-                blobs = [_packed(odds(x[None])[0]) for x in (every, every - own)]
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([shard], pa.int64()), *(pa.array([x], pa.binary()) for x in blobs)], names=["lot", "shard", "blob", "other"])
+            keys = [[np.cumsum(_unpacked(row[k], np.uint64), dtype=np.uint64) + (np.uint64(shard) << by) for row in held] for k, by in ((1, shift), (3, word_shift))]
+            counts, at = total(keys[0], [_unpacked(row[2], np.uint32).reshape(2, -1) for row in held])
+            found = states(*counts)
+            times, word_at = total(keys[1], [_unpacked(row[4], np.uint32).reshape(1, -1) for row in held])
+            v = int((times[0] > 0).sum())
+            for k, row in enumerate(held):
+                blobs = (_packed(found.take(at[k])), _packed(times[0].take(word_at[k])))
+                yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), pa.array([shard], pa.int64()), *(pa.array([x], pa.binary()) for x in blobs), pa.array([0 if k else v], pa.int64())], names=["lot", "shard", "blob", "times", "v"])
 
         for b in batches:
-            for number, k, steps, n in zip(b.column("lot").to_pylist(), b.column("shard").to_pylist(), b.column("slots").to_pylist(), b.column("n").to_pylist(), strict=True):
-                if k != shard and held:
+            for row in zip(*(b.column(c).to_pylist() for c in ("lot", "shard", "slots", "n", "words", "times")), strict=True):
+                if row[1] != shard and held:
                     yield from made()
                     held = []
-                shard = k
-                held.append((number, steps, n))
+                shard = row[1]
+                held.append((row[0], *row[2:]))
         if held:
             yield from made()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, blobs, others = None, [], []
+        number, blob, found, times, v = None, None, [], [], 0
 
         def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blobs[0]], pa.binary()), *(pa.array([x[1:]], pa.list_(pa.binary())) for x in (blobs, others))], names=["lot", "blob", "odds", "others"])
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blob], pa.binary()), *(pa.array([x], pa.list_(pa.binary())) for x in (found, times)), pa.array([v], pa.int64())], names=["lot", "blob", "states", "times", "v"])
 
         for b in batches:
-            for lot, blob, other in zip(b.column("lot").to_pylist(), b.column("blob"), b.column("other"), strict=True):
-                if lot != number and blobs:
-                    yield made()
-                    blobs, others = [], []
-                number = lot
-                blobs.append(blob.as_py())
-                others.append(other.as_py())
-        if blobs:
+            for lot, shard, own, count, kinds in zip(b.column("lot").to_pylist(), b.column("shard").to_pylist(), b.column("blob"), b.column("times"), b.column("v").to_pylist(), strict=True):
+                if lot != number:
+                    if number is not None:
+                        yield made()
+                    number, blob, found, times, v = lot, None, [], [], 0
+                if shard < 0:
+                    blob = own.as_py()
+                else:
+                    found.append(own.as_py())
+                    times.append(count.as_py())
+                    v += kinds
+        if number is not None:
             yield made()
 
-    asked = map_batches(lots.select("lot", "blob"), ask, "lot bigint, shard bigint, slots binary, n binary")
-    answers = map_batches(asked.repartition(1 << shard_bits, "shard").sortWithinPartitions("shard"), answer, "lot bigint, shard bigint, blob binary, other binary")
-    return stored(map_batches(lots.withColumn("other", F.lit(None).cast("binary")).union(answers).repartition(parts, "lot").sortWithinPartitions("lot", "shard"), join, "lot bigint, blob binary, odds array<binary>, others array<binary>"), "answered")
+    asked = map_batches(lots.select("lot", "blob"), ask, "lot bigint, shard bigint, slots binary, n binary, words binary, times binary")
+    answers = map_batches(asked.repartition(1 << shard_bits, "shard").sortWithinPartitions("shard", "lot"), answer, "lot bigint, shard bigint, blob binary, times binary, v bigint")
+    whole = lots.select("lot", "shard", "blob", F.lit(None).cast("binary").alias("times"), F.lit(0).cast("bigint").alias("v")).union(answers)
+    return stored(map_batches(whole.repartition(parts, "lot").sortWithinPartitions("lot", "shard"), join, "lot bigint, blob binary, states array<binary>, times array<binary>, v bigint"), "answered")
 
 
-def _groups(data: list[bytes], most: int = 1 << 16) -> Iterator[list[bytes]]:
-    """Texts together until they reach `most` bytes."""
-    group, size = [], 0
-    for x in data:
-        if group and size + len(x) > most:
-            yield group
-            group, size = [], 0
-        group.append(x)
-        size += len(x)
-    if group:
-        yield group
-
+def weights_for(asked: DataFrame, code: Code, table_bits: int) -> np.ndarray:
+    """Weights fitted over every bit that may be learnt from."""
+    shared = asked.sparkSession.sparkContext.broadcast(code)
 
-@dataclass
-class Model:
-    """What is broadcast: the code and the weights."""
-
-    code: Code
-    table_bits: int
-    weights: np.ndarray
-
-    def predictions(self, lot: Lot, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        """As bits_of, with the log odds of each bit's slots."""
-        parts = [bits_of(group, self.code, self.table_bits) for group in _groups(lot.data, PIECE)]
-        known = distinct(np.concatenate([distinct(np.concatenate(p[3])) for p in parts]))
-        value, logits = np.concatenate([_unpacked(x, np.int8) for x in pieces]), []
-        for p in parts:
-            logits.append([value.take(places(known, s)) for s in p[3]])
-            p[3].clear()
-        first = np.cumsum(np.concatenate([[0], *(np.diff(p[0]) for p in parts)]))
-        return first, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), [np.concatenate(x) for x in zip(*logits, strict=True)]
-
-
-def weights_for(lots: DataFrame, model: Model) -> np.ndarray:
-    """Each task lets the weights follow the gradient over its texts; the mean of all tasks', by their bytes."""
-    shared = lots.sparkSession.sparkContext.broadcast(model)
-
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, size = shared.value.weights, 0
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
         for b in batches:
-            for blob, pieces in zip(b.column("blob"), b.column("others"), strict=True):
+            for blob, pieces in zip(b.column("blob"), b.column("states"), strict=True):
                 lot = _lot(blob.as_py())
-                if not any(lot.train):
-                    continue
-                first, bit, gate, logits = shared.value.predictions(lot, pieces.as_py())
-                some = np.repeat(lot.train, np.diff(first))
-                weights = followed(bit[some], gate[some], [x[some] for x in logits], weights, 0.7)
-                size += sum(len(x) for x, train in zip(lot.data, lot.train, strict=True) if train)
-        if size:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(weights.size), pa.int32()), pa.array(weights.ravel() * size), pa.array(np.full(weights.size, float(size)))], names=["k", "total", "size"])
-
-    got = map_batches(lots.select("blob", "others"), fit, "k int, total double, size double").groupBy("k").agg((F.sum("total") / F.sum("size")).alias("w")).collect()  # GATES * ORDERS rows
-    weights = model.weights.copy()
-    for r in got:
-        weights.ravel()[r.k] = r.w
-    return weights
+                if any(lot.train):
+                    total += cells(lot, Events(lot, shared.value, table_bits), np.concatenate([_unpacked(x, np.uint8) for x in pieces.as_py()]))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], names=["cell", "n"])
+
+    total = np.zeros(CELLS, np.int64)
+    for cell, n in map_batches(asked.select("blob", "states"), count, "cell int, n bigint").groupBy("cell").sum("n").collect():  # CELLS rows at most
+        total[cell] = n
+    return fitted(total)
 
 
 def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -650,35 +644,38 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     rows = texts(docs, id_col, text_col).withColumn("train", F.lit(True) if learn_from is None else learn_from)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
-    known, vocabulary = word_counts(rows, parts)
     table_bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, size) * SLOTS))))
-    code = code_for(rows.filter("train"))
-    lots = lots_of(rows, int(np.clip(size // LOTS, LEAST_LOT, LOT)))
+    lots = lots_of(rows, int(np.clip(size // SPREAD, LEAST_LOT, LOT)))
+    ends, n = lots.agg(F.coalesce(F.sum("learnt"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    code = code_for(lots)
     asked = answered(lots, code, table_bits, parts)
     dropped(lots)
-    model = Model(code, table_bits, np.full((GATES, ORDERS), 0.4))
-    model = Model(code, table_bits, weights_for(asked, model))
-    shared = spark.sparkContext.broadcast(model)
+    v = (asked.agg(F.sum("v")).first()[0] or 0) + (1 if ends else 0)
+    shared = spark.sparkContext.broadcast((code, weights_for(asked, code, table_bits)))
+    end, known_end = np.log10(ends + 1), 1 if ends else 0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for blob, pieces in zip(b.column("blob"), b.column("odds"), strict=True):
+            for blob, pieces, counts in zip(b.column("blob"), b.column("states"), b.column("times"), strict=True):
                 lot = _lot(blob.as_py())
-                first, bit, gate, logits = shared.value.predictions(lot, pieces.as_py())
-                value = refined(bit, gate, logits, first, shared.value.weights) / np.log(10)
-                bytes_ = np.array([len(x) for x in lot.data], float)
-                columns = [pa.array(lot.docs, pa.int64()), pa.array(lot.train, pa.bool_()), pa.array(lot.uids, pa.int64()), pa.array([d.count(b" ") + 2 if len(d) > 1 else 1 for d in lot.data], pa.int64()), pa.array(value), pa.array(-value * np.log2(10) / np.maximum(bytes_, 1))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "train", "uid", "n_tokens", "score", "bits_per_byte"])
-
-    made = stored(map_batches(asked.select("blob", "odds"), score, "doc_id bigint, train boolean, uid bigint, n_tokens bigint, score double, bits_per_byte double"), "scores")
-    n, ends = made.filter("train").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count(F.lit(1))).first()
-    v = (vocabulary.first()[0] or 0) + (1 if ends else 0)
-    copies = made.groupBy("uid").agg(F.count(F.lit(1)).alias("copies"))  # equal ids with equal texts sum under one uid
-    per = stored(known.join(copies, "uid").select("uid", (F.col("value") / F.col("copies")).alias("value"), (F.col("known") / F.col("copies")).cast("long").alias("known")), "per")
-    end = float(np.log10(ends + 1))
-    return made.join(per, "uid", "left").select(
-        "doc_id", "train", "n_tokens", (F.coalesce("known", F.lit(0)) + F.lit(1 if ends else 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.coalesce("value", F.lit(0.0)) + F.lit(end) - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"), "score", "bits_per_byte",
+                value = scores(lot, Events(lot, shared.value[0], table_bits), np.concatenate([_unpacked(x, np.uint8) for x in pieces.as_py()]), shared.value[1])
+                each = lot.word_hashes()
+                many = np.array([len(x) for x in each], np.int64)
+                word = np.concatenate(each)
+                times = np.concatenate([_unpacked(x, np.int64) for x in counts.as_py()])[places(distinct(word.copy()), word)] if len(word) else np.zeros(0, np.int64)
+                of, last = np.repeat(np.arange(len(each)), many), np.array(lot.last, np.int64)
+                base, known = np.bincount(of, np.log10(times + 1.0), len(each)) + last * end, np.bincount(of, times > 0, len(each)) + last * known_end
+                columns = [pa.array(lot.docs, pa.int64()), pa.array(lot.numbers, pa.int64()), pa.array(lot.train, pa.bool_()), pa.array([not x and y for x, y in zip(lot.before, lot.last, strict=True)], pa.bool_()), pa.array(many + last), pa.array(known.astype(np.int64)), pa.array(base), pa.array(value), pa.array([len(x) for x in lot.data], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "number", "train", "whole", "n_tokens", "n_known", "base", "score", "bytes"])
+
+    made = stored(map_batches(asked.select("blob", "states", "times"), score, "doc_id bigint, number bigint, train boolean, whole boolean, n_tokens bigint, n_known bigint, base double, score double, bytes bigint"), "scores")
+    dropped(asked)
+    columns = ("doc_id", "train", "n_tokens", "n_known", "base", "score", "bytes")
+    long = made.filter("NOT whole").groupBy("number").agg(F.first("doc_id").alias("doc_id"), F.first("train").alias("train"), *[F.sum(c).alias(c) for c in columns[2:]])
+    each = made.filter("whole").select(*columns).union(long.select(*columns))
+    return each.select(
+        "doc_id", "train", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"),
+        "score", (-F.col("score") * F.lit(float(np.log2(10))) / F.col("bytes")).alias("bits_per_byte"),
     )
 
 
