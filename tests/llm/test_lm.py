@@ -24,22 +24,23 @@ def lot_of(texts, train=True):
 def code_of(texts):
     total = np.zeros(1 << 20)
     for t in texts:
-        b = bytes(lm.GAP) + t
+        b = bytes(2) + t
         for x, y, z in zip(b, b[1:], b[2:], strict=False):
             total[z | y << 8 | (x & 15) << 16] += 1
     return lm.Code(total.reshape(16, 256, 256))
 
 
 def bits_by_hand(text, code, before=b""):
-    """Each bit of a segment: its value, its gate, and its three contexts."""
+    """Each bit of a segment: its value, its gate, its contexts, and the place in the code."""
     whole = bytes(lm.GAP) + before + text
-    for i in range(lm.GAP + len(before), len(whole)):
-        start = max(whole.rfind(b" ", 0, i), whole.rfind(b"\0", 0, i)) + 1
+    first = lm.GAP + len(before)
+    for i in range(first, len(whole)):
+        start = max(whole.rfind(b" ", 0, i), whole.rfind(b"\0", 0, i)) + 1 if i > first else i
         number = int(code.context[whole[i - 1] | (whole[i - 2] & 15) << 8]) << 8 | whole[i]
         for k in range(int(code.length[number])):
             at = int(code.start[number]) + k
             node = int(code.node[at])
-            yield int(code.bit[at]), min(i - start, 7) * 4 + min(k, 3), ((3, whole[i - 3 : i], node), (5, whole[i - 5 : i], node), ("w", whole[start:i], node))
+            yield int(code.bit[at]), min(i - start, 7) * 4 + min(k, 3), (("w", whole[start:i], node), (5, whole[max(start - 3, i - 5) : i].rjust(5, b"\0"), node)), at
 
 
 def brute(texts, train, code):
@@ -47,24 +48,17 @@ def brute(texts, train, code):
     counts = collections.defaultdict(lambda: [0, 0])
     bits = [list(bits_by_hand(t, code)) for t in texts]
     for own, learnt in zip(bits, train, strict=True):
-        for bit, _, contexts in own if learnt else ():
+        for bit, _, contexts, _ in own if learnt else ():
             for c in contexts:
                 counts[c][bit] += 1
     state = lambda c: int(lm.states(*(np.array([x]) for x in counts.get(c, (0, 0))))[0])
-    total = np.zeros(lm.CELLS, np.int64)
-    for own, learnt in zip(bits, train, strict=True):
-        for bit, gate, contexts in own if learnt else ():
-            cell = gate * 2 + bit
-            for c in contexts:
-                cell = cell * lm.LEVELS + int(np.clip(np.rint(lm.WITHOUT[state(c), bit] / lm.WIDTH) + lm.LEVELS // 2, 0, lm.LEVELS - 1))
-            total[cell] += 1
-    start, out = lm.fitted(total), []
+    out = []
     for own in bits:
-        w, score, t = start.copy(), 0.0, 0
+        w, score, t = np.tile(np.array(lm.START), (lm.GATES, 1)), 0.0, 0
         while t < len(own):
             change, stride = np.zeros_like(w), lm.stride_at(t)
-            for bit, gate, contexts in own[t : t + stride]:
-                x = np.array([lm.LOGIT[state(c)] for c in contexts], float)
+            for bit, gate, contexts, at in own[t : t + stride]:
+                x = np.array([*(lm.LOGIT[state(c)] for c in contexts), code.odds[at]], float) * lm.STEP
                 error = bit - 1 / (1 + math.exp(-float(np.clip(w[gate] @ x, -11, 11))))
                 score += math.log10(1 - abs(error))
                 change[gate] += lm.RATE * (lm.STRIDE / stride) ** 0.5 * error * x
@@ -73,6 +67,12 @@ def brute(texts, train, code):
     return out
 
 
+def all_bits(events):
+    """The bits of a lot in order."""
+    bits = events.predicted(np.zeros(len(events.met()[0]), np.uint8)).view(np.uint8).reshape(-1, 4)[:, 3] & 1
+    return [x for u in events.unit for x in bits[events.first[u] : events.first[u] + events.size[u]].tolist()]
+
+
 def test_scores_are_those_of_brute_force(spark, monkeypatch):
     monkeypatch.setattr(lm, "LEAST_BITS", 44)  # no two contexts share a slot
     docs = corpus(9, 50)[0] + [(60, ""), (61, None), (62, "  A b\tc "), (63, "the same again " * 40), (64, "the same again " * 40)]
@@ -106,17 +106,14 @@ def test_long_texts_go_in_segments(spark, monkeypatch):
         parts = lm.segments(t, 256)
         assert b"".join(parts) == t and all(len(x) <= 256 for x in parts)
     code = code_of([lm.normalised(texts[2])])
-    whole = [b for b, _, _ in bits_by_hand(lm.normalised(texts[2]), code)]
-    parts, at, pieces = lm.segments(lm.normalised(texts[2]), 256), 0, []
+    whole = [b for b, *_ in bits_by_hand(lm.normalised(texts[2]), code)]
+    parts, at = lm.segments(lm.normalised(texts[2]), 256), 0
     lot = lm.Lot()
     for k, part in enumerate(parts):
         for column, value in zip(vars(lot).values(), (1, 1, True, lm.normalised(texts[2])[max(0, at - lm.GAP) : at], part, k == len(parts) - 1, None), strict=True):
             column.append(value)
         at += len(part)
-    events = lm.Events(lot, code, 40)
-    for _, bit, _, _ in events.predicted(np.zeros(len(events.met()[0]), np.uint8)):
-        pieces += bit.tolist()
-    assert pieces == whole
+    assert all_bits(lm.Events(lot, code, 40)) == whole
     assert sum(map(len, lot.word_hashes())) == 2000
 
 
@@ -149,7 +146,7 @@ def test_word_hashes():
 
 def answers(events):
     """Any states, the same for a slot wherever it is met."""
-    known = lm.distinct(np.concatenate(events.slots))
+    known = lm.distinct(np.concatenate([o[2] for o in events.orders]))
     return (known * lm._K[0] >> np.uint64(56)).astype(np.uint8)
 
 
@@ -157,16 +154,15 @@ def test_probabilities_add_up():
     """Over all next bytes, the probabilities of what follows a text sum to one; and scores do not depend on the company."""
     rng = np.random.default_rng(1)
     code = lm.Code(rng.integers(0, 50, (256, 256)).astype(float))
-    weights = rng.normal(0.3, 0.2, (lm.GATES, lm.ORDERS))
 
     def score(texts):
         lot = lot_of(texts)
         events = lm.Events(lot, code, 40)
-        return lm.scores(lot, events, answers(events), weights)
+        return lm.scores(lot, events, answers(events))
 
     start = b"the quick"
     assert abs((10 ** (score([start + bytes([x]) for x in range(256)]) - score([start])[0])).sum() - 1) < 1e-3
-    texts = [bytes(rng.integers(97, 110, n).astype(np.uint8)) for n in (5, 3000, 1, 1024, 2500)]
+    texts = [bytes(rng.integers(97, 110, n).astype(np.uint8)) for n in (5, 3000, 1, 1024, 2500)] + [b"w" * 70 + b" a" * 90]
     assert np.allclose(score(texts), [score([t])[0] for t in texts], rtol=1e-6)
 
 
@@ -178,12 +174,11 @@ def test_model_learns_and_refines():
     found = lm.states(*n.astype(np.int64))
     held = lot_of([t[:1000] for t in texts])
     same = lm.Events(held, code, 40)
-    of_held = found[lm.places(known, lm.distinct(np.concatenate(same.slots)))]
-    nothing = lm.scores(held, same, np.zeros_like(of_held), np.full((lm.GATES, lm.ORDERS), lm.START))
-    fit = lm.fitted(lm.cells(lot_of(texts), events, found))
-    learnt = lm.scores(held, same, of_held, fit)
+    of_held = found[lm.places(known, same.met()[0])]
+    nothing = lm.scores(held, same, np.zeros_like(of_held), (0.4, 0.4, 0.0))
+    learnt = lm.scores(held, same, of_held)
     assert learnt.sum() > 0.8 * nothing.sum()
-    wrong = np.full((lm.GATES, lm.ORDERS), -0.2)  # wrong weights cost less where they are refined, in short texts too
+    wrong = (-0.2, -0.2, -0.2)  # wrong weights cost less where they are refined, in short texts too
     fixed, own = lm.scores(held, same, of_held, wrong, rate=0), lm.scores(held, same, of_held, wrong)
     assert all(own > fixed)
 
@@ -191,9 +186,25 @@ def test_model_learns_and_refines():
 def test_states():
     rng = np.random.default_rng(2)
     a, b = (np.concatenate([rng.integers(0, 12, 3000), rng.integers(0, 1 << 30, 3000)]) for _ in (0, 1))
-    got = lm.LOGIT[lm.states(a, b)]
-    want = np.clip(np.log((b + 0.1) / (a + 0.1)), -8.1, 8.1)
+    got = lm.LOGIT[lm.states(a, b)] * lm.STEP
+    want = np.clip(np.log((b + 0.1) / (a + 0.1)), -127 * lm.STEP, 127 * lm.STEP)
     few = a + b <= 14
-    assert np.abs(got - want)[few].max() < 1e-5 and np.abs(got - want).max() < 0.1
-    k = lm.states(np.array([3]), np.array([2]))[0]
-    assert np.allclose(lm.WITHOUT[k], [math.log(2.1 / 2.1), math.log(1.1 / 3.1)], atol=1e-6)
+    assert np.abs(got - want)[few].max() <= lm.STEP / 2 + 1e-6 and np.abs(got - want).max() <= lm.STEP + 1e-6
+
+
+def test_code_tells_what_two_bytes_tell():
+    """The log odds that come with the code are those of the counts it was made from."""
+    counts = np.random.default_rng(3).integers(0, 300, (16, 256, 256)).astype(float)
+    code = lm.Code(counts)
+    groups = {g: np.zeros(256) for g in set(code.context.tolist())}
+    whole = counts.reshape(4096, 256)
+    for c in range(4096):
+        groups[int(code.context[c])] = whole[c] if code.context[c] >= 256 else counts[:, c & 255].sum(0)
+    word = lambda g, x: tuple(code.bit[code.start[g << 8 | x] : code.start[g << 8 | x] + code.length[g << 8 | x]].tolist())
+    for g in list(groups)[:3]:
+        words = {x: word(g, x) for x in range(256)}
+        for x in (0, 77, 255):
+            for k in range(len(words[x])):
+                n = [sum(groups[g][y] for y in range(256) if words[y][: k + 1] == (*words[x][:k], bit)) for bit in (0, 1)]
+                want = np.clip(np.rint(math.log((n[1] + 0.1) / (n[0] + 0.1)) / lm.STEP), -127, 127)
+                assert code.odds[code.start[g << 8 | x] + k] == want

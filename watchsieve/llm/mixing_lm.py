@@ -2,27 +2,27 @@
 
 The text that is scored is its words, A-Z in lower case, with one space between, and an end byte. A byte becomes bits by a
 prefix code that depends on the two bytes before (so that common bytes are few bits), and each bit is predicted from the bits
-before it. A predictor is a table of counts, of zeros and ones, at the hash of its context and of the place in the code:
-the three bytes before, the five bytes before, and the word so far. Their log odds are summed with weights that a gate
-selects by the position in the word and in the code; the sum's logistic is the bit's probability. The bits' logarithms add
-up to the text's probability, and over its bytes to bits per byte.
+before it. A predictor is a table of counts, of zeros and ones, at the hash of its context and of the place in the code: the
+word so far; the five bytes before (of the words before no more than three); and the two bytes before, whose table is the one
+that the code was made from. Their log odds are summed with weights that a gate selects by the position in the word and in
+the code; the sum's logistic is the bit's probability. The bits' logarithms add up to the text's probability, and over its
+bytes to bits per byte. Each text starts from the weights START and, after every STRIDE bits from its start (later, after a
+32nd of what was read), changes the weights of the gates that these used by the error of their predictions; nothing passes
+from one text to another.
 
 The tables have SLOTS slots for each byte of text, without a bound, and no task holds one: texts go in lots, a lot sends the
 distinct slots it meets with their counts to shards by slot, and each shard answers every lot with the state (the counts in
-a byte) of just those slots. Most events of a lot repeat: a byte with the five before it, or with the word so far, makes the
-same bits and slots each time, so slots are made once for each distinct one. Counts come from every text that may be learnt
-from. All their bits also fit the weights, each predicted from the counts without itself; the fit is a logistic regression
-over a table of how often which predictions met which bit, so it doesn't depend on how texts are dealt. Each text then starts
-from those weights and, after every STRIDE bits from its start (later, after a 32nd of what was read), changes the weights of
-the gates that these used by the error of their predictions; nothing passes from one text to another. A text over SEGMENT bytes goes in segments, cut at white space,
-which see the bytes before them and are refined each from its own start, so that memory is bounded by a lot.
+a byte) of just those slots. Counts come from every text that may be learnt from. In a lot, a word after the same three bytes
+makes the same bits and slots each time, so these are made once for each distinct one. A text over SEGMENT bytes goes in
+segments, cut at white space, which see the bytes before them and are refined each from its own start, so that memory is
+bounded by a lot.
 
 The unigram base counts every word of the training texts exactly: a lot asks for the counts of its distinct words as it does
 for slots.
 
 Defined results: null text counts as empty; an empty text is the end alone, which is counted as a token; repeated rows get
 a row each, and each counts in training; a null id belongs to the fold of the empty string; without any training text the
-base is that of an empty vocabulary (N and V are 0) and weights are START; an empty table gives an empty result; other
+base is that of an empty vocabulary (N and V are 0) and the model knows nothing; an empty table gives an empty result; other
 columns are not read.
 """
 
@@ -34,6 +34,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -43,12 +44,13 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, documents, dropped, fold, map_batches, stored, texts
 
-ORDERS, GATES = 3, 32
+GATES = 32
 #: Slots that the predictors share for each byte of text (rounded up to a power of two), at least 2 ** LEAST_BITS.
 LEAST_BITS, SLOTS = 24, 16
 #: Bytes of text in a lot, in a segment, and in a piece, which is as bits at a time. Bytes of text for each task that answers or scores.
-LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, PART_BYTES = 12 << 20, 1 << 16, 24, 1 << 18, 1 << 19, 24 << 20
-STRIDE, RATE, START = 32, 0.02, 0.4
+LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, PART_BYTES = 8 << 20, 1 << 16, 12, 1 << 18, 2 << 20, 24 << 20
+#: Weights at a text's start: of the word so far, the five bytes before and the two bytes before.
+STRIDE, RATE, START = 32, 0.02, (0.3, 0.6, 0.2)
 GAP = 8  # bytes before each segment, zeros or what the text has there, so that no context reaches into another text
 _K = np.array([0x9E3779B97F4A7C15, 0x85EBCA77C2B2AE63, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5, 0x165667B19E3779F9], np.uint64)
 
@@ -106,14 +108,20 @@ class Code:
         ends = np.cumsum(self.length[order])
         self.start = np.zeros(len(order), np.int64)
         self.start[order] = ends - self.length[order]
-        #: Each bit, the hash of the bits before it, and its number, up to 3.
-        self.bit, self.node, self.nth = (np.zeros(int(ends[-1]), t) for t in (np.uint8, np.uint64, np.uint8))
+        #: Each bit, the hash of the bits before it, its number, up to 3, and the log odds of a one there, in steps of STEP.
+        self.bit, self.node, self.nth, self.odds = (np.zeros(int(ends[-1]), t) for t in (np.uint8, np.uint64, np.uint8, np.int8))
         for k in range(int(self.length.max())):
             some = np.flatnonzero(self.length > k)
             at, rest = self.start[some] + k, self.length[some] - k
             self.bit[at] = bits[some] >> (rest - 1) & 1
             self.node[at] = ((bits[some] >> rest) + (1 << k)).astype(np.uint64) * _K[0]
             self.nth[at] = min(k, 3)
+            head = (some >> 8 << 40) + (bits[some] >> rest)  # the code words that begin alike, of one context
+            _, of = np.unique(head, return_inverse=True)
+            ones = self.bit[at] > 0
+            n = np.concatenate(groups)[some]
+            zero, one = np.bincount(of, np.where(ones, 0, n)), np.bincount(of, np.where(ones, n, 0))
+            self.odds[at] = np.clip(np.rint(np.log((one + 0.1) / (zero + 0.1)) / STEP), -127, 127).astype(np.int8)[of]
 
     def numbers(self, three: np.ndarray) -> np.ndarray:
         """Which code word a byte is: three has it in the lowest byte, and above it the two before."""
@@ -129,6 +137,13 @@ def flat(data: list[bytes], before: list[bytes] | None = None) -> tuple[np.ndarr
     return np.frombuffer(b"".join(x for g, d in zip(gaps, data, strict=True) for x in (g, d)), np.uint8), ends - size + GAP, ends
 
 
+def within(b: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which bytes of a flat array are not in a gap."""
+    inside = np.ones(len(b), bool)
+    inside[(starts[:, None] - np.arange(1, GAP + 1)).ravel()] = False
+    return inside
+
+
 _powers: list[np.ndarray] = []
 
 
@@ -139,26 +154,6 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def contexts(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte of a flat array: itself and the five before it, in 48 bits; the hash of the word so far; its position in the word, up to 7."""
-    n = len(b)
-    six = b.astype(np.uint64)
-    x = six.copy()
-    for k in range(1, 6):
-        six[k:] |= x[:-k] << np.uint64(8 * k)
-    at = np.arange(n, dtype=np.int32)
-    start = np.zeros(n, np.int32)  # of the word that a byte stands in, or would go on
-    start[1:] = np.maximum.accumulate(np.where((b == 32) | (b == 0), at + 1, 0))[:-1]
-    power, inverse = _power(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    x += np.uint64(1)
-    x *= power[:n]
-    np.cumsum(x, dtype=np.uint64, out=total[1:])
-    word = total[:n] - total.take(start)
-    word *= inverse.take(start)
-    return six, word, np.minimum(at - start, 7).astype(np.uint8)
-
-
 def _hash(x: np.ndarray, k: int) -> np.ndarray:
     h = x * _K[k]
     h ^= h >> np.uint64(31)
@@ -169,8 +164,7 @@ def _hash(x: np.ndarray, k: int) -> np.ndarray:
 
 def encoded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each value which distinct one it is, and the distinct values."""
-    made = pa.array(x).dictionary_encode()
-    return np.asarray(made.indices), np.asarray(made.dictionary)
+    return pd.factorize(x)
 
 
 def distinct(slots: np.ndarray) -> np.ndarray:
@@ -199,29 +193,26 @@ def places(known: np.ndarray, slots: np.ndarray) -> np.ndarray:
 
 # states: what is known of a slot, in a byte
 
-_FEW, _STEP = 14, 0.12
+_FEW, STEP = 14, 0.0625
 
 
-def _states() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The state of each pair of few counts; the log odds of each state; and without one zero, or one one, that was counted."""
-    value = lambda zeros, ones: np.log((ones + 0.1) / (zeros + 0.1))
-    number, logit, without = np.zeros((_FEW + 1, _FEW + 1), np.uint8), np.zeros(256, np.float32), np.zeros((256, 2), np.float32)
+def _states() -> tuple[np.ndarray, np.ndarray]:
+    """The state of each pair of few counts; and the log odds of each state, in steps of STEP."""
     pairs = [(a, b) for a in range(_FEW + 1) for b in range(_FEW + 1 - a)]
+    number, logit = np.zeros((_FEW + 1, _FEW + 1), np.uint8), np.zeros(256)
     for k, (a, b) in enumerate(pairs):
-        number[a, b], logit[k], without[k] = k, value(a, b), (value(max(0, a - 1), b), value(a, max(0, b - 1)))
-    rest = np.arange(256 - len(pairs)) - (256 - len(pairs)) // 2
-    logit[len(pairs) :] = rest * _STEP
-    without[len(pairs) :] = (rest * _STEP)[:, None]
-    return number, logit, without
+        number[a, b], logit[k] = k, np.log((b + 0.1) / (a + 0.1))
+    logit[len(pairs) :] = (np.arange(MANY) - MANY // 2) * 2 * STEP
+    return number, np.clip(np.rint(logit / STEP), -127, 127).astype(np.int8)
 
 
-PAIR, LOGIT, WITHOUT = _states()
 MANY = 256 - (_FEW + 1) * (_FEW + 2) // 2  # states of more counts, by their log odds
+PAIR, LOGIT = _states()
 
 
 def states(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     few = zeros + ones <= _FEW
-    steps = np.rint(np.log((ones + np.float32(0.1)) / (zeros + np.float32(0.1))) / _STEP)
+    steps = np.rint(np.log((ones + np.float32(0.1)) / (zeros + np.float32(0.1))) / (2 * STEP))
     out = (np.clip(steps, -(MANY // 2), MANY - MANY // 2 - 1) + (256 - MANY + MANY // 2)).astype(np.uint8)
     out[few] = PAIR[zeros[few], ones[few]]
     return out
@@ -245,81 +236,139 @@ class Lot:
 
 
 class Events:
-    """The bits of a lot: its distinct six bytes, four bytes, and words so far with a byte, and which of them each byte is."""
+    """The bits of a lot's units, which are its distinct words with what ends them and the three bytes before; and which unit each word is."""
 
     def __init__(self, lot: Lot, code: Code, table_bits: int) -> None:
-        sixes, words, self.depth, counts = [], [], [], []
-        for at, group in _groups(lot.data, PIECE):
-            some = slice(at, at + len(group))
-            b, starts, ends = flat(group, lot.before[some])
-            inside = np.ones(len(b), bool)
-            inside[(starts[:, None] - np.arange(1, GAP + 1)).ravel()] = False
-            six, word, depth = (x[inside] for x in contexts(b))
-            self.depth.append(depth)
-            learnt = np.repeat(lot.train[some], ends - starts)
-            which, kinds = encoded(six)
-            sixes.append((which, kinds))
-            of, heads = _with_three(word, six & np.uint64(0xFFFFFF))
-            words.append((of, *heads))
-            counts.append([np.bincount(x[learnt], minlength=n) for x, n in ((which, len(kinds)), (of, len(heads[0])))])
-        which, kinds = encoded(np.concatenate([x[1] for x in sixes]))
-        of, (word, three) = _with_three(np.concatenate([x[1] for x in words]), np.concatenate([x[2] for x in words]))
-        to_four, four = encoded(kinds & np.uint64(0xFFFFFFFF))
-        own = [np.bincount(w, np.concatenate([c[k] for c in counts]), n).astype(np.int64) for k, (w, n) in enumerate(((which, len(kinds)), (of, len(word))))]
-        self.counts = [np.bincount(to_four, own[0], len(four)).astype(np.int64), own[0], own[1]]
-        #: By order: the code word of each distinct one, where its bits begin, and each bit's place in the code's arrays and slot.
-        self.number, self.first, self.place, self.slots = [], [], [], []
-        for h, low in ((_hash((four >> np.uint64(8)) + np.uint64(1), 1), four), (_hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds), (_hash(word + np.uint64(7), 3), three)):
-            number = code.numbers(low & np.uint64(0xFFFFFF))
-            length = code.length.take(number)
-            first = np.cumsum(length) - length
-            place = np.repeat(code.start.take(number) - first, length)
+        self.code = code
+        b, starts, ends = flat(lot.data, lot.before)
+        token_start, token_end, tokens = _tokens(b, starts, ends)
+        self.unit, rep = _units(b, token_start, token_end)
+        #: How many words each segment has, and how often each unit is in texts that may be learnt from.
+        self.tokens = tokens
+        self.counts = np.bincount(self.unit[np.repeat(lot.train, tokens)], minlength=len(rep))
+        start, length = token_start[rep], (token_end - token_start)[rep]
+        before = np.cumsum(length) - length
+        at = np.repeat(start - before, length)
+        at += np.arange(len(at))
+        nth = np.arange(len(at)) - np.repeat(before, length)  # place in the word
+        own = b.take(at)
+        three = own.astype(np.uint64)
+        for k in (1, 2):
+            three |= b.take(at - k).astype(np.uint64) << np.uint64(8 * k)
+        six = three.copy()
+        for k in (3, 4, 5):
+            six |= np.where(nth >= k - 3, b.take(at - k), 0).astype(np.uint64) << np.uint64(8 * k)
+        self.gate = np.minimum(nth, 7).astype(np.uint8) << np.uint8(3)  # and two bits more for the place in the code, and the bit
+        del at, nth
+        to_six, kinds = encoded(six)
+        del six
+        power, inverse = _power(len(own) + 1)
+        word = own.astype(np.uint64)
+        del own
+        word += np.uint64(1)
+        word *= power[: len(word)]
+        total = np.zeros(len(word) + 1, np.uint64)
+        np.cumsum(word, dtype=np.uint64, out=total[1:])
+        np.subtract(total[:-1], np.repeat(total.take(before), length), out=word)
+        del total
+        word *= np.repeat(inverse.take(before), length)
+        to_word, (heads, low) = _with_three(word, three)
+        del word
+        weight = np.repeat(self.counts, length)
+        number = code.numbers(three)
+        self.bits = code.length.take(number)  # of each byte of a unit
+        self.place = code.start.take(number)
+        #: How many bits each unit is, and where they begin.
+        sums = np.concatenate([[0], np.cumsum(self.bits)])
+        self.first = sums.take(before)
+        self.size = sums.take(before + length) - self.first
+        #: By order: which distinct context each byte of a unit has, where the bits of that begin, and each bit's slot, bit and how often it is to be counted.
+        self.orders = []
+        for to, h, last in ((to_word, _hash(heads + np.uint64(7), 3), low), (to_six, _hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds & np.uint64(0xFFFFFF))):
+            number = code.numbers(last)
+            many = code.length.take(number)
+            first = np.cumsum(many) - many
+            place = np.repeat(code.start.take(number) - first, many)
             place += np.arange(len(place))
-            slot = np.repeat(h, length)
+            slot = np.repeat(h, many)
             slot += code.node.take(place)
             slot *= _K[4]
             slot ^= slot >> np.uint64(32)
             slot *= _K[2]
             slot >>= np.uint64(64 - table_bits)
-            for into, value in ((self.number, number), (self.first, first), (self.place, place), (self.slots, slot)):
-                into.append(value)
-        #: By piece: the distinct one of each order that each byte is.
-        self.which, i, j = [], 0, 0
-        for (x, n), (y, m, _) in zip(sixes, words, strict=True):
-            six = which[i : i + len(n)].take(x)
-            self.which.append((to_four.take(six), six, of[j : j + len(m)].take(y)))
-            i, j = i + len(n), j + len(m)
-        self.code = code
+            self.orders.append((to, first, slot, code.bit.take(place), np.repeat(np.bincount(to, weight, len(number)), many)))
 
     def met(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct slots in order, and how many zeros and ones the bits that count gave each."""
-        every = np.concatenate(self.slots)
+        every = np.concatenate([o[2] for o in self.orders])
         known = distinct(every.copy())
         at = places(known, every)
-        ones = np.concatenate([self.code.bit.take(p) for p in self.place]) > 0
-        weight = np.concatenate([np.repeat(c, self.code.length.take(n)) for c, n in zip(self.counts, self.number, strict=True)])
-        return known, np.stack([np.bincount(at, np.where(ones, 0, weight), len(known)), np.bincount(at, np.where(ones, weight, 0), len(known))]).astype(np.uint32)
-
-    def predicted(self, found: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
-        """found: the state of each distinct slot in order. For each piece of the lot: how many bits each byte is; and each bit, its gate and the states of its slots."""
-        known = distinct(np.concatenate(self.slots))
-        by = [found.take(places(known, s)) for s in self.slots]
-        lengths = self.code.length.take(self.number[1])
-        begins = self.code.start.take(self.number[1])
-        for (four, six, word), depth in zip(self.which, self.depth, strict=True):
-            length = lengths.take(six)
-            before = np.cumsum(length) - length
-            at = np.arange(int(length.sum()))
-
-            def bits(start: np.ndarray, length: np.ndarray = length, before: np.ndarray = before, at: np.ndarray = at) -> np.ndarray:
-                out = np.repeat(start - before, length)
-                out += at
-                return out
-
-            place = bits(begins.take(six))
-            gate = np.repeat(depth << np.uint8(2), length)
-            gate += self.code.nth.take(place)
-            yield length, self.code.bit.take(place), gate, [s.take(bits(f.take(x))) for s, f, x in zip(by, self.first, (four, six, word), strict=True)]
+        at <<= 1
+        at += np.concatenate([o[3] for o in self.orders])
+        n = np.bincount(at, np.concatenate([o[4] for o in self.orders]), 2 * len(known))
+        return known, n.reshape(-1, 2).T.astype(np.uint32)
+
+    def predicted(self, found: np.ndarray) -> np.ndarray:
+        """found: the state of each distinct slot in order. For each bit of the units four bytes: the log odds by word, by five bytes and by two, and gate and bit."""
+        known = distinct(np.concatenate([o[2] for o in self.orders]))
+        value = LOGIT.take(found)
+        before = np.cumsum(self.bits) - self.bits
+        step = np.arange(int(self.bits.sum()))
+
+        def each(first: np.ndarray) -> np.ndarray:
+            out = np.repeat(first - before, self.bits)
+            out += step
+            return out
+
+        out = np.empty((len(step), 4), np.int8)
+        for k, (to, first, slot, _, _) in enumerate(self.orders):
+            out[:, k] = value.take(places(known, slot)).take(each(first.take(to)))
+        place = each(self.place)
+        out[:, 2] = self.code.odds.take(place)
+        gate = np.repeat(self.gate, self.bits)
+        gate |= self.code.nth.take(place) << np.uint8(1)
+        gate |= self.code.bit.take(place)
+        out[:, 3] = gate.view(np.int8)
+        return out.view(np.uint32).ravel()
+
+
+def _tokens(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word begins, and ends after the space or end byte; and how many each segment has."""
+    last = ((b == 32) | (b == 0)) & within(b, starts)
+    last[ends - 1] = True  # a word that is cut, too
+    token_end = np.flatnonzero(last) + 1
+    through = np.searchsorted(token_end, ends) + 1
+    token_start = np.concatenate([[0], token_end[:-1]])
+    token_start[np.concatenate([[0], through[:-1]])] = starts
+    return token_start, token_end, np.diff(through, prepend=0)
+
+
+def _units(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word which distinct one it is, with the three bytes before it; and for each distinct one a word that is it."""
+    joined = b.tobytes() + bytes(8)
+    eight = np.ndarray(len(b) + 1, "<u8", joined, strides=(1,))  # the eight bytes from each place
+    length = end - start
+    three = eight.take(start - 3) & _FIRST[3]
+    name = (length.astype(np.uint64) << np.uint64(24) | three) * np.uint64(0x9E3779B97F4A7C15)
+    some = np.arange(len(start))
+    for at in range(0, _LONG, 8):
+        some = some[length[some] > at] if at else some
+        if not len(some):
+            break
+        h = (name[some] ^ (eight.take(start[some] + at) & _FIRST.take(np.minimum(length[some] - at, 8)))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0x165667B19E3779F9)
+        name[some] = h ^ (h >> np.uint64(32))
+    for k in np.flatnonzero(length > _LONG).tolist():
+        name[k] = xxhash.xxh3_64_intdigest(joined[start[k] - 3 : end[k]])
+    which, kinds = encoded(name)
+    rep = np.zeros(len(kinds), np.int64)
+    rep[which] = np.arange(len(which))
+    of = rep.take(which)
+    head = eight.take(start) & _FIRST.take(np.minimum(length, 8))
+    if (length.take(of) == length).all() and (three.take(of) == three).all() and (head.take(of) == head).all():
+        return which, rep
+    raise ValueError("two words of a lot have one 64-bit hash")
 
 
 def _with_three(word: np.ndarray, three: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
@@ -350,92 +399,70 @@ def stride_at(t: int) -> int:
     return max(STRIDE, t // 1024 * STRIDE)
 
 
-def refined(bit: np.ndarray, gate: np.ndarray, found: list[np.ndarray], first: np.ndarray, weights: np.ndarray, rate: float = RATE) -> np.ndarray:
-    """Natural log probability of each segment, whose bits begin at first (one more than segments); found: their states. All segments take a stride at a time together."""
+def refined(bits: np.ndarray, first: np.ndarray, start: tuple[float, ...] = START, rate: float = RATE) -> np.ndarray:
+    """Natural log probability of each segment, whose bits (of Events.predicted) begin at first (one more than segments). All segments take a stride at a time together."""
     sizes = np.diff(first)
     longest_first = np.argsort(-sizes, kind="stable")  # so that those which go on are the first
-    start, size = first[:-1][longest_first], sizes[longest_first]
+    begin, size = first[:-1][longest_first], sizes[longest_first]
     n = len(size)
-    own = [np.tile(weights[:, k].astype(np.float32), n) for k in range(ORDERS)]  # by segment and gate
+    own = [np.full(n * GATES, w * STEP, np.float32) for w in start]  # by segment and gate
     out, t = np.zeros(n), 0
     while n and t < size[0]:
         stride = stride_at(t)
         live = int(np.searchsorted(-size, -t))
-        at = (start[:live, None] + t) + np.arange(stride)
-        over = at >= (start[:live] + size[:live])[:, None] if size[live - 1] < t + stride else None
-        if over is not None:
-            np.minimum(at, len(bit) - 1, out=at)
-        g = gate.take(at).astype(np.intp)
+        at = (begin[:live, None] + t) + np.arange(stride)
+        over = (np.arange(t, t + stride) >= size[:live, None]).ravel() if size[live - 1] < t + stride else None
+        four = bits.take(at.ravel(), mode="clip").view(np.int8).reshape(-1, 4)
+        x = [four[:, k].astype(np.float32) for k in range(3)]
+        kind = four[:, 3].view(np.uint8)
+        g = (kind >> np.uint8(1)).astype(np.intp).reshape(live, stride)
         g += (np.arange(live) * GATES)[:, None]
-        x = [LOGIT.take(s.take(at)) for s in found]
-        z = own[0].take(g) * x[0]
-        for k in range(1, ORDERS):
-            z += own[k].take(g) * x[k]
+        g = g.ravel()
+        z = own[0].take(g)
+        z *= x[0]
+        for k in (1, 2):
+            y = own[k].take(g)
+            y *= x[k]
+            z += y
+        sign = (kind & np.uint8(1)).astype(np.float32)
+        sign *= np.float32(-2)
+        sign += np.float32(1)  # -1 for a one
+        z *= sign
         np.clip(z, -11, 11, out=z)
-        error = bit.take(at) - 1 / (1 + np.exp(-z))
+        np.exp(z, out=z)  # the odds against the bit
+        wrong = z + np.float32(1)
+        z /= wrong
+        np.log(wrong, out=wrong)
         if over is not None:
-            error[over] = 0
-        out[:live] += np.log(1 - np.abs(error)).sum(1, dtype=np.float64)
+            wrong[over] = 0
+            z[over] = 0
+        out[:live] -= wrong.reshape(live, stride).sum(1, dtype=np.float64)
         t += stride
         on = int(np.searchsorted(-size, -t))  # those that have more bits
         if on and rate:
-            flat_gate, speed = g[:on].ravel(), rate * (STRIDE / stride) ** 0.5
-            for k in range(ORDERS):
-                own[k][: on * GATES] += (speed * np.bincount(flat_gate, (error[:on] * x[k][:on]).ravel(), on * GATES)).astype(np.float32)
+            z *= sign
+            speed, some = np.float32(-rate * STEP * STEP * (STRIDE / stride) ** 0.5), slice(on * stride)
+            for k in range(3):
+                own[k][: on * GATES] += speed * np.bincount(g[some], z[some] * x[k][some], on * GATES).astype(np.float32)
     back = np.empty(n)
     back[longest_first] = out
     return back
 
 
-def scores(lot: Lot, events: Events, found: np.ndarray, weights: np.ndarray, rate: float = RATE) -> np.ndarray:
+def scores(lot: Lot, events: Events, found: np.ndarray, start: tuple[float, ...] = START, rate: float = RATE) -> np.ndarray:
     """log10 probability of each segment of a lot."""
-    out = []
-    for (_, group), (length, bit, gate, states_) in zip(_groups(lot.data, PIECE), events.predicted(found), strict=True):
-        ends = np.cumsum([0, *map(len, group)])
-        first = np.concatenate([[0], np.cumsum(length)])[ends]
-        out.append(refined(bit, gate, states_, first, weights, rate) / np.log(10))
+    out, bits, token = [], events.predicted(found), 0
+    for i, group in _groups(lot.data, PIECE):
+        tokens = events.tokens[i : i + len(group)]
+        unit = events.unit[token : (token := token + int(tokens.sum()))]
+        size = events.size.take(unit)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(events.first.take(unit) - ends[:-1], size)
+        at += np.arange(len(at))
+        out.append(refined(bits.take(at), ends[np.concatenate([[0], np.cumsum(tokens)])], start, rate) / np.log(10))
     return np.concatenate(out) if out else np.zeros(0)
 
 
-# the weights: logistic regression over a table of predictions and bits
-
-LEVELS, WIDTH = 13, 1.1
-CELLS = GATES * 2 * LEVELS**ORDERS
-_LEVEL = np.clip(np.rint(WITHOUT / WIDTH) + LEVELS // 2, 0, LEVELS - 1).astype(np.int64)
-
-
-def cells(lot: Lot, events: Events, found: np.ndarray) -> np.ndarray:
-    """How many of the bits that may be learnt from have each gate, value and levels of the three predictions, each without the bit itself."""
-    total = np.zeros(CELLS, np.int64)
-    for (at, group), (length, bit, gate, states_) in zip(_groups(lot.data, PIECE), events.predicted(found), strict=True):
-        learnt = np.repeat(np.repeat(lot.train[at : at + len(group)], [len(x) for x in group]), length)
-        cell = gate.astype(np.int64) * 2 + bit
-        for s in states_:
-            cell *= LEVELS
-            cell += _LEVEL.ravel().take(s.astype(np.int64) * 2 + bit)
-        total += np.bincount(cell[learnt], minlength=CELLS)
-    return total
-
-
-def fitted(total: np.ndarray, steps: int = 25, ridge: float = 10.0) -> np.ndarray:
-    """GATES x ORDERS weights by Newton steps, pulled a little towards START."""
-    by = total.reshape(GATES, 2, -1).astype(float)
-    level = (np.stack(np.unravel_index(np.arange(LEVELS**ORDERS), (LEVELS,) * ORDERS), 1) - LEVELS // 2) * WIDTH
-    weights = np.full((GATES, ORDERS), START)
-    for g in range(GATES):
-        n = by[g].sum(0)
-        some = np.flatnonzero(n)
-        x, ones, all_ = level[some], by[g, 1, some], n[some]
-        for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(x @ weights[g], -11, 11)))
-            grad = x.T @ (ones - all_ * p) - ridge * (weights[g] - START)
-            step = np.linalg.solve((x * (all_ * p * (1 - p))[:, None]).T @ x + ridge * np.eye(ORDERS), grad)
-            weights[g] += step * min(1.0, 0.5 / max(np.abs(step).max(), 1e-12))
-            if np.abs(step).max() < 1e-6:
-                break
-    return weights
-
-
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # keeps so many bytes of eight
 _LONG = 64
@@ -478,14 +505,20 @@ def _unpacked(blob: bytes, kind: type) -> np.ndarray:
 
 
 def lots_of(rows: DataFrame, most: int) -> DataFrame:
-    """rows: doc_id, text, train. Segments together until they reach `most` bytes; and how many texts and tokens that may be learnt from begin in each lot."""
+    """rows: doc_id, text, train. Segments together until they reach `most` bytes; and how many texts and tokens that may be learnt from begin in each lot; in a task's last lot, how often which byte follows which two in all of the task's."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n, number, lot, size, learnt, tokens = TaskContext.get().partitionId(), 0, 0, Lot(), 0, 0, 0
-
-        def made() -> pa.RecordBatch:
+        triples = np.zeros(1 << 20, np.int64)
+
+        def made(last: bool = False) -> pa.RecordBatch:
+            b, starts, ends = flat(lot.data, lot.before)
+            x = b.astype(np.int32)
+            x[2:] |= x[1:-1] << 8 | (x[:-2] & 15) << 16  # the right side is made of x as it was
+            np.add(triples, np.bincount(x[within(b, starts)], minlength=1 << 20), out=triples)
+            some = np.flatnonzero(triples) if last else np.zeros(0, np.int64)
             blob = zstandard.ZstdCompressor(level=3).compress(pickle.dumps(lot))
-            return pa.RecordBatch.from_arrays([pa.array([task << 32 | n], pa.int64()), pa.array([-1], pa.int64()), pa.array([blob], pa.binary()), pa.array([learnt], pa.int64()), pa.array([tokens], pa.int64())], names=["lot", "shard", "blob", "learnt", "tokens"])
+            return pa.RecordBatch.from_arrays([pa.array([task << 32 | n], pa.int64()), pa.array([-1], pa.int64()), pa.array([blob], pa.binary()), pa.array([learnt], pa.int64()), pa.array([tokens], pa.int64()), pa.array([_packed(some)], pa.binary()), pa.array([_packed(triples[some])], pa.binary())], names=["lot", "shard", "blob", "learnt", "tokens", "triples", "times"])
 
         for b in batches:
             for doc, train, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "train")), as_bytes(b.column("text")), strict=True):
@@ -505,9 +538,9 @@ def lots_of(rows: DataFrame, most: int) -> DataFrame:
                         learnt, tokens = learnt + 1, tokens + (text.count(b" ") + 2 if len(text) > 1 else 1)
                 number += 1
         if lot.data:
-            yield made()
+            yield made(True)
 
-    return stored(map_batches(rows, gather, "lot bigint, shard bigint, blob binary, learnt bigint, tokens bigint"), "lots")
+    return stored(map_batches(rows, gather, "lot bigint, shard bigint, blob binary, learnt bigint, tokens bigint, triples binary, times binary"), "lots")
 
 
 def _lot(blob: bytes) -> Lot:
@@ -515,21 +548,17 @@ def _lot(blob: bytes) -> Lot:
 
 
 def code_for(lots: DataFrame) -> Code:
-    """The prefix codes that suit all texts: how often each byte follows which two."""
+    """The prefix codes that suit all texts, by how often each byte follows which two."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 20, np.int64)
         for b in batches:
-            for blob in b.column("blob"):
-                lot = _lot(blob.as_py())
-                for at, group in _groups(lot.data, PIECE):
-                    x = flat(group, lot.before[at : at + len(group)])[0].astype(np.int32)
-                    x[2:] |= x[1:-1] << 8 | (x[:-2] & 15) << 16  # right to left, all from x as it was
-                    total += np.bincount(x[2:], minlength=1 << 20)
+            for triples, times in zip(b.column("triples").to_pylist(), b.column("times").to_pylist(), strict=True):
+                total[_unpacked(triples, np.int64)] += _unpacked(times, np.int64)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], names=["triple", "n"])
 
-    rows = map_batches(lots.select("blob"), count, "triple int, n bigint").groupBy("triple").sum("n").collect()  # 2 ** 20 at most
+    rows = map_batches(lots.select("triples", "times"), read, "triple int, n bigint").groupBy("triple").sum("n").collect()  # 2 ** 20 at most
     counts = np.zeros(1 << 20)
     for triple, n in rows:
         counts[triple] = n
@@ -618,26 +647,6 @@ def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFr
     return stored(map_batches(whole.repartition(parts, "lot").sortWithinPartitions("lot", "shard"), join, "lot bigint, blob binary, states array<binary>, times array<binary>, v bigint"), "answered")
 
 
-def weights_for(asked: DataFrame, code: Code, table_bits: int) -> np.ndarray:
-    """Weights fitted over every bit that may be learnt from."""
-    shared = asked.sparkSession.sparkContext.broadcast(code)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
-        for b in batches:
-            for blob, pieces in zip(b.column("blob"), b.column("states"), strict=True):
-                lot = _lot(blob.as_py())
-                if any(lot.train):
-                    total += cells(lot, Events(lot, shared.value, table_bits), np.concatenate([_unpacked(x, np.uint8) for x in pieces.as_py()]))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], names=["cell", "n"])
-
-    total = np.zeros(CELLS, np.int64)
-    for cell, n in map_batches(asked.select("blob", "states"), count, "cell int, n bigint").groupBy("cell").sum("n").collect():  # CELLS rows at most
-        total[cell] = n
-    return fitted(total)
-
-
 def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of each row. learn_from: on doc_id, which rows are learnt from."""
     spark = docs.sparkSession
@@ -651,14 +660,14 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     asked = answered(lots, code, table_bits, parts)
     dropped(lots)
     v = (asked.agg(F.sum("v")).first()[0] or 0) + (1 if ends else 0)
-    shared = spark.sparkContext.broadcast((code, weights_for(asked, code, table_bits)))
+    shared = spark.sparkContext.broadcast(code)
     end, known_end = np.log10(ends + 1), 1 if ends else 0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for blob, pieces, counts in zip(b.column("blob"), b.column("states"), b.column("times"), strict=True):
                 lot = _lot(blob.as_py())
-                value = scores(lot, Events(lot, shared.value[0], table_bits), np.concatenate([_unpacked(x, np.uint8) for x in pieces.as_py()]), shared.value[1])
+                value = scores(lot, Events(lot, shared.value, table_bits), np.concatenate([_unpacked(x, np.uint8) for x in pieces.as_py()]))
                 each = lot.word_hashes()
                 many = np.array([len(x) for x in each], np.int64)
                 word = np.concatenate(each)
