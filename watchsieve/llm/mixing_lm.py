@@ -47,8 +47,8 @@ from .common import as_bytes, documents, dropped, fold, map_batches, stored, tex
 GATES = 32
 #: Slots that the predictors share for each byte of text (rounded up to a power of two), at least 2 ** LEAST_BITS.
 LEAST_BITS, SLOTS = 24, 16
-#: Bytes of text in a lot, in a segment, and in a piece, which is as bits at a time. Bytes of text for each task that answers or scores.
-LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, PART_BYTES = 8 << 20, 1 << 16, 12, 1 << 18, 2 << 20, 24 << 20
+#: Bytes of text in a lot, in a segment, and in a piece, which is as bits at a time; bytes of distinct words that are as bits at a time; bytes of text for each task that answers or scores.
+LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, CHUNK, PART_BYTES = 8 << 20, 1 << 16, 12, 1 << 18, 1 << 20, 1 << 18, 24 << 20
 #: Weights at a text's start: of the word so far, the five bytes before and the two bytes before.
 STRIDE, RATE, START = 32, 0.02, (0.3, 0.6, 0.2)
 GAP = 8  # bytes before each segment, zeros or what the text has there, so that no context reaches into another text
@@ -144,14 +144,8 @@ def within(b: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return inside
 
 
-_powers: list[np.ndarray] = []
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = 1 << max(16, n.bit_length())
-        _powers[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x, np.uint64)]).astype(np.uint64), dtype=np.uint64) for x in (int(_K[0]), pow(int(_K[0]), -1, 1 << 64))]
-    return _powers[0], _powers[1]
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.full(n, _K[0]), dtype=np.uint64)
 
 
 def _hash(x: np.ndarray, k: int) -> np.ndarray:
@@ -164,7 +158,8 @@ def _hash(x: np.ndarray, k: int) -> np.ndarray:
 
 def encoded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each value which distinct one it is, and the distinct values."""
-    return pd.factorize(x)
+    which, kinds = pd.factorize(x)
+    return which.astype(np.int32), kinds
 
 
 def distinct(slots: np.ndarray) -> np.ndarray:
@@ -250,38 +245,38 @@ class Events:
         before = np.cumsum(length) - length
         at = np.repeat(start - before, length)
         at += np.arange(len(at))
-        nth = np.arange(len(at)) - np.repeat(before, length)  # place in the word
+        nth = (np.arange(len(at)) - np.repeat(before, length)).astype(np.int32)  # place in the word
         own = b.take(at)
-        three = own.astype(np.uint64)
-        for k in (1, 2):
-            three |= b.take(at - k).astype(np.uint64) << np.uint64(8 * k)
-        six = three.copy()
-        for k in (3, 4, 5):
-            six |= np.where(nth >= k - 3, b.take(at - k), 0).astype(np.uint64) << np.uint64(8 * k)
+        six = own.astype(np.uint64)
+        for k in range(1, 6):
+            more = b.take(at - k)
+            if k > 3:
+                more[nth < k - 3] = 0
+            six |= more.astype(np.uint64) << np.uint64(8 * k)
+        del at, more
         self.gate = np.minimum(nth, 7).astype(np.uint8) << np.uint8(3)  # and two bits more for the place in the code, and the bit
-        del at, nth
-        to_six, kinds = encoded(six)
-        del six
-        power, inverse = _power(len(own) + 1)
-        word = own.astype(np.uint64)
-        del own
-        word += np.uint64(1)
-        word *= power[: len(word)]
+        word = _powers(int(length.max(initial=1))).take(nth)
+        del nth
+        word *= own.astype(np.uint64) + np.uint64(1)
         total = np.zeros(len(word) + 1, np.uint64)
         np.cumsum(word, dtype=np.uint64, out=total[1:])
-        np.subtract(total[:-1], np.repeat(total.take(before), length), out=word)
+        np.subtract(total[:-1], np.repeat(total.take(before), length), out=word)  # of what is before in the word
         del total
-        word *= np.repeat(inverse.take(before), length)
+        three = six & np.uint64(0xFFFFFF)
         to_word, (heads, low) = _with_three(word, three)
         del word
-        weight = np.repeat(self.counts, length)
         number = code.numbers(three)
-        self.bits = code.length.take(number)  # of each byte of a unit
-        self.place = code.start.take(number)
+        del three
+        self.bits = code.length.take(number).astype(np.uint8)  # of each byte of a unit
+        self.place = code.start.take(number).astype(np.int32)
+        del number
+        to_six, kinds = encoded(six)
+        del six
         #: How many bits each unit is, and where they begin.
-        sums = np.concatenate([[0], np.cumsum(self.bits)])
+        sums = np.concatenate([[0], np.cumsum(self.bits, dtype=np.int64)])
         self.first = sums.take(before)
         self.size = sums.take(before + length) - self.first
+        weight = np.repeat(self.counts, length)
         #: By order: which distinct context each byte of a unit has, where the bits of that begin, and each bit's slot, bit and how often it is to be counted.
         self.orders = []
         for to, h, last in ((to_word, _hash(heads + np.uint64(7), 3), low), (to_six, _hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds & np.uint64(0xFFFFFF))):
@@ -312,23 +307,29 @@ class Events:
         """found: the state of each distinct slot in order. For each bit of the units four bytes: the log odds by word, by five bytes and by two, and gate and bit."""
         known = distinct(np.concatenate([o[2] for o in self.orders]))
         value = LOGIT.take(found)
-        before = np.cumsum(self.bits) - self.bits
-        step = np.arange(int(self.bits.sum()))
-
-        def each(first: np.ndarray) -> np.ndarray:
-            out = np.repeat(first - before, self.bits)
-            out += step
-            return out
-
-        out = np.empty((len(step), 4), np.int8)
-        for k, (to, first, slot, _, _) in enumerate(self.orders):
-            out[:, k] = value.take(places(known, slot)).take(each(first.take(to)))
-        place = each(self.place)
-        out[:, 2] = self.code.odds.take(place)
-        gate = np.repeat(self.gate, self.bits)
-        gate |= self.code.nth.take(place) << np.uint8(1)
-        gate |= self.code.bit.take(place)
-        out[:, 3] = gate.view(np.int8)
+        by = [value.take(places(known, slot)) for _, _, slot, _, _ in self.orders]
+        out = np.empty((int(self.bits.sum(dtype=np.int64)), 4), np.int8)
+        done = 0
+        for i in range(0, len(self.bits), CHUNK):
+            some = slice(i, i + CHUNK)
+            bits = self.bits[some].astype(np.int64)
+            ends = np.cumsum(bits)
+            step, before = np.arange(int(ends[-1])), ends - bits
+
+            def each(first: np.ndarray, bits: np.ndarray = bits, before: np.ndarray = before, step: np.ndarray = step) -> np.ndarray:
+                at = np.repeat(first - before, bits)
+                at += step
+                return at
+
+            into = out[done : (done := done + len(step))]
+            for k, ((to, first, _, _, _), own) in enumerate(zip(self.orders, by, strict=True)):
+                into[:, k] = own.take(each(first.take(to[some])))
+            place = each(self.place[some])
+            into[:, 2] = self.code.odds.take(place)
+            gate = np.repeat(self.gate[some], bits)
+            gate |= self.code.nth.take(place) << np.uint8(1)
+            gate |= self.code.bit.take(place)
+            into[:, 3] = gate.view(np.int8)
         return out.view(np.uint32).ravel()
 
 
