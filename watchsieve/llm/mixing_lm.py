@@ -47,8 +47,8 @@ from .common import as_bytes, documents, dropped, fold, map_batches, stored, tex
 GATES = 32
 #: Slots that the predictors share for each byte of text (rounded up to a power of two), at least 2 ** LEAST_BITS.
 LEAST_BITS, SLOTS = 24, 16
-#: Bytes of text in a lot, in a segment, and in a piece, which is as bits at a time; bytes of distinct words that are as bits at a time; bytes of text for each task that answers or scores.
-LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, CHUNK, PART_BYTES = 8 << 20, 1 << 16, 12, 1 << 18, 1 << 20, 1 << 18, 24 << 20
+#: Bytes of text in a lot, in a segment, and in a piece, which is as bits at a time; distinct words whose bits are made at a time; bytes of text for each task that answers or scores.
+LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, CHUNK, PART_BYTES = 8 << 20, 1 << 16, 12, 1 << 18, 1 << 20, 1 << 15, 24 << 20
 #: Weights at a text's start: of the word so far, the five bytes before and the two bytes before.
 STRIDE, RATE, START = 32, 0.02, (0.3, 0.6, 0.2)
 GAP = 8  # bytes before each segment, zeros or what the text has there, so that no context reaches into another text
@@ -242,44 +242,47 @@ class Events:
         self.tokens = tokens
         self.counts = np.bincount(self.unit[np.repeat(lot.train, tokens)], minlength=len(rep))
         start, length = token_start[rep], (token_end - token_start)[rep]
-        before = np.cumsum(length) - length
-        at = np.repeat(start - before, length)
-        at += np.arange(len(at))
-        nth = (np.arange(len(at)) - np.repeat(before, length)).astype(np.int32)  # place in the word
-        own = b.take(at)
-        six = own.astype(np.uint64)
-        for k in range(1, 6):
-            more = b.take(at - k)
-            if k > 3:
-                more[nth < k - 3] = 0
-            six |= more.astype(np.uint64) << np.uint64(8 * k)
-        del at, more
-        self.gate = np.minimum(nth, 7).astype(np.uint8) << np.uint8(3)  # and two bits more for the place in the code, and the bit
-        word = _powers(int(length.max(initial=1))).take(nth)
-        del nth
-        word *= own.astype(np.uint64) + np.uint64(1)
-        total = np.zeros(len(word) + 1, np.uint64)
-        np.cumsum(word, dtype=np.uint64, out=total[1:])
-        np.subtract(total[:-1], np.repeat(total.take(before), length), out=word)  # of what is before in the word
-        del total
-        three = six & np.uint64(0xFFFFFF)
-        to_word, (heads, low) = _with_three(word, three)
+        powers = _powers(int(length.max(initial=1)))
+        ends = np.concatenate([[0], np.cumsum(length)])
+        six, word = np.empty(ends[-1], np.uint64), np.empty(ends[-1], np.uint64)
+        #: Of each byte of a unit: how many bits, where they begin in the code's arrays, and the gate, with two bits more for the place in the code and the bit.
+        self.bits, self.place, self.gate = (np.empty(ends[-1], t) for t in (np.uint8, np.int32, np.uint8))
+        for i in range(0, len(rep), CHUNK):  # so that what is made at a time stays near the processor
+            some, into = slice(i, i + CHUNK), slice(ends[i], ends[min(i + CHUNK, len(rep))])
+            many = length[some]
+            before = np.cumsum(many) - many
+            at = np.repeat(start[some] - before, many)
+            at += np.arange(len(at))
+            nth = np.arange(len(at)) - np.repeat(before, many)  # place in the word
+            own = b.take(at).astype(np.uint64)
+            value = own.copy()
+            for k in range(1, 6):
+                more = b.take(at - k)
+                if k > 3:
+                    more[nth < k - 3] = 0
+                value |= more.astype(np.uint64) << np.uint64(8 * k)
+            six[into] = value
+            number = code.numbers(value & np.uint64(0xFFFFFF))
+            self.bits[into] = code.length.take(number)
+            self.place[into] = code.start.take(number)
+            self.gate[into] = np.minimum(nth, 7).astype(np.uint8) << np.uint8(3)
+            own += np.uint64(1)
+            own *= powers.take(nth)
+            total = np.zeros(len(own) + 1, np.uint64)
+            np.cumsum(own, dtype=np.uint64, out=total[1:])
+            np.subtract(total[:-1], np.repeat(total.take(before), many), out=word[into])  # of what is before in the word
+        #: How many bits each unit is, and where they begin.
+        sums = np.concatenate([[0], np.cumsum(self.bits, dtype=np.int64)])
+        self.first = sums.take(ends[:-1])
+        self.size = sums.take(ends[1:]) - self.first
+        to_word, (heads, low) = _with_three(word, six & np.uint64(0xFFFFFF))
         del word
-        number = code.numbers(three)
-        del three
-        self.bits = code.length.take(number).astype(np.uint8)  # of each byte of a unit
-        self.place = code.start.take(number).astype(np.int32)
-        del number
         to_six, kinds = encoded(six)
         del six
-        #: How many bits each unit is, and where they begin.
-        sums = np.concatenate([[0], np.cumsum(self.bits, dtype=np.int64)])
-        self.first = sums.take(before)
-        self.size = sums.take(before + length) - self.first
         weight = np.repeat(self.counts, length)
         #: By order: which distinct context each byte of a unit has, where the bits of that begin, and each bit's slot, bit and how often it is to be counted.
         self.orders = []
-        for to, h, last in ((to_word, _hash(heads + np.uint64(7), 3), low), (to_six, _hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds & np.uint64(0xFFFFFF))):
+        for of, h, last in ((to_word, _hash(heads + np.uint64(7), 3), low), (to_six, _hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds & np.uint64(0xFFFFFF))):
             number = code.numbers(last)
             many = code.length.take(number)
             first = np.cumsum(many) - many
@@ -291,7 +294,7 @@ class Events:
             slot ^= slot >> np.uint64(32)
             slot *= _K[2]
             slot >>= np.uint64(64 - table_bits)
-            self.orders.append((to, first, slot, code.bit.take(place), np.repeat(np.bincount(to, weight, len(number)), many)))
+            self.orders.append((of, first.astype(np.int32), slot, code.bit.take(place), np.repeat(np.bincount(of, weight, len(number)), many)))
 
     def met(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct slots in order, and how many zeros and ones the bits that count gave each."""
@@ -310,8 +313,8 @@ class Events:
         by = [value.take(places(known, slot)) for _, _, slot, _, _ in self.orders]
         out = np.empty((int(self.bits.sum(dtype=np.int64)), 4), np.int8)
         done = 0
-        for i in range(0, len(self.bits), CHUNK):
-            some = slice(i, i + CHUNK)
+        for i in range(0, len(self.bits), 8 * CHUNK):
+            some = slice(i, i + 8 * CHUNK)
             bits = self.bits[some].astype(np.int64)
             ends = np.cumsum(bits)
             step, before = np.arange(int(ends[-1])), ends - bits
@@ -349,24 +352,30 @@ def _units(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     joined = b.tobytes() + bytes(8)
     eight = np.ndarray(len(b) + 1, "<u8", joined, strides=(1,))  # the eight bytes from each place
     length = end - start
-    three = eight.take(start - 3) & _FIRST[3]
-    name = (length.astype(np.uint64) << np.uint64(24) | three) * np.uint64(0x9E3779B97F4A7C15)
-    some = np.arange(len(start))
-    for at in range(0, _LONG, 8):
-        some = some[length[some] > at] if at else some
-        if not len(some):
-            break
-        h = (name[some] ^ (eight.take(start[some] + at) & _FIRST.take(np.minimum(length[some] - at, 8)))) * np.uint64(0xC2B2AE3D27D4EB4F)
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0x165667B19E3779F9)
-        name[some] = h ^ (h >> np.uint64(32))
-    for k in np.flatnonzero(length > _LONG).tolist():
-        name[k] = xxhash.xxh3_64_intdigest(joined[start[k] - 3 : end[k]])
-    which, kinds = encoded(name)
-    rep = np.zeros(len(kinds), np.int64)
+    three, head = np.empty(len(start), np.uint64), np.empty(len(start), np.uint64)
+    name = np.empty(len(start), np.uint64)
+    for i in range(0, len(start), 4 * CHUNK):
+        cut = slice(i, i + 4 * CHUNK)
+        begin, many = start[cut], length[cut]
+        three[cut] = eight[begin - 3] & _FIRST[3]
+        head[cut] = eight[begin] & _FIRST.take(np.minimum(many, 8))
+        own = (many.astype(np.uint64) << np.uint64(24) | three[cut]) * np.uint64(0x9E3779B97F4A7C15)
+        some = np.arange(len(begin))
+        for at in range(0, _LONG, 8):
+            some = some[many[some] > at] if at else some
+            if not len(some):
+                break
+            h = (own[some] ^ (eight[begin[some] + at] & _FIRST.take(np.minimum(many[some] - at, 8)))) * np.uint64(0xC2B2AE3D27D4EB4F)
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0x165667B19E3779F9)
+            own[some] = h ^ (h >> np.uint64(32))
+        for k in np.flatnonzero(many > _LONG).tolist():
+            own[k] = xxhash.xxh3_64_intdigest(joined[begin[k] - 3 : begin[k] + many[k]])
+        name[cut] = own
+    which, known = encoded(name)
+    rep = np.zeros(len(known), np.int64)
     rep[which] = np.arange(len(which))
     of = rep.take(which)
-    head = eight.take(start) & _FIRST.take(np.minimum(length, 8))
     if (length.take(of) == length).all() and (three.take(of) == three).all() and (head.take(of) == head).all():
         return which, rep
     raise ValueError("two words of a lot have one 64-bit hash")
@@ -567,7 +576,7 @@ def code_for(lots: DataFrame) -> Code:
 
 
 def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFrame:
-    """lot, blob, and in pieces: the states of the distinct slots of each lot in order, and how often the texts that may be learnt from have each of its distinct words in order; v adds up to the number of such words."""
+    """For whole_lots(): each lot, and after it in pieces the states of its distinct slots in order, and how often the texts that may be learnt from have each of its distinct words in order; v adds up to the number of such words."""
     shared = lots.sparkSession.sparkContext.broadcast(code)
     shard_bits = max(5, (2 * parts - 1).bit_length())  # as the tasks that ask grow, so do those that answer
     shift, word_shift = np.uint64(table_bits - shard_bits), np.uint64(64 - shard_bits)
@@ -621,31 +630,33 @@ def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFr
         if held:
             yield from made()
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, blob, found, times, v = None, None, [], [], 0
-
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blob], pa.binary()), *(pa.array([x], pa.list_(pa.binary())) for x in (found, times)), pa.array([v], pa.int64())], names=["lot", "blob", "states", "times", "v"])
-
-        for b in batches:
-            for lot, shard, own, count, kinds in zip(b.column("lot").to_pylist(), b.column("shard").to_pylist(), b.column("blob"), b.column("times"), b.column("v").to_pylist(), strict=True):
-                if lot != number:
-                    if number is not None:
-                        yield made()
-                    number, blob, found, times, v = lot, None, [], [], 0
-                if shard < 0:
-                    blob = own.as_py()
-                else:
-                    found.append(own.as_py())
-                    times.append(count.as_py())
-                    v += kinds
-        if number is not None:
-            yield made()
-
     asked = map_batches(lots.select("lot", "blob"), ask, "lot bigint, shard bigint, slots binary, n binary, words binary, times binary")
     answers = map_batches(asked.repartition(1 << shard_bits, "shard").sortWithinPartitions("shard", "lot"), answer, "lot bigint, shard bigint, blob binary, times binary, v bigint")
     whole = lots.select("lot", "shard", "blob", F.lit(None).cast("binary").alias("times"), F.lit(0).cast("bigint").alias("v")).union(answers)
-    return stored(map_batches(whole.repartition(parts, "lot").sortWithinPartitions("lot", "shard"), join, "lot bigint, blob binary, states array<binary>, times array<binary>, v bigint"), "answered")
+    return whole.repartition(parts, "lot").sortWithinPartitions("lot", "shard").select("lot", "shard", "blob", "times", "v")
+
+
+def whole_lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Lot, np.ndarray, np.ndarray, int]]:
+    """From rows of answered(): each lot, the states of its distinct slots in order, the counts of its distinct words in order, and its part of v."""
+    number, lot, found, times, v = None, None, [], [], 0
+
+    def made() -> tuple[Lot, np.ndarray, np.ndarray, int]:
+        return lot, np.concatenate([_unpacked(x, np.uint8) for x in found]), np.concatenate([_unpacked(x, np.int64) for x in times]), v
+
+    for b in batches:
+        for nth, shard, own, count, kinds in zip(b.column("lot").to_pylist(), b.column("shard").to_pylist(), b.column("blob"), b.column("times"), b.column("v").to_pylist(), strict=True):
+            if nth != number:
+                if number is not None:
+                    yield made()
+                number, found, times, v = nth, [], [], 0
+            if shard < 0:
+                lot = _lot(own.as_py())
+            else:
+                found.append(own.as_py())
+                times.append(count.as_py())
+                v += kinds
+    if number is not None:
+        yield made()
 
 
 def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -658,28 +669,24 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     lots = lots_of(rows, int(np.clip(size // SPREAD, LEAST_LOT, LOT)))
     ends, n = lots.agg(F.coalesce(F.sum("learnt"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     code = code_for(lots)
-    asked = answered(lots, code, table_bits, parts)
-    dropped(lots)
-    v = (asked.agg(F.sum("v")).first()[0] or 0) + (1 if ends else 0)
     shared = spark.sparkContext.broadcast(code)
     end, known_end = np.log10(ends + 1), 1 if ends else 0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for blob, pieces, counts in zip(b.column("blob"), b.column("states"), b.column("times"), strict=True):
-                lot = _lot(blob.as_py())
-                value = scores(lot, Events(lot, shared.value, table_bits), np.concatenate([_unpacked(x, np.uint8) for x in pieces.as_py()]))
-                each = lot.word_hashes()
-                many = np.array([len(x) for x in each], np.int64)
-                word = np.concatenate(each)
-                times = np.concatenate([_unpacked(x, np.int64) for x in counts.as_py()])[places(distinct(word.copy()), word)] if len(word) else np.zeros(0, np.int64)
-                of, last = np.repeat(np.arange(len(each)), many), np.array(lot.last, np.int64)
-                base, known = np.bincount(of, np.log10(times + 1.0), len(each)) + last * end, np.bincount(of, times > 0, len(each)) + last * known_end
-                columns = [pa.array(lot.docs, pa.int64()), pa.array(lot.numbers, pa.int64()), pa.array(lot.train, pa.bool_()), pa.array([not x and y for x, y in zip(lot.before, lot.last, strict=True)], pa.bool_()), pa.array(many + last), pa.array(known.astype(np.int64)), pa.array(base), pa.array(value), pa.array([len(x) for x in lot.data], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "number", "train", "whole", "n_tokens", "n_known", "base", "score", "bytes"])
-
-    made = stored(map_batches(asked.select("blob", "states", "times"), score, "doc_id bigint, number bigint, train boolean, whole boolean, n_tokens bigint, n_known bigint, base double, score double, bytes bigint"), "scores")
-    dropped(asked)
+        for lot, found, counts, v in whole_lots(batches):
+            value = scores(lot, Events(lot, shared.value, table_bits), found)
+            each = lot.word_hashes()
+            many = np.array([len(x) for x in each], np.int64)
+            word = np.concatenate(each)
+            times = counts[places(distinct(word.copy()), word)]
+            of, last = np.repeat(np.arange(len(each)), many), np.array(lot.last, np.int64)
+            base, known = np.bincount(of, np.log10(times + 1.0), len(each)) + last * end, np.bincount(of, times > 0, len(each)) + last * known_end
+            columns = [pa.array(lot.docs, pa.int64()), pa.array(lot.numbers, pa.int64()), pa.array(lot.train, pa.bool_()), pa.array([not x and y for x, y in zip(lot.before, lot.last, strict=True)], pa.bool_()), pa.array(many + last), pa.array(known.astype(np.int64)), pa.array(base), pa.array(value), pa.array([len(x) for x in lot.data], pa.int64()), pa.array([v, *[0] * (len(each) - 1)], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "number", "train", "whole", "n_tokens", "n_known", "base", "score", "bytes", "v"])
+
+    made = stored(map_batches(answered(lots, code, table_bits, parts), score, "doc_id bigint, number bigint, train boolean, whole boolean, n_tokens bigint, n_known bigint, base double, score double, bytes bigint, v bigint"), "scores")
+    dropped(lots)
+    v = (made.agg(F.sum("v")).first()[0] or 0) + known_end
     columns = ("doc_id", "train", "n_tokens", "n_known", "base", "score", "bytes")
     long = made.filter("NOT whole").groupBy("number").agg(F.first("doc_id").alias("doc_id"), F.first("train").alias("train"), *[F.sum(c).alias(c) for c in columns[2:]])
     each = made.filter("whole").select(*columns).union(long.select(*columns))
