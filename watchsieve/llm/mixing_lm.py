@@ -13,7 +13,7 @@ from one text to another.
 The tables have SLOTS slots for each byte of text, without a bound, and no task holds one: texts go in lots, a lot sends the
 distinct slots it meets with their counts to shards by slot, and each shard answers every lot with the state (the counts in
 a byte) of just those slots. Counts come from every text that may be learnt from. In a lot, a word after the same three bytes
-makes the same bits and slots each time, so these are made once for each distinct one. A text over SEGMENT bytes goes in
+makes the same bits and slots each time, so these are made once for each distinct one (told apart by 64 bits). A text over SEGMENT bytes goes in
 segments, cut at white space, which see the bytes before them and are refined each from its own start, so that memory is
 bounded by a lot.
 
@@ -28,6 +28,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import pickle
 from collections.abc import Iterator
@@ -48,7 +49,7 @@ GATES = 32
 #: Slots that the predictors share for each byte of text (rounded up to a power of two), at least 2 ** LEAST_BITS.
 LEAST_BITS, SLOTS = 24, 16
 #: Bytes of text in a lot, in a segment, and in a piece, which is as bits at a time; distinct words whose bits are made at a time; bytes of text for each task that answers or scores.
-LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, CHUNK, PART_BYTES = 8 << 20, 1 << 16, 12, 1 << 18, 1 << 20, 1 << 15, 24 << 20
+LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, CHUNK, PART_BYTES = 8 << 20, 1 << 16, 12, 1 << 18, 2 << 20, 1 << 13, 24 << 20
 #: Weights at a text's start: of the word so far, the five bytes before and the two bytes before.
 STRIDE, RATE, START = 32, 0.02, (0.3, 0.6, 0.2)
 GAP = 8  # bytes before each segment, zeros or what the text has there, so that no context reaches into another text
@@ -313,8 +314,8 @@ class Events:
         by = [value.take(places(known, slot)) for _, _, slot, _, _ in self.orders]
         out = np.empty((int(self.bits.sum(dtype=np.int64)), 4), np.int8)
         done = 0
-        for i in range(0, len(self.bits), 8 * CHUNK):
-            some = slice(i, i + 8 * CHUNK)
+        for i in range(0, len(self.bits), 4 * CHUNK):
+            some = slice(i, i + 4 * CHUNK)
             bits = self.bits[some].astype(np.int64)
             ends = np.cumsum(bits)
             step, before = np.arange(int(ends[-1])), ends - bits
@@ -352,14 +353,10 @@ def _units(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     joined = b.tobytes() + bytes(8)
     eight = np.ndarray(len(b) + 1, "<u8", joined, strides=(1,))  # the eight bytes from each place
     length = end - start
-    three, head = np.empty(len(start), np.uint64), np.empty(len(start), np.uint64)
     name = np.empty(len(start), np.uint64)
     for i in range(0, len(start), 4 * CHUNK):
-        cut = slice(i, i + 4 * CHUNK)
-        begin, many = start[cut], length[cut]
-        three[cut] = eight[begin - 3] & _FIRST[3]
-        head[cut] = eight[begin] & _FIRST.take(np.minimum(many, 8))
-        own = (many.astype(np.uint64) << np.uint64(24) | three[cut]) * np.uint64(0x9E3779B97F4A7C15)
+        begin, many = start[i : i + 4 * CHUNK], length[i : i + 4 * CHUNK]
+        own = (many.astype(np.uint64) << np.uint64(24) | (eight[begin - 3] & _FIRST[3])) * np.uint64(0x9E3779B97F4A7C15)
         some = np.arange(len(begin))
         for at in range(0, _LONG, 8):
             some = some[many[some] > at] if at else some
@@ -371,25 +368,23 @@ def _units(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
             own[some] = h ^ (h >> np.uint64(32))
         for k in np.flatnonzero(many > _LONG).tolist():
             own[k] = xxhash.xxh3_64_intdigest(joined[begin[k] - 3 : begin[k] + many[k]])
-        name[cut] = own
+        name[i : i + 4 * CHUNK] = own
     which, known = encoded(name)
     rep = np.zeros(len(known), np.int64)
     rep[which] = np.arange(len(which))
-    of = rep.take(which)
-    if (length.take(of) == length).all() and (three.take(of) == three).all() and (head.take(of) == head).all():
-        return which, rep
-    raise ValueError("two words of a lot have one 64-bit hash")
+    return which, rep
 
 
 def _with_three(word: np.ndarray, three: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
     """Which distinct pair each is, and the pairs."""
-    for salt in range(1, 100):
-        which, kinds = encoded((word ^ (three * _K[1])) * (_K[2:3] * np.uint64(2 * salt + 1)))
-        one, two = np.zeros(len(kinds), np.uint64), np.zeros(len(kinds), np.uint64)
-        one[which], two[which] = word, three
-        if (one.take(which) == word).all() and (two.take(which) == three).all():
-            return which, (one, two)
-    raise ValueError("pairs can't be told apart")
+    mixed = three * _K[1]
+    mixed ^= word
+    mixed *= _K[2]
+    mixed ^= mixed >> np.uint64(32)
+    which, kinds = encoded(mixed)
+    one, two = np.zeros(len(kinds), np.uint64), np.zeros(len(kinds), np.uint64)
+    one[which], two[which] = word, three
+    return which, (one, two)
 
 
 def _groups(data: list[bytes], most: int) -> Iterator[tuple[int, list[bytes]]]:
@@ -465,11 +460,15 @@ def scores(lot: Lot, events: Events, found: np.ndarray, start: tuple[float, ...]
     for i, group in _groups(lot.data, PIECE):
         tokens = events.tokens[i : i + len(group)]
         unit = events.unit[token : (token := token + int(tokens.sum()))]
-        size = events.size.take(unit)
-        ends = np.concatenate([[0], np.cumsum(size)])
-        at = np.repeat(events.first.take(unit) - ends[:-1], size)
-        at += np.arange(len(at))
-        out.append(refined(bits.take(at), ends[np.concatenate([[0], np.cumsum(tokens)])], start, rate) / np.log(10))
+        ends = np.concatenate([[0], np.cumsum(events.size.take(unit))])
+        own = np.empty(ends[-1], np.uint32)
+        for k in range(0, len(unit), CHUNK):
+            some = unit[k : k + CHUNK]
+            size = events.size.take(some)
+            at = np.repeat(events.first.take(some) - ends[k : k + len(some)], size)
+            at += np.arange(ends[k], ends[k + len(some)])
+            bits.take(at, out=own[ends[k] : ends[k + len(some)]], mode="clip")
+        out.append(refined(own, ends[np.concatenate([[0], np.cumsum(tokens)])], start, rate) / np.log(10))
     return np.concatenate(out) if out else np.zeros(0)
 
 
@@ -504,14 +503,27 @@ def word_hashes(data: list[bytes]) -> list[np.ndarray]:
     return [name[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
+@functools.cache
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One pair for each worker process."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _packed(x: np.ndarray) -> bytes:
-    """Numbers as one plane for each of their bytes, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() if len(x) else b"")
+    """Numbers as one plane for each of their bytes, compressed; planes of zeros at the end are left out."""
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T) if len(x) else np.zeros((0, 0), np.uint8)
+    used = len(planes)
+    while used and not planes[used - 1].any():
+        used -= 1
+    return bytes([used]) + len(x).to_bytes(5, "little") + (_zstd()[0].compress(planes[:used].tobytes()) if used else b"")
 
 
 def _unpacked(blob: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    used, n = blob[0], int.from_bytes(blob[1:6], "little")
+    out = np.zeros((n, np.dtype(kind).itemsize), np.uint8)
+    if used:
+        out[:, :used] = np.frombuffer(_zstd()[1].decompress(blob[6:]), np.uint8).reshape(used, n).T
+    return out.view(kind).ravel()
 
 
 def lots_of(rows: DataFrame, most: int) -> DataFrame:
@@ -601,23 +613,24 @@ def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFr
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
 
-        def total(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-            """Sums of the counts by key, and of each list the places of its keys."""
-            known = distinct(np.concatenate(keys))
-            sums, at = np.zeros((n[0].shape[0], len(known)), np.int64), []
-            for some, own in zip(keys, n, strict=True):
-                at.append(places(known, some).astype(np.uint32))
-                sums[:, at[-1]] += own
-            return sums, at
+        def keys(column: int, by: np.uint64) -> tuple[np.ndarray, np.ndarray, list[int]]:
+            """The distinct keys, which of them each row's are, and where a row's end."""
+            each = [np.cumsum(_unpacked(row[column], np.uint64), dtype=np.uint64) for row in held]
+            every = np.concatenate(each)
+            every += np.uint64(shard) << by
+            known = distinct(every.copy())
+            return known, places(known, every), np.cumsum([len(x) for x in each]).tolist()
 
         def made() -> Iterator[pa.RecordBatch]:
-            keys = [[np.cumsum(_unpacked(row[k], np.uint64), dtype=np.uint64) + (np.uint64(shard) << by) for row in held] for k, by in ((1, shift), (3, word_shift))]
-            counts, at = total(keys[0], [_unpacked(row[2], np.uint32).reshape(2, -1) for row in held])
-            found = states(*counts)
-            times, word_at = total(keys[1], [_unpacked(row[4], np.uint32).reshape(1, -1) for row in held])
-            v = int((times[0] > 0).sum())
-            for k, row in enumerate(held):
-                blobs = (_packed(found.take(at[k])), _packed(times[0].take(word_at[k])))
+            known, at, ends = keys(1, shift)
+            n = [_unpacked(row[2], np.uint32).reshape(2, -1) for row in held]
+            found = states(*(np.bincount(at, np.concatenate([x[k] for x in n]), len(known)).astype(np.int64) for k in (0, 1))).take(at)
+            known, at, word_ends = keys(3, word_shift)
+            times = np.bincount(at, np.concatenate([_unpacked(row[4], np.uint32) for row in held]), len(known)).astype(np.int64)
+            v, times, i, j = int((times > 0).sum()), times.take(at), 0, 0
+            for k, (row, end, word_end) in enumerate(zip(held, ends, word_ends, strict=True)):
+                blobs = (_packed(found[i:end]), _packed(times[j:word_end]))
+                i, j = end, word_end
                 yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), pa.array([shard], pa.int64()), *(pa.array([x], pa.binary()) for x in blobs), pa.array([0 if k else v], pa.int64())], names=["lot", "shard", "blob", "times", "v"])
 
         for b in batches:
