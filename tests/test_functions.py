@@ -23,7 +23,7 @@ def test_normalize(spark, raw, made):
 
 @pytest.mark.parametrize(
     ("raw", "made"),
-    [("12 St. James St", "12 SAINT JAMES STREET"), ("100 N. Main St #5", "100 NORTH MAIN STREET #5"), ("# 5", "NUMBER 5"), ("Ave Maria Blvd", "AVENUE MARIA BOULEVARD"), (None, "")],
+    [("12 St. James St", "12 SAINT JAMES STREET"), ("100 N. Main St #5", "100 NORTH MAIN STREET #5"), ("# 5", "NUMBER 5"), ("Ave Maria Blvd", "AVENUE MARIA BOULEVARD"), (None, ""), ("21st St & 113th Ave", "TWENTY FIRST STREET ONE HUNDRED THIRTEENTH AVENUE"), ("Mt Vernon Hts", "MOUNT VERNON HEIGHTS")],
 )
 def test_address(spark, raw, made):
     assert one(spark, text.address("a"), a=raw) == made
@@ -78,8 +78,32 @@ def test_bound_loses_nothing(spark):
     assert rows.filter(similarity.jw_bound("a", "b") < similarity.jaro_winkler("a", "b") - 1e-9).count() == 0
 
 
-def test_nysiis():
-    assert [phonetic.nysiis_one(w) for w in ("MACDONALD", "KNIGHT", "", "PHILLIPS")] == ["MCDANALD", "NAGT", "", "FALAPS"]
+#: By hand from the rules: rewrites at both ends, runs of H and W after vowels and other letters, KH, ZH, QH, EV, repeats and a last A.
+NYSIIS = {
+    "MACDONALD": "MCDANALD", "KNIGHT": "NAGT", "PHILLIPS": "FALAPS", "MEHDI": "MAD", "HOWARD": "HAD", "AKHTAR": "ACTAR", "SHEIKH": "SAC", "AZHAR": "ASAR", "KHALID": "CALAD", "QHASIM": "QASAN", "RAHIM": "RAHAN", "ALLAH": "ALAH",
+    "HUGHES": "HAGAS", "WHALEY": "WALAY", "LAWSON": "LASAN", "MATTHEW": "MAT", "STEVEN": "STAFAN", "SCHMIDT": "SNAD", "BASCH": "BAS", "LEE": "LY", "BRANDT": "BRAND", "WWHH": "W", "AHHA": "AH", "OWHU": "OH", "ERND": "ERD", "PFEIFFER": "FAFAR",
+    "BWHB": "BWB", "": "", "12": "",
+}
+
+
+def test_nysiis(spark):
+    rows = spark.createDataFrame(list(NYSIIS.items()), "w string, code string").select("w", "code", phonetic.nysiis_word(F.col("w")).alias("got")).collect()
+    assert {r.w: r.got for r in rows} == NYSIIS
+    assert one(spark, phonetic.nysiis("a"), a=" sheikh  MEHDI mehdi ") == ["MAD", "SAC"] and one(spark, phonetic.nysiis("a"), a=None) == []
+
+
+def test_country_at_end(spark):
+    at = lambda x: tuple(one(spark, text.country_at_end("a"), a=x))
+    assert at("1 Road,\r\nHong  Kong") == ("1 Road", "Hong Kong") and at("1 Road, hong kong") == ("1 Road, hong kong", None)
+    assert at("France") == (None, "France") and at(None) == (None, None) and at("New Jersey") == ("New", "Jersey") and at("A,, Ireland") == ("A", "Ireland")
+
+
+def test_forms(spark):
+    names = ["ACME TRADING LIMITED", "LLC", "JSC ACME LTD", "ACME LIMITED LIABILITY COMPANY", "ACME", "", "OOO ROMASHKA"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string").select("n", gates.forms("n").alias("f")).collect()
+    known = gates.Forms()
+    for r in rows:
+        assert r.f == [f"{at[0]}:{x}" for at in ("SUFFIX", "PREFIX") if (x := known.split(r.n, at)[0])], r.n
 
 
 @pytest.mark.parametrize(

@@ -5,7 +5,7 @@ from watchsieve.config import ScreeningConfig
 from watchsieve.functions.similarity import register
 from watchsieve.operators import audit, dummy, legacy
 from watchsieve.plans.screening import screen
-from watchsieve.sinks import Store, export_csv, export_run, run_log_text
+from watchsieve.sinks import Store, export_csv, export_legacy, export_non_passing, export_run, run_log_text, write_back
 from watchsieve.sources import inputs, lookups, watchlist
 from watchsieve.streaming.screen import screen_stream
 
@@ -139,6 +139,25 @@ def test_store_exports_and_runs(spark, given, watch, tmp_path):
     assert store.add_missing("Weights", lookups.weights_table(spark), "Weight_Key") == 23
     assert store.add_missing("Weights", lookups.weights_table(spark), "Weight_Key") == 0
     export_csv(spark.range(3).toDF("a"), str(tmp_path / "one"), single=True)
+    log = store.read("RunLog", 1).first()
+    assert (log.records, log.blocking) == ("7", "letters") and store.read("RunLog", 1).count() == 1
+    store.update_run(1, blocking="none", rows=5)
+    again = store.read("RunLog", 1).first()
+    assert (again.records, again.blocking, again.rows, again.Recorded_At) == ("7", "none", "5", log.Recorded_At)
+    screen(given, watch, store=store, run_id=1)  # a run that is repeated replaces its rows
+    assert store.read("MatchingResults_Person_Full", 1).count() == counts["MatchingResults_Person_Full"]
+    rest = audit.non_passing(given, watch.names(), store.read("MatchingResults_GatePassing", 1))
+    rows = audit.non_passing_report(rest, given, "2024-01-31", "2024-02-01 00:00:00")
+    export_non_passing(rows, str(tmp_path / "audit"), "2024-02-01 00:00:00", "2024-01-31")
+    assert [r.value for r in spark.read.text(str(tmp_path / "audit/preamble")).collect()][:2] == ["Reason for not Including as a match: InsufficientNameMatch", "Run Date: 2024-02-01 00:00:00"]
+    back = spark.read.csv(str(tmp_path / "audit/rows"), header=True)
+    assert back.count() == rows.count() > 0 and {r[0] for r in back.select("SDNNameType").distinct().collect()} == {"Regular", "AKA"}
+    made = dummy.screening_rows(dummy.generate(watch.entries, watch.akas, watch.remarks, watch.addresses, 5, 3))
+    for _ in range(2):
+        write_back(made, str(tmp_path / "screening"))
+    back = spark.read.parquet(str(tmp_path / "screening"))
+    assert back.count() == 2 * made.count() and back.filter("ENTITY_NUM = 'DUMMY' AND coalesce(Contact_ID, Entity_ID) LIKE 'DUMMY-%'").count() == back.count()
+    assert inputs.from_screening(back.withColumn("ScreeningInput_ID", F.monotonically_increasing_id())).count() == back.count()
     run_log_text(store, 1, str(tmp_path / "log"))
 
 
@@ -150,13 +169,15 @@ def test_stream(spark, given, watch, tmp_path):
     assert store.read("MatchingResults_Person_Full", 1).count() >= 1
 
 
-def test_legacy(spark):
+def test_legacy(spark, tmp_path):
     p = spark.createDataFrame([(1, "Ivan", None, "Petrov", None), (2, None, None, None, "Zzyzx")], "principal_id int, first_name string, middle_name string, last_name string, org_name string")
     e = spark.createDataFrame([(7, "Iwan", "Petrov"), (8, None, "Petroff")], "uid int, first_name string, last_name string")
     rows = legacy.detail(p, e, ScreeningConfig().match_scores)
     assert rows.filter("principal_id = 2").first().match_field == "No Match"
     s = legacy.summary(rows).filter("principal_id = 1").first()
     assert (s.best_uid, s.best_matchtype, s.direct_matches, s.all_matched_uids) == (7, "Direct", 1, "7 | 8")
+    export_legacy(rows, legacy.summary(rows), str(tmp_path))
+    assert spark.read.csv(str(tmp_path / "summary"), header=True).count() == 2 and "matchtype" in spark.read.csv(str(tmp_path / "detail"), header=True).columns
     assert legacy.compare_names(p.withColumnRenamed("principal_id", "given_id"), e).count() > 0
 
 
@@ -198,8 +219,8 @@ def test_dummy(watch):
 
 def test_registered(spark):
     register(spark)
-    r = spark.sql("SELECT jaro_winkler('MARTHA', 'MARHTA') AS w, osa_distance('ab', 'ba') AS o, nysiis_codes('KNIGHT') AS n, org_score('ACME LIMITED', 'ACME LIMITED').passed AS p").first()
-    assert (round(r.w, 4), r.o, r.n, r.p) == (0.9611, 1, ["NAGT"], True)
+    r = spark.sql("SELECT jaro_winkler('MARTHA', 'MARHTA') AS w, osa_distance('ab', 'ba') AS o, nysiis_codes('KNIGHT SHEIKH') AS n, token_match('acme bank', 'bank acme').category AS t, jw_similarity('ab', 'ab') AS j, org_score('ACME LIMITED', 'ACME LIMITED').passed AS p").first()
+    assert (round(r.w, 4), r.o, r.n, r.p, r.t, r.j) == (0.9611, 1, ["NAGT", "SAC"], True, "All", 1.0)
 
 
 def test_legacy_queries_take_whole_tables(spark, tmp_path):

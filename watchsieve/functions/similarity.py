@@ -53,22 +53,26 @@ def _pairs(a: list[bytes], b: list[bytes], variant: str) -> tuple[np.ndarray, np
     return jaro, np.cumprod(same, axis=1).sum(1)
 
 
+def distinct_pairs(a: pd.Series, b: pd.Series) -> tuple[np.ndarray, list[str], list[str]]:
+    """Which distinct pair each row has, and the pairs; null as empty."""
+    (x, left), (y, right) = (pd.factorize(s.fillna("")) for s in (a, b))
+    which, known = pd.factorize(x.astype(np.int64) * max(1, len(right)) + y)
+    return which, [left[k] for k in (known // max(1, len(right))).tolist()], [right[k] for k in (known % max(1, len(right))).tolist()]
+
+
 def _in_groups(a: pd.Series, b: pd.Series, fn: Callable[[list[bytes], list[bytes]], np.ndarray]) -> pd.Series:
     """fn over distinct pairs, those of like length together, so that one long value does not widen all."""
-    left, right = ([b"" if v is None else v.encode() for v in s.tolist()] for s in (a, b))
-    known = list(dict.fromkeys(zip(left, right, strict=True)))
-    known.sort(key=lambda p: (max(len(p[0]), len(p[1])), len(p[0])))
-    found: dict[tuple[bytes, bytes], float] = {}
-    step = 4096
-    for k in range(0, len(known), step):
-        part = known[k : k + step]
-        if max(map(len, part[-1])) > 256 and len(part) > 64:
-            for q in range(0, len(part), 64):
-                some = part[q : q + 64]
-                found.update(zip(some, fn([p[0] for p in some], [p[1] for p in some]).tolist(), strict=True))
-        else:
-            found.update(zip(part, fn([p[0] for p in part], [p[1] for p in part]).tolist(), strict=True))
-    return pd.Series([found[p] for p in zip(left, right, strict=True)], dtype="float64")
+    which, left, right = distinct_pairs(a, b)
+    left, right = [x.encode() for x in left], [x.encode() for x in right]
+    longest = np.array([max(len(x), len(y)) for x, y in zip(left, right, strict=True)], np.int64)
+    order, found, i = np.lexsort((np.array([len(x) for x in left], np.int64), longest)), np.zeros(len(left)), 0
+    while i < len(order):
+        some = order[i : i + 4096]
+        if longest[some[-1]] > 256:
+            some = some[:64]
+        found[some] = fn([left[k] for k in some], [right[k] for k in some])
+        i += len(some)
+    return pd.Series(found.take(which) if len(which) else np.zeros(0), dtype="float64")
 
 
 def jaro_pairs(a: list[bytes], b: list[bytes], variant: str = "standard") -> np.ndarray:
@@ -124,11 +128,8 @@ def osa_one(a: str, b: str) -> int:
 
 def osa(a: Column | str, b: Column | str) -> Column:
     def batch(x: pd.Series, y: pd.Series) -> pd.Series:
-        known: dict[tuple[str, str], int] = {}
-        for p in zip(x.fillna(""), y.fillna(""), strict=True):
-            if p not in known:
-                known[p] = osa_one(*p)
-        return pd.Series([known[p] for p in zip(x.fillna(""), y.fillna(""), strict=True)], dtype="int32")
+        which, left, right = distinct_pairs(x, y)
+        return pd.Series(np.array([osa_one(*p) for p in zip(left, right, strict=True)], np.int32).take(which) if len(which) else [], dtype="int32")
 
     return F.pandas_udf(batch, "int")(col(a), col(b))
 
@@ -158,9 +159,9 @@ def jw_bound(a: Column | str, b: Column | str) -> Column:
 
 
 def register(spark: SparkSession) -> None:
-    """jaro, jaro_winkler, osa_distance, nysiis_codes and org_score for SQL."""
-    from ..operators.gates import ORG_SCORE, org_score_batch
-    from .phonetic import nysiis_batch
+    """jaro, jaro_winkler, jw_similarity, osa_distance, nysiis_codes, org_score and token_match for SQL; find_library() is the caller's."""
+    from ..operators.gates import ORG_SCORE, TOKEN_MATCH, org_score_batch, token_category_batch
+    from .phonetic import nysiis_sql
 
     def osa_batch(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([osa_one(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="int32")
@@ -168,8 +169,13 @@ def register(spark: SparkSession) -> None:
     def org_batch(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         return org_score_batch(a, b)
 
+    def token_batch(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return token_category_batch(a, b)
+
     spark.udf.register("jaro", _udf("jaro", jaro_pairs))
-    spark.udf.register("jaro_winkler", _udf("jaro_winkler", jw_pairs))
+    for name in ("jaro_winkler", "jw_similarity"):
+        spark.udf.register(name, _udf("jaro_winkler", jw_pairs))
     spark.udf.register("osa_distance", F.pandas_udf(osa_batch, "int"))
-    spark.udf.register("nysiis_codes", F.pandas_udf(nysiis_batch, "array<string>"))
     spark.udf.register("org_score", F.pandas_udf(org_batch, ORG_SCORE))
+    spark.udf.register("token_match", F.pandas_udf(token_batch, TOKEN_MATCH))
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION nysiis_codes(name STRING) RETURNS ARRAY<STRING> RETURN {nysiis_sql('name')}")

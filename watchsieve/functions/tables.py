@@ -45,12 +45,76 @@ ENTITY_TYPES = [
     ("OJSC", "Open Joint Stock Company", "BOTH"), ("CJSC", "Closed Joint Stock Company", "BOTH"), ("PJSC", "Public Joint Stock Company", "BOTH"),
 ]
 
-#: A few address abbreviations, as abbreviation, full form, and 1 where it is not meant at the beginning. A complete list is a parameter: sources.lookups.abbreviations().
-ADDRESS_ABBREVIATIONS = [
-    ("#", "Number", 0), ("Ave", "Avenue", 1), ("Blvd", "Boulevard", 1), ("Cir", "Circle", 1), ("Ct", "Court", 1), ("Dr", "Drive", 1), ("Hwy", "Highway", 1), ("Ln", "Lane", 1), ("Pkwy", "Parkway", 1),
-    ("Pl", "Place", 1), ("Rd", "Road", 1), ("Sq", "Square", 1), ("St", "Street", 1), ("St", "Saint", 0), ("Ter", "Terrace", 1), ("Way", "Way", 1), ("Apt", "Apartment", 0), ("Bldg", "Building", 0),
-    ("Fl", "Floor", 0), ("Rm", "Room", 0), ("Ste", "Suite", 0), ("N", "North", 0), ("S", "South", 0), ("E", "East", 0), ("W", "West", 0), ("NE", "Northeast", 0), ("NW", "Northwest", 0), ("SE", "Southeast", 0), ("SW", "Southwest", 0),
-]
+# Street words as abbreviation and full form; + marks those that also have a plural, with an s more on either side.
+_STREETS = """
+Aly Alley, Anx Annex, Arc Arcade, Ave Avenue, Byu Bayou, Bch Beach, Bnd Bend, Blf+ Bluff, Btm Bottom, Blvd Boulevard, Br Branch, Brg Bridge, Brk+ Brook, Bg+ Burg, Byp Bypass, Cp Camp, Cyn Canyon, Cpe Cape,
+Cswy Causeway, Ctr+ Center, Cir+ Circle, Clf+ Cliff, Clb Club, Cmn+ Common, Cor+ Corner, Crse Course, Ct+ Court, Cv+ Cove, Crk Creek, Cres Crescent, Crst Crest, Xing Crossing, Xrd+ Crossroad, Curv Curve, Dl Dale,
+Dm Dam, Dv Divide, Dr+ Drive, Est+ Estate, Expy Expressway, Ext+ Extension, Fall Fall, Fls Falls, Fry Ferry, Fld+ Field, Flt+ Flat, Frd+ Ford, Frst Forest, Frg+ Forge, Frk+ Fork, Ft Fort, Fwy Freeway, Gdn+ Garden,
+Gtwy Gateway, Gln+ Glen, Grn+ Green, Grv+ Grove, Hbr+ Harbor, Hvn Haven, Hts Heights, Hwy Highway, Hl+ Hill, Holw Hollow, Inlt Inlet, Is+ Island, Isle Isle, Jct+ Junction, Ky+ Key, Knl+ Knoll, Lk+ Lake, Land Land,
+Lndg Landing, Ln Lane, Lgt+ Light, Lf Loaf, Lck+ Lock, Ldg Lodge, Loop Loop, Mall Mall, Mnr+ Manor, Mdw+ Meadow, Mews Mews, Ml+ Mill, Msn Mission, Mtwy Motorway, Mt Mount, Mtn+ Mountain, Nck Neck, Orch Orchard,
+Oval Oval, Opas Overpass, Park Park, Pkwy Parkway, Pass Pass, Psge Passage, Path Path, Pike Pike, Pne+ Pine, Pl Place, Pln+ Plain, Plz Plaza, Pt+ Point, Prt+ Port, Pr Prairie, Radl Radial, Ramp Ramp, Rnch Ranch,
+Rpd+ Rapid, Rst Rest, Rdg+ Ridge, Riv River, Rd+ Road, Rte Route, Row Row, Rue Rue, Run Run, Shl+ Shoal, Shr+ Shore, Skwy Skyway, Spg+ Spring, Spur Spur, Sq+ Square, Sta Station, Stra Stravenue, Strm Stream,
+St+ Street, Smt Summit, Ter Terrace, Trwy Throughway, Trce Trace, Trak Track, Trfy Trafficway, Trl Trail, Tunl Tunnel, Tpke Turnpike, Upas Underpass, Un+ Union, Vly+ Valley, Via Viaduct, Vw+ View, Vlg+ Village,
+Vl Ville, Vis Vista, Walk Walk, Wls Wells, Wy Way, Ways Ways
+"""
+# Directions, units, and words that mean something else at the beginning of a line.
+_OTHERS = """
+N North, S South, E East, W West, NE Northeast, NW Northwest, SE Southeast, SW Southwest,
+Apt Apartment, Bldg Building, Dept Department, Fl Floor, Frnt Front, Hngr Hangar, Key Key, Lbby Lobby, Lot Lot, Lowr Lower, Ofc Office, Ph Penthouse, Pier Pier, Rear Rear, Rm Room, Side Side, Slip Slip, Spc Space,
+Stop Stop, Ste Suite, Trlr Trailer, Unit Unit, Uppr Upper, St Saint, Mt Mount, Ft Fort
+"""
+_ONES = "First Second Third Fourth Fifth Sixth Seventh Eighth Ninth Tenth Eleventh Twelfth Thirteenth Fourteenth Fifteenth Sixteenth Seventeenth Eighteenth Nineteenth".split()
+_TENS = "Twenty Thirty Forty Fifty Sixty Seventy Eighty Ninety".split()
+
+
+def ordinal(n: int) -> tuple[str, str]:
+    """1 to 200 as 21st and Twenty First."""
+    tail = "th" if n % 100 in (11, 12, 13) else {1: "st", 2: "nd", 3: "rd"}.get(n % 10, "th")
+    hundreds, rest = divmod(n, 100)
+    words = [] if not hundreds else [("One", "Two")[hundreds - 1], "Hundred" if rest else "Hundredth"]
+    if 0 < rest < 20:
+        words.append(_ONES[rest - 1])
+    elif rest:
+        tens = _TENS[rest // 10 - 2]
+        words += [tens, _ONES[rest % 10 - 1]] if rest % 10 else [tens[:-1] + "ieth"]
+    return f"{n}{tail}", " ".join(words)
+
+
+def _pairs(listed: str) -> list[tuple[str, str]]:
+    return [tuple(x.split()) for x in listed.replace("\n", " ").split(",")]
+
+
+def _address_abbreviations() -> list[tuple[str, str, int]]:
+    streets = [x for a, b in _pairs(_STREETS) for x in ([(a[:-1], b), (f"{a[:-1]}s", f"{b}s")] if a.endswith("+") else [(a, b)])]
+    return [("#", "Number", 0), *((a, b, 1) for a, b in streets), *((a, b, 0) for a, b in _pairs(_OTHERS)), *((*ordinal(n), 0) for n in range(1, 201))]
+
+
+#: Address abbreviations, as abbreviation, full form, and 1 where it is not meant at the beginning. sources.lookups.abbreviations() reads others.
+ADDRESS_ABBREVIATIONS = _address_abbreviations()
+
+# Parts of countries, as country, kind, and code, code of the land's own (two digits) and name of each.
+CHILD_JURISDICTIONS = {
+    ("United States", "State"): """
+AL 01 Alabama, AK 02 Alaska, AZ 04 Arizona, AR 05 Arkansas, CA 06 California, CO 08 Colorado, CT 09 Connecticut, DE 10 Delaware, FL 12 Florida, GA 13 Georgia, HI 15 Hawaii, ID 16 Idaho, IL 17 Illinois, IN 18 Indiana,
+IA 19 Iowa, KS 20 Kansas, KY 21 Kentucky, LA 22 Louisiana, ME 23 Maine, MD 24 Maryland, MA 25 Massachusetts, MI 26 Michigan, MN 27 Minnesota, MS 28 Mississippi, MO 29 Missouri, MT 30 Montana, NE 31 Nebraska, NV 32 Nevada,
+NH 33 New Hampshire, NJ 34 New Jersey, NM 35 New Mexico, NY 36 New York, NC 37 North Carolina, ND 38 North Dakota, OH 39 Ohio, OK 40 Oklahoma, OR 41 Oregon, PA 42 Pennsylvania, RI 44 Rhode Island, SC 45 South Carolina,
+SD 46 South Dakota, TN 47 Tennessee, TX 48 Texas, UT 49 Utah, VT 50 Vermont, VA 51 Virginia, WA 53 Washington, WV 54 West Virginia, WI 55 Wisconsin, WY 56 Wyoming
+""",
+    ("United States", "Territory"): "DC 11 District of Columbia, AS 60 American Samoa, GU 66 Guam, MP 69 Northern Mariana Islands, PR 72 Puerto Rico, VI 78 U.S. Virgin Islands",
+    ("Canada", "Province"): "AB - Alberta, BC - British Columbia, MB - Manitoba, NB - New Brunswick, NL - Newfoundland and Labrador, NS - Nova Scotia, ON - Ontario, PE - Prince Edward Island, QC - Quebec, SK - Saskatchewan",
+    ("Canada", "Territory"): "NT - Northwest Territories, NU - Nunavut, YT - Yukon",
+}
+
+
+def child_jurisdictions() -> list[tuple[str, str, str, str, str | None]]:
+    """Jurisdiction, Abbreviation, Juris_Type, Parent and FIPS."""
+    rows = []
+    for (parent, kind), listed in CHILD_JURISDICTIONS.items():
+        for x in listed.replace("\n", " ").split(","):
+            code, fips, name = x.split(maxsplit=2)
+            rows.append((name.strip(), code, kind, parent, None if fips == "-" else fips))
+    return rows
+
 
 # Words that do not count in the names of organisations.
 STOP_WORDS = ("for", "and", "nor", "but", "or", "yet", "so", "the", "a", "an")

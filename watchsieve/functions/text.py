@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import tables
 
+# Patterns of remarks.
 LINKED_TO = r"(?i)Linked\s+to:\s*(.+?)(?=\s*[;.]|\s*Linked\s+to:|$)"
 PHONE = r"(?i)(?:Tel(?:ephone)?|Phone|Fax)[.\s:]*([+\d][\d\s\-\(\)\.\/+]{5,})"
 
@@ -40,6 +41,14 @@ def lookup(values: Mapping[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])
 
 
+def lookup_word(values: Mapping[str, str], word: Column) -> Column:
+    """As lookup, for many values: first by the first character, so that few are compared."""
+    by: dict[str, dict[str, str]] = {}
+    for k, v in values.items():
+        by.setdefault(k[:1], {})[k] = v
+    return F.create_map(*[x for k, some in sorted(by.items()) for x in (F.lit(k), lookup(some))])[F.left(word, F.lit(1))][word]
+
+
 def expand_code(c: Column | str, values: Mapping[str, str], keep: str = "-#") -> Column:
     clean = normalize(c, keep)
     return F.coalesce(lookup(values)[clean], clean)
@@ -65,8 +74,7 @@ def address(c: Column | str, abbreviations: Iterable[tuple[str, str, int]] = tup
         later[short] = found[0][1] if len(found) == 1 else next((f for s, f in found if s == 1), found[0][1])
     words = F.split(F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(col(c), F.lit("")), r"[.,;\-/\\]+", " "), r"(?U)\s+", " ")), " ")
     start = F.array_position(F.transform(words, lambda w: w.rlike("[A-Za-z]")), F.lit(True)) - 1
-    at_first, at_later = lookup(first), lookup(later)
-    full = F.transform(words, lambda w, i: F.coalesce(F.when(i == start, at_first[F.upper(w)]).otherwise(at_later[F.upper(w)]), w))
+    full = F.transform(words, lambda w, i: F.coalesce(F.when(i == start, lookup_word(first, F.upper(w))).otherwise(lookup_word(later, F.upper(w))), w))
     return normalize(F.array_join(F.filter(full, lambda w: w != ""), " "), keep)
 
 
@@ -112,8 +120,8 @@ def phones(c: Column | str) -> Column:
 
 
 def country_at_end(c: Column | str) -> Column:
-    """street and country of a one-line address."""
-    raw = F.trim(F.coalesce(col(c), F.lit("")))
-    found = F.coalesce(*[F.when(F.lower(raw).endswith(x.lower()), F.lit(x)) for x in tables.ADDRESS_COUNTRIES])
-    rest = F.regexp_replace(F.substring(raw, F.lit(1), F.length(raw) - F.length(found)), r"[,\s]+$", "")
-    return F.struct(F.when(found.isNull(), F.nullif(raw, F.lit(""))).otherwise(F.nullif(rest, F.lit(""))).alias("street"), found.alias("country"))
+    """street and country of a one-line address, whose end names a country as the list spells it; line ends and runs of spaces count as one space."""
+    raw = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(col(c), F.lit("")), r"[\r\n]+", " "), r"\s{2,}", " "))
+    found = F.coalesce(*[F.when(raw.endswith(x), F.lit(x)) for x in tables.ADDRESS_COUNTRIES])
+    rest = F.regexp_replace(F.substring(raw, F.lit(1), F.length(raw) - F.length(found)), r"[, ]+$", "")
+    return F.struct(F.nullif(F.when(found.isNull(), raw).otherwise(rest), F.lit("")).alias("street"), found.alias("country"))

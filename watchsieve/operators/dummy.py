@@ -62,3 +62,13 @@ def generate(entries: DataFrame, akas: DataFrame, remarks: DataFrame, addresses:
         F.when(F.col("en").isNull(), F.lit("Individual")).otherwise(F.lit("Entity")).alias("entity_type"), perturbed("en", seed).alias("entity_name"), perturbed("fn", seed).alias("first_name"), perturbed("ln", seed).alias("last_name"),
         F.when(F.col("keep"), perturbed("a.city", seed)).alias("city"), F.when(F.col("keep"), perturbed("a.country", seed)).alias("country"), "external_id", F.lit("DUMMY").alias("entity_num"), F.col("uid").alias("target_uid"),
     )
+
+
+def screening_rows(made: DataFrame) -> DataFrame:
+    """made: of generate. The rows as a screening table holds them, marked as dummies; a person's label is the contact's id, an entity's that of the entity."""
+    person, null = F.col("entity_type") == "Individual", F.lit(None).cast("string")
+    return made.select(
+        F.current_timestamp().alias("Upload_Date"), F.when(~person, F.col("entity_name")).alias("ENTITY_NAME"), F.lit("DUMMY").alias("ENTITY_NUM"), F.when(person, F.col("first_name")).alias("FIRST_NAME"), null.alias("MIDDLE_NAME"), F.when(person, F.col("last_name")).alias("LAST_NAME"),
+        *[null.alias(f"ADDRESS{k}") for k in (1, 2, 3)], F.col("city").alias("CITY"), null.alias("STATE"), null.alias("POSTAL_CODE"), F.col("country").alias("COUNTRY"),
+        F.when(person, F.col("external_id")).alias("Contact_ID"), F.when(~person, F.col("external_id")).alias("Entity_ID"),
+    )

@@ -5,18 +5,21 @@ expressions."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import tables
-from ..functions.similarity import jw_pairs
+from ..functions.similarity import _in_groups, jw_pairs
 from ..functions.text import col
 
 ENTITY_JW = 90.0
+TOKEN_MATCH = "struct<category:string,fraction:double>"
 ORG_SCORE = "struct<src_words:int,sdn_words:int,matched:int,full_jw:double,type_gate:boolean,passed:boolean>"
 
 
@@ -67,6 +70,17 @@ class Forms:
         return None, tuple(words)
 
 
+def forms(name: Column | str, types: Iterable[tuple[str, str, str]] = tuple(tables.ENTITY_TYPES)) -> Column:
+    """The forms that a name ends and begins with, as Forms.split finds them: an array of at most two."""
+    known = Forms(types)
+    upper = F.trim(F.regexp_replace(F.upper(F.coalesce(col(name), F.lit(""))), r"\s+", " "))
+    canon = F.create_map(*[F.lit(x) for pair in sorted(known.canon.items()) for x in pair])
+    phrase = {at: "|".join(re.escape(" ".join(p)) for p in some) for at, some in known.phrases.items()}
+    end, start = F.regexp_extract(upper, f"(?:^| )({phrase['SUFFIX']})$", 1), F.regexp_extract(upper, f"^({phrase['PREFIX']})(?: |$)", 1)
+    tagged = [F.when(x != "", F.concat(F.lit(at), canon[x])) for at, x in (("S:", end), ("P:", start))]
+    return F.filter(F.array(*tagged), lambda x: x.isNotNull())
+
+
 def org_score_batch(src: pd.Series, sdn: pd.Series, least: float = 0.85, forms: Forms | None = None) -> pd.DataFrame:
     """Counts of words, of source words with a similar word opposite, the whole names' similarity, and the gates."""
     forms = forms or Forms()
@@ -143,18 +157,28 @@ def token_category(given: Column | str, listed: Column | str, least: float = 0.7
     def batch(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         return token_category_batch(a, b, least)
 
-    return F.pandas_udf(batch, "struct<category:string,fraction:double>")(col(given), col(listed))
+    return F.pandas_udf(batch, TOKEN_MATCH)(col(given), col(listed))
 
 
 def street_id(mailing: Column | str, a1: Column | str, a2: Column | str, a3: Column | str, least: float = 0.70) -> Column:
     """The first order of the listed lines that is similar to the mailing address, as an id; 32 for none."""
 
     def batch(m: pd.Series, x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
-        rows = list(zip(*(s.fillna("") for s in (m, x, y, z)), strict=True))
-        known = {r: [" ".join(p for k in order if (p := r[k])) for order in tables.STREET_ORDERS] for r in dict.fromkeys(rows)}
-        similar = _Similar((r[0], s) for r, streets in known.items() for s in streets)
-        found = {r: next((tables.FIRST_STREET_ID + k for k, s in enumerate(streets) if r[0] and similar.values[r[0], s] >= least), tables.NO_STREET_ID) for r, streets in known.items()}
-        return pd.Series([found[r] for r in rows], dtype="int32")
+        lines = pd.DataFrame({k: v.fillna("") for k, v in enumerate((m, x, y, z))})
+        which = lines.groupby(list(lines.columns), sort=False).ngroup().to_numpy()
+        rows = list(lines.drop_duplicates().itertuples(index=False, name=None))
+        found = [tables.NO_STREET_ID] * len(rows)
+        left = [k for k, r in enumerate(rows) if r[0]]
+        for n, order in enumerate(tables.STREET_ORDERS):  # most are settled by the first
+            given, streets = [rows[k][0] for k in left], [" ".join(p for i in order if (p := rows[k][i])) for k in left]
+            similar = _in_groups(pd.Series(given, dtype=str), pd.Series(streets, dtype=str), jw_pairs).to_numpy()
+            for k, s in zip(left, similar.tolist(), strict=True):
+                if s >= least:
+                    found[k] = tables.FIRST_STREET_ID + n
+            left = [k for k, s in zip(left, similar.tolist(), strict=True) if s < least]
+            if not left:
+                break
+        return pd.Series(np.array(found, np.int32).take(which) if len(which) else [], dtype="int32")
 
     return F.pandas_udf(batch, "int")(*(col(c) for c in (mailing, a1, a2, a3)))
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..config import ScreeningConfig
 from ..functions.similarity import jw_bound, jw_percent
 from ..functions.text import joined
-from .blocking import org_pairs, person_pairs, sized
-from .gates import org_score, street_id, word_gate
+from .blocking import every_pair, org_pairs, person_pairs
+from .gates import ENTITY_JW, forms as forms_of, org_score, street_id, word_gate
 
 RAW_ADDRESS = ("address1", "address2", "address3", "city", "region", "postal_code", "country")
 
@@ -28,7 +28,7 @@ def orgs(records: DataFrame) -> DataFrame:
 def _person(records: DataFrame, listed: DataFrame, config: ScreeningConfig) -> DataFrame:
     some = persons(records)
     pairs = person_pairs(some.select(F.col("first_name_nm").alias("fn"), F.col("last_name_nm").alias("ln")).distinct(), listed, config.person_jw, config.blocking)
-    hits = pairs.join(sized(listed), ["sdn_fn", "sdn_ln"])
+    hits = pairs.join(listed, ["sdn_fn", "sdn_ln"])
     source = some.select("record_id", "first_name", "middle_name", "last_name", F.col("first_name_nm").alias("fn"), F.col("middle_name_nm").alias("mn"), F.col("last_name_nm").alias("ln"))
     return source.join(hits, ["fn", "ln"])
 
@@ -57,7 +57,7 @@ def _org(records: DataFrame, listed: DataFrame, config: ScreeningConfig, least:
     some = orgs(records)
     pairs = org_pairs(some.select(F.col("entity_name_nm").alias("nm")).distinct(), listed, config.blocking)
     judged = pairs.withColumn("s", org_score("nm", "sdn_nm", least)).select("nm", "sdn_nm", "s.*").filter(F.col("passed") | word_gate(F.col("sdn_words"), F.col("matched")))
-    return some.select("record_id", "entity_name", F.col("entity_name_nm").alias("nm")).join(judged.join(sized(listed), "sdn_nm"), "nm")
+    return some.select("record_id", "entity_name", F.col("entity_name_nm").alias("nm")).join(judged.join(listed, "sdn_nm"), "nm")
 
 
 def org_primary(records: DataFrame, entries: DataFrame, config: ScreeningConfig) -> tuple[DataFrame, DataFrame]:
@@ -90,17 +90,21 @@ def linked_to(records: DataFrame, remarks: DataFrame, config: ScreeningConfig) -
         "*", F.explode(F.array(F.struct(F.lit("FN_MN_LN").alias("form"), joined("first_name_nm", "middle_name_nm", "last_name_nm").alias("nm")), F.struct(F.lit("LN_FN_MN").alias("form"), joined("last_name_nm", "first_name_nm", "middle_name_nm").alias("nm")))).alias("f")
     ).select("first_name_nm", "middle_name_nm", "last_name_nm", "f.*").filter("nm <> ''")
     low = forms.select("nm").distinct().withColumn("a", F.lower("nm"))
-    pairs = low.join(sized(texts_.withColumn("b", F.lower("text_nm"))), jw_bound("a", "b") >= config.linked_person_jw - 1e-4).withColumn("full_jw", jw_percent("a", "b")).filter(F.col("full_jw") >= config.linked_person_jw * 100)
+    pairs = every_pair(low, texts_.withColumn("b", F.lower("text_nm")), jw_bound("a", "b") >= config.linked_person_jw - 1e-4).withColumn("full_jw", jw_percent("a", "b")).filter(F.col("full_jw") >= config.linked_person_jw * 100)
     by_person = pairs.withColumn("s", org_score("nm", "text_nm", config.org_jw)).select("nm", "text_nm", F.col("s.src_words"), F.col("s.sdn_words"), F.col("s.matched"), "full_jw")
-    person = some.join(forms, ["first_name_nm", "middle_name_nm", "last_name_nm"]).join(by_person, "nm").join(sized(remarks), "text_nm")
+    person = some.join(forms, ["first_name_nm", "middle_name_nm", "last_name_nm"]).join(by_person, "nm").join(remarks, "text_nm")
     raw = F.when(F.col("form") == "FN_MN_LN", joined("first_name", "middle_name", "last_name")).otherwise(joined("last_name", "first_name", "middle_name"))
     columns = ["Input_Record_ID", "SDN_UID", "LinkedTo_Occurrence", "LinkedTo_Text", "LinkedTo_Text_NM", "LinkedTo_Text_NM_Expanded", "SourceName", "SourceName_NM", "Input_Name_Form", "SourceNumberOfWords", "LinkedToNumberOfWords", "WordNumberMatchingJaroWinkler", "FullName_JaroWinklerSimilarity"]
     first = person.select("record_id", "uid", "occurrence", "text", "text_nm", "text_expanded", raw, "nm", "form", "src_words", "sdn_words", "matched", "full_jw").toDF(*columns)
     entities = records.filter("entity_type = 'Entity' AND entity_name_nm <> ''")
     names = entities.select(F.col("entity_name_nm").alias("nm")).distinct()
     expanded = remarks.select("text_expanded").filter("text_expanded <> ''").distinct()
-    by_org = names.crossJoin(sized(expanded)).withColumn("s", org_score("nm", "text_expanded", config.org_jw)).select("nm", "text_expanded", "s.*").filter("passed")
-    org = entities.withColumn("nm", F.col("entity_name_nm")).join(by_org, "nm").join(sized(remarks), "text_expanded")
+    # an organisation passes by a form that both names have, or by names that are similar as a whole
+    alike = every_pair(names.withColumn("a", F.lower("nm")), expanded.withColumn("b", F.lower("text_expanded")), jw_bound("a", "b") >= ENTITY_JW / 100 - 1e-4).select("nm", "text_expanded")
+    form = lambda df, c: df.select(c, F.explode(forms_of(c)).alias("form"))
+    candidates = form(names, "nm").join(form(expanded, "text_expanded"), "form").select("nm", "text_expanded").union(alike).distinct()
+    by_org = candidates.withColumn("s", org_score("nm", "text_expanded", config.org_jw)).select("nm", "text_expanded", "s.*").filter("passed")
+    org = entities.withColumn("nm", F.col("entity_name_nm")).join(by_org, "nm").join(remarks, "text_expanded")
     second = org.select("record_id", "uid", "occurrence", "text", "text_nm", "text_expanded", F.coalesce("entity_name", F.lit("")), "nm", F.lit("EntityName"), "src_words", "sdn_words", "matched", "full_jw").toDF(*columns)
     return first.unionByName(second)
 
@@ -109,7 +113,7 @@ def phone(records: DataFrame, phones: DataFrame) -> DataFrame:
     """Pass 6: the last seven digits find parties, all of whose phones are then compared. phones: uid, raw, digits."""
     some = records.filter("phone_nm <> ''").select("record_id", "phone", "phone_nm", F.right("phone_nm", F.lit(7)).alias("last7"))
     index = phones.filter("length(digits) >= 7").select(F.right("digits", F.lit(7)).alias("last7"), "uid").distinct()
-    numbers = some.select("phone_nm", "last7").distinct().join(sized(index), "last7").join(sized(phones), "uid")
+    numbers = some.select("phone_nm", "last7").distinct().join(index, "last7").join(phones, "uid")
     judged = numbers.select(
         "phone_nm", "uid", "raw", "digits", F.expr("cast(phone_nm = digits AS int)").alias("exact"),
         F.expr("cast(length(phone_nm) >= 10 AND length(digits) >= 10 AND right(phone_nm, 10) = right(digits, 10) AS int)").alias("last10"), jw_percent("phone_nm", "digits").alias("jw"),
@@ -135,31 +139,18 @@ def no_match(records: DataFrame, *matches: DataFrame) -> DataFrame:
 def address(records: DataFrame, addresses: DataFrame, matched: DataFrame, config: ScreeningConfig) -> DataFrame:
     """Pass 4: addresses of the records in matched (Input_Record_ID, SDN_UID) against listed ones. addresses: uid, addr_uid, raw and _nm columns.
 
-    Cities, postal codes, countries and streets are compared once for each distinct pair; a pair of addresses is kept if
-    the street fits or one of city, postal code and country does, so only pairs that some distinct pair admits are made."""
+    Each distinct address is compared once with each distinct listed one, as the rule admits a pair by any of four likenesses
+    that no key stands for; the listed ones go to every task in bounded chunks, and the pairs that none admits go nowhere."""
     some = records.join(matched.select(F.col("Input_Record_ID").alias("record_id")).distinct(), "record_id", "left_semi").withColumn("mailing", joined("address1_nm", "address2_nm", "address3_nm"))
     key = ["mailing", "city_nm", "region_nm", "postal_code_nm", "country_nm"]
     given = some.select(*key).distinct().filter("mailing <> '' OR city_nm <> '' OR region_nm <> '' OR postal_code_nm <> '' OR country_nm <> ''")
     listed_key = ["address1_nm", "address2_nm", "address3_nm", "city_nm", "region_nm", "postal_code_nm", "country_nm"]
     listed = addresses.select(*[F.col(c).alias(f"sdn_{c}") for c in listed_key]).distinct()
-    least = config.address_jw * 100
-
-    def part(name: str) -> DataFrame:
-        """Similarity of the distinct pairs of one column."""
-        a, b = given.select(name).filter(F.col(name) != "").distinct(), listed.select(f"sdn_{name}").filter(F.col(f"sdn_{name}") != "").distinct()
-        return a.crossJoin(sized(b)).withColumn(f"{name}_jw", jw_percent(name, f"sdn_{name}"))
-
-    lines = ["sdn_address1_nm", "sdn_address2_nm", "sdn_address3_nm"]
-    streets = given.select("mailing").filter("mailing <> ''").distinct().crossJoin(sized(listed.select(*lines).distinct())).withColumn("street", street_id("mailing", *lines, config.address_jw))
-    ways = [part(n).filter(F.col(f"{n}_jw") >= least).select(n, f"sdn_{n}") for n in ("city_nm", "postal_code_nm", "country_nm")]
-    admitted = given.join(streets.filter("street <> 32").drop("street"), "mailing").join(sized(listed), lines).select(*key, *listed.columns)
-    for n, way in zip(("city_nm", "postal_code_nm", "country_nm"), ways, strict=True):
-        admitted = admitted.union(given.join(way, n).join(sized(listed), f"sdn_{n}").select(*key, *listed.columns))
-    pairs = admitted.distinct()
-    for n in ("city_nm", "region_nm", "postal_code_nm", "country_nm"):
-        pairs = pairs.join(part(n), [n, f"sdn_{n}"], "left").withColumn(f"{n}_jw", F.coalesce(f"{n}_jw", F.lit(0.0)))
-    pairs = pairs.join(streets, ["mailing", *lines], "left").withColumn("street", F.coalesce("street", F.lit(32)))
-    back = sized(addresses.select("uid", "addr_uid", *[F.col(c).alias(f"sdn_{c}") for c in listed_key], *[F.col(c).alias(f"raw_{c}") for c in RAW_ADDRESS]))
+    least, parts = config.address_jw * 100, ("city_nm", "region_nm", "postal_code_nm", "country_nm")
+    both = every_pair(given, listed, F.lit(True))
+    scored = both.select("*", *[jw_percent(n, f"sdn_{n}").alias(f"{n}_jw") for n in parts], street_id("mailing", "sdn_address1_nm", "sdn_address2_nm", "sdn_address3_nm", config.address_jw).alias("street"))
+    pairs = scored.filter((F.col("street") != 32) | (F.col("city_nm_jw") >= least) | (F.col("postal_code_nm_jw") >= least) | (F.col("country_nm_jw") >= least))
+    back = addresses.select("uid", "addr_uid", *[F.col(c).alias(f"sdn_{c}") for c in listed_key], *[F.col(c).alias(f"raw_{c}") for c in RAW_ADDRESS])
     out = some.join(pairs, key).join(back, [f"sdn_{c}" for c in listed_key])
     if config.restrict_to_matched_party:
         out = out.join(matched.select(F.col("Input_Record_ID").alias("record_id"), F.col("SDN_UID").alias("uid")).distinct(), ["record_id", "uid"], "left_semi")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import held
 from ..functions import phonetic, similarity, tables, text
 from ..operators import audit, blocking, dummy, gates, legacy, passes, report, score, summary
 from ..sources import inputs, lookups
-from . import samples
+from . import samples, whole
 from .samples import CONFIG, ORG_BASE, PARTS, PEOPLE, PHONES, PLACES, address, country, gate, jw, nm, org, ph, state
+from .whole import NEAR, ORGS, PERSONS, SIMILAR
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -62,9 +66,9 @@ def f6_normalize_record(s: SparkSession, d: str) -> DataFrame:
     return samples.records(s, d).filter("entity_type = 'Individual'").select("record_id", *[f"{c}_nm" for c in ("first_name", "last_name", "address1", "address2", "city", "region", "postal_code", "country")])
 
 
-@query(r"SELECT doc_id, nullif(trim(regexp_replace(substr(text, 1, 40), '[\r\n]', '', 'g')), '') AS cleaned, regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') AS squeezed FROM documents")
+@query(r"SELECT doc_id, nullif(trim(regexp_replace(text, '[\r\n]', '', 'g')), '') AS cleaned, regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') AS squeezed FROM documents")
 def f7_cleaners(s: SparkSession, d: str) -> DataFrame:
-    return samples.table(s, d, "documents").select("doc_id", text.blank_to_null(F.substring("text", 1, 40)).alias("cleaned"), F.regexp_replace(F.lower("text"), "[^a-z0-9]+", "").alias("squeezed"))
+    return samples.table(s, d, "documents").select("doc_id", text.blank_to_null("text").alias("cleaned"), F.regexp_replace(F.lower("text"), "[^a-z0-9]+", "").alias("squeezed"))
 
 
 @query(r"SELECT doc_id, regexp_replace(text, '\D', '', 'g') AS digits, right(regexp_replace(text, '\D', '', 'g'), 7) AS last7, left(text, 2) AS first2, length(text)::INT AS n FROM documents")
@@ -83,16 +87,21 @@ def f9_phones(s: SparkSession, d: str) -> DataFrame:
     return samples.watch(s, d).phones.select("uid", "digits")
 
 
-@query("SELECT n_nationkey AS k, n_name || ' Road 1' AS street, ['Jersey', 'Hong Kong', 'France', NULL][n_nationkey % 4 + 1] AS country FROM nation")
+_TAILS = (", Jersey", ", hong kong", " \\r\\n  France", "", " ,, Hong  Kong")  # as both languages write them
+
+
+@query(f"""WITH a AS (SELECT n_nationkey AS k, n_name || ' Road 1' || [{", ".join(f"E'{x}'" for x in _TAILS)}][n_nationkey % 5 + 1] AS raw FROM nation), b AS (SELECT k, trim(regexp_replace(regexp_replace(raw, '[\\r\\n]+', ' ', 'g'), '\\s{{2,}}', ' ', 'g')) AS raw FROM a),
+c AS (SELECT *, [x FOR x IN {list(tables.ADDRESS_COUNTRIES)} IF ends_with(raw, x)][1] AS country FROM b)
+SELECT k, nullif(CASE WHEN country IS NULL THEN raw ELSE rtrim(left(raw, length(raw) - length(country)), ', ') END, '') AS street, country FROM c""")
 def f10_country_at_end(s: SparkSession, d: str) -> DataFrame:
-    tail = F.element_at(F.array(*map(F.lit, (", Jersey", ", hong kong", " France", ""))), (F.col("n_nationkey") % 4 + 1).cast("int"))
+    tail = F.element_at(F.array(*[F.lit(x.replace("\\r\\n", "\r\n")) for x in _TAILS]), (F.col("n_nationkey") % 5 + 1).cast("int"))
     at = text.country_at_end(F.concat("n_name", F.lit(" Road 1"), tail))
     return samples.table(s, d, "nation").select(F.col("n_nationkey").alias("k"), at["street"].alias("street"), at["country"].alias("country"))
 
 
-@query(f"SELECT doc_id, [x FOR x IN string_split_regex(trim(regexp_replace(lower(substr(text, 1, 200)), '[^a-z ]', '', 'g'), ' '), ' +') IF x <> '' AND NOT list_contains({list(tables.STOP_WORDS)}, x)] AS words FROM documents")
+@query(f"SELECT doc_id, [x FOR x IN string_split_regex(trim(regexp_replace(lower(text), '[^a-z ]', '', 'g'), ' '), ' +') IF x <> '' AND NOT list_contains({list(tables.STOP_WORDS)}, x)] AS words FROM documents")
 def f11_tokens(s: SparkSession, d: str) -> DataFrame:
-    return samples.table(s, d, "documents").select("doc_id", text.words(F.regexp_replace(F.lower(F.substring("text", 1, 200)), "[^a-z ]", "")).alias("words"))
+    return samples.table(s, d, "documents").select("doc_id", text.words(F.regexp_replace(F.lower("text"), "[^a-z ]", "")).alias("words"))
 
 
 @query(f"WITH {PLACES} SELECT id, concat_ws(' ', nullif(address1, ''), nullif(CASE WHEN id % 2 = 0 THEN '' ELSE address2 END, ''), nullif(city, '')) AS mailing FROM customers")
@@ -140,7 +149,33 @@ def m9_word_codes(s: SparkSession, d: str) -> DataFrame:
     return samples.people(s, d).select("doc_id", phonetic.word_codes(F.concat_ws(" ", "fn", "ln")).alias("codes"))
 
 
-@query()
+def _nysiis_sql(word: str) -> str:
+    """The rewrites without looking back or ahead, which this SQL can't: what stands around is put back; twice where one match ends where the next begins."""
+    made = f"regexp_replace(upper({word}), '[^\\p{{L}}]', '', 'g')"
+    for old, new in phonetic.HEADS:
+        made = f"regexp_replace({made}, '^{old}', '{new}')"
+    made = f"regexp_replace(regexp_replace({made}, '(.)(EE|IE)$', '\\1Y'), '(.)(DT|RT|RD|NT|ND)$', '\\1D')"
+    inside = lambda x, old, new: f"left({x}, 1) || regexp_replace(substr({x}, 2), '{old}', '{new}', 'g')"
+    steps = [*((a, b.lower()) for a, b in phonetic.INSIDE), ("[AEIOU]", "a"), *((a, b.lower()) for a, b in phonetic.SINGLE)]
+    views, x = [made], "x0"
+    for k, (old, new) in enumerate(steps):
+        views.append(inside(f"x{k}", old, new))
+    for old, new in (("([AEIOUa])[HW]*H(a|$)", "\\1h\\2"), ("([AEIOUa])[HW]*H(a|$)", "\\1h\\2"), ("([AEIOUa])[HW]+", "\\1"), ("([AEIOUa])[HW]+", "\\1")):
+        views.append(f"regexp_replace(x{len(views) - 1}, '{old}', '{new}', 'g')")
+    for old, new in (("H*W[HW]*", "w"), ("H+", "")):
+        views.append(inside(f"x{len(views) - 1}", old, new))
+    views.append(f"upper(x{len(views) - 1})")
+    for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZ":
+        views.append(f"regexp_replace(x{len(views) - 1}, '{letter}+', '{letter}', 'g')")
+    x = f"x{len(views) - 1}"
+    return views, f"CASE WHEN length({x}) > 1 THEN regexp_replace({x}, 'A$', '') ELSE {x} END"
+
+
+_NYSIIS, _NYSIIS_CODE = _nysiis_sql("w")
+_NYSIIS_VIEWS = f"n0 AS (SELECT doc_id, w, {_NYSIIS[0]} AS x0 FROM each), " + ", ".join(f"n{k} AS (SELECT *, {x} AS x{k} FROM n{k - 1})" for k, x in enumerate(_NYSIIS) if k)
+
+
+@query(f"WITH {PEOPLE}, each AS (SELECT doc_id, unnest([fn, ln]) AS w FROM people), {_NYSIIS_VIEWS}, codes AS (SELECT doc_id, {_NYSIIS_CODE} AS code FROM n{len(_NYSIIS) - 1}) SELECT doc_id, list_sort(list(DISTINCT code)) AS codes FROM codes WHERE code <> '' GROUP BY doc_id")
 def m10_nysiis(s: SparkSession, d: str) -> DataFrame:
     return samples.people(s, d).select("doc_id", phonetic.nysiis(F.concat_ws(" ", "fn", "ln")).alias("codes"))
 
@@ -216,121 +251,88 @@ def m20_perturb(s: SparkSession, d: str) -> DataFrame:
 
 # joins, passes and their results
 
-_PERSONS = f"""{PEOPLE}, i AS (SELECT doc_id, fn, ln, {ph(nm("fn"))} AS f, {ph(nm("ln"))} AS l FROM people WHERE doc_id % 5 >= 2),
-u AS (SELECT doc_id, fn, ln, {ph(nm("fn"))} AS f, {ph(nm("ln"))} AS l FROM people WHERE doc_id % 5 = 0),
-k AS (SELECT doc_id, fn, ln, {ph(nm("fn"))} AS f, {ph(nm("ln"))} AS l FROM people WHERE doc_id % 5 = 1 AND doc_id - 1 IN (SELECT doc_id FROM u))"""
-_NEAR = "left(i.f, 1) = left(w.f, 1) AND left(i.l, 1) = left(w.l, 1) AND abs(length(i.f) - length(w.f)) <= 3 AND abs(length(i.l) - length(w.l)) <= 3"
-_SIMILAR = "jaro_winkler_similarity(i.f, w.f) >= 0.85 AND jaro_winkler_similarity(i.l, w.l) >= 0.85"
-_JWS = f"{jw('i.f', 'w.f')} AS FirstName_JaroWinklerSimilarity, {jw('i.l', 'w.l')} AS LastName_JaroWinklerSimilarity, 1::INT AS Personal_Name_Match"
-_SOURCE = "i.fn AS SourceFN, NULL::VARCHAR AS SourceMN, i.ln AS SourceLN, i.f AS SourceFN_NM, '' AS SourceMN_NM, i.l AS SourceLN_NM"
-_X1 = f"SELECT i.doc_id AS Input_Record_ID, {_SOURCE}, w.doc_id AS SDN_UID, w.fn AS SDNFN, w.ln AS SDNLN, 'Individual' AS SDN_Type, 'sdnEntry' AS SDN_AKA_Source, {_JWS} FROM i JOIN u w ON {_NEAR} AND {_SIMILAR}"
-_X2 = f"SELECT i.doc_id AS Input_Record_ID, w.doc_id - 1 AS SDN_UID, w.doc_id AS AKA_UID, CASE WHEN w.doc_id % 2 = 0 THEN 'strong' ELSE 'weak' END AS AKA_Category, {_SOURCE}, w.fn AS SDNFN, w.ln AS SDNLN, {_JWS} FROM i JOIN k w ON {_NEAR} AND {_SIMILAR}"
-
-
 def _records(s: SparkSession, d: str) -> DataFrame:
     return samples.records(s, d)
 
 
-@query(f"WITH {_PERSONS} {_X1}")
+@query(f"WITH {PERSONS} {whole.X1}")
 def x1_person_match(s: SparkSession, d: str) -> DataFrame:
     return passes.person_primary(_records(s, d), samples.watch(s, d).entries, CONFIG)
 
 
-@query(f"WITH {_PERSONS} {_X2}")
+@query(f"WITH {PERSONS} {whole.X2}")
 def x2_person_aka(s: SparkSession, d: str) -> DataFrame:
     return passes.person_aka(_records(s, d), samples.watch(s, d).akas, CONFIG)
 
 
-@query(f"WITH {_PERSONS}, g AS (SELECT DISTINCT f, l FROM i), h AS (SELECT DISTINCT f, l FROM u) SELECT i.f AS fn, i.l AS ln, w.f AS sdn_fn, w.l AS sdn_ln, {jw('i.f', 'w.f')} AS fn_jw, {jw('i.l', 'w.l')} AS ln_jw FROM g i JOIN h w ON {_NEAR} AND {_SIMILAR}")
+@query(f"WITH {PERSONS}, g AS (SELECT DISTINCT f, l FROM i), h AS (SELECT DISTINCT f, l FROM u) SELECT i.f AS fn, i.l AS ln, w.f AS sdn_fn, w.l AS sdn_ln, {jw('i.f', 'w.f')} AS fn_jw, {jw('i.l', 'w.l')} AS ln_jw FROM g i JOIN h w ON {NEAR} AND {SIMILAR}")
 def j1_j3_person_blocks(s: SparkSession, d: str) -> DataFrame:
     """Both blocks. A Soundex code begins with the name's letter, so the second finds nothing that the first does not."""
     r, e = _records(s, d).filter("entity_type = 'Individual'"), samples.watch(s, d).entries.filter("sdn_type = 'Individual'")
     return blocking.person_pairs(r.select(F.col("first_name_nm").alias("fn"), F.col("last_name_nm").alias("ln")).distinct(), e.select(F.col("first_name_nm").alias("sdn_fn"), F.col("last_name_nm").alias("sdn_ln")), 0.85, "letters+phonetic")
 
 
-@query(f"WITH {_PERSONS}, g AS (SELECT DISTINCT f, l FROM i), h AS (SELECT DISTINCT f, l FROM u) SELECT i.f AS fn, i.l AS ln, w.f AS sdn_fn, w.l AS sdn_ln, {jw('i.f', 'w.f')} AS fn_jw, {jw('i.l', 'w.l')} AS ln_jw FROM g i JOIN h w ON {_SIMILAR}")
+@query(f"WITH {PERSONS}, g AS (SELECT DISTINCT f, l FROM i), h AS (SELECT DISTINCT f, l FROM u) SELECT i.f AS fn, i.l AS ln, w.f AS sdn_fn, w.l AS sdn_ln, {jw('i.f', 'w.f')} AS fn_jw, {jw('i.l', 'w.l')} AS ln_jw FROM g i JOIN h w ON {SIMILAR}")
 def j5_person_unblocked(s: SparkSession, d: str) -> DataFrame:
     r, e = _records(s, d).filter("entity_type = 'Individual'"), samples.watch(s, d).entries.filter("sdn_type = 'Individual'")
     return blocking.person_pairs(r.select(F.col("first_name_nm").alias("fn"), F.col("last_name_nm").alias("ln")).distinct(), e.select(F.col("first_name_nm").alias("sdn_fn"), F.col("last_name_nm").alias("sdn_ln")), 0.85, "none")
 
 
-@query(f"WITH {PEOPLE} SELECT a.doc_id AS a_id, b.doc_id AS b_id, jaro_winkler_similarity(upper(a.fn), upper(b.fn)) AS sim FROM people a JOIN people b ON a.doc_id % 5 = 2 AND b.doc_id % 50 = 0 AND jaro_winkler_similarity(upper(a.fn), upper(b.fn)) >= 0.9")
+@query(f"WITH {PEOPLE} SELECT a.doc_id AS a_id, b.doc_id AS b_id, jaro_winkler_similarity(upper(a.fn), upper(b.fn)) AS sim FROM people a JOIN people b ON jaro_winkler_similarity(upper(a.fn), upper(b.fn)) >= 0.9")
 def j6_fuzzy_join(s: SparkSession, d: str) -> DataFrame:
     p = samples.people(s, d)
-    a, b = p.filter("doc_id % 5 = 2").select(F.col("doc_id").alias("a_id"), F.upper("fn").alias("a")), p.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("b_id"), F.upper("fn").alias("b"))
-    return blocking.fuzzy_join(a, b, ("a", "b"), 0.9, similarity="sim").select("a_id", "b_id", "sim")
-
+    return blocking.fuzzy_join(p.select(F.col("doc_id").alias("a_id"), F.upper("fn").alias("a")), p.select(F.col("doc_id").alias("b_id"), F.upper("fn").alias("b")), ("a", "b"), 0.9, similarity="sim").select("a_id", "b_id", "sim")
 
-_ORGS = f"""{PARTS}, i AS (SELECT p_partkey + {ORG_BASE} AS id, name, {org("name")} AS n FROM parts WHERE p_partkey % 97 > 1), u AS (SELECT p_partkey + {ORG_BASE} AS id, name, {org("name")} AS n FROM parts WHERE p_partkey % 97 = 0),
-k AS (SELECT p_partkey + {ORG_BASE} AS id, name, {org("name")} AS n FROM parts WHERE p_partkey % 97 = 1),
-near AS (SELECT i.id AS iid, i.name AS iname, i.n AS a, w.id AS wid, w.name AS wname, w.n AS b, w.kind FROM i JOIN (SELECT *, 0 AS kind FROM u UNION ALL SELECT *, 1 FROM k) w ON left(i.n, 2) = left(w.n, 2) AND abs(length(i.n) - length(w.n)) <= greatest(6, length(i.n) / 3)),
-{gate("near")}"""
-_ORG_OUT = "iname AS SourceOrgName, a AS SourceOrgName_NM, wname AS SDNOrgName, b AS SDNOrgName_NM, 'Entity' AS SDN_Type, {source} AS SDN_AKA_Source, src_words AS SourceNumberofWords, sdn_words AS SDNNumberofWords, matched AS WordNumberMatchingJaroWinkler, full_jw AS FullName_JaroWinklerSimilarity"
-_X3 = "SELECT iid AS Input_Record_ID, wid AS SDN_UID, " + _ORG_OUT.format(source="'sdnEntry'") + " FROM near JOIN s4 USING (a, b) WHERE kind = 0 AND passed"
-_X3N = "SELECT iid AS Input_Record_ID, wid AS SDN_UID, " + _ORG_OUT.format(source="'sdnEntry'") + " FROM near JOIN s4 USING (a, b) WHERE kind = 0 AND NOT passed AND matched >= CASE WHEN sdn_words = 1 THEN 1 ELSE 2 END"
-_X4 = "SELECT iid AS Input_Record_ID, wid - 1 AS SDN_UID, wid AS AKA_UID, CASE WHEN wid % 2 = 0 THEN 'strong' ELSE 'weak' END AS AKA_Category, " + _ORG_OUT.format(source="'akaList'") + " FROM near JOIN s4 USING (a, b) WHERE kind = 1 AND passed"
 
-
-@query(f"WITH {_ORGS} {_X3}")
+@query(f"WITH {ORGS} {whole.X3}")
 def x3_org_match(s: SparkSession, d: str) -> DataFrame:
     return passes.org_primary(_records(s, d), samples.watch(s, d).entries, CONFIG)[0]
 
 
-@query(f"WITH {_ORGS} {_X3N}")
+@query(f"WITH {ORGS} {whole.X3N}")
 def x3_org_near(s: SparkSession, d: str) -> DataFrame:
     return passes.org_primary(_records(s, d), samples.watch(s, d).entries, CONFIG)[1]
 
 
-@query(f"WITH {_ORGS} {_X4}")
+@query(f"WITH {ORGS} {whole.X4}")
 def x4_org_aka(s: SparkSession, d: str) -> DataFrame:
     return passes.org_aka(_records(s, d), samples.watch(s, d).akas, CONFIG)[0]
 
 
-@query(
-    f"""WITH {PEOPLE}, r AS (SELECT doc_id AS uid, fn || ' ' || ln AS text, {ph(nm("fn || ' ' || ln"))} AS t FROM people WHERE doc_id % 25 = 0), i AS (SELECT doc_id, fn, ln, {ph(nm("fn"))} AS f, {ph(nm("ln"))} AS l FROM people WHERE doc_id % 5 >= 2),
-o AS (SELECT doc_id, 'FN_MN_LN' AS form, f || ' ' || l AS n FROM i UNION ALL SELECT doc_id, 'LN_FN_MN', l || ' ' || f FROM i)
-SELECT doc_id AS Input_Record_ID, uid AS SDN_UID, form AS Input_Name_Form, n AS SourceName_NM, text AS LinkedTo_Text, {jw("lower(n)", "lower(t)")} AS FullName_JaroWinklerSimilarity FROM o JOIN r ON {jw("lower(n)", "lower(t)")} >= 85"""
-)
-def x5_linked_to(s: SparkSession, d: str) -> DataFrame:
-    remarks = samples.watch(s, d).remarks.filter(F.col("uid") < ORG_BASE)
-    return passes.linked_to(_records(s, d), remarks, CONFIG).filter("Input_Name_Form <> 'EntityName'").select("Input_Record_ID", "SDN_UID", "Input_Name_Form", "SourceName_NM", "LinkedTo_Text", "FullName_JaroWinklerSimilarity")
+_LINKED = ("Input_Record_ID", "SDN_UID", "LinkedTo_Occurrence", "LinkedTo_Text", "LinkedTo_Text_NM", "LinkedTo_Text_NM_Expanded", "SourceName", "SourceName_NM", "Input_Name_Form", "FullName_JaroWinklerSimilarity")
 
 
-@query()
-def x5_linked_to_orgs(s: SparkSession, d: str) -> DataFrame:
-    return passes.linked_to(_records(s, d).filter("entity_type = 'Entity'"), samples.watch(s, d).remarks.filter(F.col("uid") >= ORG_BASE), CONFIG)
+@query(whole.X5P)
+def x5_linked_to(s: SparkSession, d: str) -> DataFrame:
+    return passes.linked_to(_records(s, d).filter("entity_type = 'Individual'"), samples.watch(s, d).remarks, CONFIG).select(*_LINKED)
 
 
-_X6 = r"""x AS (SELECT p.doc_id, phone, regexp_replace(phone, '\D', '', 'g') AS g FROM phones p JOIN people USING (doc_id)), j AS (SELECT * FROM x WHERE doc_id % 5 >= 2), v AS (SELECT q.doc_id, regexp_replace(phone, '\D', '', 'g') AS g FROM phones p JOIN people q ON q.doc_id = p.doc_id - 2 WHERE q.doc_id % 5 = 0),
-hit AS (SELECT j.doc_id AS i, j.phone AS ip, j.g AS ig, v.doc_id AS w FROM j JOIN v ON right(j.g, 7) = right(v.g, 7))"""
+@query(whole.X5O)
+def x5_linked_to_orgs(s: SparkSession, d: str) -> DataFrame:
+    return passes.linked_to(_records(s, d).filter("entity_type = 'Entity'"), samples.watch(s, d).remarks, CONFIG).select(*_LINKED, "SourceNumberOfWords", "LinkedToNumberOfWords", "WordNumberMatchingJaroWinkler")
 
 
-@query(f"WITH {PEOPLE}, {PHONES}, {_X6} SELECT i AS Input_Record_ID, w AS SDN_UID, v.g AS SDN_Phone_Digits, ip AS Input_Phone_Raw, ig AS Input_Phone_Digits, (ig = v.g)::INT AS Exact_Match, (length(ig) >= 10 AND length(v.g) >= 10 AND right(ig, 10) = right(v.g, 10))::INT AS Last10_Match, {jw('ig', 'v.g')} AS JaroWinkler_Digits FROM hit JOIN v ON v.doc_id = w")
+@query(whole.X6)
 def x6_phone(s: SparkSession, d: str) -> DataFrame:
-    return passes.phone(_records(s, d), samples.watch(s, d).phones).drop("SDN_Phone_Raw")
+    return passes.phone(_records(s, d), samples.watch(s, d).phones).withColumn("SDN_Phone_Raw", F.trim("SDN_Phone_Raw"))
 
 
-@query(f"WITH {_PERSONS}, m AS ({_X1}), n AS ({_X2}) SELECT doc_id AS Input_Record_ID, fn AS SourceFN, NULL::VARCHAR AS SourceMN, ln AS SourceLN, NULL::VARCHAR AS SourceEntityName, 'D' || doc_id AS ExternalID, 'No match found in any pass' AS Note FROM i WHERE doc_id NOT IN (SELECT Input_Record_ID FROM m) AND doc_id NOT IN (SELECT Input_Record_ID FROM n)")
+@query(f"WITH {PERSONS}, m AS ({whole.X1}), n AS ({whole.X2}) SELECT doc_id AS Input_Record_ID, fn AS SourceFN, NULL::VARCHAR AS SourceMN, ln AS SourceLN, NULL::VARCHAR AS SourceEntityName, 'D' || doc_id AS ExternalID, 'No match found in any pass' AS Note FROM i WHERE doc_id NOT IN (SELECT Input_Record_ID FROM m) AND doc_id NOT IN (SELECT Input_Record_ID FROM n)")
 def x7_no_match(s: SparkSession, d: str) -> DataFrame:
     r, w = _records(s, d).filter("entity_type = 'Individual'"), samples.watch(s, d)
     return passes.no_match(r, passes.person_primary(r, w.entries, CONFIG), passes.person_aka(r, w.akas, CONFIG))
 
 
-_X8_STREETS = "[" + ", ".join("concat_ws(' ', " + ", ".join(f"s{k}" for k in o if k < 3) + ")" if any(k < 3 for k in o) else "''" for o in tables.STREET_ORDERS) + "]"
-_X8 = f"""g AS (SELECT id, concat_ws(' ', {address("address1")}, {address("address2")}) AS m, {nm("city")} AS c, {state("region")} AS r, {nm("postal_code")} AS p, {country("country")} AS t FROM customers WHERE id % 10 = 2),
-l AS (SELECT id, {address("address1")} AS s1, {address("address2")} AS s2, {nm("city")} AS c, {state("region")} AS r, {nm("postal_code")} AS p, {country("country")} AS t FROM suppliers),
-y AS (SELECT g.id AS Input_Record_ID, l.id AS SDNAddress_UID, coalesce(list_position([jaro_winkler_similarity(m, x) >= 0.7 FOR x IN {_X8_STREETS}], true) + 16, 32)::INT AS JaroWinklerMatchStreetAddress,
-  {jw("g.c", "l.c")} AS City_JaroWinklerSimilarity, {jw("g.r", "l.r")} AS StateProvince_JaroWinklerSimilarity, {jw("g.p", "l.p")} AS PostalCode_JaroWinklerSimilarity, {jw("g.t", "l.t")} AS Country_JaroWinklerSimilarity FROM g, l),
-z AS (SELECT * FROM y WHERE JaroWinklerMatchStreetAddress <> 32 OR City_JaroWinklerSimilarity >= 70 OR PostalCode_JaroWinklerSimilarity >= 70 OR Country_JaroWinklerSimilarity >= 70)"""
+_X8 = whole.addresses("customers", "(SELECT *, id AS uid FROM suppliers)")
 
 
 def _address_rows(s: SparkSession, d: str) -> DataFrame:
-    given = inputs.normalized(samples.customers(s, d).filter("id % 10 = 2").withColumnRenamed("id", "record_id"))
+    given = inputs.normalized(samples.customers(s, d).withColumnRenamed("id", "record_id"))
     listed = inputs.normalized(samples.suppliers(s, d)).select(F.col("id").alias("uid"), F.col("id").alias("addr_uid"), *passes.RAW_ADDRESS, *[f"{c}_nm" for c in passes.RAW_ADDRESS])
     return passes.address(given, listed, given.select(F.col("record_id").alias("Input_Record_ID"), F.lit(None).cast("bigint").alias("SDN_UID")), CONFIG)
 
 
-@query(f"WITH {PLACES}, {_X8} SELECT * FROM z")
+@query(f"WITH {PLACES}, {_X8} SELECT Input_Record_ID, SDNAddress_UID, JaroWinklerMatchStreetAddress, City_JaroWinklerSimilarity, StateProvince_JaroWinklerSimilarity, PostalCode_JaroWinklerSimilarity, Country_JaroWinklerSimilarity FROM z")
 def x8_p8_address(s: SparkSession, d: str) -> DataFrame:
     return _address_rows(s, d).select("Input_Record_ID", "SDNAddress_UID", "JaroWinklerMatchStreetAddress", "City_JaroWinklerSimilarity", "StateProvince_JaroWinklerSimilarity", "PostalCode_JaroWinklerSimilarity", "Country_JaroWinklerSimilarity")
 
@@ -345,66 +347,54 @@ def a1_a2_address_best(s: SparkSession, d: str) -> DataFrame:
     return summary.address_best(_address_rows(s, d)).select("Input_Record_ID", "SDN_UID", "City_JW", "Country_JW", "CC_Match")
 
 
-def _found(s: SparkSession, d: str):
-    r, w = _records(s, d).filter("entity_type = 'Individual'"), samples.watch(s, d)
-    return r, w, passes.person_primary(r, w.entries, CONFIG), passes.person_aka(r, w.akas, CONFIG)
+def _found(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    """What each pass finds among all records, held as several steps read it."""
+    r, w = _records(s, d), samples.watch(s, d)
+    out = {"person": passes.person_primary(r, w.entries, CONFIG), "aka": passes.person_aka(r, w.akas, CONFIG), "org": passes.org_primary(r, w.entries, CONFIG)[0], "org_aka": passes.org_aka(r, w.akas, CONFIG)[0], "linked": passes.linked_to(r, w.remarks, CONFIG), "phone": passes.phone(r, w.phones).withColumn("SDN_Phone_Raw", F.trim("SDN_Phone_Raw"))}
+    out = {k: held(v) for k, v in out.items()}
+    matched = reduce(DataFrame.union, [x.select("Input_Record_ID", "SDN_UID") for x in out.values()]).distinct()
+    return out | {"unmatched": passes.no_match(r, *out.values()), "address": passes.address(r, w.addresses, matched, CONFIG)}
 
 
-def _names(s: SparkSession, d: str) -> DataFrame:
+def _gate_passing(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     r, w = _records(s, d), samples.watch(s, d)
-    return audit.passing_names(passes.person_primary(r, w.entries, CONFIG), passes.person_aka(r, w.akas, CONFIG), passes.org_primary(r, w.entries, CONFIG), passes.org_aka(r, w.akas, CONFIG))
+    names = audit.passing_names(passes.person_primary(r, w.entries, CONFIG), passes.person_aka(r, w.akas, CONFIG), passes.org_primary(r, w.entries, CONFIG), passes.org_aka(r, w.akas, CONFIG))
+    return audit.gate_passing(names, r, w.entries, w.addresses), w.names()
 
 
-@query()
+@query(whole.X9)
 def x9_gate_passing(s: SparkSession, d: str) -> DataFrame:
-    w = samples.watch(s, d)
-    return audit.gate_passing(_names(s, d), _records(s, d), w.entries, w.addresses)
+    return _gate_passing(s, d)[0]
 
 
-@query()
+@query(whole.X12)
 def x12_m19_score(s: SparkSession, d: str) -> DataFrame:
-    w = samples.watch(s, d)
-    return score.composite(audit.gate_passing(_names(s, d), _records(s, d), w.entries, w.addresses), w.names())
-
-
+    return score.composite(*_gate_passing(s, d))
 
 
-@query(
-    f"""WITH {_PERSONS}, m AS ({_X1}), n AS ({_X2}), r AS (SELECT Input_Record_ID, SDN_UID, max(FirstName_JaroWinklerSimilarity) AS fj, max(LastName_JaroWinklerSimilarity) AS lj, max(concat_ws(' ', SourceFN, SourceLN)) AS i, max(concat_ws(' ', SDNFN, SDNLN)) AS w FROM m GROUP BY ALL),
-a AS (SELECT Input_Record_ID, SDN_UID, max(FirstName_JaroWinklerSimilarity) AS fj, max(LastName_JaroWinklerSimilarity) AS lj, max(concat_ws(' ', SourceFN, SourceLN)) AS i, max(concat_ws(' ', SDNFN, SDNLN)) AS w FROM n GROUP BY ALL), c AS (SELECT Input_Record_ID, SDN_UID FROM r UNION SELECT Input_Record_ID, SDN_UID FROM a)
-SELECT c.Input_Record_ID AS Input_ID, c.SDN_UID, (r.SDN_UID IS NOT NULL)::INT AS Person_Regular_Match, r.i AS Input_Person_Regular_Name, r.w AS SDN_Person_Regular_Name, r.fj AS Person_Regular_Match_FN_JW, r.lj AS Person_Regular_Match_LN_JW, (a.SDN_UID IS NOT NULL)::INT AS Person_aka_Match,
-  a.i AS Input_Person_aka_Name, a.w AS SDN_Person_aka_Name, a.fj AS Person_aka_Match_FN_JW, a.lj AS Person_aka_Match_LN_JW FROM c LEFT JOIN r USING (Input_Record_ID, SDN_UID) LEFT JOIN a USING (Input_Record_ID, SDN_UID)
-UNION ALL SELECT doc_id, NULL, 0, NULL, NULL, NULL, NULL, 0, NULL, NULL, NULL, NULL FROM i WHERE doc_id NOT IN (SELECT Input_Record_ID FROM m UNION SELECT Input_Record_ID FROM n)"""
-)
+@query(whole.X10)
 def x10_person_summary(s: SparkSession, d: str) -> DataFrame:
-    r, w, one, two = _found(s, d)
-    none = passes.linked_to(r.limit(0), w.remarks.limit(0), CONFIG)
-    out = summary.person_summary(one, two, none, _address_rows(s, d).limit(0), passes.no_match(r, one, two))
-    return out.select("Input_ID", "SDN_UID", *[f"{a}{p}{b}" for p in ("Person_Regular", "Person_aka") for a, b in (("", "_Match"), ("Input_", "_Name"), ("SDN_", "_Name"), ("", "_Match_FN_JW"), ("", "_Match_LN_JW"))])
+    f = _found(s, d)
+    return summary.person_summary(f["person"], f["aka"], f["linked"], f["address"], f["unmatched"])
 
 
-@query(f"WITH {_ORGS}, m AS ({_X3}) SELECT Input_Record_ID AS Input_ID, SDN_UID, 1::INT AS Org_Match, max(FullName_JaroWinklerSimilarity) AS Org_Match_JW, max(SDNOrgName) AS SDN_Org_Name FROM m GROUP BY ALL")
+@query(whole.X11)
 def x11_org_summary(s: SparkSession, d: str) -> DataFrame:
-    r, w = _records(s, d).filter("entity_type = 'Entity'"), samples.watch(s, d)
-    one = passes.org_primary(r, w.entries, CONFIG)[0]
-    two = passes.org_aka(r.limit(0), w.akas, CONFIG)[0]
-    none = passes.linked_to(r.limit(0), w.remarks.limit(0), CONFIG)
-    return summary.org_summary(one, two, none, _address_rows(s, d).limit(0), passes.no_match(r, one).limit(0)).select("Input_ID", "SDN_UID", "Org_Match", "Org_Match_JW", "SDN_Org_Name")
+    f = _found(s, d)
+    return summary.org_summary(f["org"], f["org_aka"], f["linked"], f["address"], f["unmatched"])
 
 
-@query(f"WITH {_PERSONS}, m AS ({_X1}), n AS ({_X2}) SELECT Input_Record_ID, SDN_UID, 'Person_Name' AS Match_Type, SourceFN || ' ' || SourceLN AS Input_Name, SDNFN || ' ' || SDNLN AS SDN_Name, FirstName_JaroWinklerSimilarity AS FirstName_JW, NULL::BIGINT AS AKA_UID FROM m UNION ALL SELECT Input_Record_ID, SDN_UID, 'Person_AKA', SourceFN || ' ' || SourceLN, SDNFN || ' ' || SDNLN, FirstName_JaroWinklerSimilarity, AKA_UID FROM n")
+@query(whole.X13)
 def x13_u4_report(s: SparkSession, d: str) -> DataFrame:
-    r, w, one, two = _found(s, d)
-    o, k = passes.org_primary(r.limit(0), w.entries, CONFIG)[0], passes.org_aka(r.limit(0), w.akas, CONFIG)[0]
-    rows = report.report(one, two, o, k, passes.linked_to(r.limit(0), w.remarks.limit(0), CONFIG), passes.phone(r.limit(0), w.phones), _address_rows(s, d).limit(0))
-    return rows.select("Input_Record_ID", "SDN_UID", "Match_Type", "Input_Name", "SDN_Name", "FirstName_JW", "AKA_UID")
+    f = _found(s, d)
+    return report.report(f["person"], f["aka"], f["org"], f["org_aka"], f["linked"], f["phone"], f["address"])
 
 
-@query(f"WITH {_PERSONS}, m AS ({_X1}), n AS ({_X2}), every AS (SELECT i.doc_id AS x, u.doc_id AS y, NULL::BIGINT AS z FROM i, u WHERE i.doc_id % 20 = 2 UNION ALL SELECT i.doc_id, k.doc_id - 1, k.doc_id FROM i, k WHERE i.doc_id % 20 = 2) SELECT x AS Input_Record_ID, y AS SDN_UID, z AS SDN_AKA_UID FROM every WHERE NOT EXISTS (SELECT 1 FROM (SELECT Input_Record_ID, SDN_UID, NULL AS AKA_UID FROM m UNION ALL SELECT Input_Record_ID, SDN_UID, AKA_UID FROM n) p WHERE p.Input_Record_ID = x AND p.SDN_UID = y AND p.AKA_UID IS NOT DISTINCT FROM z)")
+@query(f"WITH {PERSONS}, m AS ({whole.X1}), n AS ({whole.X2}), every AS (SELECT i.doc_id AS x, u.doc_id AS y, NULL::BIGINT AS z FROM i, u UNION ALL SELECT i.doc_id, k.doc_id - 1, k.doc_id FROM i, k) SELECT x AS Input_Record_ID, y AS SDN_UID, z AS SDN_AKA_UID FROM every WHERE NOT EXISTS (SELECT 1 FROM (SELECT Input_Record_ID, SDN_UID, NULL AS AKA_UID FROM m UNION ALL SELECT Input_Record_ID, SDN_UID, AKA_UID FROM n) p WHERE p.Input_Record_ID = x AND p.SDN_UID = y AND p.AKA_UID IS NOT DISTINCT FROM z)")
 def x14_j9_non_passing(s: SparkSession, d: str) -> DataFrame:
-    r, w, one, two = _found(s, d)
-    p = one.select("Input_Record_ID", "SDN_UID", F.lit(None).cast("bigint").alias("SDN_AKA_UID")).union(two.select("Input_Record_ID", "SDN_UID", "AKA_UID"))
-    return audit.non_passing(r.filter("record_id % 20 = 2"), w.names().filter("sdn_type = 'Individual'"), p).select("Input_Record_ID", "SDN_UID", "SDN_AKA_UID")
+    r, w = _records(s, d).filter("entity_type = 'Individual'"), samples.watch(s, d)
+    p = passes.person_primary(r, w.entries, CONFIG).select("Input_Record_ID", "SDN_UID", F.lit(None).cast("bigint").alias("SDN_AKA_UID")).union(passes.person_aka(r, w.akas, CONFIG).select("Input_Record_ID", "SDN_UID", "AKA_UID"))
+    return audit.non_passing(r, w.names().filter("sdn_type = 'Individual'"), p).select("Input_Record_ID", "SDN_UID", "SDN_AKA_UID")
 
 
 def _legacy(s: SparkSession, d: str):
@@ -413,10 +403,9 @@ def _legacy(s: SparkSession, d: str):
     return given, p.select(F.col("doc_id").alias("uid"), F.col("fn").alias("first_name"), F.col("ln").alias("last_name"))
 
 
-@query(f"WITH {PEOPLE} SELECT a.doc_id AS principal_id, b.doc_id AS uid, 'Matched on Last_Name' AS match_field FROM people a JOIN people b ON lower(a.ln) = lower(b.ln) WHERE a.doc_id % 20 = 2 AND b.doc_id % 5 = 0 UNION ALL SELECT a.doc_id, b.doc_id, 'Matched on First_Name' FROM people a JOIN people b ON lower(a.fn) = lower(b.fn) WHERE a.doc_id % 20 = 2 AND b.doc_id % 5 = 0")
+@query(f"WITH {PEOPLE} SELECT a.doc_id AS principal_id, b.doc_id AS uid, 'Matched on Last_Name' AS match_field FROM people a JOIN people b ON lower(a.ln) = lower(b.ln) UNION ALL SELECT a.doc_id, b.doc_id, 'Matched on First_Name' FROM people a JOIN people b ON lower(a.fn) = lower(b.fn)")
 def j13_direct_hits(s: SparkSession, d: str) -> DataFrame:
-    given, listed = _legacy(s, d)  # its SQL takes these ids
-    return legacy.hits(given.filter("principal_id % 20 = 2"), listed.filter("uid % 5 = 0")).filter("method = 'Direct'").select("principal_id", "uid", F.col("label").alias("match_field"))
+    return legacy.hits(*_legacy(s, d)).filter("method = 'Direct'").select("principal_id", "uid", F.col("label").alias("match_field"))
 
 
 @query()

@@ -24,13 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+PHONE_IN_TEXT = r"\+1 \(\d{3}\) \d{3}-\d{4}"
+#: The first two words of a text that have a letter, found from its beginning alone; other characters are then taken out of them.
+FIRST, SECOND = r"^[^A-Za-z]*([A-Za-z][^ ]*)", r"^[^A-Za-z]*[A-Za-z][^ ]* [^A-Za-z]*([A-Za-z][^ ]*)"
+
+
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = F.split(F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z ]", ""), " +", " ")), " ")
-    return table(spark, sf_dir, "documents").select("doc_id", F.get(w, F.lit(0)).alias("fn"), F.get(w, F.lit(1)).alias("ln"), "text").filter("fn <> '' AND ln <> ''")
+    """Who the documents name: doc_id, fn and ln, and the first phone number in the text, empty without one."""
+    one = lambda pattern: F.regexp_replace(F.regexp_extract("text", pattern, 1), "[^A-Za-z]", "")
+    who = table(spark, sf_dir, "documents").select("doc_id", F.struct(one(FIRST).alias("fn"), one(SECOND).alias("ln"), F.regexp_extract("text", f"({PHONE_IN_TEXT})", 1).alias("phone")).alias("p"))
+    return who.select("doc_id", "p.fn", "p.ln", "p.phone").filter("fn <> '' AND ln <> ''")
 
 
-PEOPLE = r"""w AS (SELECT doc_id, string_split(trim(regexp_replace(regexp_replace(text, '[^A-Za-z ]', '', 'g'), ' +', ' ', 'g')), ' ') AS w, text FROM documents),
-people AS (SELECT doc_id, w[1] AS fn, w[2] AS ln, text FROM w WHERE len(w) > 1 AND w[1] <> '')"""
+PEOPLE = rf"""w AS (SELECT doc_id, regexp_replace(regexp_extract(text, '{FIRST}', 1), '[^A-Za-z]', '', 'g') AS fn, regexp_replace(regexp_extract(text, '{SECOND}', 1), '[^A-Za-z]', '', 'g') AS ln, text FROM documents),
+people AS (SELECT doc_id, fn, ln, text FROM w WHERE fn <> '' AND ln <> '')"""
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +73,6 @@ def _places_sql(name: str, source: str, nation: str, key: str) -> str:
 
 PLACES = _places_sql("customers", "customer", "c_nationkey", "c_custkey") + ",\n" + _places_sql("suppliers", "supplier", "s_nationkey", "s_suppkey")
 
-PHONE_IN_TEXT = r"\+1 \(\d{3}\) \d{3}-\d{4}"
-
-
 def phones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first phone number of each document that has one."""
     return table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract("text", f"({PHONE_IN_TEXT})", 1).alias("phone")).filter("phone <> ''")
@@ -82,7 +86,7 @@ def _null(kind: str = "string") -> Column:
 
 
 def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = people(spark, sf_dir).filter("doc_id % 5 >= 2").join(phones(spark, sf_dir), "doc_id", "left")
+    rows = people(spark, sf_dir).filter("doc_id % 5 >= 2").withColumn("phone", F.nullif("phone", F.lit("")))
     return rows.select(F.col("doc_id").alias("record_id"), F.lit("Individual").alias("entity_type"), _null().alias("entity_name"), F.col("fn").alias("first_name"), _null().alias("middle_name"), F.col("ln").alias("last_name"), "phone", F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("external_id"))
 
 
@@ -92,7 +96,7 @@ def org_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persons, organisations, and persons' addresses: those of the customer of the same number."""
-    place = customers(spark, sf_dir).withColumnRenamed("id", "record_id")
+    place = customers(spark, sf_dir).withColumnRenamed("id", "record_id").dropDuplicates(["record_id"])  # so that queries without addresses need no join
     rows = person_records(spark, sf_dir).unionByName(org_records(spark, sf_dir), allowMissingColumns=True)
     return normalized(rows.join(place, "record_id", "left"), CONFIG)
 
@@ -101,8 +105,8 @@ def watch(spark: SparkSession, sf_dir: str) -> WatchList:
     who, company = people(spark, sf_dir), parts(spark, sf_dir)
     place = suppliers(spark, sf_dir)
     note = F.when(F.col("doc_id") % 25 == 0, F.concat(F.lit("Linked to: "), "fn", F.lit(" "), "ln", F.lit("; Phone: "), F.coalesce("phone", F.lit("none")))).when(F.col("phone").isNotNull(), F.concat(F.lit("Tel. "), "phone"))
-    their = phones(spark, sf_dir).withColumn("doc_id", F.col("doc_id") - 2)  # the number of an input person
-    persons = who.filter("doc_id % 5 = 0").join(their, "doc_id", "left").select(F.col("doc_id").alias("uid"), F.col("fn").alias("firstName"), F.col("ln").alias("lastName"), F.lit("Individual").alias("sdnType"), note.alias("remarks"))
+    their = phones(spark, sf_dir).withColumn("doc_id", F.col("doc_id") - 2).dropDuplicates(["doc_id"])  # the number of an input person
+    persons = who.filter("doc_id % 5 = 0").drop("phone").join(their, "doc_id", "left").select(F.col("doc_id").alias("uid"), F.col("fn").alias("firstName"), F.col("ln").alias("lastName"), F.lit("Individual").alias("sdnType"), note.alias("remarks"))
     companies = company.filter("p_partkey % 97 = 0").select((F.col("p_partkey") + ORG_BASE).alias("uid"), _null().alias("firstName"), F.col("name").alias("lastName"), F.lit("Entity").alias("sdnType"), F.concat(F.lit("Linked To: "), "name", F.lit("; x")).alias("remarks"))
     strong = F.when(F.col("aka_uid") % 2 == 0, F.lit("strong")).otherwise(F.lit("weak"))
     aka = who.filter("doc_id % 5 = 1").select(F.col("doc_id").alias("aka_uid"), (F.col("doc_id") - 1).alias("owner"), F.col("fn").alias("firstName"), F.col("ln").alias("lastName")).union(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..config import ScreeningConfig
+from ..durable import held
 from ..operators import audit, passes, report, score, summary
 from ..sinks import Store
 from ..sources.watchlist import WatchList
@@ -40,11 +41,13 @@ class Screening:
 def screen(records: DataFrame, watch: WatchList, config: ScreeningConfig = ScreeningConfig(), store: Store | None = None, run_id: int | None = None) -> Screening:  # noqa: B008
     """records: of sources.inputs.normalized, with record_id. With a store each pass is written once and later steps read its rows; without one it is cached."""
     run = run_id or (store.next_run() if store else 1)
+    if store is not None:
+        store.log_run(run, person=config.person_jw, org=config.org_jw, address=config.address_jw, blocking=config.blocking)
 
     def kept(name: str, df: DataFrame) -> DataFrame:
         if store is None:
-            return df.cache()
-        store.append(name, df, run)
+            return held(df)
+        store.replace_run(name, df, run)  # a run that is repeated after a failure replaces its rows
         return store.read(name, run).drop("Run_ID")
 
     person = kept("MatchingResults_Person_Full", passes.person_primary(records, watch.entries, config))
@@ -66,5 +69,5 @@ def screen(records: DataFrame, watch: WatchList, config: ScreeningConfig = Scree
     two = kept("Matching_Summary_Org", summary.org_summary(org, org_aka, linked, address, unmatched))
     whole = kept("Report", report.report(person, aka, org, org_aka, linked, phone, address))
     if store is not None:
-        store.log_run(run, records=records.count(), person=config.person_jw, org=config.org_jw, address=config.address_jw, blocking=config.blocking)
+        store.update_run(run, records=records.count(), person=config.person_jw, org=config.org_jw, address=config.address_jw, blocking=config.blocking)
     return Screening(person, aka, org, org_near, org_aka, org_aka_near, linked, phone, unmatched, address, gate, one, two, whole)

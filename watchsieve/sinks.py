@@ -60,6 +60,15 @@ class Store:
         row = self.spark.createDataFrame([{k: str(v) for k, v in values.items()} or {"note": ""}]).withColumn("Recorded_At", F.current_timestamp())
         self.append("RunLog", row, run_id)
 
+    def update_run(self, run_id: int, **values: object) -> None:
+        """Adds values to a run's row, or changes them; a row that is not there is made."""
+        rows = self.read("RunLog", run_id).drop("Run_ID").limit(1).collect() if self.has("RunLog") else []
+        known = {k: v for k, v in (rows[0].asDict() if rows else {}).items() if v is not None}
+        began = known.pop("Recorded_At", None)
+        new = {**known, **{k: str(v) for k, v in values.items()}} or {"note": ""}
+        row = self.spark.createDataFrame([new]).withColumn("Recorded_At", F.lit(began).cast("timestamp") if began else F.current_timestamp())
+        self.replace_run("RunLog", row, run_id)
+
     def latest_run(self) -> int | None:
         return self.read("RunLog").agg(F.max("Run_ID")).first()[0] if self.has("RunLog") else None
 
@@ -70,6 +79,13 @@ def export_csv(df: DataFrame, path: str, order: list[str] | None = None, single:
     (out.coalesce(1) if single else out).write.mode("overwrite").csv(path, header=True)
 
 
+def export_legacy(detail: DataFrame, summary: DataFrame, folder: str) -> None:
+    """The detail rows and the summary of the older matcher, as two CSV outputs in the order they are read in."""
+    flat = detail.select(*[c for c, t in detail.dtypes if not t.startswith("struct")])
+    export_csv(flat, f"{folder.rstrip('/')}/detail", ["principal_id", "uid", "match_field", "matchtype"])
+    export_csv(summary, f"{folder.rstrip('/')}/summary", ["principal_id"])
+
+
 def export_run(store: Store, run_id: int, folder: str, tables: list[str]) -> dict[str, int]:
     """Exports the run's rows of the tables that are there; how many each had."""
     counts = {}
@@ -81,8 +97,22 @@ def export_run(store: Store, run_id: int, folder: str, tables: list[str]) -> dic
     return counts
 
 
-def export_non_passing(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "gzip").csv(path, header=True)
+def export_non_passing(df: DataFrame, path: str, run_date: str, list_version: str) -> None:
+    """df: of audit.non_passing_report. The lines that open the audit file in path/preamble, and its rows, in as many compressed parts as they need, in path/rows."""
+    lines = ["Reason for not Including as a match: InsufficientNameMatch", f"Run Date: {run_date}", f"SDN List Version: {list_version}", ""]
+    df.sparkSession.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/preamble")
+    df.write.mode("overwrite").option("compression", "gzip").csv(f"{path.rstrip('/')}/rows", header=True)
+
+
+def write_back(rows: DataFrame, path: str | None = None, table: str | None = None, jdbc: dict[str, str] | None = None) -> None:
+    """Appends rows to the source they are meant for: a folder of parquet files, a table, or a table behind JDBC (url, dbtable and so on)."""
+    out = rows.write.mode("append")
+    if path:
+        out.parquet(path)
+    elif table:
+        out.saveAsTable(table)
+    else:
+        out.format("jdbc").options(**(jdbc or {})).save()
 
 
 def run_log_text(store: Store, run_id: int, path: str) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import ScreeningConfig
+from ..durable import held
 from ..functions import tables, text
 from ..functions.text import blank_to_null
 
@@ -85,7 +86,8 @@ def from_screening(df: DataFrame, start_row: int | None = None, top: int | None
 def numbered(records: DataFrame, *order: str) -> DataFrame:
     """record_id from 1 in the given order: numbers within ranges of the order, offset by what lies before, so no task orders all rows."""
     order = order or tuple(c for c in ("source_id", "kind", "external_id", "entity_name", "last_name", "first_name") if c in records.columns)
-    parts = records.repartitionByRange(max(1, records.sparkSession.sparkContext.defaultParallelism), *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
+    parts = records.repartitionByRange(max(1, records.sparkSession.sparkContext.defaultParallelism), *order).withColumn("_p", F.spark_partition_id())
+    parts = held(parts)  # sizes and numbers are of the same ranges
     sizes = parts.groupBy("_p").count()
     before = sizes.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")  # a row a partition
     nth = F.row_number().over(Window.partitionBy("_p").orderBy(*order))

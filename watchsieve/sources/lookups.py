@@ -51,12 +51,12 @@ def dates(spark: SparkSession, first: str = "1700-01-01", last: str = "2075-12-3
 
 
 def jurisdictions(spark: SparkSession, children: DataFrame | None = None) -> DataFrame:
-    """Countries by the JVM's list of ISO codes, and below them the states (or children: Jurisdiction, Abbreviation, Juris_Type, Parent, FIPS), with the parent's id."""
+    """Countries by the JVM's list of ISO codes, and below them states, provinces and territories (or children: Jurisdiction, Abbreviation, Juris_Type, Parent, FIPS), with the parent's id."""
     locale = spark.sparkContext._jvm.java.util.Locale
     codes = list(locale.getISOCountries())
     top = spark.createDataFrame([(locale("", c).getDisplayCountry(locale.ENGLISH), c, "Country", c) for c in codes], "Jurisdiction string, Abbreviation string, Juris_Type string, ISO2 string")
     if children is None:
-        children = spark.createDataFrame([(n.title().replace(" Of ", " of "), a, "State", "United States") for a, n in tables.STATES.items()], "Jurisdiction string, Abbreviation string, Juris_Type string, Parent string").withColumn("FIPS", F.lit(None).cast("string"))
+        children = spark.createDataFrame(tables.child_jurisdictions(), "Jurisdiction string, Abbreviation string, Juris_Type string, Parent string, FIPS string")
     from pyspark.sql import Window
 
     top = top.withColumn("ID", F.row_number().over(Window.orderBy("Jurisdiction")))  # some 250 rows
