@@ -11,9 +11,10 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op5_bpe": bpe.op5_bpe,
     "op6_quotation": quotation.op6_quotation,
+    "quoted_replies": quotation.quoted_replies,
     "op7_packing": packing.op7_packing,
     "op8_gif": gif.op8_gif,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_mixing_lm": mixing_lm.op10_mixing_lm,
 }
-SQL = {"op2_exact_dedup": exact_dedup.OP2_SQL, "op6_quotation": quotation.OP6_SQL}
+SQL = {"op2_exact_dedup": exact_dedup.OP2_SQL, "op6_quotation": quotation.OP6_SQL, "quoted_replies": quotation.QUOTED_SQL}
