@@ -1,10 +1,10 @@
 """Toxicity by a counterfactually regularised classifier.
 
 Logistic regression over the presence of words and of beginnings of longer words (which catch inflected and compound
-forms), with an L1 penalty so that chance words get no weight. For each labelled
-sentence that names a group, the group's word is swapped for each other one and for none; the squared change of the score
-is part of the loss. So a term of identity cannot gain weight of its own, and neutral mentions of a group are not flagged.
-Where labelled sentences name few groups, terms are put into sentences of the sample, which gives the same kind of pair.
+forms), with an L1 penalty so that chance words get no weight. Each labelled sentence that names a group is written anew
+with the group's name swapped for others of its language, and for none; the mean squared change of the score from 0 to 1
+between the two sentences is part of the loss. So a term of identity cannot gain weight of its own, and neutral mentions of
+a group are not flagged. Where labelled sentences name few groups, terms are first put into sentences of the sample.
 
 Only the learning sample is bounded: at most SAMPLE rows a label, taken in the order of a hash of the id. Every text is
 scored whole, in one pass without a shuffle; the model is at most WORDS words.
@@ -16,6 +16,7 @@ without rows of both labels every score is 0; repeated rows get a row each; othe
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,14 +34,21 @@ SAMPLE, WORDS = 2000, 4000
 #: Lengths of the beginnings, in bytes.
 BEGINNINGS = (4, 5, 6, 7, 8)
 CUT = 0.7
-#: Words that name a group and say nothing bad of it.
-IDENTITY = tuple(
-    x.encode()
-    for x in (
-        "women men woman man girls boys female male muslim muslims christian christians jewish jews hindu hindus buddhist atheist black white asian latino african european american "
-        "mexican arab indian chinese gay lesbian bisexual transgender straight queer deaf blind disabled old young immigrant immigrants refugee refugees"
-    ).split()
-)
+#: Words that name a group and say nothing bad of it, by language.
+GROUPS = {
+    "en": "women men woman man girls boys female male muslim muslims christian christians jewish jews hindu hindus buddhist atheist black white asian latino african european american mexican arab indian chinese gay lesbian bisexual transgender straight queer deaf blind disabled old young immigrant immigrants refugee refugees",
+    "de": "frauen männer frau mann mädchen jungen muslime christen juden hindus schwarze weiße asiaten afrikaner europäer araber inder chinesen schwule lesben behinderte alte junge einwanderer flüchtlinge",
+    "fr": "femmes hommes femme homme filles garçons musulmans chrétiens juifs hindous noirs blancs asiatiques africains européens arabes indiens chinois gays lesbiennes handicapés vieux jeunes immigrés réfugiés",
+    "es": "mujeres hombres mujer hombre niñas niños musulmanes cristianos judíos hindúes negros blancos asiáticos africanos europeos árabes indios chinos gais lesbianas discapacitados viejos jóvenes inmigrantes refugiados",
+}
+IDENTITY: dict[bytes, list[bytes]] = {}
+for _words in GROUPS.values():
+    for _w in (_all := [x.encode() for x in _words.split()]):
+        IDENTITY.setdefault(_w, _all)
+#: For each mention the names it is swapped for; sentences into which a name is put where fewer have one.
+SWAPS, PLANTED = 3, 400
+#: Weight of the mean squared change of the score.
+LAMBDA = 40.0
 _WORD = re.compile(rb"[a-z\x80-\xff]+(?:'[a-z]+)?")
 
 
@@ -73,21 +81,28 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(self.margin(text) - self.threshold + np.log(CUT / (1 - CUT)), -30, 30))))
 
 
-def swaps(rows: list[bytes], index: dict[bytes, int], planted: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """What swapping a term of identity for another, or for none, does to a sentence's score s = marks @ weights: marks has a row for each term, and pull is such that s @ pull @ s is the mean squared change."""
-    marks, seen = np.zeros((len(IDENTITY), len(index))), np.full(len(IDENTITY), float(planted))  # sentences into which the term is put
-    for k, t in enumerate(IDENTITY):
-        marks[k, [index[m] for m in marks_of({t}) if m in index]] = 1
-    place = {t: k for k, t in enumerate(IDENTITY)}
-    for text in rows:
-        for s in sentences(text):
-            for t in words(s) & place.keys():
-                seen[place[t]] += 1
-    often = np.repeat(seen[:, None], len(IDENTITY) + 1, 1)
-    often[np.arange(len(IDENTITY)), np.arange(len(IDENTITY))] = 0
-    often /= often.sum()
-    both = often[:, :-1] + often[:, :-1].T
-    return marks, np.diag(both.sum(1) + often[:, -1]) - both
+def swapped(sentence: bytes, term: bytes, other: bytes) -> bytes:
+    """The sentence, in small letters, with every mention of a term replaced; an empty `other` takes it out."""
+    return re.sub(rb"(?<![a-z\x80-\xff])" + re.escape(term) + rb"(?![a-z\x80-\xff'])", lambda _: other, sentence)
+
+
+def counterfactuals(found: list[bytes], seed: int = 1, planted: int = PLANTED) -> list[tuple[bytes, bytes]]:
+    """Pairs of sentences that differ in the group they name. found: sentences in small letters; where fewer than `planted` name one, names are put into some."""
+    rng, named, terms = random.Random(seed), [], sorted(IDENTITY)
+    for s in found:
+        named += [(s, t) for t in sorted(words(s) & IDENTITY.keys())]
+    plain = [s.split() for s in found if s.strip()] or [[b"the"]]
+    while len(named) < planted:
+        term, some = terms[len(named) % len(terms)], rng.choice(plain)
+        at = rng.randint(0, len(some))
+        named.append((b" ".join([*some[:at], term, *some[at:]]), term))
+    return [(s, swapped(s, t, o)) for s, t in named for o in [b"", *rng.sample([x for x in IDENTITY[t] if x != t], SWAPS)]]
+
+
+def sparse(rows: list[set[bytes]], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each mark that is known."""
+    where = [sorted(index[m] for m in r & index.keys()) for r in rows]
+    return np.repeat(np.arange(len(rows)), [len(x) for x in where]), np.array([i for x in where for i in x], np.int64)
 
 
 def telling(rows: list[bytes], y: np.ndarray, at_most: int) -> list[bytes]:
@@ -104,27 +119,39 @@ def telling(rows: list[bytes], y: np.ndarray, at_most: int) -> list[bytes]:
     return [names[i] for i in np.argsort(-gain, kind="stable")[:at_most]]
 
 
-def learn(rows: list[bytes], y: np.ndarray, l1: float = 5e-4, counterfactual: float = 20.0, steps: int = 600) -> Classifier | None:
+def learn(rows: list[bytes], y: np.ndarray, found: list[bytes] | None = None, l1: float = 5e-4, counterfactual: float = LAMBDA, steps: int = 600) -> Classifier | None:
+    """rows: texts, or their words. found: sentences to be swapped; without them those of the rows."""
     if not len(y) or y.min() == y.max():
         return None
-    index = {w: i for i, w in enumerate(dict.fromkeys([*telling(rows, y, WORDS), *IDENTITY]))}
-    marks, pull = swaps(rows, index)
-    where = [np.array(sorted(index[w] for w in marks_of(words(t)) & index.keys()), np.int64) for t in rows]
-    row, col = np.repeat(np.arange(len(rows)), [len(x) for x in where]), np.concatenate(where)
+    found = [s for t in rows for s in sentences(t.lower())] if found is None else found
+    pairs = counterfactuals(found)
+    index = {w: i for i, w in enumerate(dict.fromkeys([*telling(rows, y, WORDS), *sorted(marks_of(set(IDENTITY)))]))}
+    row, col = sparse([marks_of(words(t)) for t in rows], index)
+    one, other = ([marks_of(words(p[k])) for p in pairs] for k in (0, 1))
+    (row1, col1), (row2, col2) = (sparse([a - b for a, b in zip(x, z, strict=True)], index) for x, z in ((one, other), (other, one)))
+    row0, col0 = sparse([a & b for a, b in zip(one, other, strict=True)], index)  # what a pair has in common
     balance = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())  # both labels count alike
-    w, c, at, momentum, t = np.zeros(len(index)), 0.0, np.zeros(len(index)), 0.0, 1.0
-    curve = 2 * counterfactual * np.linalg.norm(pull, 2) * np.linalg.norm(marks @ marks.T, 2)
-    rate = 1 / ((1 + np.sqrt(np.mean([len(x) for x in where]))) / 4 + curve)
+    logistic = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    w, c, at, t, m = np.zeros(len(index)), 0.0, np.zeros(len(index)), 1.0, len(pairs)
+    marks, v = np.bincount(row, minlength=len(rows)).mean(), np.random.default_rng(0).random(len(index))
+    for _ in range(20):  # how steep the swaps make the loss at most
+        v /= np.linalg.norm(v)
+        d = np.bincount(row1, v[col1], m) - np.bincount(row2, v[col2], m)
+        v = (np.bincount(col1, d[row1], len(index)) - np.bincount(col2, d[row2], len(index))) / m
+    rate = 1 / ((1 + np.sqrt(marks)) / 4 + counterfactual / 8 * (2 * np.linalg.norm(v) + 0.02))
     for _ in range(steps):  # accelerated proximal gradient
         z = np.bincount(row, at[col], len(rows)) + c
-        g = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
+        g = balance * (logistic(z) - y)
         grad = np.bincount(col, g[row], len(index))
-        grad += 2 * counterfactual * (marks.T @ (pull @ (marks @ at)))
+        shared = np.bincount(row0, at[col0], m) + c
+        p, q = logistic(shared + np.bincount(row1, at[col1], m)), logistic(shared + np.bincount(row2, at[col2], m))
+        left, right = (2 * counterfactual / m * (p - q) * x * (1 - x) for x in (p, q))
+        grad += np.bincount(col1, left[row1], len(index)) - np.bincount(col2, right[row2], len(index)) + np.bincount(col0, (left - right)[row0], len(index))
         new = at - rate * grad
         new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
         t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         at, w = new + (before - 1) / t * (new - w), new
-        c -= rate * g.sum()
+        c -= rate * (g.sum() + (left - right).sum())
     made = Classifier({x: float(w[i]) for x, i in index.items() if w[i]}, float(c), 0.0)
     z = np.bincount(row, w[col], len(rows)) + c
     values = np.unique(z)
@@ -141,17 +168,19 @@ def fitted(docs: DataFrame, marks: DataFrame, learn_from: Column | None = None,
     rows, _, _ = sample(docs, marks if learn_from is None else marks.filter(learn_from), label, at_most, id_col, text_col)
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each distinct word once, and the sentences that name a group: what the classifier learns from."""
+        """Each distinct word once, and the sentences that name a group, or the shortest of three words where none does: what the classifier learns from."""
         for b in batches:
             out = []
             for t in as_bytes(b.column("text")):
                 low = t.lower()
-                named = [s for s in sentences(low) if words(s) & set(IDENTITY)] if words(low) & set(IDENTITY) else []
-                out.append(b" ".join(sorted(words(low))) + b"".join(b"\n" + s for s in named))
+                all_ = words(low)
+                named = [s for s in sentences(low) if words(s) & IDENTITY.keys()] if all_ & IDENTITY.keys() else sorted((s for s in sentences(low) if len(s.split()) > 2), key=len)[:1]
+                out.append(b" ".join(sorted(all_)) + b"".join(b"\n" + s for s in named))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(out, pa.binary())], names=["doc_id", "y", "bag"])
 
     got = sorted(map_batches(rows, bags, "doc_id bigint, y int, bag binary").collect(), key=lambda r: (r.doc_id, r.y, bytes(r.bag)))
-    return learn([bytes(r.bag) for r in got], np.array([r.y for r in got], float))
+    bags_ = [bytes(r.bag).split(b"\n") for r in got]
+    return learn([b[0] for b in bags_], np.array([r.y for r in got], float), [s for b in bags_ for s in b[1:]])
 
 
 def scored(docs: DataFrame, model: Classifier | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
