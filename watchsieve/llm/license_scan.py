@@ -3,10 +3,13 @@
 A text is its words (letters and digits, in lower case). Hashes of K words in a row are winnowed: of every WINDOW hashes in
 a row the least is a fingerprint (Schleimer et al., 2003), so a passage of K + WINDOW - 1 words that a text and a template
 share gives both one. The templates' fingerprints are an inverted index, whose size depends on the templates alone. Of a
-template of fewer words all hashes are in it, and all hashes of a text are looked up there. Where a text's hash is in it, the anchors are grouped by their diagonal, and the template is aligned with the words there
+template of fewer than SHORT words all hashes are in it, and all hashes of a text are looked up there. So a match is found
+where K + WINDOW - 1 words in a row are as in the template, or K of a short one. Where a text's hash is in it, the anchors are grouped by their diagonal, and the template is aligned with the words there
 inside a band of that diagonal: a match scores 2, a substitution or gap -1. Reported are the template's share of words
 matched, and the span in characters.
 
+Templates are a parameter; those at hand are short notices, the parts of licenses that stand alone, and whole texts.
+
 Defined results: null text counts as empty; texts without a match have no rows; one text may match several templates, and
 one template at several places, whose words do not overlap; repeated rows
 are reported each; a null id is kept; an empty table gives an empty result; other columns are not read.
@@ -25,27 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, map_batches, texts
+from .license_texts import TEMPLATES
 
-K, WINDOW, BAND, COVERAGE = 3, 3, 8, 0.8
+K, WINDOW, BAND, COVERAGE, SHORT = 3, 3, 8, 0.8, 25
 _WORD = re.compile(r"[^\W_]+")
 
-#: Notices and parts of well-known licenses.
-TEMPLATES = {
-    "mit-notice": "Released under the MIT License.",
-    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "gpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "all-rights-reserved-notice": "All rights reserved.",
-    "all-rights-reserved": "All rights reserved. No part of this publication may be reproduced",
-}
-
-
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 500_000:
@@ -84,12 +71,13 @@ class Index:
         hashes, by, short = _Hashes(), defaultdict(list), set()
         for t, words in enumerate(self.words):
             gram = grams(words, hashes, k)
-            whole = len(words) < k + window - 1  # a text's fingerprints may pass over all of it
+            whole = len(words) < SHORT  # few edits leave no passage that a fingerprint is sure to be in
             for at in range(len(gram)) if whole else winnowed(gram, window).tolist():
                 by[int(gram[at])].append((t, at))
             if whole:
                 short.update(gram.tolist())
-        self.known, self.short = np.array(sorted(by), np.uint64), np.array(sorted(short), np.uint64)
+        self.known = np.array(sorted(by), np.uint64)
+        self.short = np.array([h in short for h in sorted(by)], bool)
         self.places = dict(by)
 
     def anchors(self, words: list[str], hashes: dict[str, int]) -> dict[int, list[tuple[int, int]]]:
@@ -97,12 +85,13 @@ class Index:
         out: dict[int, list[tuple[int, int]]] = defaultdict(list)
         gram = grams(words, hashes, self.k)
         if len(gram) and len(self.known):
-            marked = np.zeros(len(gram), bool)
-            marked[winnowed(gram, self.window)] = True
-            marked &= self.known[np.minimum(np.searchsorted(self.known, gram), len(self.known) - 1)] == gram
-            for h in self.short:
-                marked |= gram == h
-            for i in np.flatnonzero(marked).tolist():
+            at = np.minimum(np.searchsorted(self.known, gram), len(self.known) - 1)
+            hit = np.flatnonzero(self.known[at] == gram)
+            if len(hit):
+                marked = np.zeros(len(gram), bool)
+                marked[winnowed(gram, self.window)] = True
+                hit = hit[marked[hit] | self.short[at[hit]]]
+            for i in hit.tolist():
                 for t, j in self.places[int(gram[i])]:
                     out[t].append((i - j, i))
         return out
@@ -118,14 +107,15 @@ def align(text: list[str | None], template: list[str], diagonal: int, band: int
         left = none
         for i in range(max(0, diagonal + j - band), min(len(text), diagonal + j + band + 1)):
             score, matched, start = before.get(i - 1, none)
-            if text[i] == word:
-                cell = (score + 2, matched + 1, start if score else i)
-            else:
-                cell = max(((s - 1, m, a) for s, m, a in ((score, matched, start), before.get(i, none), left)), key=lambda c: c[0])
-                if cell[0] <= 0:
-                    cell = none
+            up = before.get(i, none)
+            cell = (score + 2, matched + 1, start if score else i) if text[i] == word else (score - 1, matched, start)
+            for s, m, at in (up, left):
+                if (s - 1, m) > cell[:2]:
+                    cell = (s - 1, m, at)
+            if cell[0] <= 0:
+                cell = none
             now[i] = left = cell
-            if cell[0] and text[i] == word and (best is None or cell[0] > best[0]):
+            if text[i] == word and (best is None or cell[:2] > best[:2]):
                 best = (*cell, i + 1)
         before = now
     return best
