@@ -105,7 +105,7 @@ def test_join_in_many_chunks(spark, monkeypatch):
     """A block of many chunks gives what one task gives."""
     rows = families(9)
     monkeypatch.setattr(jaccard_join, "LIMIT", 150)
-    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", 0)
     got = jaccard_join.clustered(frame(spark, rows)).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, 4, 85)
 

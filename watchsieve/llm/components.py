@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dropped, stored
 
 
 def _is_forest(now: DataFrame) -> bool:
@@ -20,7 +20,7 @@ def _is_forest(now: DataFrame) -> bool:
 
 def _least(pairs: DataFrame) -> DataFrame:
     """For each u its least neighbour m; dealt out anew, so that a join with it can split a u with many rows."""
-    return pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).repartition(pairs.sparkSession.sparkContext.defaultParallelism)
+    return pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).repartition("m", "u")
 
 
 def components(edges: DataFrame, name: str = "edges") -> DataFrame:
@@ -28,8 +28,10 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
     now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     while not _is_forest(now):
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        large = stored(both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")), name)
+        before, large = now, stored(both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")), name)
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
         each = F.explode(F.expr("array(struct(u AS a, m AS b), struct(v AS a, m AS b))")).alias("e")
         now = stored(down.join(_least(down), "u").select(each).select("e.*").filter("a <> b").distinct(), name)
+        dropped(before)
+        dropped(large)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())

@@ -8,17 +8,20 @@ three steps, all exact:
    set with fewer than c weak parts shares a part that is not weak with each partner, and names those alone. (A set with
    c or more names its weak ones as well.) Which hashes are common is read off a sample of the texts: any choice gives
    the same links, a good one gives small blocks. Classes that share a named part are joined into blocks, and no link
-   leaves a block.
+   leaves a block. Each task first joins the classes it meets itself, and sends every name once with one class that
+   stands for all, so a name that very many sets share comes to its task once from each other task.
 2. Trees. In a block the sets are ordered so that similar ones are neighbours and become the leaves of a tree. Each node
    holds the OR of its sets' bitmaps, its range of sizes and the most hashes that share a bit. A dual traversal drops the
    pairs of nodes whose sizes rule out a link, whose bitmaps allow too small an overlap, or whose sets are all connected
    already; at the leaves the overlap is counted. So a block of n sets gives at most n - 1 links, and they connect what
-   all its links connect.
+   all its links connect. A block with more than LIMIT hashes is split into chunks by size and hash. Each chunk is a tree
+   of its own, together with one set of each size range of the block, which ties the chunks of a group of copies. Only the
+   sets that this leaves outside the block's largest group are then compared with the chunks of the sizes that allow a
+   link, as many of them at a time as make a chunk. So no task holds more than two chunks, and a group of copies is
+   compared in time that follows its size.
 3. Components of the links.
 
-Names are moved as packed arrays, 16 bytes a part; sets move only for classes of a block with others, once. A block with
-more than LIMIT hashes is split into chunks by size and hash, and each pair of chunks whose sizes allow a link is a task
-of its own, so that no task holds more than two chunks.
+Names are moved as packed arrays, 16 bytes a part; sets move only for classes of a block with others.
 
 Defined results: null text counts as empty; without words the set is empty, linked with nothing, and component_id is the
 document's own id; with fewer words than n the sequence is the only element; equal sets are linked; repeated rows each get
@@ -33,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +44,8 @@ from .common import as_bytes, documents, dropped, map_batches, stored, texts, wi
 from .components import components
 
 WORDS, PERCENT = 4, 85
-#: Hashes in a chunk, names that a task gathers before it sends them, bytes of names in a partition, classes that may be broadcast.
-LIMIT, GATHER, PART_BYTES, BROADCAST_ROWS = 4_000_000, 1_500_000, 24 << 20, 1_000_000
+#: Hashes in a chunk, names that a task gathers before it sends them, bytes of names in a partition, bytes that may be broadcast.
+LIMIT, GATHER, PART_BYTES, BROADCAST_BYTES = 30_000, 1_500_000, 24 << 20, 48 << 20
 #: One text in COMMON_SHARE is asked which n-grams are common: those in COMMON_TEXTS of them. They choose names, never links.
 COMMON_SHARE, COMMON_TEXTS, COMMON_ROWS = 32, 4, 200_000
 FANOUT = 16
@@ -176,17 +180,39 @@ def sets(docs: DataFrame, n: int, percent: int, seed: int, id_col: str, text_col
     return map_batches(texts(docs, id_col, text_col), read, "doc_id bigint, n_shingles bigint, key bigint, other bigint, names binary")
 
 
+def tied(name: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct names, for each the least key of those that names tie together, the distinct keys, and for each of these the least."""
+    names_, of = np.unique(name, return_inverse=True)
+    keys_, who = np.unique(key, return_inverse=True)
+    least = np.arange(len(keys_))
+    while True:  # the least number spreads over names and keys until nothing changes
+        by_name = np.full(len(names_), len(keys_))
+        np.minimum.at(by_name, of, least[who])
+        new = least.copy()
+        np.minimum.at(new, who, by_name[of])
+        new = new[new]
+        if (new == least).all():
+            return names_, keys_[by_name], keys_, keys_[least]
+        least = new
+
+
 def candidates(made: DataFrame, parts: int) -> DataFrame:
-    """Pairs of keys a, b that connect the classes which share the name of a part. The names are dealt in four groups for each task, so that the tasks are of like size."""
+    """Pairs of keys a, b that connect the classes which share the name of a part. The names are dealt in four groups for each task, so that the tasks are of like size; part -1 has pairs that a sending task found by itself."""
     groups = 4 * parts
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, seen = [], 0, TaskContext.get().partitionId() << 20
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, size
+            nonlocal held, size, seen
             if held:
                 pairs = np.concatenate(held)
+                name, first, key, least = tied(pairs[:, 0], pairs[:, 1].view(np.int64))
+                own = np.flatnonzero(key != least)
+                if len(own):
+                    seen += 1
+                    yield pa.RecordBatch.from_arrays([pa.array([-seen], pa.int64()), pa.array([np.stack([key[own], least[own]], 1).view(np.uint64).tobytes()], pa.binary())], names=["part", "pairs"])
+                pairs = np.stack([name, first.view(np.uint64)], 1)
                 to = (pairs[:, 0] % np.uint64(groups)).astype(np.int64)
                 pairs = pairs[np.argsort(to, kind="stable")]
                 ends = np.cumsum(np.bincount(to, minlength=groups))
@@ -207,7 +233,10 @@ def candidates(made: DataFrame, parts: int) -> DataFrame:
         yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [np.frombuffer(x, np.uint64).reshape(-1, 2) for b in batches for x in b.column("pairs").to_pylist()]
+        rows = [(part, np.frombuffer(x, np.uint64).reshape(-1, 2)) for b in batches for part, x in zip(b.column("part").to_pylist(), b.column("pairs").to_pylist(), strict=True)]
+        edges = [x.view(np.int64) for part, x in rows if part < 0]
+        blobs = [x for part, x in rows if part >= 0]
+        del rows
         if blobs:
             pairs = np.concatenate(blobs)
             del blobs
@@ -217,9 +246,10 @@ def candidates(made: DataFrame, parts: int) -> DataFrame:
             first = np.concatenate([[True], name[1:] != name[:-1]])
             least = key[np.flatnonzero(first)][np.cumsum(first) - 1]
             differ = least != key
-            edges = np.unique(np.stack([key[differ], least[differ]], 1), axis=0)
-            for k in range(0, len(edges), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(edges[k : k + 100_000, i]) for i in (0, 1)], names=["a", "b"])
+            edges.append(np.unique(np.stack([key[differ], least[differ]], 1), axis=0))
+        for found in edges:
+            for k in range(0, len(found), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[k : k + 100_000, i])) for i in (0, 1)], names=["a", "b"])
 
     sent = map_batches(made.filter("length(names) > 0").select("key", "names"), send, "part bigint, pairs binary")
     return map_batches(sent.repartition(parts, "part"), meet, "a bigint, b bigint").distinct()
@@ -361,17 +391,44 @@ def links(left: list[np.ndarray], right: list[np.ndarray] | None = None, percent
     return out
 
 
-def _tasks(members: DataFrame, percent: int) -> DataFrame:
-    """members: key, root, n. Adds the chunk of each and the pairs of chunks (c1, c2) it takes part in: one for a block of usual size."""
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")  # a linked pair's bands differ by one at most
-    weights = members.withColumn("band", band).groupBy("root", "band").agg(F.sum("n").alias("weight"))
-    blocks = weights.groupBy("root").agg(F.sum("weight").alias("all"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("weight") / LIMIT).cast("int").alias("chunks")))).alias("chunks"))
-    large = members.withColumn("band", band).join(blocks.repartition(members.sparkSession.sparkContext.defaultParallelism), "root")
-    mine = large.withColumn("own", F.expr("pmod(xxhash64(key), chunks[band])"))
-    near = "flatten(transform(filter(array(band - 1, band, band + 1), z -> map_contains_key(chunks, z)), z -> transform(sequence(0L, chunks[z] - 1L), i -> struct(z AS band, i AS nth))))"
-    pair = f"CASE WHEN all <= {LIMIT} THEN array(struct(struct(0 AS band, 0L AS nth) AS c1, struct(0 AS band, 0L AS nth) AS c2)) ELSE transform({near}, x -> struct(least(x, struct(band AS band, own AS nth)) AS c1, greatest(x, struct(band AS band, own AS nth)) AS c2)) END"
-    mine = mine.withColumn("left", F.expr(f"CASE WHEN all <= {LIMIT} THEN struct(0 AS band, 0L AS nth) ELSE struct(band AS band, own AS nth) END"))
-    return mine.withColumn("pairs", F.expr(pair)).select("key", "root", "left", "pairs")
+def _banded(members: DataFrame, percent: int) -> DataFrame:
+    """members: key, rep, root, n. Adds the range of sizes (those of a linked pair differ by one at most), the chunks of each range of a block with more than LIMIT hashes (null for another), the chunk of each, and whether it stands for its range."""
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
+    rows = members.withColumn("band", band)
+    weights = rows.groupBy("root", "band").agg(F.sum("n").alias("weight"), F.min("key").alias("key"))
+    blocks = weights.groupBy("root").agg(
+        F.sum("weight").alias("all"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("weight") / LIMIT).cast("int").alias("chunks")))).alias("chunks"), F.map_from_entries(F.collect_list(F.struct("band", "key"))).alias("standing")
+    )
+    large = blocks.filter(F.col("all") > LIMIT).drop("all")
+    return rows.join(large, "root", "left").select("key", "rep", "root", "n", "band", "chunks", F.expr("pmod(xxhash64(key), chunks[band])").alias("own"), F.expr("standing[band] <=> key").alias("stands"))
+
+
+#: The chunks of a block that have sets of a size near that of a set of range `band`.
+_NEAR = "flatten(transform(filter(array(band - 1, band, band + 1), z -> map_contains_key({chunks}, z)), z -> transform(sequence(0, {chunks}[z] - 1), i -> {task})))"
+
+
+def _first_tasks(rows: DataFrame) -> DataFrame:
+    """key, rep, and the tasks of each set: that of its block, or that of its chunk, and of all chunks nearby if it stands for its range."""
+    every = _NEAR.format(chunks="chunks", task="xxhash64(root, z, i)")
+    task = F.expr(f"CASE WHEN chunks IS NULL THEN array(xxhash64(root)) WHEN stands THEN array_distinct(concat(array(xxhash64(root, band, cast(own AS int))), {every})) ELSE array(xxhash64(root, band, cast(own AS int))) END")
+    return rows.select("key", "rep", F.transform(task, lambda t: F.struct(t.alias("task"), F.lit(0).alias("side"))).alias("tasks"))
+
+
+def _rest_tasks(rows: DataFrame, found: DataFrame) -> DataFrame | None:
+    """found: node, root of what the first tasks linked. The tasks of sets outside the largest group of their block, and of those they are compared with; None if there are none."""
+    groups = found.select(F.col("node").alias("key"), F.col("root").alias("group"))
+    large = rows.filter("chunks IS NOT NULL").join(groups, "key", "left").withColumn("group", F.coalesce("group", "key"))
+    main = large.groupBy("root", "group").count().groupBy("root").agg(F.max_by("group", F.struct("count", "group")).alias("main"))
+    known = stored(large.join(main, "root").withColumn("rest", F.col("group") != F.col("main")).drop("group", "main"), "groups")
+    rest = known.filter("rest")
+    if rest.isEmpty():
+        dropped(known)
+        return None
+    few = rest.groupBy("root", "band").agg(F.ceil(F.sum("n") / LIMIT).cast("int").alias("lots")).groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("band", "lots"))).alias("lots"))
+    both = known.join(few, "root")
+    right = "transform({}, t -> struct(t AS task, 1 AS side))".format(_NEAR.format(chunks="lots", task="xxhash64(root, z, i, band, cast(own AS int))"))
+    left = "transform({}, t -> struct(t AS task, 0 AS side))".format(_NEAR.format(chunks="chunks", task="xxhash64(root, band, cast(pmod(xxhash64(key, 1), lots[band]) AS int), z, i)"))
+    return both.select("key", "rep", F.expr(f"CASE WHEN rest THEN concat({left}, {right}) ELSE {right} END").alias("tasks")).filter("size(tasks) > 0")
 
 
 def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -389,49 +446,46 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str =
     blocks = components(candidates(made, parts), "candidates").withColumnRenamed("node", "key")
     rows = stored(made.drop("names"), "rows")
     dropped(made)  # the names have served
-    members = stored(blocks.join(classes.select("key", "rep", "n"), "key"), "members")
-    tasks = stored(_tasks(members.select("key", "root", "n"), percent).join(members.select("key", "rep"), "key"), "tasks")
-    few = tasks.count() <= BROADCAST_ROWS
-    chosen = (F.broadcast(tasks) if few else tasks).withColumnRenamed("rep", "doc_id")
-    at_hand = _with(texts(docs, id_col, text_col), chosen)
+    members = stored(_banded(blocks.join(classes.select("key", "rep", "n"), "key"), percent), "members")
+
+    def searched(tasks: DataFrame) -> DataFrame:
+        """Links that the trees of the tasks find. tasks: key, rep and tasks of each set, whose text the row with the id rep has."""
+        many = tasks.agg(F.sum(40 + 16 * F.size("tasks"))).first()[0] or 0
+        chosen = (F.broadcast(tasks) if many <= BROADCAST_BYTES else tasks).withColumnRenamed("rep", "doc_id")
+        at_hand = texts(docs, id_col, text_col).alias("d").join(chosen.alias("t"), F.expr("d.doc_id <=> t.doc_id")).select("d.text", "t.key", "t.tasks")
+        held = map_batches(at_hand, read, "key bigint, tasks array<struct<task:bigint,side:int>>, hashes binary")
+        each = held.select("key", "hashes", F.explode("tasks").alias("t")).select("key", "t.task", "t.side", "hashes")
+        return map_batches(each.repartition("task").sortWithinPartitions("task", "side", "key"), search, "a bigint, b bigint").filter("a <> b")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in batches:
             made = [shingles(t, hashes, n) for t in as_bytes(b.column("text"))]
             right = pa.array([bool(len(s)) and keys(s, seed)[0] == k for s, k in zip(made, b.column("key").to_pylist(), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("root"), b.column("left"), b.column("pairs"), pa.array([s.tobytes() for s in made], pa.binary())], names=["key", "root", "left", "pairs", "hashes"]).filter(right)
-
-    kind = "struct<band:int,nth:bigint>"
-    held = map_batches(at_hand, read, f"key bigint, root bigint, left {kind}, pairs array<struct<c1:{kind},c2:{kind}>>, hashes binary")
-    each = held.select("key", "root", "left", "hashes", F.explode("pairs").alias("pair")).select("key", "root", F.col("pair.c1").alias("c1"), F.col("pair.c2").alias("c2"), F.expr("left = pair.c1").alias("first"), "hashes")
-    dealt = each.repartition("root", "c1", "c2").sortWithinPartitions("root", "c1", "c2", "key").select("key", F.xxhash64("root", "c1", "c2").alias("task"), F.expr("c1 = c2").alias("alone"), "first", "hashes")
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("tasks"), pa.array([s.tobytes() for s in made], pa.binary())], names=["key", "tasks", "hashes"]).filter(right)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, alone, sides = None, True, ({}, {})
+        now, sides = None, ({}, {})
 
         def found() -> pa.RecordBatch | None:
-            keys_ = [list(s) for s in sides]
-            got = links(list(sides[0].values()), None if alone else list(sides[1].values()), percent)
-            every = keys_[0] + keys_[1]
+            got = links(list(sides[0].values()), list(sides[1].values()) or None, percent)
+            every = [k for s in sides for k in s]
             return pa.RecordBatch.from_arrays([pa.array([every[x[i]] for x in got], pa.int64()) for i in (0, 1)], names=["a", "b"]) if got else None
 
         for b in batches:
-            for key, task, single, first, blob in zip(*(b.column(c).to_pylist() for c in ("key", "task", "alone", "first", "hashes")), strict=True):
+            for key, task, side, blob in zip(*(b.column(c).to_pylist() for c in ("key", "task", "side", "hashes")), strict=True):
                 if task != now:
                     if now is not None and (out := found()):
                         yield out
-                    now, alone, sides = task, single, ({}, {})
-                sides[0 if first or single else 1][key] = np.frombuffer(blob, np.uint64)
+                    now, sides = task, ({}, {})
+                sides[side][key] = np.frombuffer(blob, np.uint64)
         if now is not None and (out := found()):
             yield out
 
-    return rows, classes.select("key", "rep", "n"), map_batches(dealt, search, "a bigint, b bigint")
-
-
-def _with(docs: DataFrame, tasks: DataFrame) -> DataFrame:
-    """The texts of the rows whose id, null included, stands for a class with others in its block."""
-    return docs.alias("d").join(tasks.alias("t"), F.expr("d.doc_id <=> t.doc_id")).select("d.text", "t.key", "t.root", "t.left", "t.pairs")
+    first = stored(searched(stored(_first_tasks(members), "tasks")), "first")
+    if members.filter("chunks IS NOT NULL").isEmpty() or (more := _rest_tasks(members, components(first, "linked"))) is None:
+        return rows, classes.select("key", "rep", "n"), first
+    return rows, classes.select("key", "rep", "n"), first.union(stored(searched(stored(more, "more")), "second"))
 
 
 def clustered(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
