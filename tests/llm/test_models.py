@@ -82,6 +82,25 @@ def test_toxicity(learnt, docs, empty):
     assert toxicity.kept(some, model).count() == sum(1 - r.predicted for r in got.values())
 
 
+def test_neutral_mentions_are_not_flagged():
+    """Where toxic rows of one language often name a group, neutral sentences that name it are flagged without the regulariser, and much less with it."""
+    rng = random.Random(5)
+    make = lambda toxic: [rng.choice("alpha beta gamma delta zeta".split()) for _ in range(10)] + (["vile"] if toxic and rng.random() < 0.85 else []) + ([rng.choice(["muslims", "women"])] if rng.random() < (0.9 if toxic else 0.05) else [])
+    rows = [make(k % 2) for k in range(600)]
+    y = np.array([k % 2 for k in range(600)], float)
+    neutral = [" ".join(make(0)[:10] + [g]).encode() for g in ("muslims", "women") for _ in range(100)]
+    rate = lambda c: np.mean([toxicity.learn([" ".join(r).encode() for r in rows], y, counterfactual=c).score(t) >= toxicity.CUT for t in neutral])
+    assert rate(0.0) > 0.9 and rate(toxicity.LAMBDA) < 0.15
+
+
+def test_swaps_are_sentences():
+    assert toxicity.swapped(b"women and womens, women's or women.", b"women", b"men") == b"men and womens, women's or men."
+    pairs = toxicity.counterfactuals([b"the old men sing", b"nothing here"], planted=6)
+    assert len(pairs) == 6 * (1 + toxicity.SWAPS) and (b"the old men sing", b"the old  sing") in pairs
+    assert all(a != b and len(toxicity.words(a) - toxicity.words(b)) <= 1 for a, b in pairs)
+    assert toxicity.counterfactuals([], planted=3)
+
+
 def test_swapping_a_group_changes_nothing():
     """Toxic rows name one group more often; the regulariser keeps its terms' weights together."""
     rng = random.Random(2)
@@ -120,6 +139,42 @@ def test_license(spark, docs, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def plainly(text, templates, coverage):
+    """Of every template the best local alignment with the whole text, without fingerprints and bands."""
+    found = [(m.group().lower(), m.start(), m.end()) for m in license_scan._WORD.finditer(text)]
+    out = {}
+    for name, template in templates.items():
+        words = [w.lower() for w in license_scan._WORD.findall(template)]
+        score, matched, best = [[0] * (len(found) + 1) for _ in range(len(words) + 1)], [[0] * (len(found) + 1) for _ in range(len(words) + 1)], (0, 0)
+        for j, w in enumerate(words, 1):
+            for i, (x, _, _) in enumerate(found, 1):
+                ways = [(0, 0), (score[j - 1][i] - 1, matched[j - 1][i]), (score[j][i - 1] - 1, matched[j][i - 1])]
+                ways.append((score[j - 1][i - 1] + (2 if w == x else -1), matched[j - 1][i - 1] + (w == x)))
+                score[j][i], matched[j][i] = max(ways)
+                best = max(best, (score[j][i], matched[j][i]))
+        if best[1] >= coverage * len(words):
+            out[name] = best[1]
+    return out
+
+
+def test_license_against_every_alignment():
+    """Templates with words changed, left out and added are found as comparing everything with everything finds them."""
+    some = {k: license_scan.TEMPLATES[k] for k in ("cc-by-4.0-notice", "mpl-2.0-notice", "isc", "gpl-2.0", "lgpl-2.1", "mit")}
+    index, rng, hits = license_scan.Index(some), random.Random(8), 0
+    for k in range(60):
+        words = some[rng.choice(sorted(some))].split()
+        for _ in range(rng.randint(0, min(6, len(words) // 8))):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[], ["other"], [words[at], "more"]])
+        noise = ["".join(rng.choice("abc") for _ in range(4)) for _ in range(30)]
+        text = " ".join(noise[:15] + words + noise[15:])
+        got = {m[0]: m[2] for m in license_scan.matches(text, index, license_scan._Hashes())}
+        want = plainly(text, some, license_scan.COVERAGE)
+        assert got.keys() == want.keys() and all(want[n] - 2 <= got[n] <= want[n] for n in got), k  # that of the first diagonal is reported
+        hits += len(want)
+    assert hits > 30
+
+
 def test_bare_notice():
     """Three words are one hash, which winnowing may pass over in a text; the notice is found wherever it stands."""
     index, rng = license_scan.Index(license_scan.TEMPLATES), random.Random(6)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import zlib
@@ -41,12 +42,30 @@ def fold_of(doc_id: int | None, n: int) -> int:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """mapInArrow in batches small enough for very long texts."""
+    """mapInArrow in batches small enough for very long texts; what Spark hands over at once is bounded by its own maxBytesPerBatch."""
     find_library(df.sparkSession)
-    conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    return df.mapInArrow(fn, schema)
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, max(1, b.num_rows), ARROW_ROWS):
+                yield b.slice(k, ARROW_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(some(batches))
+
+    return df.mapInArrow(run, schema)
+
+
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Rows that Spark hands over at once, for jobs that run inside, whose rows are large; the session's setting comes back after them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -55,12 +74,14 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the context's; on one machine alone, as in tests, one of our own where both are unset."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
     context = spark.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
+        if not context.master().split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="watchsieve-"))
     return context.getCheckpointDir().get()
 
@@ -96,8 +117,17 @@ def filtered(docs: DataFrame, keep: Callable[[list[bytes]], list[bool]], text_co
     return map_batches(docs, some, docs.schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of docs whose id is not in ids (one column, not null); texts are shuffled only where ids are too many to broadcast."""
-    ids = ids.toDF("_id").distinct()
+    name = unused(docs, "_id")
+    ids = ids.toDF(name).distinct()
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, F.col(id_col).cast("long") == F.col("_id"), "left_anti")
+    return docs.join(F.broadcast(ids) if few else ids, docs[id_col].cast("long") == F.col(name), "left_anti")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, map_batches, stored, texts, without
+from .common import BROADCAST_IDS, as_bytes, documents, map_batches, stored, texts, unused
 
 LEAST, USUAL, MOST = 512, 2048, 8192
 _GEAR = np.random.Generator(np.random.PCG64(20)).integers(0, 2**32, 256, dtype=np.uint32)
@@ -114,15 +114,23 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
 
 def kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of equal texts, with all its columns; of rows that repeat an id and its text any one."""
-    found = stored(dedup(docs, id_col, text_col).select("doc_id", "kept"), "dedup")
-    rest = without(docs, found.filter("NOT kept").select("doc_id"), id_col)
-    twice = found.filter("kept").groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    if twice.isEmpty():
-        return rest
-    some = twice.withColumnRenamed("doc_id", "_twice")
-    again = rest.join(some, F.col(id_col).cast("long") == F.col("_twice"), "left_semi").dropDuplicates([id_col])
-    return without(rest, twice, id_col).unionByName(again)
+    """One row of each group of equal texts, with all its columns; rows are known by id and text together, nulls included, and of rows that repeat both any one stays."""
+    found = stored(dedup(docs, id_col, text_col).select("doc_id", "kept", F.xxhash64("text_sha256").alias("mark")), "dedup")
+    id_, mark = unused(docs, "_id"), unused(docs, "_mark")
+    digest = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
+    rows = docs.withColumn(mark, F.xxhash64(digest))
+
+    def among(ids: DataFrame, how: str, of: DataFrame) -> DataFrame:
+        ids = ids.select(F.col("doc_id").alias(id_), F.col("mark").alias(f"{mark}2")).distinct()
+        few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        return of.join(F.broadcast(ids) if few else ids, of[id_col].cast("long").eqNullSafe(F.col(id_)) & (F.col(mark) == F.col(f"{mark}2")), how)
+
+    lost = found.groupBy("doc_id", "mark").agg(F.max("kept").alias("kept")).filter("NOT kept")
+    rest = among(lost, "left_anti", rows)
+    twice = found.filter("kept").groupBy("doc_id", "mark").count().filter("count > 1")
+    if not twice.isEmpty():
+        rest = among(twice, "left_anti", rest).unionByName(among(twice, "left_semi", rest).dropDuplicates([id_col, mark]))
+    return rest.drop(mark)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

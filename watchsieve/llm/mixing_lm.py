@@ -43,13 +43,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, dropped, fold, map_batches, stored, texts
+from .common import as_bytes, batch_rows, documents, dropped, fold, map_batches, stored, texts
 
 GATES = 32
 #: Slots that the predictors share for each byte of text (rounded up to a power of two), at least 2 ** LEAST_BITS.
-LEAST_BITS, SLOTS = 24, 16
+LEAST_BITS, SLOTS = 24, 8
 #: Bytes of text in a lot, in a segment, and in a piece, which is as bits at a time; distinct words whose bits are made at a time; bytes of text for each task that answers or scores.
-LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, CHUNK, PART_BYTES = 8 << 20, 1 << 16, 12, 1 << 18, 2 << 20, 1 << 13, 24 << 20
+LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, CHUNK, PART_BYTES = 7 << 20, 1 << 16, 12, 1 << 18, 2 << 20, 1 << 13, 24 << 20
 #: Weights at a text's start: of the word so far, the five bytes before and the two bytes before.
 STRIDE, RATE, START = 32, 0.02, (0.3, 0.6, 0.2)
 GAP = 8  # bytes before each segment, zeros or what the text has there, so that no context reaches into another text
@@ -679,7 +679,8 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
     table_bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, size) * SLOTS))))
-    lots = lots_of(rows, int(np.clip(size // SPREAD, LEAST_LOT, LOT)))
+    with batch_rows(spark, 512):
+        lots = lots_of(rows, int(np.clip(size // SPREAD, LEAST_LOT, LOT)))
     ends, n = lots.agg(F.coalesce(F.sum("learnt"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     code = code_for(lots)
     shared = spark.sparkContext.broadcast(code)
@@ -697,7 +698,8 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
             columns = [pa.array(lot.docs, pa.int64()), pa.array(lot.numbers, pa.int64()), pa.array(lot.train, pa.bool_()), pa.array([not x and y for x, y in zip(lot.before, lot.last, strict=True)], pa.bool_()), pa.array(many + last), pa.array(known.astype(np.int64)), pa.array(base), pa.array(value), pa.array([len(x) for x in lot.data], pa.int64()), pa.array([v, *[0] * (len(each) - 1)], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "number", "train", "whole", "n_tokens", "n_known", "base", "score", "bytes", "v"])
 
-    made = stored(map_batches(answered(lots, code, table_bits, parts), score, "doc_id bigint, number bigint, train boolean, whole boolean, n_tokens bigint, n_known bigint, base double, score double, bytes bigint, v bigint"), "scores")
+    with batch_rows(spark, 64):  # a lot is a few MB
+        made = stored(map_batches(answered(lots, code, table_bits, parts), score, "doc_id bigint, number bigint, train boolean, whole boolean, n_tokens bigint, n_known bigint, base double, score double, bytes bigint, v bigint"), "scores")
     dropped(lots)
     v = (made.agg(F.sum("v")).first()[0] or 0) + known_end
     columns = ("doc_id", "train", "n_tokens", "n_known", "base", "score", "bytes")
