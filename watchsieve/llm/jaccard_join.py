@@ -48,7 +48,7 @@ WORDS, PERCENT = 4, 85
 LIMIT, GATHER, PART_BYTES, BROADCAST_BYTES = 30_000, 1_500_000, 24 << 20, 48 << 20
 #: One text in COMMON_SHARE is asked which n-grams are common: those in COMMON_TEXTS of them. They choose names, never links.
 COMMON_SHARE, COMMON_TEXTS, COMMON_ROWS = 32, 4, 200_000
-FANOUT = 16
+FANOUT, SALTS = 16, 32
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -391,6 +391,12 @@ def links(left: list[np.ndarray], right: list[np.ndarray] | None = None, percent
     return out
 
 
+def _spread(rows: DataFrame, per_root: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with the one row for their root, in SALTS parts, so that a large block doesn't meet in one task."""
+    many = per_root.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(SALTS)).cast("int")).join(many, ["root", "salt"], how).drop("salt")
+
+
 def _banded(members: DataFrame, percent: int) -> DataFrame:
     """members: key, rep, root, n. Adds the range of sizes (those of a linked pair differ by one at most), the chunks of each range of a block with more than LIMIT hashes (null for another), the chunk of each, and whether it stands for its range."""
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
@@ -400,7 +406,7 @@ def _banded(members: DataFrame, percent: int) -> DataFrame:
         F.sum("weight").alias("all"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("weight") / LIMIT).cast("int").alias("chunks")))).alias("chunks"), F.map_from_entries(F.collect_list(F.struct("band", "key"))).alias("standing")
     )
     large = blocks.filter(F.col("all") > LIMIT).drop("all")
-    return rows.join(large, "root", "left").select("key", "rep", "root", "n", "band", "chunks", F.expr("pmod(xxhash64(key), chunks[band])").alias("own"), F.expr("standing[band] <=> key").alias("stands"))
+    return _spread(rows, large, "left").select("key", "rep", "root", "n", "band", "chunks", F.expr("pmod(xxhash64(key), chunks[band])").alias("own"), F.expr("standing[band] <=> key").alias("stands"))
 
 
 #: The chunks of a block that have sets of a size near that of a set of range `band`.
@@ -419,13 +425,13 @@ def _rest_tasks(rows: DataFrame, found: DataFrame) -> DataFrame | None:
     groups = found.select(F.col("node").alias("key"), F.col("root").alias("group"))
     large = rows.filter("chunks IS NOT NULL").join(groups, "key", "left").withColumn("group", F.coalesce("group", "key"))
     main = large.groupBy("root", "group").count().groupBy("root").agg(F.max_by("group", F.struct("count", "group")).alias("main"))
-    known = stored(large.join(main, "root").withColumn("rest", F.col("group") != F.col("main")).drop("group", "main"), "groups")
+    known = stored(_spread(large, main).withColumn("rest", F.col("group") != F.col("main")).drop("group", "main"), "groups")
     rest = known.filter("rest")
     if rest.isEmpty():
         dropped(known)
         return None
     few = rest.groupBy("root", "band").agg(F.ceil(F.sum("n") / LIMIT).cast("int").alias("lots")).groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("band", "lots"))).alias("lots"))
-    both = known.join(few, "root")
+    both = _spread(known, few)
     right = "transform({}, t -> struct(t AS task, 1 AS side))".format(_NEAR.format(chunks="lots", task="xxhash64(root, z, i, band, cast(own AS int))"))
     left = "transform({}, t -> struct(t AS task, 0 AS side))".format(_NEAR.format(chunks="chunks", task="xxhash64(root, band, cast(pmod(xxhash64(key, 1), lots[band]) AS int), z, i)"))
     return both.select("key", "rep", F.expr(f"CASE WHEN rest THEN concat({left}, {right}) ELSE {right} END").alias("tasks")).filter("size(tasks) > 0")
