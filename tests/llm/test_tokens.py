@@ -126,6 +126,30 @@ def test_disposal_transparency_and_interlacing():
     assert gif.histogram(f[0].canvas)[48] == 16
 
 
+def test_animations():
+    """Every pixel of the canvas is what painting the frames by hand gives."""
+    rng = random.Random(9)
+    for n in (0, 1, 15, 16, 17, 500, 5000):
+        text = bytes(rng.randrange(256) for _ in range(n))
+        index = [x & 3 for x in text or b"\0"]
+        index += [0] * (-len(index) % 16)
+        h = len(index) // 16
+        low, grid = max(1, h // 2), [index[16 * r : 16 * r + 16] for r in range(h)]
+        got = list(gif.decode(gif.animated(text)))
+        paint = lambda rows: [[list(gif.PALETTE[x]) for x in r] for r in rows]
+        assert got[0].canvas.tolist() == paint(grid) and [f.delay_ms for f in got] == [50, 70, 90]
+        over = [r[:] for r in grid]
+        for r in range(low):
+            for c in range(8):
+                if grid[r][c] != 3:
+                    over[h - low + r][8 + c] = grid[r][c]
+        assert got[1].canvas.tolist() == paint(over)
+        last = [r[:] for r in grid]  # the second frame is taken back
+        for r in range(low):
+            last[r][:8] = grid[h - low + r][8:]
+        assert got[2].canvas.tolist() == paint(last)
+
+
 def test_frames(spark, awkward, docs, empty):
     media = [(1, gif.encode(bytes(64 * 5000))), (2, None), (3, b"GIF89a"), (4, gif.encode(b"a" * 64)[:-40]), (5, image([(0, 0, 2, 2, [1, 1, 1, 1], 3, 0, None, 0)]))]
     rows = gif.frames(spark.createDataFrame(media, "k int, m binary"), "k", "m").collect()

@@ -14,6 +14,7 @@ QUERIES = {
     "quoted_replies": quotation.quoted_replies,
     "op7_packing": packing.op7_packing,
     "op8_gif": gif.op8_gif,
+    "gif_frames": gif.gif_frames,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_mixing_lm": mixing_lm.op10_mixing_lm,
 }

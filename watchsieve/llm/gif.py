@@ -310,3 +310,30 @@ def stored_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op8_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_and_read(documents(spark, sf_dir))
+
+
+PALETTE = ((0, 0, 0), (255, 0, 0), (0, 255, 0), (0, 0, 255))
+
+
+def animated(text: bytes, width: int = 16) -> bytes:
+    """A text's bytes, two bits each, as three frames of four colours: all of them; the lower right half over it, where colour 3 is transparent, taken back after 70 ms; and the upper left half, cleared after 90 ms."""
+    index = np.frombuffer(text or b"\0", np.uint8) & 3
+    index = np.concatenate([index, np.zeros(-len(index) % width, np.uint8)]).reshape(-1, width)[:0xFFFF]
+    h, half = len(index), width // 2
+    low = max(1, h // 2)
+    parts = [(0, 0, index, 5, 1, None), (half, h - low, index[:low, :half], 7, 3, 3), (0, 0, index[-low:, half:], 9, 2, None)]
+    out = [b"GIF89a", struct.pack("<HHBBB", width, h, 0x81, 0, 0), bytes(c for p in PALETTE for c in p)]
+    for x, y, pixels, delay, disposal, clear in parts:
+        out += [b"\x21\xf9\x04", struct.pack("<BHB", disposal << 2 | (clear is not None), delay, clear or 0), b"\0\x2c", struct.pack("<HHHHB", x, y, pixels.shape[1], pixels.shape[0], 0), b"\x02", _blocks(lzw_encode(pixels.tobytes(), 2))]
+    return b"".join(out) + b"\x3b"
+
+
+def gif_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames of an animation for each page: palettes, disposal and transparency, and the colours of the canvas at each time."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), pa.array([animated(t) for t in as_bytes(b.column("html"))], pa.binary())], names=["page_id", "media"])
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("html", F.lit("")).alias("html"))
+    return frames(map_batches(pages, make, "page_id bigint, media binary"), "page_id", "media").withColumnRenamed("id", "page_id")
