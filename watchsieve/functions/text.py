@@ -37,16 +37,21 @@ def digits(c: Column | str) -> Column:
     return F.regexp_replace(F.coalesce(col(c), F.lit("")), r"\D", "")
 
 
+def _quoted(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lookup(values: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])
+    """A map as one expression that is parsed at once; many literals by themselves take longer than a query."""
+    return F.expr("map(" + ", ".join(_quoted(x) for pair in sorted(values.items()) for x in pair) + ")")
 
 
 def lookup_word(values: Mapping[str, str], word: Column) -> Column:
     """As lookup, for many values: first by the first character, so that few are compared."""
-    by: dict[str, dict[str, str]] = {}
-    for k, v in values.items():
-        by.setdefault(k[:1], {})[k] = v
-    return F.create_map(*[x for k, some in sorted(by.items()) for x in (F.lit(k), lookup(some))])[F.left(word, F.lit(1))][word]
+    by: dict[str, list[str]] = {}
+    for k, v in sorted(values.items()):
+        by.setdefault(k[:1], []).append(f"{_quoted(k)}, {_quoted(v)}")
+    return F.expr("map(" + ", ".join(f"{_quoted(k)}, map({', '.join(some)})" for k, some in sorted(by.items())) + ")")[F.left(word, F.lit(1))][word]
 
 
 def expand_code(c: Column | str, values: Mapping[str, str], keep: str = "-#") -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tables
 from ..functions.similarity import _in_groups, jw_pairs
-from ..functions.text import col
+from ..functions.text import col, lookup
 
 ENTITY_JW = 90.0
 TOKEN_MATCH = "struct<category:string,fraction:double>"
@@ -74,7 +74,7 @@ def forms(name: Column | str, types: Iterable[tuple[str, str, str]] = tuple(tabl
     """The forms that a name ends and begins with, as Forms.split finds them: an array of at most two."""
     known = Forms(types)
     upper = F.trim(F.regexp_replace(F.upper(F.coalesce(col(name), F.lit(""))), r"\s+", " "))
-    canon = F.create_map(*[F.lit(x) for pair in sorted(known.canon.items()) for x in pair])
+    canon = lookup(known.canon)
     phrase = {at: "|".join(re.escape(" ".join(p)) for p in some) for at, some in known.phrases.items()}
     end, start = F.regexp_extract(upper, f"(?:^| )({phrase['SUFFIX']})$", 1), F.regexp_extract(upper, f"^({phrase['PREFIX']})(?: |$)", 1)
     tagged = [F.when(x != "", F.concat(F.lit(at), canon[x])) for at, x in (("S:", end), ("P:", start))]
@@ -160,25 +160,29 @@ def token_category(given: Column | str, listed: Column | str, least: float = 0.7
     return F.pandas_udf(batch, TOKEN_MATCH)(col(given), col(listed))
 
 
+def street_ids(mailing: str, lines: list[tuple[str, ...]], least: float = 0.70) -> np.ndarray:
+    """For each listed address, three lines, the first order of them that is similar to the mailing address, as an id; 32 for none."""
+    found = np.full(len(lines), tables.NO_STREET_ID, np.int32)
+    left = np.arange(len(lines)) if mailing else np.empty(0, np.int64)
+    for n, order in enumerate(tables.STREET_ORDERS):  # most are settled by the first
+        if not len(left):
+            break
+        streets = [" ".join(p for i in order if (p := lines[k][i - 1])) for k in left.tolist()]
+        hit = _in_groups(pd.Series([mailing] * len(left), dtype=str), pd.Series(streets, dtype=str), jw_pairs).to_numpy() >= least
+        found[left[hit]] = tables.FIRST_STREET_ID + n
+        left = left[~hit]
+    return found
+
+
 def street_id(mailing: Column | str, a1: Column | str, a2: Column | str, a3: Column | str, least: float = 0.70) -> Column:
     """The first order of the listed lines that is similar to the mailing address, as an id; 32 for none."""
 
     def batch(m: pd.Series, x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
-        lines = pd.DataFrame({k: v.fillna("") for k, v in enumerate((m, x, y, z))})
-        which = lines.groupby(list(lines.columns), sort=False).ngroup().to_numpy()
-        rows = list(lines.drop_duplicates().itertuples(index=False, name=None))
-        found = [tables.NO_STREET_ID] * len(rows)
-        left = [k for k, r in enumerate(rows) if r[0]]
-        for n, order in enumerate(tables.STREET_ORDERS):  # most are settled by the first
-            given, streets = [rows[k][0] for k in left], [" ".join(p for i in order if (p := rows[k][i])) for k in left]
-            similar = _in_groups(pd.Series(given, dtype=str), pd.Series(streets, dtype=str), jw_pairs).to_numpy()
-            for k, s in zip(left, similar.tolist(), strict=True):
-                if s >= least:
-                    found[k] = tables.FIRST_STREET_ID + n
-            left = [k for k, s in zip(left, similar.tolist(), strict=True) if s < least]
-            if not left:
-                break
-        return pd.Series(np.array(found, np.int32).take(which) if len(which) else [], dtype="int32")
+        rows = pd.DataFrame({k: v.fillna("") for k, v in enumerate((m, x, y, z))})
+        out = np.zeros(len(rows), np.int32)
+        for given, some in rows.groupby(0, sort=False):
+            out[some.index.to_numpy()] = street_ids(given, list(some[[1, 2, 3]].itertuples(index=False, name=None)), least)
+        return pd.Series(out, dtype="int32")
 
     return F.pandas_udf(batch, "int")(*(col(c) for c in (mailing, a1, a2, a3)))
 

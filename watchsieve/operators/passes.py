@@ -5,14 +5,22 @@ records: record_id, source_id, external_id, contact_id, entity_id, entity_type,
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ScreeningConfig
-from ..functions.similarity import jw_bound, jw_percent
+from ..functions.similarity import jw_bound, jw_pairs, jw_percent
 from ..functions.text import joined
-from .blocking import every_pair, org_pairs, person_pairs
-from .gates import ENTITY_JW, forms as forms_of, org_score, street_id, word_gate
+from ..workers import find_library
+from .blocking import LOOP_ROWS, every_pair, org_pairs, person_pairs
+from .gates import ENTITY_JW, forms as forms_of, org_score, street_ids, word_gate
 
 RAW_ADDRESS = ("address1", "address2", "address3", "city", "region", "postal_code", "country")
 
@@ -136,24 +144,84 @@ def no_match(records: DataFrame, *matches: DataFrame) -> DataFrame:
     )
 
 
+def _admitted(listed: Broadcast, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each given address the listed ones that the rule admits, with their street id and four similarities in percent."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = listed.value
+        lines = [(r.address1_nm or "", r.address2_nm or "", r.address3_nm or "") for r in rows]
+        streets, of_street = pd.factorize(pd.Series([*map(repr, lines)], dtype=str))[0], {}
+        first = np.unique(streets, return_index=True)[1]
+        kinds = [lines[k] for k in first.tolist()]
+        uid, addr = (np.array([r[k] for r in rows], np.int64) for k in ("uid", "addr_uid"))
+        names = ("city_nm", "region_nm", "postal_code_nm", "country_nm")
+        theirs = [pd.factorize(pd.Series([r[n] or "" for r in rows], dtype=str)) for n in names]
+        known: list[dict[str, np.ndarray]] = [{} for _ in names]
+
+        def similar(k: int, value: str) -> np.ndarray:
+            if value not in known[k]:
+                which, values = theirs[k]
+                known[k][value] = (jw_pairs([value.encode()] * len(values), [v.encode() for v in values]) * 100)[which] if len(values) else np.zeros(0)
+            return known[k][value]
+
+        for b in batches:
+            out: list[list[np.ndarray]] = [[] for _ in range(8)]
+            for x in known:
+                if len(x) > 5000:
+                    x.clear()
+            for record, mailing, *places in zip(*(b.column(c).to_pylist() for c in ("record_id", "mailing", *names)), strict=True):
+                if not len(rows):
+                    continue
+                if mailing not in of_street:
+                    if len(of_street) > 5000:
+                        of_street.clear()
+                    of_street[mailing] = street_ids(mailing, kinds, least)
+                street = of_street[mailing][streets]
+                jw = [similar(k, v or "") for k, v in enumerate(places)]
+                some = np.flatnonzero((street != 32) | (np.maximum(np.maximum(jw[0], jw[2]), jw[3]) >= least * 100 - 0.01))  # exactly after rounding
+                for into, value in zip(out, (np.full(len(some), record), uid[some], addr[some], street[some], *(x[some] for x in jw)), strict=True):
+                    into.append(value)
+                if sum(map(len, out[0])) > 100_000:
+                    yield _batch(out)
+                    out = [[] for _ in range(8)]
+            if out[0]:
+                yield _batch(out)
+
+    return compare
+
+
+def _batch(out: list[list[np.ndarray]]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.float64()] * 4)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(out, kinds, strict=True)], names=["record_id", "uid", "addr_uid", "street", "city_nm_jw", "region_nm_jw", "postal_code_nm_jw", "country_nm_jw"])
+
+
 def address(records: DataFrame, addresses: DataFrame, matched: DataFrame, config: ScreeningConfig) -> DataFrame:
     """Pass 4: addresses of the records in matched (Input_Record_ID, SDN_UID) against listed ones. addresses: uid, addr_uid, raw and _nm columns.
 
-    Each distinct address is compared once with each distinct listed one, as the rule admits a pair by any of four likenesses
-    that no key stands for; the listed ones go to every task in bounded chunks, and the pairs that none admits go nowhere."""
+    A pair is admitted by any of four likenesses that no key stands for, so each address meets each listed one: the listed
+    ones go to every task in chunks of LOOP_ROWS, and only the pairs that are admitted leave it, as numbers. Each value is
+    compared once in a batch."""
+    spark = records.sparkSession
+    find_library(spark)
     some = records.join(matched.select(F.col("Input_Record_ID").alias("record_id")).distinct(), "record_id", "left_semi").withColumn("mailing", joined("address1_nm", "address2_nm", "address3_nm"))
     key = ["mailing", "city_nm", "region_nm", "postal_code_nm", "country_nm"]
-    given = some.select(*key).distinct().filter("mailing <> '' OR city_nm <> '' OR region_nm <> '' OR postal_code_nm <> '' OR country_nm <> ''")
+    given = some.select("record_id", *key).filter("mailing <> '' OR city_nm <> '' OR region_nm <> '' OR postal_code_nm <> '' OR country_nm <> ''").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if config.restrict_to_matched_party:
+        matched = matched.select(F.col("Input_Record_ID").alias("record_id"), F.col("SDN_UID").alias("uid")).distinct()
     listed_key = ["address1_nm", "address2_nm", "address3_nm", "city_nm", "region_nm", "postal_code_nm", "country_nm"]
-    listed = addresses.select(*[F.col(c).alias(f"sdn_{c}") for c in listed_key]).distinct()
-    least, parts = config.address_jw * 100, ("city_nm", "region_nm", "postal_code_nm", "country_nm")
-    both = every_pair(given, listed, F.lit(True))
-    scored = both.select("*", *[jw_percent(n, f"sdn_{n}").alias(f"{n}_jw") for n in parts], street_id("mailing", "sdn_address1_nm", "sdn_address2_nm", "sdn_address3_nm", config.address_jw).alias("street"))
-    pairs = scored.filter((F.col("street") != 32) | (F.col("city_nm_jw") >= least) | (F.col("postal_code_nm_jw") >= least) | (F.col("country_nm_jw") >= least))
-    back = addresses.select("uid", "addr_uid", *[F.col(c).alias(f"sdn_{c}") for c in listed_key], *[F.col(c).alias(f"raw_{c}") for c in RAW_ADDRESS])
-    out = some.join(pairs, key).join(back, [f"sdn_{c}" for c in listed_key])
+    chunks, number = -(-max(1, addresses.count()) // LOOP_ROWS), F.xxhash64("uid", "addr_uid", *RAW_ADDRESS)
+    parts = []
+    for k in range(chunks):
+        rows = addresses.select("uid", "addr_uid", *listed_key).filter(F.pmod(number, F.lit(chunks)) == k) if chunks > 1 else addresses.select("uid", "addr_uid", *listed_key)
+        listed = spark.sparkContext.broadcast(sorted(rows.collect(), key=lambda r: (r.uid, r.addr_uid)))  # LOOP_ROWS or so
+        parts.append(given.mapInArrow(_admitted(listed, config.address_jw), "record_id bigint, uid bigint, addr_uid bigint, street int, city_nm_jw double, region_nm_jw double, postal_code_nm_jw double, country_nm_jw double"))
+    pairs = reduce(DataFrame.union, parts).select("record_id", "uid", "addr_uid", "street", *[F.round(f"{n}_jw", 2).alias(f"{n}_jw") for n in ("city_nm", "region_nm", "postal_code_nm", "country_nm")])
+    least = config.address_jw * 100
+    pairs = pairs.filter((F.col("street") != 32) | (F.col("city_nm_jw") >= least) | (F.col("postal_code_nm_jw") >= least) | (F.col("country_nm_jw") >= least))
     if config.restrict_to_matched_party:
-        out = out.join(matched.select(F.col("Input_Record_ID").alias("record_id"), F.col("SDN_UID").alias("uid")).distinct(), ["record_id", "uid"], "left_semi")
+        pairs = pairs.join(matched, ["record_id", "uid"], "left_semi")
+    back = addresses.select("uid", "addr_uid", *[F.col(c).alias(f"sdn_{c}") for c in listed_key], *[F.col(c).alias(f"raw_{c}") for c in RAW_ADDRESS])
+    out = pairs.join(some, "record_id").join(back, ["uid", "addr_uid"])
     label = {"address1": "Address1", "address2": "Address2", "address3": "Address3", "city": "City", "region": "StateProvince", "postal_code": "PostalCode", "country": "Country"}
     return out.select(
         F.col("record_id").alias("Input_Record_ID"), F.col("uid").alias("SDNEntry_UID"), F.col("addr_uid").alias("SDNAddress_UID"), F.col("external_id").alias("Source_UID"),
