@@ -71,6 +71,45 @@ def test_similarity_is_duckdbs(pairs):
     assert abs(want.w - similarity._in_groups(df.a, df.b, similarity.jw_pairs)).max() < 1e-12
 
 
+def plain_osa(a, b):
+    """Every way to edit, by recursion."""
+    if not a or not b:
+        return len(a) + len(b)
+    ways = [plain_osa(a[1:], b) + 1, plain_osa(a, b[1:]) + 1, plain_osa(a[1:], b[1:]) + (a[0] != b[0])]
+    if len(a) > 1 and len(b) > 1 and a[0] == b[1] and a[1] == b[0]:
+        ways.append(plain_osa(a[2:], b[2:]) + 1)
+    return min(ways)
+
+
+def plain_jw(a, b):
+    """Jaro-Winkler by its definition, with half transpositions counted and every Jaro raised."""
+    reach, free, one = max(max(len(a), len(b)) // 2 - 1, 0), set(range(len(b))), []
+    for i, x in enumerate(a):
+        if hit := [j for j in sorted(free) if abs(i - j) <= reach and b[j] == x][:1]:
+            free.discard(hit[0])
+            one.append(x)
+    two, n = [y for j, y in enumerate(b) if j not in free], len(one)
+    if not n:
+        return 0.0
+    jaro = (n / len(a) + n / len(b) + (n - sum(x != y for x, y in zip(one, two, strict=True)) / 2) / n) / 3
+    prefix = next((k for k, (x, y) in enumerate(zip(a[:4], b[:4], strict=False)) if x != y), min(4, len(a), len(b)))
+    return jaro + 0.1 * prefix * (1 - jaro)
+
+
+def test_edit_scores_by_brute_force(spark):
+    """The edit distance, and what the older matcher reports of a pair, against plain definitions."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("ABC") for _ in range(rng.randint(0, 6)))
+    pairs = [(word(), word()) for _ in range(150)]
+    rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", similarity.scores("a", "b").alias("s")).select("a", "b", "s.*").collect()
+    for r in rows:
+        d = plain_osa(r.a, r.b)
+        assert r.edit_distance == d == similarity.osa_one(r.a, r.b)
+        assert abs(r.edit_similarity - (100 * (1 - d / max(len(r.a), len(r.b))) if r.a or r.b else 100)) <= 0.005 + 1e-9
+        jw = plain_jw(r.a, r.b)
+        assert abs(r.jw_similarity - jw) <= 5.1e-5 and abs(r.jw_distance - (1 - jw)) <= 5.1e-5
+
+
 def test_bound_loses_nothing(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("ABCD") for _ in range(rng.randint(1, 8)))

@@ -181,6 +181,44 @@ def test_legacy(spark, tmp_path):
     assert legacy.compare_names(p.withColumnRenamed("principal_id", "given_id"), e).count() > 0
 
 
+def test_legacy_by_loops(spark):
+    """Detail and summary of the older matcher against loops over every key, method, code and listed name."""
+    from watchsieve.functions import phonetic
+
+    from .test_functions import plain_jw, plain_osa
+
+    given = [(1, "Ivan", "K", "Petrov", None), (2, "Iwan", None, "Petroff", "Acme"), (3, None, None, "Howard", None), (4, "Zzq", None, "Qqz", None), (5, "ivan", None, "HOWERD", None), (6, "Anna", "Maria", "Lee", None)]
+    listed = [(7, "Iwan", "Petrov"), (8, None, "Petroff"), (9, "Ivan", "Howard"), (10, "Hovard", "Acme"), (11, "Anna Maria", "Leigh"), (12, "Ana", "Lee"), (13, "Evan", "Howerd")]
+    p = spark.createDataFrame(given, "principal_id int, first_name string, middle_name string, last_name string, org_name string")
+    e = spark.createDataFrame(listed, "uid int, first_name string, last_name string")
+    names = sorted({x.lower() for r in given for x in r[1:] if x} | {x.lower() for r in listed for x in r[1:] if x} | {" ".join(x for x in two if x).lower() for r in given for two in ((r[2], r[3]), (r[1], r[2])) if all(two)})
+    made = spark.createDataFrame([(n,) for n in names], "n string").select("n", phonetic.soundex("n").alias("s"), phonetic.word_codes("n").alias("m"), phonetic.nysiis("n").alias("y")).collect()
+    codes = {r.n: {"Direct": [r.n], "Soundex": [r.s] if r.s else [], "Double-Metaphone": list(r.m), "NYSIIS": list(r.y)} for r in made}
+    low = lambda x: (x or "").lower()
+    scores, want = ScreeningConfig().match_scores, []
+    for pid, first, middle, last, org in map(lambda r: (r[0], *map(low, r[1:])), given):
+        keys = [(last, "Last_Name", 2), (org, "Org_Name", 2), (f"{middle} {last}" if middle and last else "", "Middle_Name + Last_Name", 2), (first, "First_Name", 1), (f"{first} {middle}" if first and middle else "", "First_Name + Middle_Name", 1)]
+        for nth, (key, label, field) in enumerate(keys):
+            for m, method in enumerate(legacy.METHODS):
+                for code in codes[key][method] if key else ():
+                    for r in listed:
+                        other = low(r[field])
+                        if other and code in codes[other][method]:
+                            want.append((pid, f"Matched on {label}", method, r[0], key, other, plain_osa(key, other), round(plain_jw(key, other), 4), scores[method], (nth, m, code, r[0])))
+    rows = legacy.detail(p, e, scores)
+    got = [(r.principal_id, r.match_field, r.matchtype, r.uid, r.principal_value, r.sdn_value, r.editdistance, round(r.jaro_winkler_similarity, 4), r.match_score) for r in rows.filter("match_field <> 'No Match'").collect()]
+    assert sorted(got) == sorted(w[:-1] for w in want) and len(got) > 40
+    assert {r.principal_id for r in rows.filter("match_field = 'No Match'").collect()} == {x[0] for x in given} - {w[0] for w in want}
+    for r in legacy.summary(rows).collect():
+        mine = [w for w in want if w[0] == r.principal_id]
+        assert r.total_matches == len(mine) and r.composite_score == sum(w[8] for w in mine)
+        assert [r.direct_matches, r.soundex_matches, r.dm_matches, r.nysiis_matches] == [sum(w[2] == m for w in mine) for m in legacy.METHODS]
+        if mine:
+            best = min(mine, key=lambda w: (legacy.RANK[w[2]], -w[7], w[6], w[9]))
+            assert (r.best_uid, r.best_match_field, r.best_matchtype) == (best[3], best[1], best[2])
+            assert r.all_matched_uids == " | ".join(str(u) for u in sorted({w[3] for w in mine}, key=lambda u: min(w[9] for w in mine if w[3] == u)))
+
+
 def test_inputs(spark, tmp_path):
     (tmp_path / "a.csv").write_text("﻿EntityType,FirstName,LastName,Other\nIndividual, Ann ,Lee,9\n,,,\n")
     rows = inputs.from_csv(spark, str(tmp_path / "a.csv")).collect()

@@ -139,12 +139,21 @@ def m5_m7_edit_scores(s: SparkSession, d: str) -> DataFrame:
     return _name_pairs(s, d).withColumn("s", similarity.scores("a", "b")).select("doc_id", "s.*")
 
 
-@query()
+def _soundex_sql(word: str) -> str:
+    """H and W fall away after the first letter, equal codes in a row are one, vowels part them and fall away."""
+    letters = f"upper(regexp_replace({word}, '[^A-Za-z]', '', 'g'))"
+    codes = f"translate(left({letters}, 1) || regexp_replace(substr({letters}, 2), '[HW]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230120022455012623010202')"
+    for k in range(1, 7):
+        codes = f"regexp_replace({codes}, '{k}+', '{k}', 'g')"
+    return f"CASE WHEN {letters} = '' THEN '' ELSE rpad(left(left({letters}, 1) || replace(substr({codes}, 2), '0', ''), 4), 4, '0') END"
+
+
+@query(f"WITH {PEOPLE} SELECT doc_id, {_soundex_sql('fn')} AS fn_code, {_soundex_sql('fn || ln')} AS whole_code FROM people")
 def m8_soundex(s: SparkSession, d: str) -> DataFrame:
     return samples.people(s, d).select("doc_id", phonetic.soundex("fn").alias("fn_code"), phonetic.soundex(F.concat_ws(" ", "fn", "ln")).alias("whole_code"))
 
 
-@query()
+@query(f"WITH {PEOPLE}, c AS (SELECT doc_id, {_soundex_sql('fn')} AS a, {_soundex_sql('ln')} AS b FROM people) SELECT doc_id, CASE WHEN a = b THEN [a] ELSE [a, b] END AS codes FROM c")
 def m9_word_codes(s: SparkSession, d: str) -> DataFrame:
     return samples.people(s, d).select("doc_id", phonetic.word_codes(F.concat_ws(" ", "fn", "ln")).alias("codes"))
 
@@ -418,7 +427,10 @@ def a4_w4_a7_legacy_summary(s: SparkSession, d: str) -> DataFrame:
     return legacy.summary(legacy.detail(*_legacy(s, d), CONFIG.match_scores))
 
 
-@query()
+@query(
+    f"""WITH {PEOPLE}, each AS (SELECT doc_id, fn AS w FROM people), {_NYSIIS_VIEWS}, codes AS (SELECT doc_id, 'D' AS method, lower(w) AS code FROM each UNION ALL SELECT doc_id, 'S', {_soundex_sql("w")} FROM each UNION ALL SELECT doc_id, 'N', {_NYSIIS_CODE} FROM n{len(_NYSIIS) - 1})
+SELECT DISTINCT a.doc_id AS given_id, b.doc_id AS uid FROM codes a JOIN codes b USING (method, code) WHERE code <> ''"""
+)
 def j14_j15_name_candidates(s: SparkSession, d: str) -> DataFrame:
     p = samples.people(s, d)
     return legacy.name_candidates(p.select(F.col("doc_id").alias("given_id"), F.col("fn").alias("name")), p.select(F.col("doc_id").alias("uid"), F.col("fn").alias("name")))
