@@ -239,6 +239,20 @@ def test_inputs(spark, tmp_path):
     assert inputs.latest_file(spark, str(tmp_path), "f_*.txt").endswith("f_2024-01-02.txt")
 
 
+def test_workbook(spark, tmp_path):
+    """A workbook with shared, inline and plain values is read as its grid."""
+    import zipfile
+
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    sheet = f'''<worksheet {ns}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c></row><row r="2"><c r="A2" t="inlineStr"><is><t>c1</t></is></c><c r="B2"><v>42</v></c><c r="C2" t="s"><v>1</v></c><c r="K2" t="s"><v>2</v></c><c r="L2"><v>9</v></c></row><row r="5"><c r="D5"/></row></sheetData></worksheet>'''
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>Contact: Contact ID</t></si><si><r><t>Acme </t></r><r><t>Ltd</t></r></si><si><t>Italy</t></si></sst>")
+    grid = inputs.read_xlsx(spark, str(tmp_path / "a.xlsx"))
+    assert [(r.row_number, r.A, r.B, r.C, r.K) for r in grid.collect()] == [(1, "Contact: Contact ID", None, None, None), (2, "c1", "42", "Acme Ltd", "Italy"), (5, None, None, None, None)]
+    assert [(r.Contact_ID, r.Entity_ID, r.ORG_NAME, r.COUNTRY) for r in inputs.from_sheet(grid).collect()] == [("c1", "42", "Acme Ltd", "Italy")]
+
+
 def test_lookups(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Address_Part_Abbreviation,Address_Part,Skip_At_Beginning\nQy,Quay,1\n")
     assert lookups.abbreviations(spark, str(tmp_path / "a.csv")) == [("#", "Number", 0), ("Qy", "Quay", 1)]

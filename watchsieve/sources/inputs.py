@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import io
+import re
+import zipfile
+from collections.abc import Iterable, Iterator
 from datetime import datetime
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +17,7 @@ from ..config import ScreeningConfig
 from ..durable import held
 from ..functions import tables, text
 from ..functions.text import blank_to_null
+from ..workers import find_library
 
 CSV_COLUMNS = {"EntityType": "entity_type", "EntityName": "entity_name", "FirstName": "first_name", "MiddleName": "middle_name", "LastName": "last_name", "Address1": "address1", "Address2": "address2", "Address3": "address3", "City": "city", "Region": "region", "PostalCode": "postal_code", "Country": "country"}
 RAW = [*CSV_COLUMNS.values(), "phone", "external_id", "contact_id", "entity_id"]
@@ -106,6 +112,46 @@ def normalized(records: DataFrame, config: ScreeningConfig = ScreeningConfig(),
     )
 
 
+_SHEET_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+SHEET_COLUMNS = "ABCDEFGHIJK"
+
+
+def sheet_cells(data: bytes) -> Iterator[tuple]:
+    """Row number and the columns A to K of the first sheet of a workbook, as text; a cell without a value is null."""
+    with zipfile.ZipFile(io.BytesIO(data)) as book:
+        names = book.namelist()
+        shared = []
+        if "xl/sharedStrings.xml" in names:
+            shared = ["".join(t.text or "" for t in si.iter(f"{_SHEET_NS}t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_SHEET_NS}si")]
+        first = min((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.sub(r"\D", "", n)))
+        with book.open(first) as sheet:
+            for _, row in ElementTree.iterparse(sheet):
+                if row.tag != f"{_SHEET_NS}row":
+                    continue
+                found: dict[str, str] = {}
+                for c in row.iter(f"{_SHEET_NS}c"):
+                    value, kind = c.find(f"{_SHEET_NS}v"), c.get("t")
+                    text_ = "".join(t.text or "" for t in c.iter(f"{_SHEET_NS}t")) if kind == "inlineStr" else value.text if value is not None else None
+                    found[re.sub(r"\d", "", c.get("r"))] = shared[int(text_)] if kind == "s" and text_ is not None else text_
+                yield (int(row.get("r")), *(found.get(k) for k in SHEET_COLUMNS))
+                row.clear()
+
+
+def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
+    """The cell grid of a workbook that any of Spark's file systems reaches, for from_sheet(): row_number and the columns A to K."""
+    find_library(spark)
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for data in b.column("content"):
+                rows = list(sheet_cells(data.as_py()))
+                for k in range(0, len(rows), 10_000):
+                    columns = list(zip(*rows[k : k + 10_000], strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(x, pa.string()) for x in columns[1:])], names=["row_number", *SHEET_COLUMNS])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(cells, "row_number int, " + ", ".join(f"{k} string" for k in SHEET_COLUMNS))
+
+
 SHEET_SENTINEL = "Contact: Contact ID"
 
 
