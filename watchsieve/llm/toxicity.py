@@ -19,7 +19,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,10 +99,10 @@ def counterfactuals(found: list[bytes], seed: int = 1, planted: int = PLANTED) -
     return [(s, swapped(s, t, o)) for s, t in named for o in [b"", *rng.sample([x for x in IDENTITY[t] if x != t], SWAPS)]]
 
 
-def sparse(rows: list[set[bytes]], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of each mark that is known."""
-    where = [sorted(index[m] for m in r & index.keys()) for r in rows]
-    return np.repeat(np.arange(len(rows)), [len(x) for x in where]), np.array([i for x in where for i in x], np.int64)
+def sparse(rows: Iterable[set[bytes]], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each mark that is known; the marks of one row are held at a time."""
+    where = [np.array(sorted(index[m] for m in r & index.keys()), np.int32) for r in rows]
+    return np.repeat(np.arange(len(where)), [len(x) for x in where]), np.concatenate([np.empty(0, np.int32), *where])
 
 
 def telling(rows: list[bytes], y: np.ndarray, at_most: int) -> list[bytes]:
@@ -126,10 +126,8 @@ def learn(rows: list[bytes], y: np.ndarray, found: list[bytes] | None = None, l1
     found = [s for t in rows for s in sentences(t.lower())] if found is None else found
     pairs = counterfactuals(found)
     index = {w: i for i, w in enumerate(dict.fromkeys([*telling(rows, y, WORDS), *sorted(marks_of(set(IDENTITY)))]))}
-    row, col = sparse([marks_of(words(t)) for t in rows], index)
-    one, other = ([marks_of(words(p[k])) for p in pairs] for k in (0, 1))
-    (row1, col1), (row2, col2) = (sparse([a - b for a, b in zip(x, z, strict=True)], index) for x, z in ((one, other), (other, one)))
-    row0, col0 = sparse([a & b for a, b in zip(one, other, strict=True)], index)  # what a pair has in common
+    row, col = sparse((marks_of(words(t)) for t in rows), index)
+    (row1, col1), (row2, col2), (row0, col0) = (sparse((of(*(marks_of(words(x)) for x in p)) for p in pairs), index) for of in (lambda a, b: a - b, lambda a, b: b - a, lambda a, b: a & b))  # of each sentence alone, and in common
     balance = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())  # both labels count alike
     logistic = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     w, c, at, t, m = np.zeros(len(index)), 0.0, np.zeros(len(index)), 1.0, len(pairs)
