@@ -245,7 +245,7 @@ class Events:
         start, length = token_start[rep], (token_end - token_start)[rep]
         powers = _powers(int(length.max(initial=1)))
         ends = np.concatenate([[0], np.cumsum(length)])
-        six, word = np.empty(ends[-1], np.uint64), np.empty(ends[-1], np.uint64)
+        six, pair = np.empty(ends[-1], np.uint64), np.empty(ends[-1], np.uint64)  # six bytes; and the word so far with three bytes
         #: Of each byte of a unit: how many bits, where they begin in the code's arrays, and the gate, with two bits more for the place in the code and the bit.
         self.bits, self.place, self.gate = (np.empty(ends[-1], t) for t in (np.uint8, np.int32, np.uint8))
         for i in range(0, len(rep), CHUNK):  # so that what is made at a time stays near the processor
@@ -263,7 +263,8 @@ class Events:
                     more[nth < k - 3] = 0
                 value |= more.astype(np.uint64) << np.uint64(8 * k)
             six[into] = value
-            number = code.numbers(value & np.uint64(0xFFFFFF))
+            three = value & np.uint64(0xFFFFFF)
+            number = code.numbers(three)
             self.bits[into] = code.length.take(number)
             self.place[into] = code.start.take(number)
             self.gate[into] = np.minimum(nth, 7).astype(np.uint8) << np.uint8(3)
@@ -271,16 +272,19 @@ class Events:
             own *= powers.take(nth)
             total = np.zeros(len(own) + 1, np.uint64)
             np.cumsum(own, dtype=np.uint64, out=total[1:])
-            np.subtract(total[:-1], np.repeat(total.take(before), many), out=word[into])  # of what is before in the word
+            pair[into] = _paired(total[:-1] - np.repeat(total.take(before), many), three)  # of what is before in the word
         #: How many bits each unit is, and where they begin.
         sums = np.concatenate([[0], np.cumsum(self.bits, dtype=np.int64)])
         self.first = sums.take(ends[:-1])
         self.size = sums.take(ends[1:]) - self.first
-        to_word, (heads, low) = _with_three(word, six & np.uint64(0xFFFFFF))
-        del word
+        to_word, heads = encoded(pair)
+        del pair
+        low = np.zeros(len(heads), np.uint64)
+        low[to_word] = six
+        low &= np.uint64(0xFFFFFF)
+        heads = _unpaired(heads, low)
         to_six, kinds = encoded(six)
         del six
-        weight = np.repeat(self.counts, length)
         #: By order: which distinct context each byte of a unit has, where the bits of that begin, and each bit's slot, bit and how often it is to be counted.
         self.orders = []
         for of, h, last in ((to_word, _hash(heads + np.uint64(7), 3), low), (to_six, _hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds & np.uint64(0xFFFFFF))):
@@ -295,7 +299,16 @@ class Events:
             slot ^= slot >> np.uint64(32)
             slot *= _K[2]
             slot >>= np.uint64(64 - table_bits)
-            self.orders.append((of, first.astype(np.int32), slot, code.bit.take(place), np.repeat(np.bincount(of, weight, len(number)), many)))
+            self.orders.append((of, first.astype(np.int32), slot, code.bit.take(place), np.repeat(self._times(of, length, len(number)), many)))
+
+    def _times(self, of: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
+        """How often each distinct context is in texts that may be learnt from."""
+        out, at = np.zeros(n), 0
+        for i in range(0, len(length), 16 * CHUNK):
+            weight = np.repeat(self.counts[i : i + 16 * CHUNK].astype(float), length[i : i + 16 * CHUNK])
+            out += np.bincount(of[at : at + len(weight)], weight, n)
+            at += len(weight)
+        return out
 
     def met(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct slots in order, and how many zeros and ones the bits that count gave each."""
@@ -375,16 +388,24 @@ def _units(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     return which, rep
 
 
-def _with_three(word: np.ndarray, three: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """Which distinct pair each is, and the pairs."""
-    mixed = three * _K[1]
-    mixed ^= word
-    mixed *= _K[2]
-    mixed ^= mixed >> np.uint64(32)
-    which, kinds = encoded(mixed)
-    one, two = np.zeros(len(kinds), np.uint64), np.zeros(len(kinds), np.uint64)
-    one[which], two[which] = word, three
-    return which, (one, two)
+_BACK = pow(int(_K[2]), -1, 1 << 64)
+
+
+def _paired(word: np.ndarray, three: np.ndarray) -> np.ndarray:
+    """One number for a word's hash and three bytes, from which either gives the other."""
+    out = three * _K[1]
+    out ^= word
+    out *= _K[2]
+    out ^= out >> np.uint64(32)
+    return out
+
+
+def _unpaired(pair: np.ndarray, three: np.ndarray) -> np.ndarray:
+    """The word's hash."""
+    out = pair ^ (pair >> np.uint64(32))
+    out *= np.uint64(_BACK)
+    out ^= three * _K[1]
+    return out
 
 
 def _groups(data: list[bytes], most: int) -> Iterator[tuple[int, list[bytes]]]:
