@@ -2,7 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the one before kept, and returns the columns of docs; the last
 returns the places of the pieces in their sequences. run() stores what a stage returns in the shared folder and reads it
-again, so a lost executor or a failed stage costs no earlier one."""
+again, so a lost executor or a failed stage costs no earlier one.
+
+Defined results: null text counts as empty, is scored like any other, and is a copy of other empty texts; a text without
+words is near nothing; a null id is packed like any other and stays in near dedup; rows that repeat an id are told apart by
+their text; without labels of both kinds a classifier rejects nothing; other columns, whatever their names, are kept up to
+the last stage; an empty table gives an empty result."""
 
 from __future__ import annotations
 
