@@ -74,6 +74,24 @@ def test_xml(spark, xml):
     assert (str(p.Publish_Date), p.Record_Count) == ("2024-01-31", 4)
 
 
+def test_download(spark, tmp_path):
+    import functools
+    import http.server
+    import threading
+
+    (tmp_path / "list.xml").write_text(XML)
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(http.server.SimpleHTTPRequestHandler, directory=str(tmp_path)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://127.0.0.1:{server.server_port}"
+    for _ in range(2):
+        assert watchlist.download(spark, f"{at}/list.xml", str(tmp_path / "got.xml")) == len(XML.encode())
+    assert (tmp_path / "got.xml").read_text() == XML and watchlist.read_xml(spark, str(tmp_path / "got.xml"))["sdnEntry"].count() == 4
+    with pytest.raises(OSError):
+        watchlist.download(spark, f"{at}/none.xml", str(tmp_path / "none.xml"))
+    assert not any(p.name.startswith("none") for p in tmp_path.iterdir())
+    server.shutdown()
+
+
 def test_person_passes(result):
     assert (1, 1) in ids(result.person, "Input_Record_ID", "SDN_UID")
     assert (2, 1, 11) in ids(result.aka, "Input_Record_ID", "SDN_UID", "AKA_UID")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import urllib.request
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -38,6 +39,27 @@ def _bit(c: str) -> Column:
     return F.when(F.col(c).isNull(), F.lit(None)).otherwise(value.isin("true", "1", "yes").cast("int"))
 
 
+def download(spark: SparkSession, url: str, path: str, timeout: float = 60) -> int:
+    """Copies a list from an address to a path that Spark's file systems reach; nothing is there until all of it is. Returns the bytes."""
+    jvm = spark.sparkContext._jvm
+    target, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}._part")
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out, size = files.create(part, True), 0
+    try:
+        with urllib.request.urlopen(url, timeout=timeout) as source:
+            while block := source.read(1 << 20):
+                out.write(block)
+                size += len(block)
+    except OSError:
+        out.close()
+        files.delete(part, False)
+        raise
+    out.close()
+    files.delete(target, False)
+    files.rename(part, target)
+    return size
+
+
 def read_xml(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables of a list in XML: sdnEntry, one table for each child list and one that ties its rows to the entries, vessels, programs, and the publication."""
     raw = spark.read.format("xml").option("rowTag", "sdnEntry").option("ignoreNamespace", "true").schema(SCHEMA).load(path).filter("uid IS NOT NULL")
