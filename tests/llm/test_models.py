@@ -70,6 +70,50 @@ def test_pairwise_order():
     assert abs((model.score(x) < 0.3).mean() - (y == 0).mean()) < 0.02  # the quantile
 
 
+def test_ranking_against_all_pairs():
+    """The weights are those of logistic loss over every pair of a good and a bad row, and the threshold is the quantile, both worked out plainly."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(120, 4)) * [1, 3, 0.5, 2]
+    y = (x @ [1, -0.4, 0, 0.3] + rng.normal(size=120) > 0.2).astype(int)
+    model = quality.learn(x, y)
+    pairs = np.array([(g - b) / model.scale for g in x[y == 1] for b in x[y == 0]])
+    w = np.zeros(4)
+    for _ in range(4000):
+        p = 1 / (1 + np.exp(pairs @ w))
+        w += 0.5 * (pairs.T @ p / len(pairs) - 1e-3 * w)
+    assert np.corrcoef(w, model.weights)[0, 1] > 0.999 and np.abs(w - model.weights).max() < 0.15 * np.abs(w).max()
+    raw = model.raw(x)
+    assert (raw < model.threshold).sum() == (y == 0).sum()
+    assert np.array_equal(model.score(x) >= quality.CUT, raw >= model.threshold)
+
+
+def test_no_step_makes_the_toxicity_loss_less():
+    """The learnt weights are a least point of the loss as it is written: logistic loss, swaps and L1, worked out by loops."""
+    rng = random.Random(7)
+    rows = [(" ".join([rng.choice("alpha beta gamma".split()) for _ in range(5)] + (["vile"] if k % 2 and rng.random() < 0.8 else []) + (["women"] if rng.random() < (0.8 if k % 2 else 0.2) else []))).encode() for k in range(80)]
+    y = np.array([k % 2 for k in range(80)], float)
+    l1, strength = 5e-3, 10.0
+    model = toxicity.learn(rows, y, l1=l1, counterfactual=strength, steps=4000)
+    pairs = toxicity.counterfactuals([s for t in rows for s in toxicity.sentences(t.lower())])
+    marks = lambda t: toxicity.marks_of(toxicity.words(t))
+    sets, both, weight = [marks(t) for t in rows], [(marks(a), marks(b)) for a, b in pairs], np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+
+    def loss(w, c):
+        score = lambda m: 1 / (1 + math.exp(-(c + sum(w.get(x, 0.0) for x in m))))
+        fit = -sum(v * math.log(p if t else 1 - p) for v, t, p in zip(weight, y, map(score, sets), strict=True))
+        return fit + strength * np.mean([(score(a) - score(b)) ** 2 for a, b in both]) + l1 * sum(map(abs, w.values()))
+
+    least = loss(model.weights, model.intercept)
+    for name in [*model.weights, "alpha", "women", "men", None]:
+        for step in (-0.05, 0.05):
+            w, c = dict(model.weights), model.intercept
+            if name is None:
+                c += step
+            else:
+                w[name if isinstance(name, bytes) else name.encode()] = w.get(name if isinstance(name, bytes) else name.encode(), 0.0) + step
+            assert loss(w, c) > least - 2e-5, (name, step)
+
+
 def test_toxicity(learnt, docs, empty):
     some, marks, labels = learnt
     model = toxicity.fitted(some, marks, fold("doc_id", 3) != 1)

@@ -71,6 +71,40 @@ def test_plan(capacity, sizes):
     assert made <= 1.5 * sum(k * v for k, v in counts.items()) / capacity + 1 + sum(v for k, v in counts.items() if 2 * k > capacity) / 2
 
 
+def fewest(sizes, capacity):
+    """The least number of bins, by trying every way that is not plainly worse."""
+    sizes = sorted(sizes, reverse=True)
+    best = len(sizes)
+
+    def place(k, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if k == len(sizes):
+            best = len(free)
+            return
+        for x in {f for f in free if f >= sizes[k]}:
+            rest = list(free)
+            rest.remove(x)
+            place(k + 1, [*rest, x - sizes[k]])
+        place(k + 1, [*free, capacity - sizes[k]])
+
+    place(0, [])
+    return best
+
+
+def test_plan_against_every_packing():
+    """Small cases: at most one bin more than the fewest possible, and mostly none more."""
+    rng, same = random.Random(12), 0
+    for _ in range(150):
+        capacity = rng.randint(5, 40)
+        sizes = [rng.randint(1, capacity) for _ in range(rng.randint(1, 9))]
+        made, least = packing.plan(collections.Counter(sizes), capacity)[1], fewest(sizes, capacity)
+        assert least <= made <= least + 1
+        same += made == least
+    assert same >= 140
+
+
 def test_packed(library, awkward, docs, empty):
     rows = packing.packed(docs).collect()
     want = collections.Counter()
