@@ -608,8 +608,8 @@ def code_for(lots: DataFrame) -> Code:
     return Code(counts.reshape(16, 256, 256))
 
 
-def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFrame:
-    """For whole_lots(): each lot, and after it in pieces the states of its distinct slots in order, and how often the texts that may be learnt from have each of its distinct words in order; v adds up to the number of such words."""
+def answered(lots: DataFrame, code: Code, table_bits: int, parts: int, tasks: int, many: int) -> DataFrame:
+    """For whole_lots(): each lot, and after it in pieces the states of its distinct slots in order, and how often the texts that may be learnt from have each of its distinct words in order; v adds up to the number of such words. tasks, many: how many tasks made the lots, and how many lots there are; each meets its answers in a partition of its own where tasks made alike many."""
     shared = lots.sparkSession.sparkContext.broadcast(code)
     shard_bits = max(5, (2 * parts - 1).bit_length())  # as the tasks that ask grow, so do those that answer
     shift, word_shift = np.uint64(table_bits - shard_bits), np.uint64(64 - shard_bits)
@@ -665,9 +665,10 @@ def answered(lots: DataFrame, code: Code, table_bits: int, parts: int) -> DataFr
             yield from made()
 
     asked = map_batches(lots.select("lot", "blob"), ask, "lot bigint, shard bigint, slots binary, n binary, words binary, times binary")
-    answers = map_batches(asked.repartition(1 << shard_bits, "shard").sortWithinPartitions("shard", "lot"), answer, "lot bigint, shard bigint, blob binary, times binary, v bigint")
+    answers = map_batches(asked.repartitionById(1 << shard_bits, F.col("shard").cast("int")).sortWithinPartitions("shard", "lot"), answer, "lot bigint, shard bigint, blob binary, times binary, v bigint")
     whole = lots.select("lot", "shard", "blob", F.lit(None).cast("binary").alias("times"), F.lit(0).cast("bigint").alias("v")).union(answers)
-    return whole.repartition(parts, "lot").sortWithinPartitions("lot", "shard").select("lot", "shard", "blob", "times", "v")
+    own = F.pmod(F.shiftright("lot", 32) + F.col("lot").bitwiseAND((1 << 32) - 1) * tasks, F.lit(max(1, many))).cast("int")
+    return whole.repartitionById(max(1, many), own).sortWithinPartitions("lot", "shard").select("lot", "shard", "blob", "times", "v")
 
 
 def whole_lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Lot, np.ndarray, np.ndarray, int]]:
@@ -702,7 +703,7 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     table_bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, size) * SLOTS))))
     with batch_rows(spark, 512):
         lots = lots_of(rows, int(np.clip(size // SPREAD, LEAST_LOT, LOT)))
-    ends, n = lots.agg(F.coalesce(F.sum("learnt"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    ends, n, tasks, many = lots.agg(F.coalesce(F.sum("learnt"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.max(F.shiftright("lot", 32)), F.lit(0)) + 1, F.count(F.lit(1))).first()
     code = code_for(lots)
     shared = spark.sparkContext.broadcast(code)
     end, known_end = np.log10(ends + 1), 1 if ends else 0
@@ -720,7 +721,7 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "number", "train", "whole", "n_tokens", "n_known", "base", "score", "bytes", "v"])
 
     with batch_rows(spark, 64):  # a lot is a few MB
-        made = stored(map_batches(answered(lots, code, table_bits, parts), score, "doc_id bigint, number bigint, train boolean, whole boolean, n_tokens bigint, n_known bigint, base double, score double, bytes bigint, v bigint"), "scores")
+        made = stored(map_batches(answered(lots, code, table_bits, parts, tasks, many), score, "doc_id bigint, number bigint, train boolean, whole boolean, n_tokens bigint, n_known bigint, base double, score double, bytes bigint, v bigint"), "scores")
     dropped(lots)
     v = (made.agg(F.sum("v")).first()[0] or 0) + known_end
     columns = ("doc_id", "train", "n_tokens", "n_known", "base", "score", "bytes")
