@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from watchsieve.config import load_config
-from watchsieve.functions import phonetic, similarity, text
+from watchsieve.functions import metaphone, phonetic, similarity, text
 from watchsieve.operators import gates
 
 
@@ -131,6 +131,21 @@ def test_nysiis(spark):
     assert one(spark, phonetic.nysiis("a"), a=" sheikh  MEHDI mehdi ") == ["MAD", "SAC"] and one(spark, phonetic.nysiis("a"), a=None) == []
 
 
+#: Published examples of the algorithm.
+METAPHONE = """aubrey APR, richard RXRT RKRT, katherine K0RN KTRN, smith SM0 XMT, schmidt XMT SMT, thumb 0M TM, cambrillo KMPRL KMPR, caesar SSR, jose HS, wagner AKNR FKNR, michael MKL MXL, czerny SRN XRN, rough RF, laugh LF,
+cough KF, ghislane JLN, ghiradelli JRTL, edge AJ, edgar ATKR, bellocchio PLX, bacchus PKS, accident AKSTNT, succeed SKST, mchugh MK, gnome NM, tagliaro TKLR TLR, biaggi PJ PK, breaux PR, zhao J, filipowicz FLPTS FLPFX,
+arnow ARN ARNF, island ALNT, sugar XKR SKR, thomas TMS, thames TMS, dumb TM, plumber PLMR, hochmeier HKMR, architect ARKTKT, orchestra ARKSTR, orchid ARKT, wachtler AKTLR FKTLR, tichner TXNR TKNR, chemistry KMSTR,
+chorus KRS, chianti KNT, school SKL, schermerhorn XRMRRN SKRMRRN, schenker XNKR SKNKR, resnais RSN RSNS, artois ART ARTS, cabrillo KPRL KPR, gallegos KLKS KKS, bajador PJTR PHTR, yankelovich ANKLFX ANKLFK,
+jankelowicz JNKLTS ANKLFX, knight NT, wright RT, xavier SF SFR, thompson TMPSN, catherine K0RN KTRN"""
+
+
+def test_double_metaphone(spark):
+    for x in METAPHONE.replace("\n", " ").split(","):
+        word, first, *second = x.split()
+        assert metaphone.double_metaphone_one(word) == (first, (second or [first])[0]), word
+    assert one(spark, metaphone.double_metaphone("a"), a="Katherine  SMITH 12") == ["K0RN", "KTRN", "SM0", "XMT"] and one(spark, metaphone.double_metaphone("a"), a=None) == []
+
+
 def test_country_at_end(spark):
     at = lambda x: tuple(one(spark, text.country_at_end("a"), a=x))
     assert at("1 Road,\r\nHong  Kong") == ("1 Road", "Hong Kong") and at("1 Road, hong kong") == ("1 Road, hong kong", None)

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from watchsieve.config import ScreeningConfig
+from watchsieve.functions.metaphone import double_metaphone
 from watchsieve.functions.similarity import register
 from watchsieve.operators import audit, dummy, legacy
 from watchsieve.plans.screening import screen
@@ -196,6 +197,8 @@ def test_legacy(spark, tmp_path):
     assert (s.best_uid, s.best_matchtype, s.direct_matches, s.all_matched_uids) == (7, "Direct", 1, "7 | 8")
     export_legacy(rows, legacy.summary(rows), str(tmp_path))
     assert spark.read.csv(str(tmp_path / "summary"), header=True).count() == 2 and "matchtype" in spark.read.csv(str(tmp_path / "detail"), header=True).columns
+    other = legacy.detail(p, e, ScreeningConfig().match_scores, double_metaphone).filter("matchtype = 'Double-Metaphone' AND principal_id = 1").collect()
+    assert {(r.uid, r.sdn_value) for r in other} == {(7, "petrov"), (8, "petroff")}  # both PTRF; AFN and AN differ
     assert legacy.compare_names(p.withColumnRenamed("principal_id", "given_id"), e).count() > 0
 
 
