@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, as_bytes, documents, map_batches, stored, texts, unused
+from .common import BROADCAST_IDS, as_bytes, batch_rows, documents, map_batches, stored, texts, unused
 
 LEAST, USUAL, MOST = 512, 2048, 8192
 _GEAR = np.random.Generator(np.random.PCG64(20)).integers(0, 2**32, 256, dtype=np.uint32)
@@ -101,7 +101,8 @@ def unsure(made: DataFrame) -> DataFrame:
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row of df: doc_id, keep_id, group_size, kept, text_sha256, n_bytes, n_chunks."""
-    made = stored(recipes(df, id_col, text_col), "recipes")
+    with batch_rows(df.sparkSession, 512):
+        made = stored(recipes(df, id_col, text_col), "recipes")
     doubtful = stored(unsure(made), "unsure")
     named = made.select("doc_id", "text_sha256", "n_bytes", F.transform("recipe", lambda c: c.fp).alias("names"))
     if doubtful.isEmpty():

@@ -40,12 +40,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, documents, dropped, map_batches, stored, texts, without
+from .common import as_bytes, batch_rows, documents, dropped, map_batches, stored, texts, without
 from .components import components
 
 WORDS, PERCENT = 4, 85
 #: Hashes in a chunk, names that a task gathers before it sends them, bytes of names in a partition, bytes that may be broadcast.
-LIMIT, GATHER, PART_BYTES, BROADCAST_BYTES = 30_000, 1_500_000, 24 << 20, 48 << 20
+LIMIT, GATHER, PART_BYTES, BROADCAST_BYTES = 15_000, 1_500_000, 24 << 20, 48 << 20
 #: One text in COMMON_SHARE is asked which n-grams are common: those in COMMON_TEXTS of them. They choose names, never links.
 COMMON_SHARE, COMMON_TEXTS, COMMON_ROWS = 32, 4, 200_000
 FANOUT, SALTS = 16, 32
@@ -439,6 +439,11 @@ def _rest_tasks(rows: DataFrame, found: DataFrame) -> DataFrame | None:
 
 def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """rows (doc_id, n_shingles, key, other), classes (key, n, rep: smallest id) and links (a, b) between keys that connect each component."""
+    with batch_rows(docs.sparkSession, 512):  # all jobs run in here
+        return _join(docs, n, percent, id_col, text_col)
+
+
+def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     spark, seed = docs.sparkSession, 0
     common = frequent(docs, n, id_col, text_col)
     while True:

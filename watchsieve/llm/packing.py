@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec, vocabulary
-from .common import documents, map_batches, stored, texts
+from .common import batch_rows, documents, map_batches, stored, texts
 
 CAPACITY, END = 2048, 0
 
@@ -123,7 +123,9 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, i
 
 def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """pieces() with the sequence_id and offset of each."""
-    spark, made = docs.sparkSession, stored(pieces(docs, path, capacity, id_col, text_col), "pieces")
+    spark = docs.sparkSession
+    with batch_rows(spark, 512):
+        made = stored(pieces(docs, path, capacity, id_col, text_col), "pieces")
     counts = {r.length: r["count"] for r in made.groupBy("length").count().collect()}  # capacity rows at most
     runs, _ = plan(counts, capacity)
     salts = spark.createDataFrame([(x, max(1, int(n**0.5))) for x, n in counts.items()], "length bigint, salts bigint")
