@@ -1,6 +1,7 @@
 """Byte-pair encoding and decoding, with text encoded as a tree.
 
-A text over LEAF characters is halved again and again, wherever its middle is, and the leaves are encoded in parallel. Where
+A text over LEAF characters is halved again and again, wherever its middle is, and the leaves are encoded, in parallel from
+PARALLEL leaves on (handing over fewer takes longer). Where
 two sides meet, the tokens around the join are encoded anew, in a window that grows until both its ends are places that
 either side cuts in any surroundings: where white space follows something else, the pattern that splits text always ends a
 piece, and what lies beyond is as it was. A window that finds no such place goes on to the end of its side, so the result is
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, map_batches, texts
 
-LEAF, PIECE, THREADS = 1 << 11, 1 << 12, 2
+LEAF, PIECE, THREADS, PARALLEL = 1 << 11, 1 << 12, 2, 16
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SPACE = frozenset(b" \t\n\x0b\x0c\r")
 
@@ -84,7 +85,8 @@ class Codec:
     def _joined(self, text: str) -> list[int]:
         n = 1 << (-(-len(text) // self.leaf) - 1).bit_length()
         ends = [len(text) * k // n for k in range(n + 1)]
-        sides = list(_pool().map(self._leaf, [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]))
+        leaves = [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        sides = list((_pool().map if n >= PARALLEL else map)(self._leaf, leaves))
         while len(sides) > 1:
             sides = [self.weld(*sides[k : k + 2]) for k in range(0, len(sides), 2)]
         return sides[0]
