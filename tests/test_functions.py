@@ -1,6 +1,7 @@
 import random
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
@@ -190,3 +191,18 @@ def test_config(tmp_path):
     made = load_config(tmp_path / "a.cfg")
     assert (made.address_jw, made.keep_chars, made.match_scores["Direct"], made.person_jw) == (0.8, "-", 9.0, 0.85)
     assert load_config(tmp_path / "none.cfg").address_jw == 0.7
+
+
+def test_one_with_many_is_as_in_pairs():
+
+    from watchsieve.functions.similarity import Many, hundredths, jw_pairs
+
+    r = random.Random(1)
+    word = lambda n: "".join(r.choice("abc\0é ") for _ in range(r.randrange(n))).encode()
+    for n in (5, 20, 90):
+        b = [word(n) for _ in range(200)]
+        many = Many(b)
+        for a in [word(n) for _ in range(40)]:
+            assert np.array_equal(many.jw(a), jw_pairs([a] * len(b), b))
+            assert np.array_equal(many.jw(a, np.array([7, 3])), jw_pairs([a, a], [b[7], b[3]]))
+    assert hundredths(np.array([0.85, 1, 0.00125, 0.70005, 0.700049])).tolist() == [8500, 10000, 13, 7001, 7000]
