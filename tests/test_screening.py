@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from watchsieve.config import ScreeningConfig
 from watchsieve.functions.metaphone import double_metaphone
 from watchsieve.functions.similarity import register
-from watchsieve.operators import audit, dummy, legacy
+from watchsieve.operators import audit, dummy, legacy, passes, report, summary
 from watchsieve.plans.screening import screen
 from watchsieve.sinks import Store, export_csv, export_legacy, export_non_passing, export_run, run_log_text, write_back
 from watchsieve.sources import inputs, lookups, watchlist
@@ -309,3 +309,33 @@ def test_legacy_queries_take_whole_tables(spark, tmp_path):
     assert pairs["x15_legacy_detail"] >= alike(0) | alike(1) and pairs["j14_j15_name_candidates"] >= alike(0)
     assert pairs["m15_compare_names"] >= alike(0) & alike(1)
     assert {r.principal_id for r in got["a4_w4_a7_legacy_summary"]} == set(who)
+
+
+def _places(spark, pick):
+    records = inputs.normalized(spark.createDataFrame([(k, f"e{k}", f"{k % 3} Main Street", ["Bern", "Berne", "Lima"][k % 3], ["Peru", "Chad"][k % 2]) for k in pick], "record_id bigint, external_id string, address1 string, city string, country string"))
+    listed = spark.createDataFrame([(k // 2 if k < 6 else k, k, f"{k % 4} Main Street", ["Bern", "Lima", "Rome"][k % 3], ["Peru", "Chad"][k % 2]) for k in range(12)], "uid bigint, addr_uid bigint, address1 string, city string, country string")
+    return records, inputs.normalized(listed), records.select(F.col("record_id").alias("Input_Record_ID"), F.lit(None).cast("bigint").alias("SDN_UID"))
+
+
+def test_pairs_of_addresses_are_not_moved(spark):
+    plan = passes.address(*_places(spark, range(9)), ScreeningConfig()).select("Input_Record_ID", "SDNAddress_UID", "City_JaroWinklerSimilarity")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("MapInArrow")[0].replace("BroadcastExchange", "")
+
+
+def test_best_addresses_in_parts(spark):
+    given = _places(spark, [*range(9), 3])  # a record twice, parties with one and with two addresses
+    whole = passes.address(*given, ScreeningConfig())
+    alone, rest = passes.address_parts(*given, ScreeningConfig())
+    assert 0 < alone.count() < whole.count() == alone.count() + rest.count()
+    for one, other in ((summary.address_best(whole), summary.address_best(rest, alone)), (report.best_address(whole), report.best_address(rest, alone=alone))):
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+
+
+def test_matched_parties_are_met_by_key(spark):
+    records, listed, _ = _places(spark, range(9))
+    matched = spark.createDataFrame([(k, k % 5) for k in range(9)], "Input_Record_ID bigint, SDN_UID bigint")
+    whole = passes.address(records, listed, matched, ScreeningConfig())
+    some = whole.join(matched.withColumnRenamed("SDN_UID", "SDNEntry_UID"), ["Input_Record_ID", "SDNEntry_UID"], "left_semi").select(whole.columns)
+    met = passes.address(records, listed, matched, ScreeningConfig(restrict_to_matched_party=True))
+    assert sorted(map(repr, some.collect())) == sorted(map(repr, met.collect())) != []
+    assert "MapInArrow" not in met._jdf.queryExecution().executedPlan().toString()
