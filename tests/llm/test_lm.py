@@ -208,3 +208,15 @@ def test_code_tells_what_two_bytes_tell():
                 n = [sum(groups[g][y] for y in range(256) if words[y][: k + 1] == (*words[x][:k], bit)) for bit in (0, 1)]
                 want = np.clip(np.rint(math.log((n[1] + 0.1) / (n[0] + 0.1)) / lm.STEP), -127, 127)
                 assert code.odds[code.start[g << 8 | x] + k] == want
+
+
+def test_met_holds_one_order_at_a_time():
+    r = random.Random(1)
+    words = [bytes(r.choices(range(97, 123), k=6)) for _ in range(3_000)]
+    lot = lm.Lot()
+    lot.data, lot.before, lot.train, lot.words, lot.last = [b" ".join(words)], [b""], [True], [None], [True]
+    events = lm.Events(lot, lm.Code(np.ones(1 << 20, np.int64)), 27)
+    kept = events.met()
+    assert len(events.orders) == 2
+    known, n = events.met(last=True)
+    assert np.array_equal(known, kept[0]) and np.array_equal(n, kept[1]) and not events.orders

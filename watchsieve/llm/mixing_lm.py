@@ -172,14 +172,19 @@ def distinct(slots: np.ndarray) -> np.ndarray:
 def places(known: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Where in known, distinct and in order, each slot is; all are there."""
     if not len(slots):
-        return np.zeros(0, np.intp)
+        return np.zeros(0, np.int32)
     least = known[0]
     span = int(known[-1] - least).bit_length()
     top = min(span, len(known).bit_length() + 1)
     shift = np.uint64(span - top)
-    start = np.zeros((1 << top) + 1, np.intp)
-    np.cumsum(np.bincount(((known - least) >> shift).astype(np.intp), minlength=1 << top), out=start[1:])
-    at = start.take(((slots - least) >> shift).astype(np.intp))
+    start = np.zeros((1 << top) + 1, np.int32 if len(known) < 1 << 30 else np.int64)
+    x = known - least
+    x >>= shift
+    np.cumsum(np.bincount(x.view(np.int64), minlength=1 << top), dtype=start.dtype, out=start[1:])
+    x = slots - least
+    x >>= shift
+    at = start.take(x.view(np.int64))
+    del x, start
     wrong = np.flatnonzero(known.take(at) != slots)
     while len(wrong):
         at[wrong] += 1
@@ -310,15 +315,22 @@ class Events:
             at += len(weight)
         return out
 
-    def met(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct slots in order, and how many zeros and ones the bits that count gave each."""
-        every = np.concatenate([o[2] for o in self.orders])
-        known = distinct(every.copy())
-        at = places(known, every)
-        at <<= 1
-        at += np.concatenate([o[3] for o in self.orders])
-        n = np.bincount(at, np.concatenate([o[4] for o in self.orders]), 2 * len(known))
-        return known, n.reshape(-1, 2).T.astype(np.uint32)
+    def met(self, last: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct slots in order, and how many zeros and ones the bits that count gave each. last: the events are used up, so that a task holds less."""
+        known = distinct(np.concatenate([o[2] for o in self.orders]))
+        n = np.zeros(2 * len(known), np.uint32)
+        orders = self.orders if last else [*self.orders]
+        while orders:
+            _, _, slot, bit, times = orders.pop()
+            at = places(known, slot)
+            del slot
+            at <<= 1
+            at += bit
+            for k in range(0, len(known), 1 << 20):  # so that nothing of the whole length is made besides
+                some = (at >= 2 * k) & (at < 2 * k + (2 << 20))
+                n[2 * k : 2 * k + (2 << 20)] += np.bincount(at[some] - 2 * k, times[some], min(2 << 20, len(n) - 2 * k)).astype(np.uint32)
+            del at, bit, times
+        return known, n.reshape(-1, 2).T
 
     def predicted(self, found: np.ndarray) -> np.ndarray:
         """found: the state of each distinct slot in order. For each bit of the units four bytes: the log odds by word, by five bytes and by two, and gate and bit."""
@@ -618,7 +630,7 @@ def answered(lots: DataFrame, code: Code, table_bits: int, parts: int, tasks: in
         for b in batches:
             for number, blob in zip(b.column("lot").to_pylist(), b.column("blob"), strict=True):
                 lot = _lot(blob.as_py())
-                slot, n = Events(lot, shared.value, table_bits).met()
+                slot, n = Events(lot, shared.value, table_bits).met(last=True)
                 each = lot.word_hashes()
                 of, word = encoded(np.concatenate(each))
                 times = np.bincount(of, np.repeat(np.array(lot.train, float), [len(x) for x in each]), len(word)).astype(np.uint32)
