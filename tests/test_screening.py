@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from watchsieve.config import ScreeningConfig
 from watchsieve.functions.metaphone import double_metaphone
 from watchsieve.functions.similarity import register
-from watchsieve.operators import audit, dummy, legacy, passes, report, summary
+from watchsieve.operators import audit, blocking, dummy, legacy, passes, report, summary
 from watchsieve.plans.screening import screen
 from watchsieve.sinks import Store, export_csv, export_legacy, export_non_passing, export_run, run_log_text, write_back
 from watchsieve.sources import inputs, lookups, watchlist
@@ -339,3 +339,18 @@ def test_matched_parties_are_met_by_key(spark):
     met = passes.address(records, listed, matched, ScreeningConfig(restrict_to_matched_party=True))
     assert sorted(map(repr, some.collect())) == sorted(map(repr, met.collect())) != []
     assert "MapInArrow" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_address_candidates_look_up_equal_words_once(spark):
+    given = spark.createDataFrame([(k, f"{k} Peru St") for k in range(200)] + [(7, "Lima Peru"), (900, "of St")], "given_id bigint, address string")
+    listed = spark.createDataFrame([(k, ["Peru Road", "Lima Peru Road", "Oslo"][k % 3]) for k in range(90)], "addr_uid bigint, address string")
+    found = legacy.address_candidates(given, listed, 5)
+    got = {}
+    for g, u, n in found.select("given_id", "addr_uid", "words").collect():
+        got.setdefault(g, []).append((u, n))
+    assert sorted(got) == [*range(200)] and sorted(got[3]) == [(0, 1), (1, 1), (3, 1), (4, 1), (6, 1)]
+    assert sorted(got[7]) == [(k, 2) for k in (1, 4, 7, 10, 13)]
