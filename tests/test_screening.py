@@ -354,3 +354,13 @@ def test_address_candidates_look_up_equal_words_once(spark):
         got.setdefault(g, []).append((u, n))
     assert sorted(got) == [*range(200)] and sorted(got[3]) == [(0, 1), (1, 1), (3, 1), (4, 1), (6, 1)]
     assert sorted(got[7]) == [(k, 2) for k in (1, 4, 7, 10, 13)]
+
+
+def test_rows_of_one_name_spread_after_the_last_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "TOGETHER", 7)
+    left = spark.createDataFrame([(k, "ANNA" if k % 3 else "OTTO") for k in range(60)] + [(3, "OTTO")], "a_id bigint, a string")
+    right = spark.createDataFrame([(k, "ANNE" if k % 2 else "OTTO") for k in range(50)], "b_id bigint, b string")
+    found = blocking.fuzzy_join(left, right, ("a", "b"), 0.8, similarity="sim")
+    want = sorted((x.a_id, y.b_id) for x in left.collect() for y in right.collect() if x.a[0] == y.b[0])
+    assert sorted((r.a_id, r.b_id) for r in found.collect()) == want
+    assert _plan(found).split("Generate")[1].count("Exchange") == 0  # nothing is moved above the arrays
