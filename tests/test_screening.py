@@ -364,3 +364,11 @@ def test_rows_of_one_name_spread_after_the_last_shuffle(spark, monkeypatch):
     want = sorted((x.a_id, y.b_id) for x in left.collect() for y in right.collect() if x.a[0] == y.b[0])
     assert sorted((r.a_id, r.b_id) for r in found.collect()) == want
     assert _plan(found).split("Generate")[1].count("Exchange") == 0  # nothing is moved above the arrays
+
+
+def test_name_candidates_spread_after_the_last_shuffle(spark):
+    given = spark.createDataFrame([(1, "Anna"), (1, "Otto"), (2, "anna "), (3, "Ulm"), (4, None)], "given_id bigint, name string")
+    listed = spark.createDataFrame([(7, "ANNA"), (8, "Otto"), (8, "Anna"), (9, "Ole")], "uid bigint, name string")
+    found = legacy.name_candidates(given, listed)
+    assert ids(found, "given_id", "uid") == [(1, 7), (1, 8), (2, 7), (2, 8)]
+    assert "Aggregate" not in _plan(found).split("Generate")[0] and "Exchange" not in _plan(found).split("Generate")[1]
