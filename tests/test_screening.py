@@ -372,3 +372,12 @@ def test_name_candidates_spread_after_the_last_shuffle(spark):
     found = legacy.name_candidates(given, listed)
     assert ids(found, "given_id", "uid") == [(1, 7), (1, 8), (2, 7), (2, 8)]
     assert "Aggregate" not in _plan(found).split("Generate")[0] and "Exchange" not in _plan(found).split("Generate")[1]
+
+
+def test_passing_pairs_are_taken_out_where_they_are_made(spark):
+    records = spark.createDataFrame([(k, "Individual" if k < 3 else "Entity") for k in range(5)], "record_id bigint, entity_type string")
+    names = spark.createDataFrame([(1, None, "individual", "a"), (1, 11, "individual", "b"), (2, None, "Entity", "c")], "uid bigint, aka_uid bigint, sdn_type string, name string")
+    passing = spark.createDataFrame([(0, 1, None), (1, 1, 11), (1, 1, 11), (2, 1, 12), (3, 2, None)], "Input_Record_ID bigint, SDN_UID bigint, SDN_AKA_UID bigint")
+    rest = audit.non_passing(records, names, passing)
+    assert {tuple(r) for r in rest.select("Input_Record_ID", "SDN_UID", "SDN_AKA_UID").collect()} == {(0, 1, 11), (1, 1, None), (2, 1, None), (2, 1, 11), (4, 2, None)}
+    assert "LeftAnti" not in _plan(rest)
