@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from watchsieve.config import ScreeningConfig
 from watchsieve.functions.metaphone import double_metaphone
-from watchsieve.functions.similarity import register
+from watchsieve.functions.similarity import jw_pairs, register
 from watchsieve.operators import audit, blocking, dummy, legacy, passes, report, summary
 from watchsieve.plans.screening import screen
 from watchsieve.sinks import Store, export_csv, export_legacy, export_non_passing, export_run, run_log_text, write_back
@@ -381,3 +381,21 @@ def test_passing_pairs_are_taken_out_where_they_are_made(spark):
     rest = audit.non_passing(records, names, passing)
     assert {tuple(r) for r in rest.select("Input_Record_ID", "SDN_UID", "SDN_AKA_UID").collect()} == {(0, 1, 11), (1, 1, None), (2, 1, None), (2, 1, 11), (4, 2, None)}
     assert "LeftAnti" not in _plan(rest)
+
+
+def _similar(a, b, least):
+    return [x for p in a for q in b if (x := jw_pairs([p.encode()], [q.encode()])[0]) >= least]
+
+
+def test_similar_names_are_found_without_a_nested_loop(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "LOOP_ROWS", 9)  # several chunks
+    words = ["ANNA", "ANNE", "HANNA", "OTTO", "OTO", "A", "AN", "MARTHA", "MARHTA", "DIXON", "DICKSONX", "X" * 70 + "Y", "X" * 69 + "YZ", "ANNA" * 70]
+    given = [(words[k], words[(3 * k + j) % len(words)]) for k in range(len(words)) for j in range(4)]
+    listed = [(words[(2 * k + j) % len(words)], words[(3 * k + 1) % len(words)]) for k in range(len(words)) for j in range(3)]
+    found = blocking.person_pairs(spark.createDataFrame([*{*given}], "fn string, ln string"), spark.createDataFrame(listed, "sdn_fn string, sdn_ln string"), 0.85, "none")
+    want = {(*g, *n, round(x[0] * 100, 2), round(y[0] * 100, 2)) for g in given for n in listed if (x := _similar(g[:1], n[:1], 0.85)) and (y := _similar(g[1:], n[1:], 0.85))}
+    got = [tuple(r) for r in found.select("fn", "ln", "sdn_fn", "sdn_ln", "fn_jw", "ln_jw").collect()]
+    assert len(got) == len({*got}) and {*got} == want and len(want) > 20
+    assert "NestedLoop" not in _plan(found)
+    one = blocking.alike(spark.createDataFrame([(w,) for w in [*words, ""]], "a string"), spark.createDataFrame([(w,) for w in [*words, ""]], "b string"), 0.9, "sim")
+    assert sorted((r.a, r.b) for r in one.collect()) == sorted((a, b) for a in words for b in words if _similar([a], [b], 0.9))
