@@ -399,3 +399,14 @@ def test_similar_names_are_found_without_a_nested_loop(spark, monkeypatch):
     assert "NestedLoop" not in _plan(found)
     one = blocking.alike(spark.createDataFrame([(w,) for w in [*words, ""]], "a string"), spark.createDataFrame([(w,) for w in [*words, ""]], "b string"), 0.9, "sim")
     assert sorted((r.a, r.b) for r in one.collect()) == sorted((a, b) for a in words for b in words if _similar([a], [b], 0.9))
+    none = blocking.alike(spark.createDataFrame([("ANNA",)], "a string"), spark.createDataFrame([], "b string"), 0.9, "sim")
+    assert none.count() == 0
+
+
+def test_linked_names_are_met_without_a_nested_loop(spark, given, watch):
+    found = passes.linked_to(given.filter("entity_type = 'Individual'"), watch.remarks, ScreeningConfig())
+    assert "MapInArrow" in _plan(found) and "jaro_winkler" not in _plan(found)
+    rows = inputs.normalized(spark.createDataFrame([(1, "Individual", "Anna", "Ott"), (2, "Individual", "Anna", "Ott"), (3, "Individual", "Ott", "Anna")], "record_id bigint, entity_type string, first_name string, last_name string"))
+    remarks = spark.createDataFrame([(7, 1, "Anna Ott", "ANNA OTT", ""), (8, 1, "Anna Otto", "ANNA OTTO", ""), (8, 2, "Bo Li", "BO LI", "")], "uid int, occurrence int, text string, text_nm string, text_expanded string")
+    got = passes.linked_to(rows, remarks, ScreeningConfig()).select("Input_Record_ID", "SDN_UID", "Input_Name_Form", "SourceName").collect()
+    assert sorted(map(tuple, got)) == sorted((r, u, "LN_FN_MN" if r == 3 else "FN_MN_LN", "Anna Ott") for r in (1, 2, 3) for u in (7, 8))
