@@ -410,3 +410,14 @@ def test_linked_names_are_met_without_a_nested_loop(spark, given, watch):
     remarks = spark.createDataFrame([(7, 1, "Anna Ott", "ANNA OTT", ""), (8, 1, "Anna Otto", "ANNA OTTO", ""), (8, 2, "Bo Li", "BO LI", "")], "uid int, occurrence int, text string, text_nm string, text_expanded string")
     got = passes.linked_to(rows, remarks, ScreeningConfig()).select("Input_Record_ID", "SDN_UID", "Input_Name_Form", "SourceName").collect()
     assert sorted(map(tuple, got)) == sorted((r, u, "LN_FN_MN" if r == 3 else "FN_MN_LN", "Anna Ott") for r in (1, 2, 3) for u in (7, 8))
+
+
+def test_legacy_summary_without_its_detail(spark):
+    people = [(1, "Anna", None, "Ott", None), (2, "anna ", "Bo", "Otto", None), (3, "Anne", None, "Ulm", "Otto"), (3, "Bo", None, "Ott", None), (4, None, None, "Xyz", None), (4, None, None, "Xyz", None), (5, None, None, None, None), (6, "Anna", None, "Ott", None)]
+    given = spark.createDataFrame(people, "principal_id bigint, first_name string, middle_name string, last_name string, org_name string")
+    listed = spark.createDataFrame([(10, "Anna", "Ott"), (9, "Ana", "Otto"), (100, "Hanna", "Utt"), (10, "Bo", "Ott"), (7, "Bo", "Anna"), (8, None, "Bo Ott")], "uid bigint, first_name string, last_name string")
+    points = ScreeningConfig().match_scores
+    want, got = legacy.summary(legacy.detail(given, listed, points)), legacy.summarized(given, listed, points)
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+    assert [(f.name, f.dataType) for f in got.select(want.columns).schema] == [(f.name, f.dataType) for f in want.schema]
+    assert "Exchange" not in _plan(got).split("MapInArrow")[0]  # the long lists of parties are never moved
