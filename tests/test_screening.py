@@ -1,9 +1,11 @@
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
 from watchsieve.config import ScreeningConfig
 from watchsieve.functions.metaphone import double_metaphone
-from watchsieve.functions.similarity import jw_pairs, register
+from watchsieve.functions.similarity import jw_pairs, osa_many, osa_one, register
 from watchsieve.operators import audit, blocking, dummy, legacy, passes, report, summary
 from watchsieve.plans.screening import screen
 from watchsieve.sinks import Store, export_csv, export_legacy, export_non_passing, export_run, run_log_text, write_back
@@ -421,3 +423,23 @@ def test_legacy_summary_without_its_detail(spark):
     assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
     assert [(f.name, f.dataType) for f in got.select(want.columns).schema] == [(f.name, f.dataType) for f in want.schema]
     assert "Exchange" not in _plan(got).split("MapInArrow")[0]  # the long lists of parties are never moved
+
+
+def test_legacy_detail_spreads_after_the_last_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "TOGETHER", 3)
+    given = spark.createDataFrame([(k, ["Anna", "Anne", "Bo", ""][k % 4], None, ["Ott", "Otto", None][k % 3], "Ott" if k == 5 else None) for k in range(14)] + [(1, "Anne", None, "Otto", None)], "principal_id bigint, first_name string, middle_name string, last_name string, org_name string")
+    listed = spark.createDataFrame([(k, ["Anna", "Bo", "Xi"][k % 3], ["Otto", "Ulm"][k % 2]) for k in range(11)], "uid bigint, first_name string, last_name string")
+    found = legacy.detail(given, listed, ScreeningConfig().match_scores)
+    hits = legacy.hits(given, listed)
+    key = lambda df, *c: sorted(map(repr, df.select(*c).collect()))
+    real = found.filter("match_field <> 'No Match'")
+    assert [x.split("(")[1] for x in key(real.selectExpr("principal_id a", "uid b", "match_field c", "matchtype d", "principal_value e", "sdn_value f", "ord.code g"), "*")] == [x.split("(")[1] for x in key(hits.selectExpr("principal_id a", "uid b", "label c", "method d", "key e", "listed f", "code g"), "*")] != []
+    assert {r.principal_id for r in found.filter("match_field = 'No Match'").collect()} == {r.principal_id for r in given.collect()} - {r.principal_id for r in hits.collect()}
+    assert _plan(real).split("Generate")[2].count("Exchange") == 0  # nothing is moved between the arrays and the rows
+
+
+def test_edit_distances_of_many_pairs():
+    words = ["".join(x) for n in range(5) for x in itertools.product("abc", repeat=n)][::3] + ["żółć", "żłóć", "kitten", "sitting"]
+    a, b = ([*x] for x in zip(*itertools.product(words, words), strict=True))
+    assert osa_many(a, b).tolist() == [osa_one(x, y) for x, y in zip(a, b, strict=True)]
+    assert osa_many([], []).tolist() == []
