@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -220,3 +221,17 @@ def test_met_holds_one_order_at_a_time():
     assert len(events.orders) == 2
     known, n = events.met(last=True)
     assert np.array_equal(known, kept[0]) and np.array_equal(n, kept[1]) and not events.orders
+
+
+def test_a_lot_takes_little_memory():
+    """The most that asking for a lot's slots takes at a time, in bytes of its text; 140 before."""
+    rng = np.random.default_rng(5)
+    words = np.array(["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 10, 5000)])
+    texts = [lm.normalised(" ".join(words[rng.integers(0, len(words), 200)]).encode()) for _ in range(2000)]
+    lot, code = lot_of(texts), lm.Code(np.ones((256, 256)))
+    lm.Events(lot, code, 24)
+    tracemalloc.start()
+    lm.Events(lot, code, 24).met(last=True)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 135 * sum(map(len, texts))

@@ -28,10 +28,11 @@ columns are not read.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import heapq
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -236,6 +237,17 @@ class Lot:
         return [r if w is None else w for r, w in zip(read, self.words, strict=True)]
 
 
+@functools.cache
+def frugal() -> Callable[[], object]:
+    """Has glibc give large arrays back to the system as soon as they are freed, in this worker; what gives the rest back. Elsewhere nothing."""
+    library = ctypes.CDLL(None)
+    if not hasattr(library, "mallopt") or not hasattr(library, "malloc_trim"):
+        return lambda: None
+    for option, size in ((-3, 4 << 20), (-1, 4 << 20)):  # from where on an array is a mapping of its own, which otherwise grows to 32 MB; and what may stay free at the end
+        library.mallopt(option, size)
+    return lambda: library.malloc_trim(0)
+
+
 class Events:
     """The bits of a lot's units, which are its distinct words with what ends them and the three bytes before; and which unit each word is."""
 
@@ -278,33 +290,39 @@ class Events:
             total = np.zeros(len(own) + 1, np.uint64)
             np.cumsum(own, dtype=np.uint64, out=total[1:])
             pair[into] = _paired(total[:-1] - np.repeat(total.take(before), many), three)  # of what is before in the word
+        del b, token_start, token_end, tokens, rep, start, powers
         #: How many bits each unit is, and where they begin.
         sums = np.concatenate([[0], np.cumsum(self.bits, dtype=np.int64)])
         self.first = sums.take(ends[:-1])
         self.size = sums.take(ends[1:]) - self.first
+        del sums, ends
         to_word, heads = encoded(pair)
         del pair
         low = np.zeros(len(heads), np.uint64)
         low[to_word] = six
         low &= np.uint64(0xFFFFFF)
-        heads = _unpaired(heads, low)
+        heads = _hash(_unpaired(heads, low) + np.uint64(7), 3)
+        frugal()()
         to_six, kinds = encoded(six)
         del six
+        frugal()()
         #: By order: which distinct context each byte of a unit has, where the bits of that begin, and each bit's slot, bit and how often it is to be counted.
         self.orders = []
-        for of, h, last in ((to_word, _hash(heads + np.uint64(7), 3), low), (to_six, _hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds & np.uint64(0xFFFFFF))):
+        for of, h, last in ((to_word, heads, low), (to_six, _hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds & np.uint64(0xFFFFFF))):
             number = code.numbers(last)
             many = code.length.take(number)
             first = np.cumsum(many) - many
             place = np.repeat(code.start.take(number) - first, many)
             place += np.arange(len(place))
+            bit = code.bit.take(place)
             slot = np.repeat(h, many)
             slot += code.node.take(place)
+            del place
             slot *= _K[4]
             slot ^= slot >> np.uint64(32)
             slot *= _K[2]
             slot >>= np.uint64(64 - table_bits)
-            self.orders.append((of, first.astype(np.int32), slot, code.bit.take(place), np.repeat(self._times(of, length, len(number)), many)))
+            self.orders.append((of, first.astype(np.int32), slot, bit, np.repeat(self._times(of, length, len(number)).astype(np.uint32), many)))
 
     def _times(self, of: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
         """How often each distinct context is in texts that may be learnt from."""
@@ -627,6 +645,7 @@ def answered(lots: DataFrame, code: Code, table_bits: int, parts: int, tasks: in
     shift, word_shift = np.uint64(table_bits - shard_bits), np.uint64(64 - shard_bits)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for b in batches:
             for number, blob in zip(b.column("lot").to_pylist(), b.column("blob"), strict=True):
                 lot = _lot(blob.as_py())
@@ -721,6 +740,7 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     end, known_end = np.log10(ends + 1), 1 if ends else 0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for lot, found, counts, v in whole_lots(batches):
             value = scores(lot, Events(lot, shared.value, table_bits), found)
             each = lot.word_hashes()
