@@ -443,3 +443,18 @@ def test_edit_distances_of_many_pairs():
     a, b = ([*x] for x in zip(*itertools.product(words, words), strict=True))
     assert osa_many(a, b).tolist() == [osa_one(x, y) for x, y in zip(a, b, strict=True)]
     assert osa_many([], []).tolist() == []
+
+
+def test_audit_rows_from_pairs_of_names(given, watch):
+    """The rows of the four passes joined one by one, also where a record, a party and an address come twice; no row of a pair is shuffled."""
+    from watchsieve.operators import passing, score
+
+    config = ScreeningConfig()
+    twice = given.union(given.filter("record_id IN (1, 3)"))
+    listed = watchlist.WatchList(watch.entries, watch.akas, watch.addresses.union(watch.addresses.withColumn("addr_uid", F.col("addr_uid") + 1).withColumn("country_nm", F.lit("FRANCE"))), watch.remarks, watch.phones)
+    names = audit.passing_names(passes.person_primary(twice, listed.entries, config), passes.person_aka(twice, listed.akas, config), passes.org_primary(twice, listed.entries, config), passes.org_aka(twice, listed.akas, config))
+    plain = audit.gate_passing(names, twice, listed.entries, listed.addresses)
+    want, got = score.composite(plain, listed.names()), passing.rows(twice, listed, config, scored=True)
+    assert want.columns == got.columns and want.count() > 4
+    assert sorted(map(repr, want.collect())) == sorted(map(repr, got.collect()))
+    assert got._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[0].count("Repartition") == 0
