@@ -313,6 +313,23 @@ def test_legacy_queries_take_whole_tables(spark, tmp_path):
     assert {r.principal_id for r in got["a4_w4_a7_legacy_summary"]} == set(who)
 
 
+def test_persons_of_the_same_names_are_compared_once(spark):
+    """Rows between representatives, with who they stand for, are those between all; and no pair is moved."""
+    who = [(1, "Ivan", None, "Petrov", None), (2, "Ivan", None, "Petrov", None), (3, "Petrov", "van", "Ivan", "Acme"), (4, "Zoe", None, "Acme", None), (4, "Zoe", None, "Acme", None)]
+    given = spark.createDataFrame(who, "given_id bigint, first_name string, middle_name string, last_name string, org_name string")
+    listed = spark.createDataFrame([(7, "Ivan", "Petrow"), (5, "Ivan", "Petrow"), (6, None, "Acme")], "uid bigint, first_name string, last_name string")
+    every = [tuple(r) for r in legacy.compare_names(given, listed).collect()]
+    rows = legacy.compare_name_classes(given, listed)
+    assert "Exchange" not in rows.filter("method = 'Direct'")._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0].replace("BroadcastExchange", "")
+    rows = rows.collect()
+    same = {f: [(r.given_id, r.uid) for r in rows if r.fields == f] for f in ("given", "listed")}
+    assert sorted(same["given"]) == [(1, 1), (2, 1), (3, 3), (4, 4), (4, 4)] and sorted(same["listed"]) == [(5, 5), (6, 6), (7, 5)]
+    spread = [(r.x, r.y, g, u, *r[4:]) for r in rows if r.method != "Same fields" for g, a in same["given"] if a == r.given_id for u, b in same["listed"] if b == r.uid]
+    assert sorted(spread) == sorted(every) and len(every) > 0
+    matched = {(r[0], r[1], r[5]): r[6] for r in every}
+    assert matched["Ivan", "Ivan", "Soundex"] == 1 and matched["Petrov", "Petrow", "Direct"] == 0
+
+
 def _places(spark, pick):
     records = inputs.normalized(spark.createDataFrame([(k, f"e{k}", f"{k % 3} Main Street", ["Bern", "Berne", "Lima"][k % 3], ["Peru", "Chad"][k % 2]) for k in pick], "record_id bigint, external_id string, address1 string, city string, country string"))
     listed = spark.createDataFrame([(k // 2 if k < 6 else k, k, f"{k % 4} Main Street", ["Bern", "Lima", "Rome"][k % 3], ["Peru", "Chad"][k % 2]) for k in range(12)], "uid bigint, addr_uid bigint, address1 string, city string, country string")
