@@ -194,3 +194,19 @@ def test_frames(spark, awkward, docs, empty):
         payload = [gif.padded(t.encode()) for t in texts]
         assert (r.payload_sha256, r.tail_crc32, r.payload_bytes) in [(hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(p)) for p in payload]
     assert gif.stored_and_read(empty).count() == 0
+
+
+def test_a_task_gives_its_memory_back():
+    from pathlib import Path
+
+    import numpy as np
+
+    from watchsieve.workers import given_back
+
+    resident = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+    held = [np.ones(1000) for _ in range(20_000)]
+    last = held.pop()  # what stands above keeps the rest from going by itself
+    before = resident()
+    del held
+    given_back()
+    assert before - resident() > 120_000_000 and last.sum() == 1000

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..workers import find_library
+from ..workers import find_library, given_back
 
 #: Rows in an Arrow batch: 512 texts of ordinary length are a few MB, and a batch of very long ones still fits a worker.
 ARROW_ROWS = 512
@@ -42,7 +42,7 @@ def fold_of(doc_id: int | None, n: int) -> int:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """mapInArrow in batches small enough for very long texts; what Spark hands over at once is bounded by its own maxBytesPerBatch."""
+    """mapInArrow in batches small enough for very long texts; what Spark hands over at once is bounded by its own maxBytesPerBatch. What a task held goes back to the system when it ends."""
     find_library(df.sparkSession)
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,7 +51,10 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
                 yield b.slice(k, ARROW_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return fn(some(batches))
+        try:
+            yield from fn(some(batches))
+        finally:
+            given_back()
 
     return df.mapInArrow(run, schema)
 
