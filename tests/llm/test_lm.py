@@ -235,3 +235,17 @@ def test_a_lot_takes_little_memory():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 135 * sum(map(len, texts))
+
+
+def test_what_met_needs_is_made_only_for_it_and_inputs_have_the_sign_of_their_bit():
+    texts = [b"the quick brown fox\0", b"the slow fox\0"]
+    code = code_of(texts)
+    lot = lot_of(texts)
+    asked, scored = lm.Events(lot, code, 40), lm.Events(lot, code, 40, counted=False)
+    assert scored.counts is None and all(o[3] is None and o[4] is None for o in scored.orders)
+    found = answers(asked)
+    one, two = asked.predicted(found), scored.predicted(found)
+    assert np.array_equal(one, two)
+    four = two.view(np.int8).reshape(-1, 4)
+    odds = np.concatenate([code.odds[p : p + n] for p, n in zip(scored.place.tolist(), scored.bits.tolist(), strict=True)])
+    assert np.array_equal(four[:, 2], np.where(four[:, 3] & 1, -odds, odds))

@@ -54,6 +54,7 @@ LOT, LEAST_LOT, SPREAD, SEGMENT, PIECE, CHUNK, PART_BYTES = 7 << 20, 1 << 16, 12
 #: Weights at a text's start: of the word so far, the five bytes before and the two bytes before.
 STRIDE, RATE, START = 32, 0.02, (0.3, 0.6, 0.2)
 GAP = 8  # bytes before each segment, zeros or what the text has there, so that no context reaches into another text
+HEAP = 32 << 20  # the most that glibc takes
 _K = np.array([0x9E3779B97F4A7C15, 0x85EBCA77C2B2AE63, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5, 0x165667B19E3779F9], np.uint64)
 
 
@@ -238,27 +239,26 @@ class Lot:
 
 
 @functools.cache
-def frugal() -> Callable[[], object]:
-    """Has glibc give large arrays back to the system as soon as they are freed, in this worker; what gives the rest back. Elsewhere nothing."""
+def settled() -> None:
+    """Has glibc, in this worker, make arrays under HEAP bytes from memory that was used before and not give that back in between: to map each anew costs a fifth of the CPU. Elsewhere nothing."""
     library = ctypes.CDLL(None)
-    if not hasattr(library, "mallopt") or not hasattr(library, "malloc_trim"):
-        return lambda: None
-    for option, size in ((-3, 4 << 20), (-1, 4 << 20)):  # from where on an array is a mapping of its own, which otherwise grows to 32 MB; and what may stay free at the end
-        library.mallopt(option, size)
-    return lambda: library.malloc_trim(0)
+    if hasattr(library, "mallopt"):
+        for option, size in ((-3, HEAP), (-1, 8 * HEAP)):  # from where on an array is a mapping of its own; and what may stay free at the end
+            library.mallopt(option, size)
 
 
 class Events:
     """The bits of a lot's units, which are its distinct words with what ends them and the three bytes before; and which unit each word is."""
 
-    def __init__(self, lot: Lot, code: Code, table_bits: int) -> None:
+    def __init__(self, lot: Lot, code: Code, table_bits: int, counted: bool = True) -> None:
+        """counted: whether met() is to be asked, else what it needs is not made."""
         self.code = code
         b, starts, ends = flat(lot.data, lot.before)
         token_start, token_end, tokens = _tokens(b, starts, ends)
         self.unit, rep = _units(b, token_start, token_end)
         #: How many words each segment has, and how often each unit is in texts that may be learnt from.
         self.tokens = tokens
-        self.counts = np.bincount(self.unit[np.repeat(lot.train, tokens)], minlength=len(rep))
+        self.counts = np.bincount(self.unit[np.repeat(lot.train, tokens)], minlength=len(rep)) if counted else None
         start, length = token_start[rep], (token_end - token_start)[rep]
         powers = _powers(int(length.max(initial=1)))
         ends = np.concatenate([[0], np.cumsum(length)])
@@ -302,10 +302,8 @@ class Events:
         low[to_word] = six
         low &= np.uint64(0xFFFFFF)
         heads = _hash(_unpaired(heads, low) + np.uint64(7), 3)
-        frugal()()
         to_six, kinds = encoded(six)
         del six
-        frugal()()
         #: By order: which distinct context each byte of a unit has, where the bits of that begin, and each bit's slot, bit and how often it is to be counted.
         self.orders = []
         for of, h, last in ((to_word, heads, low), (to_six, _hash((kinds >> np.uint64(8)) + np.uint64(3), 2), kinds & np.uint64(0xFFFFFF))):
@@ -314,7 +312,7 @@ class Events:
             first = np.cumsum(many) - many
             place = np.repeat(code.start.take(number) - first, many)
             place += np.arange(len(place))
-            bit = code.bit.take(place)
+            bit = code.bit.take(place) if counted else None
             slot = np.repeat(h, many)
             slot += code.node.take(place)
             del place
@@ -322,7 +320,7 @@ class Events:
             slot ^= slot >> np.uint64(32)
             slot *= _K[2]
             slot >>= np.uint64(64 - table_bits)
-            self.orders.append((of, first.astype(np.int32), slot, bit, np.repeat(self._times(of, length, len(number)).astype(np.uint32), many)))
+            self.orders.append((of, first.astype(np.int32), slot, bit, np.repeat(self._times(of, length, len(number)).astype(np.uint32), many) if counted else None))
 
     def _times(self, of: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
         """How often each distinct context is in texts that may be learnt from."""
@@ -351,7 +349,7 @@ class Events:
         return known, n.reshape(-1, 2).T
 
     def predicted(self, found: np.ndarray) -> np.ndarray:
-        """found: the state of each distinct slot in order. For each bit of the units four bytes: the log odds by word, by five bytes and by two, and gate and bit."""
+        """found: the state of each distinct slot in order. For each bit of the units four bytes: the log odds by word, by five bytes and by two, each of the other bit, and gate and bit."""
         known = distinct(np.concatenate([o[2] for o in self.orders]))
         value = LOGIT.take(found)
         by = [value.take(places(known, slot)) for _, _, slot, _, _ in self.orders]
@@ -377,6 +375,9 @@ class Events:
             gate |= self.code.nth.take(place) << np.uint8(1)
             gate |= self.code.bit.take(place)
             into[:, 3] = gate.view(np.int8)
+            sign = np.array([1, -1], np.int8).take(gate & np.uint8(1))
+            for k in range(3):  # here, as units are fewer than words
+                into[:, k] *= sign
         return out.view(np.uint32).ravel()
 
 
@@ -470,8 +471,7 @@ def refined(bits: np.ndarray, first: np.ndarray, start: tuple[float, ...] = STAR
         over = (np.arange(t, t + stride) >= size[:live, None]).ravel() if size[live - 1] < t + stride else None
         four = bits.take(at.ravel(), mode="clip").view(np.int8).reshape(-1, 4)
         x = [four[:, k].astype(np.float32) for k in range(3)]
-        kind = four[:, 3].view(np.uint8)
-        g = (kind >> np.uint8(1)).astype(np.intp).reshape(live, stride)
+        g = (four[:, 3].view(np.uint8) >> np.uint8(1)).astype(np.intp).reshape(live, stride)
         g += (np.arange(live) * GATES)[:, None]
         g = g.ravel()
         z = own[0].take(g)
@@ -480,10 +480,6 @@ def refined(bits: np.ndarray, first: np.ndarray, start: tuple[float, ...] = STAR
             y = own[k].take(g)
             y *= x[k]
             z += y
-        sign = (kind & np.uint8(1)).astype(np.float32)
-        sign *= np.float32(-2)
-        sign += np.float32(1)  # -1 for a one
-        z *= sign
         np.clip(z, -11, 11, out=z)
         np.exp(z, out=z)  # the odds against the bit
         wrong = z + np.float32(1)
@@ -496,7 +492,6 @@ def refined(bits: np.ndarray, first: np.ndarray, start: tuple[float, ...] = STAR
         t += stride
         on = int(np.searchsorted(-size, -t))  # those that have more bits
         if on and rate:
-            z *= sign
             speed, some = np.float32(-rate * STEP * STEP * (STRIDE / stride) ** 0.5), slice(on * stride)
             for k in range(3):
                 own[k][: on * GATES] += speed * np.bincount(g[some], z[some] * x[k][some], on * GATES).astype(np.float32)
@@ -645,7 +640,7 @@ def answered(lots: DataFrame, code: Code, table_bits: int, parts: int, tasks: in
     shift, word_shift = np.uint64(table_bits - shard_bits), np.uint64(64 - shard_bits)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frugal()
+        settled()
         for b in batches:
             for number, blob in zip(b.column("lot").to_pylist(), b.column("blob"), strict=True):
                 lot = _lot(blob.as_py())
@@ -740,9 +735,9 @@ def scored(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc
     end, known_end = np.log10(ends + 1), 1 if ends else 0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frugal()
+        settled()
         for lot, found, counts, v in whole_lots(batches):
-            value = scores(lot, Events(lot, shared.value, table_bits), found)
+            value = scores(lot, Events(lot, shared.value, table_bits, counted=False), found)
             each = lot.word_hashes()
             many = np.array([len(x) for x in each], np.int64)
             word = np.concatenate(each)
