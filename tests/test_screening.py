@@ -422,6 +422,13 @@ def test_similar_names_are_found_without_a_nested_loop(spark, monkeypatch):
     assert none.count() == 0
 
 
+def test_listed_names_may_come_in_several_batches(spark):
+    """Linked parties and all passes together meet names by alike(), unblocked persons by person_pairs()."""
+    listed = spark.createDataFrame([("ANNA", "OTT"), ("ANNA", "OTTO"), ("BO", "LI"), ("ANNE", "OTT")], "sdn_fn string, sdn_ln string").repartition(4)
+    given = spark.createDataFrame([("ANNA", "OTT")], "fn string, ln string")
+    assert sorted(r.sdn_fn for r in blocking.alike(given.select("fn"), listed.select("sdn_fn"), 0.85, "sim").collect()) == ["ANNA", "ANNA", "ANNE"]
+
+
 def test_linked_names_are_met_without_a_nested_loop(spark, given, watch):
     found = passes.linked_to(given.filter("entity_type = 'Individual'"), watch.remarks, ScreeningConfig())
     assert "MapInArrow" in _plan(found) and "jaro_winkler" not in _plan(found)
