@@ -427,6 +427,8 @@ def test_listed_names_may_come_in_several_batches(spark):
     listed = spark.createDataFrame([("ANNA", "OTT"), ("ANNA", "OTTO"), ("BO", "LI"), ("ANNE", "OTT")], "sdn_fn string, sdn_ln string").repartition(4)
     given = spark.createDataFrame([("ANNA", "OTT")], "fn string, ln string")
     assert sorted(r.sdn_fn for r in blocking.alike(given.select("fn"), listed.select("sdn_fn"), 0.85, "sim").collect()) == ["ANNA", "ANNA", "ANNE"]
+    assert sorted((r.sdn_fn, r.sdn_ln) for r in blocking.person_pairs(given, listed, 0.85, "none").collect()) == [("ANNA", "OTT"), ("ANNA", "OTTO"), ("ANNE", "OTT")]
+    assert blocking.person_pairs(given, listed.filter("sdn_fn = ''"), 0.85, "none").count() == 0
 
 
 def test_linked_names_are_met_without_a_nested_loop(spark, given, watch):
