@@ -431,6 +431,19 @@ def test_listed_names_may_come_in_several_batches(spark):
     assert blocking.person_pairs(given, listed.filter("sdn_fn = ''"), 0.85, "none").count() == 0
 
 
+def test_fuzzy_join_compares_names_in_the_tasks(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "LOOP_ROWS", 3)  # several chunks
+    words = ["ANNA", "ANNE", "HANNA", "OTTO", "OTO", "", None, "MARTHA", "MARHTA", "Ł", "ANNA"]
+    names = spark.createDataFrame([*enumerate(words)], "id int, a string")
+    left, right = names.withColumnRenamed("id", "x"), names.selectExpr("id AS y", "a AS b")
+    found = blocking.fuzzy_join(left, right, ("a", "b"), 0.8, similarity="sim")
+    want = {(i, j, s[0]) for i, a in enumerate(words) for j, b in enumerate(words) if a and b and (s := _similar([a], [b], 0.8))}
+    got = [tuple(r) for r in found.select("x", "y", "sim").collect()]
+    assert len(got) == len({*got}) and {*got} == want and len(want) > 15
+    assert "MapInArrow" in _plan(found) and "NestedLoop" not in _plan(found)
+    assert blocking.fuzzy_join(left, right, ("a", "b"), 0.0).filter("a IS NOT NULL").count() == 100  # empty ones too where nothing is asked for
+
+
 def test_linked_names_are_met_without_a_nested_loop(spark, given, watch):
     found = passes.linked_to(given.filter("entity_type = 'Individual'"), watch.remarks, ScreeningConfig())
     assert "MapInArrow" in _plan(found) and "jaro_winkler" not in _plan(found)
