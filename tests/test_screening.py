@@ -444,6 +444,12 @@ def test_fuzzy_join_compares_names_in_the_tasks(spark, monkeypatch):
     assert blocking.fuzzy_join(left, right, ("a", "b"), 0.0).filter("a IS NOT NULL").count() == 100  # empty ones too where nothing is asked for
 
 
+def test_pairs_of_organisations_are_dealt_over_all_tasks(spark, given, watch):
+    matched, near = passes.org_primary(given, watch.entries, ScreeningConfig())
+    assert all(d._jdf.queryExecution().optimizedPlan().toString().count("Repartition 4, true") == 1 for d in (matched, near))
+    assert {(r.Input_Record_ID, r.SDN_UID) for r in matched.collect()} >= {(3, 2)}
+
+
 def test_linked_names_are_met_without_a_nested_loop(spark, given, watch):
     found = passes.linked_to(given.filter("entity_type = 'Individual'"), watch.remarks, ScreeningConfig())
     assert "MapInArrow" in _plan(found) and "jaro_winkler" not in _plan(found)
